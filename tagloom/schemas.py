@@ -1,0 +1,94 @@
+"""Column sets of the resources. An unset field is NULL; times are epoch milliseconds."""
+
+from pyspark.sql import types as T
+
+_METADATA = T.MapType(T.StringType(), T.StringType())
+
+
+def _schema(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+
+ASSETS = _schema(
+    id=T.LongType(),
+    externalId=T.StringType(),
+    name=T.StringType(),
+    description=T.StringType(),
+    parentId=T.LongType(),
+    parentExternalId=T.StringType(),
+    rootId=T.LongType(),
+    metadata=_METADATA,
+    source=T.StringType(),
+    dataSetId=T.LongType(),
+    labels=T.ArrayType(T.StringType()),
+    createdTime=T.LongType(),
+    lastUpdatedTime=T.LongType(),
+)
+EVENTS = _schema(
+    id=T.LongType(),
+    externalId=T.StringType(),
+    startTime=T.LongType(),
+    endTime=T.LongType(),
+    description=T.StringType(),
+    type=T.StringType(),
+    subtype=T.StringType(),
+    source=T.StringType(),
+    assetIds=T.ArrayType(T.LongType()),
+    metadata=_METADATA,
+    lastUpdatedTime=T.LongType(),
+)
+SERIES = _schema(
+    id=T.LongType(),
+    externalId=T.StringType(),
+    name=T.StringType(),
+    isString=T.BooleanType(),
+    isStep=T.BooleanType(),
+    description=T.StringType(),
+    unit=T.StringType(),
+    metadata=_METADATA,
+    lastUpdatedTime=T.LongType(),
+)
+DATAPOINTS = _schema(
+    externalId=T.StringType(), timestamp=T.LongType(), valueNum=T.DoubleType(), valueString=T.StringType()
+)
+FILES = _schema(
+    id=T.LongType(),
+    externalId=T.StringType(),
+    name=T.StringType(),
+    mimeType=T.StringType(),
+    metadata=_METADATA,
+    lastUpdatedTime=T.LongType(),
+)
+FILE_BINARIES = _schema(
+    id=T.LongType(), externalId=T.StringType(), binary=T.BinaryType(), binaryUri=T.StringType()
+)
+SEQUENCE_CELL = _schema(d=T.DoubleType(), l=T.LongType(), s=T.StringType())
+SEQUENCE_BODIES = _schema(
+    externalId=T.StringType(),
+    columns=T.ArrayType(T.StringType()),
+    rows=T.ArrayType(_schema(rowNumber=T.LongType(), values=T.ArrayType(SEQUENCE_CELL))),
+)
+RAW_ROWS = _schema(
+    dbName=T.StringType(),
+    tableName=T.StringType(),
+    key=T.StringType(),
+    columns=T.StringType(),
+    lastUpdatedTime=T.LongType(),
+)
+RELATIONSHIPS = _schema(
+    externalId=T.StringType(),
+    sourceExternalId=T.StringType(),
+    sourceType=T.StringType(),
+    targetExternalId=T.StringType(),
+    targetType=T.StringType(),
+    confidence=T.FloatType(),
+    lastUpdatedTime=T.LongType(),
+)
+LABELS = _schema(
+    externalId=T.StringType(), name=T.StringType(), description=T.StringType(), createdTime=T.LongType()
+)
+DATA_SETS = _schema(
+    id=T.LongType(), externalId=T.StringType(), metadata=_METADATA, lastUpdatedTime=T.LongType()
+)
+PIPELINE_RUNS = _schema(externalId=T.StringType(), status=T.StringType(), message=T.StringType())
+STATE_STORE = _schema(key=T.StringType(), high=T.LongType())
