@@ -45,6 +45,11 @@ def map_entries_sorted(value: Column) -> Column:
     return F.coalesce(F.array_sort(F.map_entries(value)), F.array())
 
 
+def strip(text: Column) -> Column:
+    """Text without blanks and control characters at both ends."""
+    return F.regexp_replace(text, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+
+
 def all_of(parts: Iterable[Column]) -> Column:
     folded = F.lit(True)
     for part in parts:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tagloom.functions.columns import map_entries_sorted
 from tagloom.operators.hierarchy import NODE, check_integrity, delete_assets
 from tagloom.operators.upsert import dedupe_latest, upsert
-from tagloom.session import small_side
+from tagloom.session import materialize, small_side
 
 # The fields that make two assets equal.
 EQUALITY_FIELDS = (
@@ -118,12 +118,13 @@ def synchronize(
     scope = limit_to_data_sets(current, incoming) if by_data_set else current
     roots = small_side(incoming.select(key).distinct())
     scope = scope.join(roots, key, "left_semi")
-    changes = compare(scope, incoming, [key, NODE], fields)
+    # Both results are read several times below; written tables keep their plans apart.
+    changes = materialize(compare(scope, incoming, [key, NODE], fields), "changes")
     upserts = changes.where(F.col("change").isin("insert", "update", "invalid")).drop("change")
     deletes = changes.where(F.col("change") == "delete").drop("change")
     # Copies of one key are all reported; the table can hold one of them, the same one in every run.
     present = [f for f in fields if f in upserts.columns]
     single = dedupe_latest(upserts, [NODE], [fingerprint(upserts, present).desc()])
-    written = upsert(current, single, [NODE], mode="replace")
+    written = materialize(upsert(current, single, [NODE], mode="replace"), "synchronized")
     remaining, _ = delete_assets(written, deletes.select(NODE))
     return upserts, deletes, remaining

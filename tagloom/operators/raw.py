@@ -49,8 +49,8 @@ def raw_requests(
     asked = config.where(F.col("key").isin(*keys)).select("key", parts.alias("_p")).where(F.size("_p") >= 2)
     return asked.select(
         F.col("key").alias("request_id"),
-        F.col("_p")[0].alias("dbName"),
-        F.col("_p")[1].alias("tableName"),
+        F.get("_p", F.lit(0)).alias("dbName"),
+        F.get("_p", F.lit(1)).alias("tableName"),
         F.lit(",".join(columns) or None).cast("string").alias("columns"),
     )
 

@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from tagloom.functions.columns import strip
+
+# The byte order mark, and the characters trimmed from names and cells (U+0000 to U+0020).
+BLANKS = "".join(map(chr, range(0x21)))
 BOM = "﻿"
 
 
@@ -32,10 +36,10 @@ def parse_delimited(lines: DataFrame, header: str, delimiter: str = ";", column:
     concatenated in order. Quotes have no meaning.
     """
     delimiter = delimiter[0]
-    names = [n.strip() for n in header.split(delimiter)]
+    names = [n.strip(BLANKS) for n in header.split(delimiter)]
     cells = _cut(F.regexp_replace(column, "^" + BOM, ""), delimiter)
     kept = lines.select(cells.alias("_cells")).where(
-        ((F.size("_cells") > 1) | F.col("_cells")[0].rlike(r"\p{IsAlphabetic}"))
+        ((F.size("_cells") > 1) | F.get("_cells", F.lit(0)).rlike(r"\p{IsAlphabetic}"))
         & (F.array_join("_cells", delimiter) != F.lit(header))
     )
     return kept.select(_row(F.col("_cells"), names).alias("row"))
@@ -45,7 +49,7 @@ def _row(cells: Column, names: list[str]) -> Column:
     places: dict[str, list[int]] = {}
     for i, name in enumerate(names):
         places.setdefault(name, []).append(i)
-    cell = lambda i: F.trim(F.coalesce(F.get(cells, F.lit(i)), F.lit("")))
+    cell = lambda i: strip(F.coalesce(F.get(cells, F.lit(i)), F.lit("")))
     # A header name may itself look like the name of an extra cell: then that cell belongs to it.
     own = {}
     for name, at in places.items():
@@ -53,7 +57,7 @@ def _row(cells: Column, names: list[str]) -> Column:
         if name.startswith("col_") and name[4:].isdigit() and int(name[4:]) >= len(names):
             own[name] = F.concat(own[name], cell(int(name[4:])))
     known = F.create_map(*[x for name, value in own.items() for x in (F.lit(name), value)])
-    numbered = F.transform(cells, lambda c, i: F.struct(F.concat(F.lit("col_"), i.cast("string")), F.trim(c)))
+    numbered = F.transform(cells, lambda c, i: F.struct(F.concat(F.lit("col_"), i.cast("string")), strip(c)))
     extra = F.slice(numbered, len(names) + 1, F.greatest(F.size(cells) - len(names), F.lit(0)))
     taken = [n for n in own if n.startswith("col_")]
     if taken:
