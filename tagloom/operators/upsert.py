@@ -55,14 +55,16 @@ def upsert(
         raise ValueError(f"unknown mode: {mode}")
     key = list(key)
     columns = current.columns
+
+    def given(name: str) -> Column:
+        kind = current.schema[name].dataType
+        if name not in incoming.columns:
+            return F.lit(None).cast(kind)
+        same = incoming.schema[name].dataType.simpleString() == kind.simpleString()
+        return F.col(name) if same else F.col(name).cast(kind)
+
     fresh = incoming.select(
-        *key,
-        F.lit(True).alias("_new"),
-        *[
-            (F.col(c) if c in incoming.columns else F.lit(None)).cast(current.schema[c].dataType).alias(f"_n_{c}")
-            for c in columns
-            if c not in key
-        ],
+        *key, F.lit(True).alias("_new"), *[given(c).alias(f"_n_{c}") for c in columns if c not in key]
     )
 
     def merged(name: str) -> Column:

@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from tagloom.plans import hierarchies, reads, states, writes  # noqa: F401
+from tagloom.plans import context, hierarchies, reads, states, streams, writes  # noqa: F401
 from tagloom.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
