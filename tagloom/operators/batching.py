@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tagloom.functions.columns import utc_day
-from tagloom.session import salt_count
+from tagloom.session import materialize, salt_count
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
 
@@ -25,32 +25,37 @@ def _slice(df: DataFrame, order_by: Sequence[str], slices: int) -> Column:
     return F.floor((F.col(first) - bounds["lo"]).cast("double") / width * slices)
 
 
-def running_total(
+def running_totals(
     df: DataFrame,
     key: Sequence[str],
     order_by: Sequence[str],
-    weight: Column | None = None,
+    weights: Mapping[str, Column],
     slices: int | None = None,
     slice_by: Column | None = None,
-    out: str = "before",
 ) -> DataFrame:
-    """Sum of ``weight`` over the rows that come earlier in the same key.
+    """Sums over the rows that come earlier in the same key: one column per entry of ``weights``.
 
-    A key is cut into slices along its order. Each slice is summed on its own and shifted by the total of the
+    A key is cut into slices along its order. Each slice is summed on its own and shifted by the totals of the
     slices before it, so a key that holds a third of the table is spread over ``slices`` tasks. ``slice_by``
     must not decrease along ``order_by``; without it a numeric first order column is cut into equal ranges,
     and any other is sliced by hash, which makes (slice, order) the order.
     """
-    weight = F.lit(1) if weight is None else weight
     slices = slices or salt_count(df.sparkSession)
     cut = _slice(df, order_by, slices) if slice_by is None else slice_by
-    keyed = df.select("*", F.struct(*key).alias("_key"), cut.alias("_slice"), weight.cast("long").alias("_weight"))
-    totals = keyed.groupBy("_key", "_slice").agg(F.sum("_weight").alias("_total"))
+    names = list(weights)
+    keyed = df.select(
+        "*", F.struct(*key).alias("_key"), cut.alias("_slice"), *[w.cast("long").alias(f"_w_{n}") for n, w in weights.items()]
+    )
+    totals = keyed.groupBy("_key", "_slice").agg(*[F.sum(f"_w_{n}").alias(f"_t_{n}") for n in names])
     earlier = W.partitionBy("_key").orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-    shifts = totals.select("_key", "_slice", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_shift"))
+    shifts = totals.select(
+        "_key", "_slice", *[F.coalesce(F.sum(f"_t_{n}").over(earlier), F.lit(0)).alias(f"_s_{n}") for n in names]
+    )
     inside = W.partitionBy("_key", "_slice").orderBy(*order_by).rowsBetween(W.unboundedPreceding, -1)
-    local = keyed.withColumn("_local", F.coalesce(F.sum("_weight").over(inside), F.lit(0)))
-    return local.join(shifts, ["_key", "_slice"]).select(*df.columns, (F.col("_local") + F.col("_shift")).alias(out))
+    local = keyed.select("*", *[F.coalesce(F.sum(f"_w_{n}").over(inside), F.lit(0)).alias(f"_l_{n}") for n in names])
+    return local.join(shifts, ["_key", "_slice"]).select(
+        *df.columns, *[(F.col(f"_l_{n}") + F.col(f"_s_{n}")).alias(n) for n in names]
+    )
 
 
 def assign_batches(
@@ -62,7 +67,7 @@ def assign_batches(
     slice_by: Column | None = None,
 ) -> DataFrame:
     """Add ``batch``: 0, 1, ... per key, every batch full but the last one."""
-    numbered = running_total(df, key, order_by, None, slices, slice_by, out="_before")
+    numbered = running_totals(df, key, order_by, {"_before": F.lit(1)}, slices, slice_by)
     return numbered.withColumn("batch", F.floor(F.col("_before") / F.lit(size)).cast("long")).drop("_before")
 
 
@@ -115,7 +120,7 @@ def batch_datapoints(
     if not 0 < direct_min < max_points:
         raise ValueError("direct_min must lie below max_points")
     dated = points.withColumn("day", utc_day(F.col("timestamp")))
-    groups = dated.groupBy(series, "day").agg(F.count("*").alias("_points"))
+    groups = materialize(dated.groupBy(series, "day").agg(F.count("*").alias("_points")), "series-days")
 
     large = groups.where(F.col("_points") >= direct_min).select(series, "day")
     hour = F.floor((F.col("timestamp") - F.col("day")) / 3_600_000)
@@ -137,8 +142,8 @@ def batch_datapoints(
     small = groups.where(F.col("_points") < direct_min).withColumn(
         "shard", F.pmod(value, F.lit(shards)).cast("long")
     )
-    packed = running_total(small, ["day", "shard"], [series], F.col("_points"), slices, out="_points_before")
-    packed = running_total(packed, ["day", "shard"], [series], None, slices, out="_series_before")
+    counts = {"_points_before": F.col("_points"), "_series_before": F.lit(1)}
+    packed = running_totals(small, ["day", "shard"], [series], counts, slices)
     # A batch starts within a step of max_points - direct_min and ends with a group below direct_min.
     plan = packed.select(
         series,
@@ -169,8 +174,8 @@ def batch_sequences(
     sized = bodies.withColumn("cells", size.cast("long")).withColumn(
         "shard", F.pmod(F.col(id_col), F.lit(shards)).cast("long")
     )
-    counted = running_total(sized, ["shard"], [id_col], None, slices, out="_items_before")
-    counted = running_total(counted, ["shard"], [id_col], F.col("cells"), slices, out="_cells_before")
+    counts = {"_items_before": F.lit(1), "_cells_before": F.col("cells")}
+    counted = running_totals(sized, ["shard"], [id_col], counts, slices)
     return counted.select(
         *sized.columns,
         F.floor(F.col("_items_before") / max_items).cast("long").alias("part"),

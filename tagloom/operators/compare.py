@@ -111,6 +111,7 @@ def synchronize(
     Only hierarchies named by the input are touched. Deletes take their subtrees, after the upserts have
     moved whatever the input keeps.
     """
+    incoming = materialize(incoming, "batch")
     if check:
         broken = check_integrity(incoming, key).limit(10).collect()
         if broken:

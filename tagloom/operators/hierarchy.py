@@ -25,7 +25,7 @@ def _climb(nodes: DataFrame, max_rounds: int = 62) -> tuple[DataFrame, DataFrame
 
     Returns (finished rows, rows that never finish because they lead into a cycle, or None).
     """
-    state = nodes.select(
+    state = materialize(nodes, "nodes").select(
         "node", "ptr", "flag", F.col("node").alias("top"), F.lit(0).cast("long").alias("hops"), F.array("node").alias("path")
     )
     finished = [state.where(F.col("ptr").isNull())]
@@ -102,23 +102,22 @@ def detect_cycles(assets: DataFrame) -> DataFrame:
     _, cyclic = _climb(_nodes(unique))
     if cyclic is None:
         return unique.select(NODE).where(F.lit(False))
-    # Going up at least as many steps as there are rows ends on a cycle, and reaches every member of it.
-    total = cyclic.count()
+    # The nodes reached by going up 1, 2, 4, ... steps never grow in number. Once a doubling reaches as many as
+    # before, going up only permutes them: they are the members.
     links = cyclic.select("node", "ptr")
-    steps = 1
-    while steps < total:
-        links = materialize(
-            links.join(links.select(F.col("node").alias("ptr"), F.col("ptr").alias("_next")), "ptr").select(
-                "node", F.col("_next").alias("ptr")
-            ),
-            "cycle",
-        )
-        steps *= 2
-    return links.select(F.col("ptr").alias(NODE)).distinct()
+    reached = links.select("ptr").distinct().count()
+    while True:
+        further = links.select(F.col("node").alias("ptr"), F.col("ptr").alias("_next"))
+        links = materialize(links.join(further, "ptr").select("node", F.col("_next").alias("ptr")), "cycle")
+        before, reached = reached, links.select("ptr").distinct().count()
+        if reached == before:
+            return links.select(F.col("ptr").alias(NODE)).distinct()
 
 
 def validate_assets(assets: DataFrame, cycles: bool = True) -> DataFrame:
     """Broken rules of one batch: (rule, externalId, name, copies)."""
+    # Every rule reads the batch again: write the three columns they need once.
+    assets = materialize(assets.select(NODE, PARENT, "name"), "batch")
     row = lambda rule: (F.lit(rule).alias("rule"), NODE, "name", F.lit(1).cast("long").alias("copies"))
     missing = assets.where(F.col(NODE).isNull()).select(*row("missing_external_id"))
     own_parent = assets.where(F.col(NODE) == F.col(PARENT)).select(*row("self_reference"))
@@ -200,6 +199,7 @@ def write_assets(
     With ``hierarchy_key`` the batch holds several hierarchies and each is also checked for one root and
     valid parents.
     """
+    incoming = materialize(incoming, "batch")
     broken = validate_assets(incoming).select("rule", F.coalesce(NODE, "name").alias("sample"))
     if hierarchy_key is not None:
         broken = broken.unionByName(check_integrity(incoming, hierarchy_key).select("rule", F.col("samples").alias("sample")))

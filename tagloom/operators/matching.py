@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tagloom.functions.columns import bigrams, split_letters_digits, tokens
-from tagloom.session import materialize, small_side
+from tagloom.session import materialize, salt_count
 
 # The feature types of a matcher.
 FEATURE_TYPES = ("simple", "bigram", "frequency-weighted-bigram", "bigram-extra-tokenizers")
@@ -59,21 +59,18 @@ def fit_matcher(
 
 
 def _vectors(sets: DataFrame, model: DataFrame) -> DataFrame:
-    """(f, v, norm2): features with weights, rarest in the targets first; ``v`` leaves out what no target has."""
+    """(f, norm2, found, rest) of feature sets: the features some target has, rarest first, as (token, w2) in
+    ``found``, and the sum of squared weights from each of them to the end in ``rest``."""
     exploded = sets.select("f", F.explode("f").alias("token"))
-    weights = model.select("token", "targets", "weight")
-    found = exploded.join(small_side(weights), "token", "left")
-    weight = F.coalesce("weight", F.lit(1.0))
-    entry = F.when(F.col("targets") > 0, F.struct("targets", "token", (weight * weight).alias("w2")))
-    return found.groupBy("f").agg(
-        F.array_sort(F.collect_list(entry)).alias("v"), F.sum(weight * weight).alias("norm2")
+    weighed = exploded.join(model.select("token", "targets", "weight"), "token", "left")
+    w2 = F.coalesce(F.col("weight") * F.col("weight"), F.lit(1.0))
+    entry = F.when(F.col("targets") > 0, F.struct("targets", "token", w2.alias("w2")))
+    vectors = weighed.groupBy("f").agg(
+        F.array_sort(F.collect_list(entry)).alias("found"), F.sum(w2).alias("norm2")
     )
-
-
-def _rest(v: Column, start: Column) -> Column:
-    """Sum of squared weights from a position (0-based) to the end."""
-    tail = F.slice(v, start + 1, F.greatest(F.size(v) - start, F.lit(0)))
-    return F.aggregate(tail, F.lit(0.0), lambda total, x: total + x["w2"])
+    tail = lambda at: F.slice("found", at + 1, F.size("found"))
+    rest = F.transform("found", lambda _, at: F.aggregate(tail(at), F.lit(0.0), lambda total, x: total + x["w2"]))
+    return vectors.withColumn("rest", rest)
 
 
 def match_entities(
@@ -99,7 +96,9 @@ def match_entities(
     target_features = features([F.col(t) for _, t in match_fields], feature_type)
     if model is None:
         model = fit_matcher(sources, targets, match_fields, feature_type)
+    # Written tables carry their size, so Spark itself broadcasts the small ones in the joins below.
     model = materialize(model, "matcher")
+    weighted = feature_type == "frequency-weighted-bigram"
 
     listed = sources.select(F.col(source_id).alias("_sid"), source_features.alias("f"))
     first = W.partitionBy("f").orderBy("_tid")
@@ -110,53 +109,63 @@ def match_entities(
         .groupBy("f")
         .agg(F.sort_array(F.collect_list("_tid")).alias("_tids"))
     )
+    candidates = materialize(candidates, "candidates")
     target_norms = _vectors(candidates.select("f"), model).select("f", F.col("norm2").alias("_tnorm2"))
-    postings = candidates.join(target_norms, "f").select(
-        F.explode("f").alias("token"), F.col("f").alias("_tf"), "_tids", "_tnorm2"
+    postings = materialize(
+        candidates.join(target_norms, "f").select(
+            F.explode("f").alias("token"), F.col("f").alias("_tf"), "_tids", "_tnorm2"
+        ),
+        "postings",
     )
-    postings = small_side(materialize(postings, "postings"))
-    open_sources = _vectors(listed.select("f").distinct(), model).where(F.size("v") > 0)
 
-    def ranked(rows: DataFrame) -> DataFrame:
-        best = W.partitionBy("f").orderBy(F.desc("score"), "_tid")
-        return rows.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= max_matches)
+    def bound(rest: Column) -> Column:
+        return F.sqrt(rest / F.col("norm2"))
 
+    open_sources = (
+        _vectors(listed.select("f").distinct(), model)
+        .where(F.size("found") > 0)
+        .withColumn("_worst", F.lit(None).cast("double"))
+    )
+    open_sources = materialize(open_sources, "open")
+    ranking = W.partitionBy("f").orderBy(F.desc("score"), "_tid")
     settled: list[DataFrame] = []
     best: DataFrame | None = None
     low, high = 0, 1
     while True:
-        # One posting list lookup per feature in [low, high) that could still give the threshold.
-        bound = lambda at: F.sqrt(_rest(F.col("v"), at) / F.col("norm2"))
-        probes = (
-            open_sources.select("*", F.posexplode(F.slice("v", low + 1, high - low)).alias("_at", "_x"))
-            .withColumn("_pos", F.col("_at") + low)
-            .where(bound(F.col("_pos")) >= F.lit(threshold - _EPS))
-            .select("f", "v", "norm2", "_pos", F.col("_x.token").alias("token"))
-        )
-        met = probes.join(postings, "token")
-        earlier = F.exists(
-            F.slice("v", F.lit(1), F.col("_pos")), lambda x: F.array_contains(F.col("_tf"), x["token"])
+        # The features at [low, high), each with the rest that bounds what is first met through it.
+        cut = lambda name, alias: F.slice(name, low + 1, high - low).alias(alias)
+        probes = open_sources.select("*", F.inline(F.arrays_zip(cut("found.token", "token"), cut("rest", "reach"))))
+        probes = probes.where(
+            (bound(F.col("reach")) >= F.lit(threshold - _EPS))
+            & (F.col("_worst").isNull() | (bound(F.col("reach")) >= F.col("_worst") - _EPS))
         )
-        shared = F.filter("v", lambda x: F.array_contains(F.col("_tf"), x["token"]))
-        dot = F.aggregate(shared, F.lit(0.0), lambda total, x: total + x["w2"])
+        # Pairs cost far more than probes: spread the probes evenly, whatever their tokens.
+        probes = probes.repartition(salt_count(probes.sparkSession), "f", "token")
+        shared = F.array_intersect("found.token", "_tf")
+        met = probes.join(postings, "token").withColumn("_shared", shared)
+        # A pair is met once: through the first feature it shares.
+        met = met.where(F.element_at("_shared", 1) == F.col("token"))
+        dot = F.size("_shared").cast("double")
+        if weighted:
+            common = F.filter("found", lambda x: F.array_contains(F.col("_shared"), x["token"]))
+            dot = F.aggregate(common, F.lit(0.0), lambda total, x: total + x["w2"])
         scored = (
-            met.where(~earlier)
-            .select("f", F.round(dot / F.sqrt(F.col("norm2") * F.col("_tnorm2")), 9).alias("score"), "_tids")
+            met.select("f", F.round(dot / F.sqrt(F.col("norm2") * F.col("_tnorm2")), 9).alias("score"), "_tids")
             .where(F.col("score") >= threshold)
             .select("f", "score", F.explode("_tids").alias("_tid"))
         )
         if best is not None:
             scored = scored.unionByName(best.select("f", "score", "_tid"))
-        best = materialize(ranked(scored), "best")
+        ranked = scored.withColumn("rank", F.row_number().over(ranking)).where(F.col("rank") <= max_matches)
+        best = materialize(ranked, "best")
         worst = best.where(F.col("rank") == max_matches).select("f", F.col("score").alias("_worst"))
-        next_bound = bound(F.lit(high))
-        state = open_sources.join(worst, "f", "left").withColumn(
-            "_open",
-            (F.size("v") > high)
-            & (next_bound >= F.lit(threshold - _EPS))
-            & (F.col("_worst").isNull() | (F.col("_worst") <= next_bound + _EPS)),
+        next_bound = bound(F.get("rest", F.lit(high)))
+        # Still open: features left whose targets could reach the threshold and the worst match kept.
+        undecided = open_sources.drop("_worst").join(worst, "f", "left").where(
+            (next_bound >= F.lit(threshold - _EPS))
+            & (F.col("_worst").isNull() | (next_bound >= F.col("_worst") - _EPS))
         )
-        open_sources = materialize(state.where("_open").drop("_open", "_worst"), "open")
+        open_sources = materialize(undecided, "open")
         if open_sources.isEmpty():
             settled.append(best)
             break
@@ -199,7 +208,7 @@ def match_rows(
         F.array_sort(F.collect_list(F.struct("rank", "target_id", "score"))).alias("_m")
     )
     none = F.array().cast(lists.schema["_m"].dataType)
-    joined = texted.join(small_side(lists), "_text", "left").withColumn("_m", F.coalesce("_m", none))
+    joined = texted.join(lists, "_text", "left").withColumn("_m", F.coalesce("_m", none))
     return joined.select(
         *rows.columns,
         F.transform("_m", lambda m: F.struct(m["target_id"].alias("target_id"), m["score"].alias("score"))).alias(

@@ -170,7 +170,7 @@ def item_keys(items: DataFrame, column: str) -> DataFrame | None:
 def _marked(table: DataFrame, items: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column]:
     hit = F.lit(False)
     for column in keys:
-        wanted = item_keys(items, column)
+        wanted = item_keys(items, column) if column in table.columns else None
         if wanted is not None:
             flag = f"_hit_{column}"
             table = table.join(small_side(wanted.withColumn(flag, F.lit(True))), column, "left")

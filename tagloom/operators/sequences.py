@@ -13,6 +13,8 @@ from tagloom.session import small_side
 
 SEQ, ROW, COLUMN = "externalId", "rowNumber", "column"
 VALUES = ("d", "l", "s")
+# Row numbers of one sequence that are numbered by the same task.
+ROWS_PER_SLICE = 1_000_000
 
 
 def bodies_to_cells(bodies: DataFrame) -> DataFrame:
@@ -53,7 +55,7 @@ def rows_to_bodies(rows: DataFrame, columns: dict[str, str], max_rows: int = 10_
     nested = rows.select(
         SEQ, F.col(ROW).cast("long").alias(ROW), F.array(*[cell(n, k) for n, k in columns.items()]).alias("values")
     )
-    batches = group_into_batches(nested, [SEQ], max_rows, [ROW])
+    batches = group_into_batches(nested, [SEQ], max_rows, [ROW], slice_by=F.floor(F.col(ROW) / ROWS_PER_SLICE))
     names = F.array(*[F.lit(n) for n in columns])
     return batches.select(SEQ, "batch", names.alias("columns"), F.array_sort("items").alias("rows"))
 

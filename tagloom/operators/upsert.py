@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -116,11 +116,26 @@ def pipeline_run(written: DataFrame, external_id: str, status: str, verb: str =
     """One run row for a finished write; a batch write of nothing still reports 0."""
     if status not in RUN_STATUSES:
         raise ValueError(f"the status must be one of {RUN_STATUSES}")
-    return written.agg(F.count("*").alias("n")).select(
+    return written.agg(F.count("*").alias("n")).select(*run_columns(external_id, status, verb, F.col("n")))
+
+
+def run_columns(external_id: str, status: str, verb: str, count: Column) -> list[Column]:
+    """The columns of a run row."""
+    return [
         F.lit(external_id).alias("externalId"),
         F.lit(status).alias("status"),
-        F.format_string("Number of data objects %s: %d", F.lit(verb), F.col("n")).alias("message"),
-    )
+        F.format_string("Number of data objects %s: %d", F.lit(verb), count).alias("message"),
+    ]
+
+
+def write_with_run(rows: DataFrame, path: str, runs_path: str, external_id: str, status: str = "SUCCESS") -> int:
+    """Write rows and report the run with their number, counted while they are written. A failed write reports nothing."""
+    counter = Observation()
+    rows.observe(counter, F.count("*").alias("n")).write.parquet(path)
+    written = counter.get["n"]
+    one = rows.sparkSession.range(1)
+    append_runs(one.select(*run_columns(external_id, status, "upserted", F.lit(written))), runs_path)
+    return written
 
 
 def append_runs(runs: DataFrame, path: str) -> None:

@@ -156,7 +156,7 @@ _DOC_RUNS = f"""
          WHERE len(name) >= 2 GROUP BY ALL""",
 )
 def annotate_documents(v):
-    return annotate(v.table("documents"), v.table("benchmark"), "text", entity_id="item_id")
+    return annotate(v.spread("documents"), v.table("benchmark"), "text", entity_id="item_id")
 
 
 @query(
@@ -168,4 +168,4 @@ def annotate_documents(v):
          FROM p JOIN g ON array_to_string(list_slice(w, pos, pos + 3), ' ') = gram WHERE pos <= len(w) - 3 GROUP BY ALL""",
 )
 def annotate_documents_partial(v):
-    return annotate(v.table("documents"), v.table("benchmark"), "text", 4, True, entity_id="item_id")
+    return annotate(v.spread("documents"), v.table("benchmark"), "text", 4, True, entity_id="item_id")

@@ -14,7 +14,7 @@ from tagloom.request import Request
 from tagloom.session import work_path
 from tagloom.sources.views import Views
 from tagloom.streaming.batcher import group_into_batches_stream
-from tagloom.streaming.event_time import event_time_ms, window_count, with_event_time
+from tagloom.streaming.event_time import event_time_ms, window_count, window_runs, with_event_time
 from tagloom.streaming.landing import land, read_landing, run_available, run_until_drained
 from tagloom.streaming.upsert import merge_log, stream_upsert
 from tagloom.streaming.watch import Bounds, watch
@@ -212,3 +212,15 @@ def series_copy_stream(v):
     stream = _landed(v, v.datapoints(), "timestamp", max_files=2)
     copy_series(stream, lambda name: F.concat(F.lit("copy:"), name), log, checkpoint)
     return merge_log(v.datapoints(), v.spark.read.parquet(log), ["externalId", "timestamp"], mode="replace")
+
+
+@query(
+    "pipeline_run_stream",
+    f"""SELECT (lastUpdatedTime // {DAY_MS} * {DAY_MS})::BIGINT AS window_start, 'pipeline:events' AS externalId,
+               'SUCCESS' AS status, 'Number of data objects upserted: ' || count(*) AS message
+        FROM ev GROUP BY 1 HAVING window_start + {DAY_MS} <= (SELECT max(lastUpdatedTime) FROM ev) - {DELAY_MS}""",
+    ("ev",),
+)
+def pipeline_run_stream(v):
+    stream = with_event_time(_landed(v, v.events().select("lastUpdatedTime"), "lastUpdatedTime"), "events")
+    return run_available(window_runs(stream, "pipeline:events", duration="1 day"), *_paths(v))

@@ -27,6 +27,11 @@ class Views:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def spread(self, name: str) -> DataFrame:
+        """A table for heavy work per row: one stored in fewer splits than there are cores is spread over them."""
+        table, cores = self.table(name), self.spark.sparkContext.defaultParallelism
+        return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+
     def events(self) -> DataFrame:
         """Events; ``ts`` stays for time filters that reach the scan."""
         ms = epoch_ms(F.col("ts"))

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tagloom.operators.upsert import run_columns
+
 # The column that carries the event time of each resource, in epoch milliseconds.
 EVENT_TIME_COLUMNS = {
     "assets": "lastUpdatedTime",
@@ -45,6 +47,14 @@ def window_count(df: DataFrame, duration: str, keys: tuple[str, ...] = ()) -> Da
     return counted.select(F.unix_millis("window.start").alias("window_start"), *keys, "count")
 
 
+def window_runs(
+    df: DataFrame, external_id: str, status: str = "SUCCESS", verb: str = "upserted", duration: str = "10 seconds"
+) -> DataFrame:
+    """A run row per window that wrote something; empty windows report nothing."""
+    counted = window_count(df, duration)
+    return counted.select("window_start", *run_columns(external_id, status, verb, F.col("count")))
+
+
 def dropped_rows(query: StreamingQuery) -> int:
     """Rows dropped for arriving after their window had closed."""
     return sum(

@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagloom.operators.reads import list_resource
 from tagloom.request import Request
 from tagloom.streaming.event_time import EVENT_TIME_COLUMNS
 
@@ -56,12 +57,12 @@ def next_slice(mark: int, bounds: Bounds, now: int, offset_ms: int = POLL_OFFSET
 
 
 def read_slice(table: DataFrame, resource: str, request: Request, piece: Bounds) -> DataFrame:
-    """Rows of one slice: the request's own filters and ``start <= time < end``."""
+    """Rows of one slice: the request's own filters and items, and ``start <= time < end``."""
     column = EVENT_TIME_COLUMNS[resource]
     rest = {k: v for k, v in request.filter.items() if k != "lastUpdatedTime"}
-    plain = Request(rest, request.metadata)
     at = F.col(column)
-    return table.where(plain.condition() & (at >= piece.start) & (at < piece.end))
+    rows = table.where((at >= piece.start) & (at < piece.end))
+    return list_resource(rows, Request(rest, request.metadata, items=request.items))
 
 
 def watch(
