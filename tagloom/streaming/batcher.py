@@ -57,7 +57,7 @@ class BatchProcessor(StatefulProcessor):
         return row[self.weight] if self.weight else 0
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        held = list(self.buffer.get()) if self.buffer.exists() else []
+        held = self._held()
         ids = {r[self.distinct] for r in held} if self.distinct else set()
         weight = sum(self._weigh(r) for r in held)
         started = bool(held)
@@ -85,11 +85,14 @@ class BatchProcessor(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self.deadline.clear()
-        if self.buffer.exists():
-            held = list(self.buffer.get())
-            self.buffer.clear()
-            if held:
-                yield self._batch(key, held, "stale")
+        held = self._held()
+        self.buffer.clear()
+        if held:
+            yield self._batch(key, held, "stale")
+
+    def _held(self) -> list:
+        # Rows come back from the state without their names.
+        return [self.item(*row) for row in self.buffer.get()] if self.buffer.exists() else []
 
     def _set_timer(self, at: int) -> None:
         self._drop_timer()
