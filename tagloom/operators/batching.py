@@ -10,64 +10,63 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tagloom.functions.columns import utc_day
-from tagloom.session import materialize, salt_count
+from tagloom.session import materialize
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
-
-
-def _slice(df: DataFrame, order_by: Sequence[str], slices: int) -> Column:
-    """Slice number of a row: equal parts of the value range of a numeric order column, else a hash."""
-    first = order_by[0]
-    if not isinstance(df.schema[first].dataType, _NUMERIC):
-        return F.pmod(F.xxhash64(*order_by), F.lit(slices)).cast("long")
-    bounds = df.select(F.struct(F.min(first).alias("lo"), F.max(first).alias("hi"))).scalar()
-    width = (bounds["hi"] - bounds["lo"]).cast("double") + 1.0
-    return F.floor((F.col(first) - bounds["lo"]).cast("double") / width * slices)
+# A key with more rows than this is cut into slices of about this many rows.
+HOT_ROWS = 1_000_000
 
 
 def running_totals(
-    df: DataFrame,
-    key: Sequence[str],
-    order_by: Sequence[str],
-    weights: Mapping[str, Column],
-    slices: int | None = None,
-    slice_by: Column | None = None,
+    df: DataFrame, key: Sequence[str], order_by: Sequence[str], weights: Mapping[str, Column], hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Sums over the rows that come earlier in the same key: one column per entry of ``weights``.
 
-    A key is cut into slices along its order. Each slice is summed on its own and shifted by the totals of the
-    slices before it, so a key that holds a third of the table is spread over ``slices`` tasks. ``slice_by``
-    must not decrease along ``order_by``; without it a numeric first order column is cut into equal ranges,
-    and any other is sliced by hash, which makes (slice, order) the order.
+    Keys are counted first, with a map-side partial count. Where all are modest, one window does. A key above
+    ``hot_rows`` is cut into slices along its order, as many as its rows need: every slice is summed by a task
+    of its own and shifted by the totals of the slices before it. A numeric first order column is cut into
+    equal parts of the key's range; any other is sliced by hash, which makes (slice, order) the order.
     """
-    slices = slices or salt_count(df.sparkSession)
-    cut = _slice(df, order_by, slices) if slice_by is None else slice_by
-    names = list(weights)
+    names, first = list(weights), order_by[0]
+    numeric = isinstance(df.schema[first].dataType, _NUMERIC)
+    bounds = [F.min(first).alias("_lo"), F.max(first).alias("_hi")] if numeric else []
     keyed = df.select(
-        "*", F.struct(*key).alias("_key"), cut.alias("_slice"), *[w.cast("long").alias(f"_w_{n}") for n, w in weights.items()]
+        "*", F.struct(*key).alias("_key"), *[w.cast("long").alias(f"_w_{n}") for n, w in weights.items()]
     )
-    totals = keyed.groupBy("_key", "_slice").agg(*[F.sum(f"_w_{n}").alias(f"_t_{n}") for n in names])
+    counted = keyed.groupBy("_key").agg(F.count("*").alias("_rows"), *bounds)
+    hot = materialize(counted.where(F.col("_rows") > hot_rows), "hot-keys")
+    if hot.isEmpty():
+        before = W.partitionBy("_key").orderBy(*order_by).rowsBetween(W.unboundedPreceding, -1)
+        return keyed.select(*df.columns, *[F.coalesce(F.sum(f"_w_{n}").over(before), F.lit(0)).alias(n) for n in names])
+
+    slices = F.ceil(F.col("_rows") / hot_rows)
+    if numeric:
+        width = (F.col("_hi") - F.col("_lo")).cast("double") + 1.0
+        cut = F.floor((F.col(first) - F.col("_lo")).cast("double") / width * slices)
+    else:
+        cut = F.pmod(F.xxhash64(*order_by), slices)
+    # Rows of other keys, and rows without an order value, are in the first slice.
+    sliced = keyed.join(hot, "_key", "left").withColumn("_slice", F.coalesce(cut.cast("long"), F.lit(0)))
+
+    totals = sliced.where(F.col("_rows").isNotNull()).groupBy("_key", "_slice")
+    totals = totals.agg(*[F.sum(f"_w_{n}").alias(f"_t_{n}") for n in names])
     earlier = W.partitionBy("_key").orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
     shifts = totals.select(
         "_key", "_slice", *[F.coalesce(F.sum(f"_t_{n}").over(earlier), F.lit(0)).alias(f"_s_{n}") for n in names]
     )
+    shifts = materialize(shifts, "slices")
     inside = W.partitionBy("_key", "_slice").orderBy(*order_by).rowsBetween(W.unboundedPreceding, -1)
-    local = keyed.select("*", *[F.coalesce(F.sum(f"_w_{n}").over(inside), F.lit(0)).alias(f"_l_{n}") for n in names])
-    return local.join(shifts, ["_key", "_slice"]).select(
-        *df.columns, *[(F.col(f"_l_{n}") + F.col(f"_s_{n}")).alias(n) for n in names]
+    local = sliced.select("*", *[F.coalesce(F.sum(f"_w_{n}").over(inside), F.lit(0)).alias(f"_l_{n}") for n in names])
+    return local.join(shifts, ["_key", "_slice"], "left").select(
+        *df.columns, *[(F.col(f"_l_{n}") + F.coalesce(f"_s_{n}", F.lit(0))).alias(n) for n in names]
     )
 
 
 def assign_batches(
-    df: DataFrame,
-    key: Sequence[str],
-    size: int,
-    order_by: Sequence[str],
-    slices: int | None = None,
-    slice_by: Column | None = None,
+    df: DataFrame, key: Sequence[str], size: int, order_by: Sequence[str], hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Add ``batch``: 0, 1, ... per key, every batch full but the last one."""
-    numbered = running_totals(df, key, order_by, {"_before": F.lit(1)}, slices, slice_by)
+    numbered = running_totals(df, key, order_by, {"_before": F.lit(1)}, hot_rows)
     return numbered.withColumn("batch", F.floor(F.col("_before") / F.lit(size)).cast("long")).drop("_before")
 
 
@@ -76,14 +75,13 @@ def group_into_batches(
     key: Sequence[str],
     size: int = 1000,
     order_by: Sequence[str] = ("id",),
-    slices: int | None = None,
-    slice_by: Column | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Arrays of at most ``size`` rows per key: (key..., batch, items)."""
     if size < 1:
         raise ValueError("the batch size must be positive")
     rest = [c for c in df.columns if c not in key]
-    assigned = assign_batches(df, key, size, order_by, slices, slice_by)
+    assigned = assign_batches(df, key, size, order_by, hot_rows)
     return assigned.groupBy(*key, "batch").agg(F.collect_list(F.struct(*rest)).alias("items"))
 
 
@@ -107,9 +105,9 @@ def batch_datapoints(
     max_series: int = 10_000,
     direct_min: int = 50_000,
     shards: int = 10,
-    slices: int | None = None,
     series: str = "externalId",
     hashed: bool = True,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Give every point a write batch: adds (day, level, shard, part, batch).
 
@@ -123,14 +121,8 @@ def batch_datapoints(
     groups = materialize(dated.groupBy(series, "day").agg(F.count("*").alias("_points")), "series-days")
 
     large = groups.where(F.col("_points") >= direct_min).select(series, "day")
-    hour = F.floor((F.col("timestamp") - F.col("day")) / 3_600_000)
-    direct = assign_batches(
-        dated.join(large, [series, "day"], "left_semi"),
-        [series, "day"],
-        max_points,
-        ["timestamp"],
-        slice_by=hour,
-    ).select(
+    own = dated.join(large, [series, "day"], "left_semi")
+    direct = assign_batches(own, [series, "day"], max_points, ["timestamp"], hot_rows).select(
         *dated.columns,
         F.lit("series").alias("level"),
         F.lit(None).cast("long").alias("shard"),
@@ -143,7 +135,7 @@ def batch_datapoints(
         "shard", F.pmod(value, F.lit(shards)).cast("long")
     )
     counts = {"_points_before": F.col("_points"), "_series_before": F.lit(1)}
-    packed = running_totals(small, ["day", "shard"], [series], counts, slices)
+    packed = running_totals(small, ["day", "shard"], [series], counts, hot_rows)
     # A batch starts within a step of max_points - direct_min and ends with a group below direct_min.
     plan = packed.select(
         series,
@@ -163,7 +155,7 @@ def batch_sequences(
     shards: int = 1,
     id_col: str = "id",
     cells: Column | None = None,
-    slices: int | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Give every sequence body a write batch by item count and by cells (rows x columns).
 
@@ -175,7 +167,7 @@ def batch_sequences(
         "shard", F.pmod(F.col(id_col), F.lit(shards)).cast("long")
     )
     counts = {"_items_before": F.lit(1), "_cells_before": F.col("cells")}
-    counted = running_totals(sized, ["shard"], [id_col], counts, slices)
+    counted = running_totals(sized, ["shard"], [id_col], counts, hot_rows)
     return counted.select(
         *sized.columns,
         F.floor(F.col("_items_before") / max_items).cast("long").alias("part"),

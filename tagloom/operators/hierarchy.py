@@ -85,7 +85,7 @@ def asset_properties(assets: DataFrame) -> DataFrame:
     )
     levels = hierarchy_levels(assets).select(NODE, "depth", "path")
     return (
-        assets.join(levels, NODE)
+        assets.join(levels, NODE, "left")
         .join(children, NODE, "left")
         .withColumn("childCount", F.coalesce("childCount", F.lit(0)))
     )
@@ -93,7 +93,7 @@ def asset_properties(assets: DataFrame) -> DataFrame:
 
 def topological_level(assets: DataFrame) -> DataFrame:
     """Assets with the level they can be written at: parents before children, a parent outside the batch is met."""
-    return assets.join(hierarchy_levels(assets).select(NODE, F.col("depth").alias("level")), NODE)
+    return assets.join(hierarchy_levels(assets).select(NODE, F.col("depth").alias("level")), NODE, "left")
 
 
 def detect_cycles(assets: DataFrame) -> DataFrame:

@@ -232,7 +232,7 @@ def _summary(batches: DataFrame, key: str) -> DataFrame:
     ("ev",),
 )
 def group_into_batches(v):
-    return _summary(batching.group_into_batches(v.events().select("id", "type", "value"), ["type"]), "type")
+    return _summary(batching.group_into_batches(v.events().select("id", "type", "value"), ["type"], hot_rows=1500), "type")
 
 
 @query(

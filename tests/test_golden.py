@@ -392,6 +392,6 @@ def test_empty_write_reports_zero(spark, tmp_path):
 
 
 def test_batches_without_keys(spark):
-    table = spark.createDataFrame([(None, i) for i in range(5)] + [("k", i) for i in range(3)], "key string, id long")
-    found = batching.group_into_batches(table, ["key"], 2)
+    table = spark.createDataFrame([(None, i) for i in (*range(4), None)] + [("k", i) for i in range(3)], "key string, id long")
+    found = batching.group_into_batches(table, ["key"], 2, hot_rows=2)
     assert rows(found.select("key", F.size("items"))) == [("k", 1), ("k", 2), (None, 1), (None, 2), (None, 2)]

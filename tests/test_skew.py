@@ -19,7 +19,7 @@ def skewed(spark):
 
 @pytest.mark.parametrize("order", ["id", "name"])
 def test_batches_are_exact(spark, skewed, order):
-    batches = batching.group_into_batches(skewed, ["key"], 128, [order])
+    batches = batching.group_into_batches(skewed, ["key"], 128, [order], hot_rows=500)
     sizes = batches.select("key", "batch", F.size("items").alias("n"))
     last = W.partitionBy("key").orderBy(F.desc("batch"))
     marked = sizes.withColumn("last", F.row_number().over(last) == 1)
@@ -30,12 +30,13 @@ def test_batches_are_exact(spark, skewed, order):
 
 def test_no_task_gets_the_hot_key(spark, skewed):
     """The numbering window is partitioned by slice too."""
-    plan = batching.assign_batches(skewed, ["key"], 128, ["id"])._jdf.queryExecution().executedPlan().toString()
+    plan = batching.assign_batches(skewed, ["key"], 128, ["id"], hot_rows=500)._jdf.queryExecution().executedPlan().toString()
     assert "_slice" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
-def test_running_totals_equal_a_window(spark, skewed):
-    found = batching.running_totals(skewed, ["key"], ["id"], {"ones": F.lit(1), "ids": F.col("id")})
+@pytest.mark.parametrize("hot", [500, 10**6])
+def test_running_totals_equal_a_window(spark, skewed, hot):
+    found = batching.running_totals(skewed, ["key"], ["id"], {"ones": F.lit(1), "ids": F.col("id")}, hot)
     before = W.partitionBy("key").orderBy("id").rowsBetween(W.unboundedPreceding, -1)
     wanted = skewed.select(
         "*", F.count("*").over(before).alias("ones"), F.coalesce(F.sum("id").over(before), F.lit(0)).alias("ids")
@@ -48,7 +49,7 @@ def test_datapoint_batches_keep_the_caps(spark):
         F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 100).alias("series"),
         (F.col("id") * 40_000).alias("timestamp"),
     )
-    found = batching.batch_datapoints(points, 200, 15, 50, 3, series="series")
+    found = batching.batch_datapoints(points, 200, 15, 50, 3, series="series", hot_rows=300)
     assert found.count() == 6000 and found.select("series", "timestamp").distinct().count() == 6000
     key = ["day", "level", "shard", "part", "batch", F.when(F.col("level") == "series", F.col("series")).alias("own")]
     caps = found.groupBy(*key).agg(F.count("*").alias("n"), F.countDistinct("series").alias("s"))
