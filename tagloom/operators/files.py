@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tagloom.operators.reads import list_many, list_resource
 from tagloom.operators.upsert import upsert
 from tagloom.request import Request
+from tagloom.session import is_small, small_side
 
 
 def read_files(headers: DataFrame, binaries: DataFrame, request: Request | None = None) -> DataFrame:
@@ -25,8 +26,15 @@ def read_many_files(
 
 
 def attach_binaries(headers: DataFrame, binaries: DataFrame) -> DataFrame:
-    payload = [c for c in binaries.columns if c not in ("id", "externalId")]
-    return headers.join(binaries.select("id", *payload), "id", "left")
+    """Headers with their binary by id, NULL without one. A few headers are sent to the binaries, which then stay put."""
+    payload = binaries.select("id", *[c for c in binaries.columns if c not in ("id", "externalId")])
+    if not is_small(headers):
+        return headers.join(payload, "id", "left")
+    found = payload.join(F.broadcast(headers), "id")
+    with_binary = payload.select("id").join(F.broadcast(headers.select("id").distinct()), "id", "left_semi")
+    bare = headers.join(with_binary, "id", "left_anti")
+    columns = ["id", *[c for c in headers.columns if c != "id"], *[c for c in payload.columns if c != "id"]]
+    return found.select(*columns).unionByName(bare, allowMissingColumns=True)
 
 
 def write_files(
@@ -34,15 +42,18 @@ def write_files(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(headers, binaries, written) after writing containers: header fields with ``binary``.
 
-    Every container is joined back to its stored header by externalId; a container without one fails the job
-    when ``check`` is set.
+    A written binary replaces the stored one as a whole, so stored binaries only meet the written keys. Every
+    container is joined back to its stored header by externalId; a container without one fails the job when
+    ``check`` is set.
     """
     fields = [c for c in headers.columns if c in containers.columns]
     stored = upsert(headers, containers.select(*fields), ["externalId"])
-    bytes_in = containers.where(F.col("binary").isNotNull()).select("externalId", "binary")
-    ids = stored.select("externalId", "id").join(bytes_in.select("externalId"), "externalId", "left_semi")
-    payload = bytes_in.join(ids, "externalId")
-    kept = upsert(binaries, payload.select(*[c for c in binaries.columns if c in payload.columns]), ["externalId"])
+    given = containers.where(F.col("binary").isNotNull()).select("externalId", "binary")
+    keys = small_side(given.select("externalId"))
+    ids = stored.select("externalId", "id").join(keys, "externalId", "left_semi")
+    fresh = given.join(ids, "externalId")
+    replaced = binaries.join(keys, "externalId", "left_anti")
+    kept = replaced.unionByName(fresh, allowMissingColumns=True).select(*binaries.columns)
     written = containers.select("externalId", "binary").join(
         stored.withColumn("_stored", F.lit(True)), "externalId", "left"
     )

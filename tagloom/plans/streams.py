@@ -215,12 +215,12 @@ def series_copy_stream(v):
 
 
 @query(
-    "pipeline_run_stream",
+    "run_report_stream",
     f"""SELECT (lastUpdatedTime // {DAY_MS} * {DAY_MS})::BIGINT AS window_start, 'pipeline:events' AS externalId,
                'SUCCESS' AS status, 'Number of data objects upserted: ' || count(*) AS message
         FROM ev GROUP BY 1 HAVING window_start + {DAY_MS} <= (SELECT max(lastUpdatedTime) FROM ev) - {DELAY_MS}""",
     ("ev",),
 )
-def pipeline_run_stream(v):
+def run_report_stream(v):
     stream = with_event_time(_landed(v, v.events().select("lastUpdatedTime"), "lastUpdatedTime"), "events")
     return run_available(window_runs(stream, "pipeline:events", duration="1 day"), *_paths(v))

@@ -331,12 +331,12 @@ def files_write(v):
 
 
 @query(
-    "pipeline_run",
+    "run_report",
     """SELECT 'pipeline:events' AS externalId, 'SUCCESS' AS status, 'Number of data objects upserted: ' || count(*) AS message
        FROM ev""",
     ("ev",),
 )
-def pipeline_run(v):
+def run_report(v):
     return upsert.pipeline_run(v.events(), "pipeline:events", "SUCCESS")
 
 

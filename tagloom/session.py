@@ -56,13 +56,27 @@ def is_small(df: DataFrame, max_rows: int = 200_000, max_bytes: int = 32 << 20)
         df.limit(max_rows + 1)
         .agg(
             F.count("*").alias("n"),
-            F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("bytes"),
+            F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("bytes"),
         )
         .first()
     )
     return measured["n"] <= max_rows and measured["bytes"] <= max_bytes
 
 
+def _row_bytes(df: DataFrame) -> Column:
+    """Approximate size of a row: text and binary by length, nested values as JSON, 8 bytes for the rest."""
+    total = F.lit(0).cast("long")
+    for field in df.schema.fields:
+        kind = field.dataType.typeName()
+        if kind in ("string", "binary"):
+            total = total + F.coalesce(F.octet_length(field.name), F.lit(0))
+        elif kind in ("array", "map", "struct"):
+            total = total + F.coalesce(F.octet_length(F.to_json(F.struct(field.name))), F.lit(0))
+        else:
+            total = total + 8
+    return total
+
+
 def small_side(df: DataFrame, max_rows: int = 200_000, max_bytes: int = 32 << 20) -> DataFrame:
     """Hint a broadcast when the measured side is small; otherwise leave a shuffled join to Spark."""
     return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df

@@ -19,6 +19,13 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Shortest and longest wait before a partly filled batch is emitted, and the default.
 MIN_LATENCY_MS, MAX_LATENCY_MS, LATENCY_MS = 10, 10 * 86_400_000, 5_000
 
+# Keep NULL fields and microseconds in the JSON text of nested values.
+_JSON = {
+    "ignoreNullFields": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 
 class BatchProcessor(StatefulProcessor):
     """Holds the open batch of one key; it never grows past the caps."""
@@ -136,9 +143,13 @@ def group_into_batches_stream(
     if size < 1:
         raise ValueError("the batch size must be positive")
     df.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-    items = T.StructType([f for f in df.schema.fields if f.name not in key])
-    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-    sharded = df.withColumn("shard", F.pmod(F.xxhash64(*hashable), F.lit(shards)))
+    # The Python state holds flat rows: nested values pass through it as JSON text.
+    rest = [f for f in df.schema.fields if f.name not in key]
+    nested = {f.name: f.dataType for f in rest if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))}
+    for name in nested:
+        df = df.withColumn(name, F.to_json(name, _JSON))
+    items = T.StructType([df.schema[f.name] for f in rest])
+    sharded = df.withColumn("shard", F.pmod(F.xxhash64(*df.columns), F.lit(shards)))
     output = T.StructType(
         [sharded.schema[k] for k in (*key, "shard")]
         + [
@@ -150,4 +161,10 @@ def group_into_batches_stream(
     processor = BatchProcessor(
         items, output, size, max_latency_ms, distinct, max_distinct, weight, max_weight, flush_before
     )
-    return sharded.groupBy(*key, "shard").transformWithState(processor, output, "Append", "ProcessingTime")
+    batches = sharded.groupBy(*key, "shard").transformWithState(processor, output, "Append", "ProcessingTime")
+    if not nested:
+        return batches
+    opened = lambda x: F.struct(
+        *[(F.from_json(x[f.name], nested[f.name], _JSON) if f.name in nested else x[f.name]).alias(f.name) for f in rest]
+    )
+    return batches.withColumn("items", F.transform("items", opened))

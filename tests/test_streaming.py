@@ -142,3 +142,16 @@ def test_change_log(spark, mode, wanted):
     merged = merge_log(base, spark.read.parquet(log), ["id"], ["at"], mode).select("id", "a", "b")
     found = {r["id"]: tuple(r) for r in merged.collect()}
     assert found == {1: wanted, 2: (2, "p", "q"), 3: (3, "n", None)}
+
+
+def test_nested_values_survive_the_state(spark):
+    schema = "key string, id long, tags map<string,string>, at struct<x:long,y:array<struct<z:string>>>"
+    table = spark.createDataFrame(
+        [("k", i, {"a": str(i)}, (i, [(f"z{i}",)])) for i in range(5)], schema
+    )
+    stream = landed(spark, table, "id", max_files=1)
+    found = run_until_drained(group_into_batches_stream(stream, ["key"], 3, 500), *paths(spark))
+    opened = [i for r in found.collect() for i in r["items"]]
+    assert sorted((i["id"], i["tags"]["a"], i["at"]["y"][0]["z"]) for i in opened) == [
+        (i, str(i), f"z{i}") for i in range(5)
+    ]
