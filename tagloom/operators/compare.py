@@ -25,8 +25,8 @@ EQUALITY_FIELDS = (
 )
 
 
-def fingerprint(df: DataFrame, fields: Sequence[str] = EQUALITY_FIELDS) -> Column:
-    """Digest of the equality fields. Unset and empty text differ, except for the name; map order is ignored."""
+def equality_text(df: DataFrame, fields: Sequence[str] = EQUALITY_FIELDS) -> Column:
+    """The equality fields as one text. Unset and empty text differ, except for the name; map order is ignored."""
 
     def normal(name: str) -> Column:
         kind = df.schema[name].dataType.typeName()
@@ -36,31 +36,43 @@ def fingerprint(df: DataFrame, fields: Sequence[str] = EQUALITY_FIELDS) -> Colum
             return F.coalesce(F.col(name), F.array())
         return F.coalesce(F.col(name), F.lit("")) if name == "name" else F.col(name)
 
-    return F.sha2(F.to_json(F.struct(*[normal(f).alias(f) for f in fields])), 256)
+    return F.to_json(F.struct(*[normal(f).alias(f) for f in fields]))
+
+
+def fingerprint(df: DataFrame, fields: Sequence[str] = EQUALITY_FIELDS) -> Column:
+    """Digest of the equality fields."""
+    return F.sha2(equality_text(df, fields), 256)
 
 
 def classify(
     current: DataFrame, incoming: DataFrame, key: Sequence[str], fields: Sequence[str] = EQUALITY_FIELDS
 ) -> DataFrame:
-    """(key, change, rows) for every key of either side, from one partially aggregated shuffle of digests."""
+    """(key, change, rows) for every key of either side, from one partially aggregated shuffle of digests.
+
+    Only the two rows of one key are ever compared. A digest is two 64-bit hashes: fixed-width values keep
+    the aggregation hash-based.
+    """
 
     def side(df: DataFrame, given: int) -> DataFrame:
-        present = [f for f in fields if f in df.columns]
-        return df.select(*key, F.lit(given).alias("_given"), fingerprint(df, present).alias("_print"))
+        text = equality_text(df, [f for f in fields if f in df.columns])
+        return df.select(
+            *key, F.lit(given).alias("_given"), F.xxhash64(text).alias("_p"), F.xxhash64(F.lit(1), text).alias("_q")
+        )
 
     is_given = F.col("_given") == 1
     both = side(current, 0).unionByName(side(incoming, 1))
     stats = both.groupBy(*key).agg(
         F.sum("_given").alias("_in"),
         F.sum(1 - F.col("_given")).alias("_cur"),
-        F.max(F.when(is_given, F.col("_print"))).alias("_in_print"),
-        F.max(F.when(~is_given, F.col("_print"))).alias("_cur_print"),
+        *[F.max(F.when(is_given, F.col(c))).alias(f"_in{c}") for c in ("_p", "_q")],
+        *[F.max(F.when(~is_given, F.col(c))).alias(f"_cur{c}") for c in ("_p", "_q")],
     )
+    same = (F.col("_in_p") == F.col("_cur_p")) & (F.col("_in_q") == F.col("_cur_q"))
     change = (
         F.when(F.col("_in") > 1, "invalid")
         .when(F.col("_in") == 0, "delete")
         .when(F.col("_cur") != 1, "insert")
-        .when(F.col("_in_print") == F.col("_cur_print"), "unchanged")
+        .when(same, "unchanged")
         .otherwise("update")
     )
     rows = F.when(F.col("_in") == 0, F.col("_cur")).otherwise(F.col("_in"))

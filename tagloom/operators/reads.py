@@ -187,7 +187,7 @@ def retrieve(
         return marked.where(hit).select(*table.columns)
     listed = [k for k in keys if k in items.columns]
     unknown = items.select(*listed).distinct()
-    for column in listed:
+    for column in [k for k in listed if k in table.columns]:
         # Only the hits travel: the listed keys meet the table's key column, then leave the item list.
         known = table.select(column).join(small_side(item_keys(items, column)), column, "left_semi").distinct()
         unknown = unknown.join(known, column, "left_anti")

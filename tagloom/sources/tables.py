@@ -18,16 +18,13 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 def write_snapshot(df: DataFrame, path: str, resource: str | None = None) -> DataFrame:
     """Write a new snapshot folder (never over the one being read) in the resource's layout, and read it back.
 
-    Data points are laid out by UTC day and raw rows by database and table. Rows are spread by the layout
-    *and* a hash of the row, so a day or table that holds most of the rows is written by many tasks.
+    Data points are laid out by UTC day and raw rows by database and table. Rows are gathered by layout with a
+    rebalance, which splits a day or table that holds most of the rows over many tasks and joins small ones.
     """
     layout = LAYOUTS.get(resource or "", [])
     if resource == "datapoints" and "day" not in df.columns:
         df = df.withColumn("day", F.to_date(F.timestamp_millis("timestamp")))
-    writer = df.write
-    if layout:
-        spread = [c for c in ("key", "externalId", "id") if c in df.columns]
-        writer = df.repartition(*layout, F.pmod(F.xxhash64(*spread), F.lit(16))).write.partitionBy(*layout)
+    writer = df.hint("rebalance", *layout).write.partitionBy(*layout) if layout else df.write
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

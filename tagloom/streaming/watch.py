@@ -6,6 +6,7 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,8 +90,8 @@ def watch(
     def stored() -> int:
         try:
             return spark.read.schema("mark long").parquet(marks).agg(F.max("mark")).first()[0] or bounds.start
-        except Exception as error:
-            if "PATH_NOT_FOUND" not in str(error):
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return bounds.start
 
