@@ -7,33 +7,33 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_NUMBER = r"^-?[0-9]"
 
-
-def raw_value(columns: Column, name: str) -> Column:
-    """One value of the JSON row as JSON text, so its kind (string, number, boolean, null) is still visible."""
-    return F.try_element_at(F.from_json(columns, "map<string,string>"), F.lit(name))
+def _value(columns: Column, name: str, kind: str) -> Column:
+    """One dynamic value, cast where its kind allows it; the parsed row is shared by all uses of it."""
+    return F.try_variant_get(F.try_parse_json(columns), f"$['{name}']", kind)
 
 
 def _kind(columns: Column, name: str) -> Column:
-    return F.schema_of_variant(F.variant_get(F.try_parse_json(columns), f"$['{name}']", "variant"))
+    return F.schema_of_variant(_value(columns, name, "variant"))
+
+
+def _is_number(kind: Column) -> Column:
+    return kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
 
 
 def to_double(columns: Column, name: str) -> Column:
     """A number, or a string that holds one; anything else is NULL."""
-    kind, text = _kind(columns, name), raw_value(columns, name)
-    allowed = ~kind.isin("BOOLEAN", "VOID") & ~kind.startswith("OBJECT") & ~kind.startswith("ARRAY")
-    return F.when(allowed, F.trim(text).try_cast("double"))
+    kind = _kind(columns, name)
+    return F.when(_is_number(kind) | (kind == "STRING"), _value(columns, name, "double"))
 
 
 def to_boolean(columns: Column, name: str) -> Column:
     """A boolean; a number is true when it equals 1; a string is true when it spells ``true`` in any case."""
-    kind, text = _kind(columns, name), raw_value(columns, name)
-    number = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
+    kind = _kind(columns, name)
     return (
-        F.when(kind == "BOOLEAN", text == "true")
-        .when(number, text.try_cast("double") == 1.0)
-        .when(kind == "STRING", F.lower(text) == "true")
+        F.when(kind == "BOOLEAN", _value(columns, name, "boolean"))
+        .when(_is_number(kind), _value(columns, name, "double") == 1.0)
+        .when(kind == "STRING", F.lower(_value(columns, name, "string")) == "true")
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tagloom.operators.reads import retrieve, without
-from tagloom.session import is_small
+from tagloom.session import is_small, materialize
 
 # Statuses a pipeline run may report.
 RUN_STATUSES = ("SUCCESS", "SEEN")
@@ -81,6 +81,8 @@ def upsert(
     result = [merged(c).alias(c) for c in columns]
     if not is_small(fresh):
         return current.join(fresh, key, "full_outer").select(*result)
+    # Written once, the incoming rows are not computed again for each of their uses.
+    fresh = materialize(fresh, "incoming")
     small = F.broadcast(fresh)
     written = current.join(small, key, "left").select(*result)
     known = current.select(*key).join(F.broadcast(fresh.select(*key)), key, "left_semi")

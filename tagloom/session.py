@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Fixed value: Spark's own default number of shuffle partitions.
+DEFAULT_PARTITIONS = "200"
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -17,6 +19,10 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    context = spark.sparkContext
+    if context.master.startswith("local") and spark.conf.get("spark.sql.shuffle.partitions") == DEFAULT_PARTITIONS:
+        # Stateful streams run one task per shuffle partition: a local session needs no more than its cores.
+        spark.conf.set("spark.sql.shuffle.partitions", str(context.defaultParallelism))
     return spark
 
 
