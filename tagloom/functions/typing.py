@@ -8,32 +8,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _value(columns: Column, name: str, kind: str) -> Column:
-    """One dynamic value, cast where its kind allows it; the parsed row is shared by all uses of it."""
-    return F.try_variant_get(F.try_parse_json(columns), f"$['{name}']", kind)
+def _value(row: Column, name: str, kind: str) -> Column:
+    """One value of a parsed row, cast where its kind allows it."""
+    return F.try_variant_get(row, f"$['{name}']", kind)
 
 
-def _kind(columns: Column, name: str) -> Column:
-    return F.schema_of_variant(_value(columns, name, "variant"))
+def _kind(row: Column, name: str) -> Column:
+    return F.schema_of_variant(_value(row, name, "variant"))
 
 
 def _is_number(kind: Column) -> Column:
     return kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
 
 
-def to_double(columns: Column, name: str) -> Column:
+def to_double(row: Column, name: str) -> Column:
     """A number, or a string that holds one; anything else is NULL."""
-    kind = _kind(columns, name)
-    return F.when(_is_number(kind) | (kind == "STRING"), _value(columns, name, "double"))
+    kind = _kind(row, name)
+    return F.when(_is_number(kind) | (kind == "STRING"), _value(row, name, "double"))
 
 
-def to_boolean(columns: Column, name: str) -> Column:
+def to_boolean(row: Column, name: str) -> Column:
     """A boolean; a number is true when it equals 1; a string is true when it spells ``true`` in any case."""
-    kind = _kind(columns, name)
+    kind = _kind(row, name)
     return (
-        F.when(kind == "BOOLEAN", _value(columns, name, "boolean"))
-        .when(_is_number(kind), _value(columns, name, "double") == 1.0)
-        .when(kind == "STRING", F.lower(_value(columns, name, "string")) == "true")
+        F.when(kind == "BOOLEAN", _value(row, name, "boolean"))
+        .when(_is_number(kind), _value(row, name, "double") == 1.0)
+        .when(kind == "STRING", F.lower(_value(row, name, "string")) == "true")
     )
 
 
@@ -42,9 +42,9 @@ CASTS = {"double": to_double, "boolean": to_boolean}
 
 def type_raw(raw: DataFrame, types: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
     """Add one typed column per entry of ``types``; rows where any cast fails go to the second result."""
-    typed = raw.select(
-        "*", *[CASTS[kind](F.col("columns"), name).alias(name) for name, kind in types.items()]
-    )
+    # Parsed in a step of its own, a row is read once for all its values.
+    parsed = raw.withColumn("_row", F.try_parse_json("columns"))
+    typed = parsed.select(*raw.columns, *[CASTS[kind](F.col("_row"), n).alias(n) for n, kind in types.items()])
     complete = F.lit(True)
     for name in types:
         complete = complete & F.col(name).isNotNull()
