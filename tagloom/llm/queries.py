@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tagloom.llm import fingerprint, mixing, packing, quality, sharding, warc
+from tagloom.llm import disclosure, fingerprint, jaccard, katz, mixing, mtree, packing, quality, sharding, warc
 from tagloom.session import configure
 
 
@@ -17,8 +17,12 @@ QUERIES = {
         mixing.op2_mix_sources,
         quality.op3_quality_labels,
         fingerprint.op4_order_minhash,
+        jaccard.op5_jaccard_join,
         sharding.op6_shard_placement,
+        mtree.op7_mtree_topk,
         packing.op8_length_buckets,
+        disclosure.op9_disclosure_spans,
+        katz.op10_katz,
     )
 }
 
@@ -26,5 +30,6 @@ ORACLES = {
     "op1_warc_revisits": warc.OP1_SQL,
     "op2_mix_sources": mixing.OP2_SQL,
     "op6_shard_placement": sharding.oracle(),
+    "op7_mtree_topk": mtree.OP7_SQL,
     "op8_length_buckets": packing.oracle(),
 }
