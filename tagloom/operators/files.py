@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.operators.reads import list_many, list_resource
-from tagloom.operators.upsert import upsert
+from tagloom.operators.upsert import addressed, upsert
 from tagloom.request import Request
 from tagloom.session import is_small, small_side
 
@@ -26,14 +26,24 @@ def read_many_files(
 
 
 def attach_binaries(headers: DataFrame, binaries: DataFrame) -> DataFrame:
-    """Headers with their binary by id, NULL without one. A few headers are sent to the binaries, which then stay put."""
-    payload = binaries.select("id", *[c for c in binaries.columns if c not in ("id", "externalId")])
+    """Headers with their binary, NULL without one: by id, or by externalId where neither side has an id yet.
+
+    A few headers are sent to the binaries, which then stay put.
+    """
+    named = F.concat(F.lit("x:"), F.col("externalId"))
+    place = F.coalesce(F.concat(F.lit("i:"), F.col("id").cast("string")), named)
+    own = F.concat(F.lit("i:"), F.col("id").cast("string"))
+    headers = headers.withColumn("_place", place if "externalId" in headers.columns else own)
+    payload = binaries.select(
+        (place if "externalId" in binaries.columns else own).alias("_place"),
+        *[c for c in binaries.columns if c not in ("id", "externalId")],
+    )
+    columns = ["id", *[c for c in headers.columns if c not in ("id", "_place")], *[c for c in payload.columns if c != "_place"]]
     if not is_small(headers):
-        return headers.join(payload, "id", "left")
-    found = payload.join(F.broadcast(headers), "id")
-    with_binary = payload.select("id").join(F.broadcast(headers.select("id").distinct()), "id", "left_semi")
-    bare = headers.join(with_binary, "id", "left_anti")
-    columns = ["id", *[c for c in headers.columns if c != "id"], *[c for c in payload.columns if c != "id"]]
+        return headers.join(payload, "_place", "left").select(*columns)
+    found = payload.join(F.broadcast(headers), "_place")
+    with_binary = payload.select("_place").join(F.broadcast(headers.select("_place").distinct()), "_place", "left_semi")
+    bare = headers.join(with_binary, "_place", "left_anti").drop("_place")
     return found.select(*columns).unionByName(bare, allowMissingColumns=True)
 
 
@@ -42,10 +52,13 @@ def write_files(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(headers, binaries, written) after writing containers: header fields with ``binary``.
 
-    A written binary replaces the stored one as a whole, so stored binaries only meet the written keys. Every
+    A container may name its file by externalId or by id alone. A new header without an id keeps its binary under its
+    externalId. A written binary replaces the stored one as a whole, so stored binaries only meet the written keys. Every
     container is joined back to its stored header by externalId; a container without one fails the job when
     ``check`` is set.
     """
+    if "id" in containers.columns:
+        containers = addressed(headers, containers)
     fields = [c for c in headers.columns if c in containers.columns]
     stored = upsert(headers, containers.select(*fields), ["externalId"])
     given = containers.where(F.col("binary").isNotNull()).select("externalId", "binary")

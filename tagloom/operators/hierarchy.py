@@ -15,7 +15,7 @@ NODE, PARENT = "externalId", "parentExternalId"
 SAMPLES = 10
 
 
-def _climb(nodes: DataFrame, max_rounds: int = 62) -> tuple[DataFrame, DataFrame | None]:
+def _climb(nodes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """Follow parent links upwards, doubling the distance in every round.
 
     ``nodes`` has (node, ptr, flag), one row per node. Every row comes to cover its node and 2^r - 1 ancestors:
@@ -31,7 +31,7 @@ def _climb(nodes: DataFrame, max_rounds: int = 62) -> tuple[DataFrame, DataFrame
     finished = [state.where(F.col("ptr").isNull())]
     climbing = state.where(F.col("ptr").isNotNull())
     everything, left = state, None
-    for _ in range(max_rounds):
+    while True:
         above = everything.select(
             F.col("node").alias("_node"), *[F.col(c).alias(f"_{c}") for c in ("ptr", "flag", "top", "hops", "path")]
         )

@@ -12,8 +12,6 @@ from tagloom.operators.batching import group_into_batches
 from tagloom.request import Request
 from tagloom.session import small_side
 
-_FOREVER = 9_223_372_036_854_775_807
-
 
 def list_resource(
     table: DataFrame,
@@ -49,19 +47,61 @@ def _items_frame(table: DataFrame, items: Sequence[Mapping]) -> DataFrame:
 def parse_requests(
     requests: DataFrame, equals: Sequence[str], json_col: str = "request", metadata_keys: Sequence[str] = ()
 ) -> DataFrame:
-    """A column of request JSON as a table of requests: one column per filter key, ``min`` and ``max``."""
-    body = f"filter struct<{''.join(f'`{k}`:string,' for k in equals)}metadata:map<string,string>,"
-    parsed = F.from_json(F.col(json_col), body + "lastUpdatedTime:struct<min:bigint,max:bigint>>")
-    filters = parsed["filter"]
-    return requests.select(
+    """A column of request JSON as a table of requests: one column per filter key, ``min`` and ``max``.
+
+    A list value means any-of, and ``items`` names rows by ``id`` or ``externalId`` (both must then be keys of
+    ``equals``): such a request becomes one row per combination, under one request id. An empty list matches nothing.
+    Malformed JSON, an unknown filter or an unknown parameter fails the job instead of widening the request.
+    """
+    body = F.try_parse_json(F.col(json_col))
+    at = lambda path, kind="string": F.try_variant_get(body, path, kind)
+    keys = lambda path: F.coalesce(F.json_object_keys(F.get_json_object(json_col, path)), F.array().cast("array<string>"))
+    known = [*equals, "metadata", "lastUpdatedTime"]
+    strange = F.concat(
+        F.array_except(keys("$"), F.array(*map(F.lit, ("filter", "items")))),
+        F.array_except(keys("$.filter"), F.array(*map(F.lit, known))),
+        F.array_except(keys("$.filter.metadata"), F.array(*map(F.lit, metadata_keys)).cast("array<string>")),
+        F.array_except(keys("$.filter.lastUpdatedTime"), F.array(F.lit("min"), F.lit("max"))),
+    )
+    problem = F.when(body.isNull() | (F.schema_of_variant(body).startswith("OBJECT") == F.lit(False)), "a request is not a JSON object").when(
+        F.size(strange) > 0, F.concat(F.lit("unknown parts of a request: "), F.array_join(strange, ", "))
+    )
+    checked = requests.where(F.when(problem.isNotNull(), F.raise_error(problem).cast("boolean")).otherwise(F.lit(True)))
+
+    def values(path: str) -> Column:
+        kind = F.schema_of_variant(F.try_variant_get(body, path, "variant"))
+        listed = F.array_distinct(at(path, "array<string>"))
+        return F.when(kind.startswith("ARRAY"), listed).otherwise(F.array(at(path)))
+
+    parsed = checked.select(
+        *[c for c in requests.columns if c != json_col],
+        *[values(f'$.filter["{k}"]').alias(f"_v_{k}") for k in equals],
+        at("$.items", "array<struct<id:string,externalId:string>>").alias("_items"),
+        *[at(f'$.filter.metadata["{k}"]').alias(k) for k in metadata_keys],
+        at("$.filter.lastUpdatedTime.min", "bigint").alias("min"),
+        at("$.filter.lastUpdatedTime.max", "bigint").alias("max"),
+    )
+    for k in equals:
+        parsed = parsed.withColumn(f"_v_{k}", F.explode(f"_v_{k}"))
+    parsed = parsed.withColumn("_item", F.explode(F.coalesce(F.array_distinct("_items"), F.array(F.lit(None).cast("struct<id:string,externalId:string>")))))
+    item = {"id": F.col("_item.id"), "externalId": F.when(F.col("_item.id").isNull(), F.col("_item.externalId"))}
+    unnamed = [k for k in item if k not in equals]
+    if unnamed:
+        failure = F.raise_error(F.lit(f"items need the keys id and externalId; missing: {unnamed}"))
+        parsed = parsed.where(F.when(F.col("_item").isNotNull(), failure.cast("boolean")).otherwise(F.lit(True)))
+    return parsed.select(
         *[c for c in requests.columns if c != json_col],
-        *[filters[k].alias(k) for k in equals],
-        *[F.try_element_at(filters["metadata"], F.lit(k)).alias(k) for k in metadata_keys],
-        filters["lastUpdatedTime"]["min"].alias("min"),
-        filters["lastUpdatedTime"]["max"].alias("max"),
+        *[F.coalesce(item[k], F.col(f"_v_{k}")).alias(k) if k in item else F.col(f"_v_{k}").alias(k) for k in equals],
+        *metadata_keys,
+        "min",
+        "max",
     )
 
 
+#: A request that only bounds the time meets its rows by time buckets, unless it spans more of them than this.
+MOST_BUCKETS = 4096
+
+
 def list_many(
     table: DataFrame,
     requests: DataFrame,
@@ -69,41 +109,47 @@ def list_many(
     time: str = "lastUpdatedTime",
     request_id: str = "request_id",
     bucket_ms: int = DAY_MS,
+    timestamps: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Evaluate every request on its own: (request_id, row...); overlapping requests give a row several times.
 
     ``equals`` names the request columns compared for equality and the table expression of each; a NULL in the
-    request means no such filter. ``min`` and ``max`` bound ``time`` inclusively, NULL means open.
+    request means no such filter. ``min`` and ``max`` bound ``time`` inclusively, NULL means open; a row without a
+    time matches requests that leave both open.
 
     Requests fall into shapes by the filters they set. A row offers one join key per shape in use, so all
-    shapes are answered by one equi join in one pass over the table. Requests without an equality filter are
-    joined on time buckets, clamped to the times the table holds.
+    shapes are answered by one equi join in one pass over the table. A request that sets only a bounded time range
+    is joined on time buckets; one that is open at an end, or very wide, meets every row and is only range-checked.
+    If every request bounds the time, the common range also goes to the table as a plain filter, on the stored
+    timestamp where ``timestamps`` names it.
     """
     names = list(equals)
+    bucket = lambda ms: F.floor(ms / F.lit(bucket_ms)).cast("long")
     mask = F.lit(0)
     for i, name in enumerate(names):
         mask = mask + F.when(F.col(name).isNotNull(), F.lit(1 << i)).otherwise(F.lit(0))
-    shaped = requests.withColumn("_shape", mask)
-    shapes = sorted(shaped.agg(F.collect_set("_shape").alias("s")).first()["s"]) or [0]
-
-    bucket = lambda ms: F.floor(ms / F.lit(bucket_ms)).cast("long")
-    if 0 in shapes:
-        bounds = table.select(F.struct(F.min(time).alias("lo"), F.max(time).alias("hi"))).scalar()
-        first = F.greatest(F.coalesce(F.col("min"), bounds["lo"]), bounds["lo"])
-        last = F.least(F.coalesce(F.col("max"), bounds["hi"]), bounds["hi"])
-        # A range that misses the table keeps one bucket; the range check of the join drops it.
-        spanned = F.sequence(bucket(first), bucket(F.greatest(first, last)))
-        buckets = F.when(F.col("_shape") == 0, spanned).otherwise(F.array(F.lit(None).cast("long")))
-        shaped = shaped.withColumn("_bucket", F.explode(buckets))
-    else:
-        shaped = shaped.withColumn("_bucket", F.lit(None).cast("long"))
+    low, high = F.col("min"), F.col("max")
+    narrow = F.coalesce((bucket(high) - bucket(low)).between(0, MOST_BUCKETS - 1), F.lit(False))
+    shape = F.when((mask == 0) & ~narrow, F.lit(-1)).otherwise(mask)
+    shaped = requests.withColumn("_shape", shape)
+    known = shaped.agg(
+        F.collect_set("_shape").alias("shapes"),
+        F.when(F.count("min") == F.count("*"), F.min("min")).alias("min"),
+        F.when(F.count("max") == F.count("*"), F.max("max")).alias("max"),
+    ).first()
+    shapes = sorted(known["shapes"]) or [-1]
+    if known["min"] is not None or known["max"] is not None:
+        common = Request().with_filter(time, {"min": known["min"], "max": known["max"]})
+        table = table.where(common.condition(timestamps=timestamps))
+    spanned = F.when(F.col("_shape") == 0, F.sequence(bucket(low), bucket(high))).otherwise(F.array(F.lit(None).cast("long")))
+    shaped = shaped.withColumn("_bucket", F.explode(spanned)) if 0 in shapes else shaped.withColumn("_bucket", F.lit(None).cast("long"))
     asked = shaped.select(
         F.col(request_id),
         F.col("_shape").alias("_r_shape"),
         F.col("_bucket").alias("_r_bucket"),
         *[F.col(n).alias(f"_r_{n}") for n in names],
-        F.coalesce(F.col("min"), F.lit(-_FOREVER)).alias("_r_min"),
-        F.coalesce(F.col("max"), F.lit(_FOREVER)).alias("_r_max"),
+        low.alias("_r_min"),
+        high.alias("_r_max"),
     )
 
     def offer(shape: int) -> Column:
@@ -111,22 +157,22 @@ def list_many(
             F.lit(shape).alias("shape"),
             (bucket(F.col(time)) if shape == 0 else F.lit(None).cast("long")).alias("bucket"),
             *[
-                (equals[n] if shape >> i & 1 else F.lit(None).cast(asked.schema[f"_r_{n}"].dataType)).alias(n)
+                (equals[n] if shape > 0 and shape >> i & 1 else F.lit(None).cast(asked.schema[f"_r_{n}"].dataType)).alias(n)
                 for i, n in enumerate(names)
             ],
         )
 
     offered = table.withColumn("_offer", F.explode(F.array(*[offer(s) for s in shapes])))
     if len(shapes) == 1:
-        used = [n for i, n in enumerate(names) if shapes[0] >> i & 1]
+        used = [n for i, n in enumerate(names) if shapes[0] > 0 and shapes[0] >> i & 1]
         offered = table.withColumn("_offer", offer(shapes[0]))
         same = [F.col(f"_offer.{n}") == F.col(f"_r_{n}") for n in used]
         if not used:
-            same.append(F.col("_offer.bucket") == F.col("_r_bucket"))
+            same.append(F.col("_offer.bucket") == F.col("_r_bucket") if shapes[0] == 0 else F.col("_offer.shape") == F.col("_r_shape"))
     else:
         same = [F.col("_offer.shape") == F.col("_r_shape"), F.col("_offer.bucket").eqNullSafe(F.col("_r_bucket"))]
         same += [F.col(f"_offer.{n}").eqNullSafe(F.col(f"_r_{n}")) for n in names]
-    within = F.col(time).between(F.col("_r_min"), F.col("_r_max"))
+    within = (F.col("_r_min").isNull() | (F.col(time) >= F.col("_r_min"))) & (F.col("_r_max").isNull() | (F.col(time) <= F.col("_r_max")))
     return offered.join(small_side(asked), all_of(same) & within).select(request_id, *table.columns)
 
 
@@ -155,6 +201,7 @@ def aggregate_many(
     hits = list_many(table, requests, equals, time, request_id).groupBy(request_id).agg(F.count("*").alias("n"))
     return (
         requests.select(request_id)
+        .distinct()
         .join(hits, request_id, "left")
         .select(request_id, F.coalesce("n", F.lit(0)).alias("count"))
     )

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tagloom.functions.columns import granularity_ms
+from tagloom.operators.upsert import addressed
 from tagloom.session import is_small, small_side
 
 SERIES, TIME, VALUE = "externalId", "timestamp", "valueNum"
@@ -108,15 +109,25 @@ def split_identified(points: DataFrame) -> tuple[DataFrame, DataFrame]:
     return points.where(named), points.where(~named)
 
 
-def upsert_datapoints(points: DataFrame, incoming: DataFrame, check: bool = True) -> DataFrame:
+def upsert_datapoints(points: DataFrame, incoming: DataFrame, check: bool = True, headers: DataFrame | None = None) -> DataFrame:
     """Points after a write: an incoming point replaces the stored one at the same (series, timestamp).
 
-    ``incoming`` must hold one row per (series, timestamp). With ``check`` a point without a series id fails
-    the job.
+    ``incoming`` must hold one row per (series, timestamp). A point that carries only an id belongs to the series
+    that ``headers`` (or else the stored points) have for it. With ``check`` a point with neither fails the job,
+    without it such points are left out.
     """
     if check:
         failure = F.raise_error(F.lit("a data point has neither externalId nor id"))
-        incoming = incoming.withColumn(SERIES, F.coalesce(F.col(SERIES), failure))
+        named = F.col(SERIES).isNotNull()
+        if "id" in incoming.columns:
+            named = named | F.col("id").isNotNull()
+        incoming = incoming.where(F.when(named, F.lit(True)).otherwise(failure.cast("boolean")))
+    else:
+        incoming = split_identified(incoming)[0]
+    if headers is not None and "id" in incoming.columns:
+        incoming = addressed(headers, incoming)
+    elif "id" in points.columns and "id" in incoming.columns:
+        incoming = addressed(points.select("id", SERIES).where(F.col(SERIES).isNotNull()).distinct(), incoming)
     keys = incoming.select(SERIES, TIME)
     keys = F.broadcast(keys) if is_small(keys) else keys
     return points.join(keys, [SERIES, TIME], "left_anti").unionByName(incoming.select(*points.columns))

@@ -24,17 +24,41 @@ def dedupe_latest(df: DataFrame, key: Sequence[str], order_by: Sequence[str | Co
 def ensure_external_id(df: DataFrame, deterministic: bool = True, id_col: str = "id") -> DataFrame:
     """Give rows with neither id nor externalId one: a digest of the row, or a random UUID.
 
+    Equal rows are numbered, and the second and later ones have the number in their digest, so each gets its own.
     Use the digest wherever the result feeds more than one action: a UUID changes when a task runs again.
     """
     if deterministic:
         rest = [c for c in df.columns if c != "externalId"]
-        made = F.sha2(F.to_json(F.struct(*rest)), 256)
+        digest = F.sha2(F.to_json(F.struct(*rest)), 256)
     else:
-        made = F.uuid()
+        digest = F.uuid()
     missing = F.col("externalId").isNull()
     if id_col in df.columns:
         missing = missing & F.col(id_col).isNull()
-    return df.withColumn("externalId", F.when(missing, made).otherwise(F.col("externalId")))
+    if not deterministic:
+        return df.withColumn("externalId", F.when(missing, digest).otherwise(F.col("externalId")))
+    bare = df.where(missing).withColumn("_digest", digest)
+    bare = bare.withColumn("_copy", F.row_number().over(W.partitionBy("_digest").orderBy("_digest")))
+    again = F.sha2(F.concat_ws(":", "_digest", "_copy"), 256)
+    named = bare.withColumn("externalId", F.when(F.col("_copy") == 1, F.col("_digest")).otherwise(again))
+    return df.where(~missing).unionByName(named.drop("_digest", "_copy"))
+
+
+def addressed(current: DataFrame, incoming: DataFrame) -> DataFrame:
+    """Incoming rows with the externalId that the table has for their id, where they carry an id only."""
+    if "externalId" not in incoming.columns:
+        incoming = incoming.withColumn("externalId", F.lit(None).cast(current.schema["externalId"].dataType))
+    by_id = F.col("externalId").isNull() & F.col("id").isNotNull()
+    bare = incoming.where(by_id)
+    if bare.isEmpty():
+        return incoming
+    ids = bare.select(F.col("id").alias("_id")).distinct()
+    known = current.select(F.col("id").alias("_id"), F.col("externalId").alias("_known"))
+    if is_small(ids):
+        # At most one stored row per id: what is found is as small as what was asked for.
+        known = F.broadcast(known.join(F.broadcast(ids), "_id", "left_semi"))
+    named = bare.join(known, F.col("id") == F.col("_id"), "left").withColumn("externalId", F.col("_known"))
+    return incoming.where(~by_id).unionByName(named.select(*incoming.columns))
 
 
 def upsert(
@@ -47,6 +71,7 @@ def upsert(
 ) -> DataFrame:
     """The table after writing ``incoming``, which must hold one row per key (see :func:`dedupe_latest`).
 
+    With the key ``externalId``, a row that carries only an id is written to the stored row with that id.
     ``update`` overwrites only fields that are set; ``replace`` takes the whole incoming row but keeps the
     columns of ``keep``. A small incoming side is broadcast, so the stored table is not shuffled at all;
     otherwise both sides meet in one full outer join.
@@ -55,6 +80,8 @@ def upsert(
         raise ValueError(f"unknown mode: {mode}")
     key = list(key)
     columns = current.columns
+    if key == ["externalId"] and "id" in columns and "id" in incoming.columns:
+        incoming = addressed(current, incoming)
 
     def given(name: str) -> Column:
         kind = current.schema[name].dataType

@@ -81,6 +81,41 @@ def list_many(v):
     return reads.list_many(v.events(), requests(v), by_type()).select("request_id", *EVENT)
 
 
+@query(
+    "request_json_full",
+    f"""SELECT c_custkey AS request_id, {EVENT_SQL} FROM ev JOIN customer
+        ON (c_custkey % 3 = 0 AND source = 'u:' || c_custkey AND lastUpdatedTime >= {JAN_5})
+        OR (c_custkey % 3 = 1 AND source IN ('u:' || c_custkey, 'u:' || (c_custkey + 1)) AND type IN ('click', 'error'))
+        OR (c_custkey % 3 = 2 AND (id = c_custkey OR externalId = 'ev:' || (c_custkey + 100000000)))""",
+    ("ev",),
+)
+def request_json_full(v):
+    """Any-of lists, time ranges and items in one table of requests."""
+    k = F.col("c_custkey")
+    text = (
+        F.when(k % 3 == 0, F.format_string('{"filter":{"source":"u:%d","lastUpdatedTime":{"min":%d}}}', k, F.lit(JAN_5)))
+        .when(k % 3 == 1, F.format_string('{"filter":{"source":["u:%d","u:%d"],"type":["click","error"]}}', k, k + 1))
+        .otherwise(F.format_string('{"items":[{"id":%d},{"externalId":"ev:%d"}]}', k, k + 100_000_000))
+    )
+    asked = v.table("customer").select(k.alias("request_id"), text.alias("request"))
+    parsed = reads.parse_requests(asked, ["source", "type", "id", "externalId"])
+    fields = {"source": F.col("source"), "type": F.col("type"), "id": F.col("id").cast("string"), "externalId": F.col("externalId")}
+    return reads.list_many(v.events(), parsed, fields).select("request_id", *EVENT)
+
+
+@query(
+    "list_many_null_time",
+    """SELECT request_id, id FROM (SELECT id, type, CASE WHEN id % 5 > 0 THEN lastUpdatedTime END AS t FROM ev) e
+       JOIN reqs r ON (r.type IS NULL OR r.type = e.type)
+       AND (r."min" IS NULL OR t >= r."min") AND (r."max" IS NULL OR t <= r."max")""",
+    ("ev", "reqs"),
+)
+def list_many_null_time(v):
+    """Rows without a time match requests that do not bound it."""
+    timed = v.events().withColumn("lastUpdatedTime", F.when(F.col("id") % 5 > 0, F.col("lastUpdatedTime")))
+    return reads.list_many(timed, requests(v), by_type()).select("request_id", "id")
+
+
 @query(
     "list_batches",
     f"""SELECT request_id, batch, count(*) AS n, min(id) AS first_id, max(id) AS last_id
@@ -316,6 +351,21 @@ def raw_requests_from_config(v):
     return raw.project_columns(found, "priority").select("request_id", "key", "priority")
 
 
+@query(
+    "raw_read_many_columns",
+    """SELECT 'read_' || tableName AS request_id, key, priority, NULL::VARCHAR AS custkey FROM raw WHERE tableName IN ('O', 'F')""",
+    ("raw",),
+)
+def raw_read_many_columns(v):
+    """Each request's own column list; fields that it does not name are absent."""
+    tables = v.raw().select("tableName").distinct()
+    config = tables.select(
+        F.concat(F.lit("read_"), F.col("tableName")).alias("key"), F.concat(F.lit("sales."), F.col("tableName")).alias("value")
+    )
+    found = raw.read_many_raw(v.raw(), raw.raw_requests(config, ["read_O", "read_F"], columns=["priority"]))
+    return raw.project_columns(found, "priority,custkey").select("request_id", "key", "priority", "custkey")
+
+
 @query(
     "csv_read",
     """SELECT c_custkey::VARCHAR AS custkey, c_name || c_mktsegment AS name, c_nationkey::VARCHAR AS col_3, '' AS more

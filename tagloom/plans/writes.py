@@ -126,6 +126,47 @@ def datapoints_upsert(v):
     return series.upsert_datapoints(v.datapoints(), _incoming_points(v))
 
 
+@query(
+    "datapoints_upsert_by_id",
+    """SELECT source AS externalId, lastUpdatedTime AS timestamp,
+              CASE WHEN type = 'purchase' THEN value + 1 ELSE value END AS valueNum FROM ev
+       UNION ALL SELECT source, lastUpdatedTime - 1000000000, value FROM ev WHERE type = 'signup'""",
+    ("ev",),
+)
+def datapoints_upsert_by_id(v):
+    """Points that name their series by id only."""
+    ids = v.events().select("source").distinct().select(F.col("source").alias("externalId"), F.substring("source", 3, 20).cast("long").alias("id"))
+    given = _incoming_points(v).select(F.substring("externalId", 3, 20).cast("long").alias("id"), F.lit(None).cast("string").alias("externalId"), "timestamp", "valueNum")
+    return series.upsert_datapoints(v.datapoints(), given, headers=ids)
+
+
+@query(
+    "upsert_by_id",
+    """SELECT id, externalId, CASE WHEN id % 3 = 0 THEN 'changed' ELSE name END AS name FROM ast""",
+    ("ast",),
+)
+def upsert_by_id(v):
+    """Incoming rows with an id and no externalId change the stored rows."""
+    tree = v.assets().select("id", "externalId", "name")
+    given = tree.where("id % 3 = 0").select("id", F.lit(None).cast("string").alias("externalId"), F.lit("changed").alias("name"))
+    return upsert.upsert(tree, given, ["externalId"])
+
+
+@query(
+    "files_write_then_read",
+    """SELECT 'f:' || page_id AS externalId, CASE WHEN page_id % 7 > 0 THEN md5(html) END AS digest FROM pages
+       UNION ALL SELECT 'new:' || page_id, md5(url) FROM pages WHERE page_id % 11 = 0""",
+)
+def files_write_then_read(v):
+    """A written file comes back with its binary, also under a header that has no id yet."""
+    pages = v.table("pages")
+    headers = pages.select(F.col("page_id").alias("id"), F.concat(F.lit("f:"), "page_id").alias("externalId"), F.col("url").alias("name"))
+    binaries = pages.where("page_id % 7 > 0").select(F.col("page_id").alias("id"), F.concat(F.lit("f:"), "page_id").alias("externalId"), F.col("html").cast("binary").alias("binary"))
+    added = pages.where("page_id % 11 = 0").select(F.concat(F.lit("new:"), "page_id").alias("externalId"), F.col("url").alias("name"), F.col("url").cast("binary").alias("binary"))
+    stored, kept, _ = files.write_files(headers, binaries, added)
+    return files.read_files(stored, kept).select("externalId", F.md5("binary").alias("digest"))
+
+
 @query(
     "datapoints_batch_by_day",
     """, d AS (SELECT user_id, ts, epoch_us(ts) // 86400000000 * 86400000 AS day FROM events),

@@ -35,7 +35,8 @@ def parse_delimited(lines: DataFrame, header: str, delimiter: str = ";", column:
     padded with empty text; cells beyond the header are named ``col_<i>``; cells of the same name are
     concatenated in order. Quotes have no meaning.
     """
-    delimiter = delimiter[0]
+    if len(delimiter) != 1:
+        raise ValueError("the delimiter must be one character")
     names = [n.strip(BLANKS) for n in header.split(delimiter)]
     cells = _cut(F.regexp_replace(column, "^" + BOM, ""), delimiter)
     kept = lines.select(cells.alias("_cells")).where(

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tagloom.operators.upsert import dedupe_latest
+from tagloom.session import small_side
 
 
 def stream_upsert(df: DataFrame, log: str, checkpoint: str, available_now: bool = False, **trigger) -> StreamingQuery:
@@ -32,15 +33,35 @@ def merge_log(
 ) -> DataFrame:
     """The table that base and change log make: later batches win, within a batch the later row by ``order_by``.
 
-    ``update`` takes the last set value of every field, ``replace`` the last row.
+    ``update`` takes the last set value of every field, ``replace`` the last row (fields that it lacks are NULL then).
+    The result has the base's columns, then those that only the log has. Only base rows with a key in the log are
+    merged; the others pass by.
     """
     if mode not in ("update", "replace"):
         raise ValueError(f"unknown mode: {mode}")
     columns = [c for c in log.columns if c != "batch_id"]
     rows = log.withColumn("batch_id", F.col("batch_id").cast("long"))
+    untouched = None
     if base is not None:
-        rows = rows.unionByName(base.withColumn("batch_id", F.lit(-1).cast("long")), allowMissingColumns=True)
-    order = ["batch_id", *order_by]
+        columns = [*base.columns, *[c for c in columns if c not in base.columns]]
+        written = small_side(log.select(*key).distinct())
+        untouched = base.join(written, list(key), "left_anti")
+        touched = base.join(written, list(key), "left_semi")
+        rows = rows.unionByName(touched.withColumn("batch_id", F.lit(-1).cast("long")), allowMissingColumns=True)
+    merged = _merged(rows, columns, key, ["batch_id", *order_by], mode)
+    return merged if untouched is None else untouched.unionByName(merged, allowMissingColumns=True).select(*columns)
+
+
+def compact_log(spark: SparkSession, log: str, path: str, key: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
+    """Write the log's last set values as one batch (its highest number) below ``path``, a new log to go on with."""
+    rows = spark.read.parquet(log)
+    last = rows.agg(F.max(F.col("batch_id").cast("long"))).first()[0]
+    merged = merge_log(None, rows, key, order_by)
+    merged.write.parquet(f"{path}/batch_id={last if last is not None else 0}")
+    return spark.read.parquet(path)
+
+
+def _merged(rows: DataFrame, columns: Sequence[str], key: Sequence[str], order: Sequence[str], mode: str) -> DataFrame:
     if mode == "replace":
         return dedupe_latest(rows, key, order).select(*columns)
     at = F.struct(*order)
