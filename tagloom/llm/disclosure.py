@@ -74,17 +74,12 @@ def _valid(kind: str, value: Column) -> Column:
 
 def base_spans(text: Column) -> Column:
     """Spans (start, rank, end, kind, value) of personal data, by start, then kind as listed."""
-    found = []
-    for rank, kind in enumerate(KINDS):
-        spans = F.filter(places(text, PATTERNS[kind]), lambda s, kind=kind: _valid(kind, s["value"]))
-        found.append(
-            F.transform(
-                spans,
-                lambda s, rank=rank, kind=kind: F.struct(
-                    s["start"].alias("start"), F.lit(rank).alias("rank"), s["end"].alias("end"), F.lit(kind).alias("kind"), s["value"].alias("value")
-                ),
-            ).cast(_SPAN)
-        )
+    def of(rank: int, kind: str) -> Column:
+        spans = F.filter(places(text, PATTERNS[kind]), lambda s: _valid(kind, s["value"]))
+        span = lambda s: F.struct(s["start"].alias("start"), F.lit(rank).alias("rank"), s["end"].alias("end"), F.lit(kind).alias("kind"), s["value"].alias("value"))
+        return F.transform(spans, span).cast(_SPAN)
+
+    found = [of(rank, kind) for rank, kind in enumerate(KINDS)]
     return F.array_sort(F.concat(*found))
 
 

@@ -200,7 +200,8 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id"
     own_block = (F.col("router") * (1 << 20) + F.pmod(F.xxhash64("query_id", F.lit(3)), F.element_at(cuts, F.col("router") + 1))).cast("int")
     first = asked.withColumn("floor", F.lit(float("-inf"))).withColumn("block", own_block).groupBy("block").applyInPandas(pack, packed)
     homes = tree.where("cut = 0").withColumn("n", F.element_at(cuts, F.col("router") + 1))
-    homes = homes.withColumn("block", (F.col("router") * (1 << 20) + F.explode(F.sequence(F.lit(0), F.col("n") - 1))).cast("int"))
+    homes = homes.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    homes = homes.withColumn("block", (F.col("router") * (1 << 20) + F.col("block")).cast("int")).drop("n")
     near = homes.join(first, "block").mapInPandas(search, found)
     floors = near.groupBy("query_id").agg(F.min("score").cast("double").alias("floor"), F.count("*").alias("n")).where(F.col("n") >= k)
     bounded = asked.join(floors.select("query_id", "floor"), "query_id", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
