@@ -89,7 +89,7 @@ def base_spans(text):
         for m in pattern.finditer(text):
             digits = re.sub("[^0-9]", "", m[0])
             good = {
-                "email": lambda: True, "ip": lambda: all(int(p) <= 255 for p in m[0].split(".")),
+                "email": lambda: True, "ip": lambda: all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in m[0].split(".")),
                 "card": lambda: 12 <= len(digits) <= 19 and luhn(digits), "phone": lambda: 9 <= len(digits) <= 15,
             }[kind]()
             if good:
