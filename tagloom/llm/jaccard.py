@@ -5,11 +5,13 @@ from the whole table would put every text into one region. Regions are therefore
 nothing: of a document with n shingles at most floor(n / 5) may be absent from a partner, so under any global order of
 shingles two partners share one of their first floor(n / 5) + 1. The order used here is ascending document frequency.
 
-1. Shingles below ``SHARE`` of the hash range are counted over all documents. One that a single document has can't be
-   shared; a document with more of those than it may lose has no partner and leaves.
-2. The other documents join the regions of their rarest shared shingles (those of their prefix). Of equal sets only the
-   document with the least id goes on. A region's pivot is its least document; every member's distance to it is computed
-   exactly, so the region splits into the ball around the pivot (all linked to it) and the documents outside.
+1. Of equal sets only the document with the least id goes on. Shingles below ``SHARE`` of the hash range are counted
+   over all documents: a document with more of those that no other has than it may lose has no partner and leaves. The
+   rest are counted once more, with all their shingles and among themselves, and leave by the same rule.
+2. The remaining documents join the regions of their rarest shared shingles. A region's pivot is the document with the
+   smallest part of shingles of its own (an original rather than one of its edited copies), then the least id; every
+   member's distance to it is computed exactly, so the region splits into the ball around the pivot (all linked to it)
+   and the documents outside. Regions of one pivot are one region from here on.
 3. Regions with documents outside join recursively: those become pivots in turn, and meet just the members that the
    triangle inequality leaves: whose distances to the first pivot differ by at most the join's distance (boundary
    documents of the ball included), of compatible size, and not yet in the same component. Each level has four times
@@ -70,13 +72,13 @@ def marks(docs: DataFrame) -> DataFrame:
 
 
 def common_shingles(docs: DataFrame, total: int) -> np.ndarray:
-    """Shingles below the edge that a hundredth of a sample of documents has (at least 20 of them)."""
+    """Shingles that a hundredth of a sample of documents has (at least 20 of them)."""
     part = min(1.0, COMMON_SAMPLE / max(total, 1))
 
     def run(batches):
         for batch in batches:
             for s in shingle_sets(batch.column(0)):
-                yield pa.RecordBatch.from_arrays([pa.array(s[: np.searchsorted(s, _EDGE)].astype(np.int64))], ["s"])
+                yield pa.RecordBatch.from_arrays([pa.array(s.astype(np.int64))], ["s"])
 
     key = F.conv(F.substring(F.md5(F.col("doc_id").cast("string")), 1, 12), 16, 10).cast("double")
     counted = docs.where(key < part * 16.0**12).select("text").mapInArrow(run, "s long").groupBy("s").count()
@@ -84,57 +86,70 @@ def common_shingles(docs: DataFrame, total: int) -> np.ndarray:
     return np.sort(np.array([r["s"] for r in rows], np.int64))
 
 
-def postings(docs: DataFrame, common: np.ndarray) -> DataFrame:
-    """(s, doc, rank): the shingles that may be in a document's prefix; rank 0 to be counted, 1 common, 2 beyond the edge.
+def postings(docs: DataFrame, common: np.ndarray, whole: bool) -> DataFrame:
+    """(s, doc, place): the shingles of each document, below the edge only unless ``whole``.
 
-    A document with fewer shingles below the edge than its prefix is long gives the next ones by hash too.
+    Place 0 is below the edge; 1 beyond it, but among the first of the document that its prefix might need; 2 the rest.
+    Common shingles have 4 more: they are not counted.
     """
 
     def run(batches):
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            values, owners, ranks, held = [], [], [], 0
+            values, owners, places, held = [], [], [], 0
             for i, s in enumerate(shingle_sets(batch.column(1))):
                 below, need = int(np.searchsorted(s, _EDGE)), len(s) // FIVE + 1
-                taken = s[: max(below, min(need, len(s)))].astype(np.int64)
-                rank = np.zeros(len(taken), np.int8)
-                rank[below:] = 2
+                taken = s.astype(np.int64) if whole else s[:below].astype(np.int64)
+                place = np.full(len(taken), 2, np.int8)
+                place[: max(below, need)] = 1
+                place[:below] = 0
                 if len(common):
-                    at = np.minimum(np.searchsorted(common, taken[:below]), len(common) - 1)
-                    rank[:below] = common[at] == taken[:below]
+                    at = np.minimum(np.searchsorted(common, taken), len(common) - 1)
+                    place[common[at] == taken] += 4
                 values.append(taken)
-                ranks.append(rank)
+                places.append(place)
                 owners.append(np.full(len(taken), ids[i]))
                 held += len(taken)
                 if held > 200_000:
-                    yield _rows(values, owners, ranks)
-                    values, owners, ranks, held = [], [], [], 0
+                    yield _rows(values, owners, places)
+                    values, owners, places, held = [], [], [], 0
             if values:
-                yield _rows(values, owners, ranks)
+                yield _rows(values, owners, places)
 
-    def _rows(values, owners, ranks):
-        parts = [pa.array(np.concatenate(values)), pa.array(np.concatenate(owners).astype(np.int64)), pa.array(np.concatenate(ranks))]
-        return pa.RecordBatch.from_arrays(parts, ["s", "doc", "rank"])
+    def _rows(values, owners, places):
+        parts = [pa.array(np.concatenate(values)), pa.array(np.concatenate(owners).astype(np.int64)), pa.array(np.concatenate(places))]
+        return pa.RecordBatch.from_arrays(parts, ["s", "doc", "place"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "s long, doc long, rank byte")
+    return docs.select("doc_id", "text").mapInArrow(run, "s long, doc long, place byte")
+
+
+def _shared(rows: DataFrame) -> DataFrame:
+    """Postings of shingles that more than one document has, with their document frequency."""
+    counted = rows.where("place < 4").withColumn("df", F.count("*").over(Window.partitionBy("s"))).where("df > 1")
+    return counted.unionByName(rows.where("place >= 4").select("s", "doc", (F.col("place") - 4).cast("byte").alias("place"), F.lit(1 << 40).alias("df")))
 
 
 def regions(docs: DataFrame, marked: DataFrame, common: np.ndarray) -> DataFrame:
-    """(s, doc, n): the documents of each region; only regions of two and more, only the least of equal documents."""
-    rows = postings(docs, common)
-    counted = rows.where("rank <> 1").withColumn("df", F.count("*").over(Window.partitionBy("s"))).where("df > 1")
-    shared = counted.select("s", "doc", "rank", "df").unionByName(rows.where("rank = 1").select("s", "doc", "rank", F.lit(1 << 40).alias("df")))
-    # Beyond the edge all given ones are in the prefix; below it the rarest, after those that no one else has.
-    lists = shared.groupBy("doc").agg(
-        F.array_sort(F.collect_list(F.when(F.col("rank") < 2, F.struct("df", "s")))).alias("below"),
-        F.collect_list(F.when(F.col("rank") == 2, F.col("s"))).alias("beyond"),
+    """(s, doc, n, own): the documents of each region of two and more; ``own`` is the part of shingles no other has."""
+    firsts = marked.where("n_shingles > 0").groupBy("mark_a", "mark_b").agg(F.min(F.struct("doc_id", "n_shingles", "sampled")).alias("first")).select("first.*")
+    may_lose = F.floor(F.col("n_shingles") / FIVE)
+    counts = _shared(postings(docs, common, False)).groupBy("doc").agg(F.count("*").alias("shared"))
+    left = firsts.join(counts, F.col("doc_id") == F.col("doc"), "left")
+    # Too small to have a shingle below the edge is no reason to leave.
+    left = left.where(F.col("sampled") - F.coalesce("shared", F.lit(0)) <= may_lose).select("doc_id", "n_shingles")
+    left = materialize(left, "candidates")
+    texts = docs.join(small_side(left.select("doc_id")), "doc_id", "left_semi")
+    lists = _shared(postings(texts, common, True)).groupBy("doc").agg(
+        F.count("*").alias("shared"),
+        F.array_sort(F.collect_list(F.when(F.col("place") < 2, F.struct("place", "df", "s")))).alias("known"),
     )
-    firsts = marked.where("n_shingles > 0").groupBy("mark_a", "mark_b").agg(F.min(F.struct("doc_id", "n_shingles", "sampled")).alias("first"))
-    known = lists.join(firsts.select("first.*"), F.col("doc") == F.col("doc_id"))
-    alone = F.col("sampled") - F.size("below")
-    room = F.greatest(F.lit(0), F.floor(F.col("n_shingles") / FIVE) + 1 - alone).cast("int")
-    prefix = F.concat(F.transform(F.slice("below", F.lit(1), F.greatest(room, F.lit(1))), lambda e: e["s"]), "beyond")
-    members = known.where(room > 0).select(F.explode(prefix).alias("s"), "doc", F.col("n_shingles").alias("n"))
+    known = lists.join(left, F.col("doc") == F.col("doc_id"))
+    alone = F.col("n_shingles") - F.col("shared")
+    room = (may_lose + 1 - alone).cast("int")
+    # Below the edge by frequency, then beyond it by hash: sorted by (place, df, s), with one df for all beyond.
+    ordered = F.array_sort(F.transform("known", lambda e: F.struct(e["place"], F.when(e["place"] == 0, e["df"]).otherwise(0).alias("df"), e["s"])))
+    prefix = F.transform(F.slice(ordered, F.lit(1), F.greatest(room, F.lit(1))), lambda e: e["s"])
+    members = known.where(room > 0).select(F.explode(prefix).alias("s"), "doc", F.col("n_shingles").alias("n"), (alone / F.col("n_shingles")).alias("own"))
     return members.withColumn("_size", F.count("*").over(Window.partitionBy("s"))).where("_size > 1").drop("_size")
 
 
@@ -179,28 +194,29 @@ def links(docs: DataFrame, marked: DataFrame, common: np.ndarray) -> tuple[DataF
     apart = 1 - F.col("both") / F.col("either")
     most = 1 - FOUR / FIVE + 1e-9
     region = materialize(regions(docs, marked, common), "regions")
-    pivots = region.groupBy("s").agg(F.min("doc").alias("pivot"))
-    seen = region.join(pivots, "s").where("doc <> pivot")
-    found = materialize(distances(docs, seen.select("doc", "pivot").distinct()), "distances")
+    pivots = region.groupBy("s").agg(F.min(F.struct("own", "doc"))["doc"].alias("pivot"))
+    seen = region.join(pivots, "s").where("doc <> pivot").groupBy("doc", "pivot").agg(F.max("n").alias("n"), F.max("own").alias("own"))
+    seen = materialize(seen, "seen")
+    found = materialize(distances(docs, seen.select("doc", "pivot")), "distances")
     roots = components(found.where(near).select(F.col("doc").alias("a"), F.col("pivot").alias("b")))
     known = found.groupBy("doc", "pivot").agg(F.min(apart).alias("d"), F.max(near).alias("in_ball"))
-    left = seen.join(known, ["doc", "pivot"]).select("s", "doc", "n", "d", (~F.col("in_ball")).alias("outside"))
-    wide = 1
+    left = seen.join(known, ["doc", "pivot"]).select(F.col("pivot").alias("s"), "doc", "n", "own", "d", (~F.col("in_ball")).alias("outside"))
+    wide = 4
     while True:
         # A ball's documents stay only within reach of the nearest document outside.
         by_region = Window.partitionBy("s")
         left = left.withColumn("_out", F.min(F.when(F.col("outside"), F.col("d"))).over(by_region))
         left = left.where(F.col("_out").isNotNull() & (F.col("outside") | (F.col("d") >= F.col("_out") - most))).drop("_out")
-        left = left.withColumn("_turn", F.row_number().over(by_region.orderBy(F.col("outside").desc(), "doc")))
-        left = left.withColumn("_pivot", F.col("outside") & (F.col("_turn") <= wide)).drop("_turn")
+        left = left.withColumn("_turn", F.row_number().over(by_region.orderBy(F.col("outside").desc(), "own", "doc")))
+        left = left.withColumn("_pivot", F.col("outside") & (F.col("_turn") <= wide))
         left = left.join(roots.select(F.col("node").alias("doc"), "root"), "doc", "left").withColumn("root", F.coalesce("root", "doc"))
         left = materialize(left, "undecided")
         if left.isEmpty():
             break
-        turn = left.where("_pivot").select("s", F.col("doc").alias("pivot"), F.col("n").alias("_n"), F.col("d").alias("_d"), F.col("root").alias("_root"))
+        turn = left.where("_pivot").select("s", F.col("doc").alias("pivot"), F.col("n").alias("_n"), F.col("d").alias("_d"), F.col("root").alias("_root"), F.col("_turn").alias("_at"))
         met = left.join(turn, "s").where(
             (F.col("doc") != F.col("pivot"))
-            & (~F.col("_pivot") | (F.col("doc") > F.col("pivot")))
+            & (~F.col("_pivot") | (F.col("_turn") > F.col("_at")))
             & (F.col("root") != F.col("_root"))
             & (F.least("n", "_n") * FIVE >= F.greatest("n", "_n") * FOUR)
             & (F.abs(F.col("d") - F.col("_d")) <= most)
@@ -211,7 +227,7 @@ def links(docs: DataFrame, marked: DataFrame, common: np.ndarray) -> tuple[DataF
             fresh = materialize(distances(docs, met), "distances")
             found = found.unionByName(fresh)
             roots = components(found.where(near).select(F.col("doc").alias("a"), F.col("pivot").alias("b")))
-        left = left.where("NOT _pivot").select("s", "doc", "n", "d", "outside")
+        left = left.where("NOT _pivot").select("s", "doc", "n", "own", "d", "outside")
         wide *= 4
     return found.where(near).select(F.col("doc").alias("a"), F.col("pivot").alias("b")), roots
 
