@@ -34,10 +34,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.text import mix, word_batches
+from tagloom.llm.text import mix, slices, string_parts, word_batches
 
 MOST, LEAST_LOSS = 5, 1e-3
 SAMPLE_TEXTS, CODES, FREQUENT = 4000, 65_535, 1000
+PIECE_BYTES = 6 << 20
 _U = np.uint64
 START, END = mix(np.array([0x5354415254, 0x454E44], _U))
 _LOW48 = _U((1 << 48) - 1)
@@ -63,6 +64,14 @@ def _tokens(batch: pa.RecordBatch, column: int) -> tuple[np.ndarray, np.ndarray,
     return join(firsts), join(seconds), np.repeat(np.arange(len(size)), size), size
 
 
+def _pieces(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """Batches of at most about ``PIECE_BYTES`` of text, so that their token arrays stay small."""
+    for batch in batches:
+        _, bounds = string_parts(batch.column(column))
+        for first, last in slices(bounds, PIECE_BYTES):
+            yield batch.slice(first, last - first)
+
+
 def _find(values: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(place in the sorted table, whether it is there) of each value."""
     if not len(table):
@@ -82,7 +91,7 @@ def word_lists(docs: DataFrame) -> tuple[Lists, dict[str, int]]:
     """Lists from a sample of texts; frequent words' counts, training texts and tokens from all texts."""
 
     def count(batches):
-        for batch in batches:
+        for batch in _pieces(batches, 0):
             _, second, _, _ = _tokens(batch, 0)
             values, n = np.unique(second, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(values.astype(np.int64)), pa.array(n)], ["w", "n"])
@@ -99,7 +108,7 @@ def word_lists(docs: DataFrame) -> tuple[Lists, dict[str, int]]:
 
     def exact(batches):
         counts, texts, tokens = np.zeros(len(frequent), np.int64), 0, 0
-        for batch in batches:
+        for batch in _pieces(batches, 0):
             training = ~batch.column(1).to_numpy(zero_copy_only=False)
             _, second, text, size = _tokens(batch, 0)
             at, there = _find(second, frequent)
@@ -125,7 +134,7 @@ def deal(docs: DataFrame, lists: Lists, parts: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId() << 32
-        for number, batch in enumerate(batches):
+        for number, batch in enumerate(_pieces(batches, 2)):
             held = batch.column(1).to_numpy(zero_copy_only=False)
             first, second, text, size = _tokens(batch, 2)
             order = np.argsort(second, kind="stable")
@@ -198,16 +207,25 @@ class Gathered:
                 chunks.append(np.full(len(code), len(self.chunk_of), np.int32))
                 self.chunk_of.append(row[1])
         join = lambda x, t: np.concatenate(x) if x else np.zeros(0, t)
-        second, first, text = join(seconds, _U), join(firsts, _U), join(texts, np.uint32)
-        self.chunk, self.text, training = join(chunks, np.int32), (text >> np.uint32(1)).astype(np.int64), (text & np.uint32(1)) == 0
+        text = join(texts, np.uint32)
+        self.chunk, self.text, training = join(chunks, np.int32), (text >> np.uint32(1)).astype(np.int32), (text & np.uint32(1)) == 0
+        del texts, chunks, text
+        second = join(seconds, _U)
+        del seconds
+        first = join(firsts, _U)
+        del firsts
         self.word, self.word_at = np.unique(second, return_inverse=True)
+        self.word_at = self.word_at.astype(np.int32)
         self.word_count = np.bincount(self.word_at[training], minlength=len(self.word))
         at, self.frequent = _find(self.word, lists.frequent)
         self.word_count[self.frequent] = lists.counts[at[self.frequent]]
-        _, index, self.pair_at = np.unique(mix(second ^ mix(first)), return_index=True, return_inverse=True)
+        second ^= mix(first)
+        _, index, self.pair_at = np.unique(mix(second), return_index=True, return_inverse=True)
+        self.pair_at = self.pair_at.astype(np.int32)
+        del second
         self.pair_count = np.bincount(self.pair_at[training], minlength=len(index))
         self.pair_word, self.pair_first = self.word_at[index], first[index].astype(np.int64)
-        self.first = first.astype(np.int64)
+        self.first = first.view(np.int64)
 
 
 def _counts_of_counts(counts: np.ndarray) -> list[int]:
