@@ -42,10 +42,19 @@ CASTS = {"double": to_double, "boolean": to_boolean}
 
 def type_raw(raw: DataFrame, types: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
     """Add one typed column per entry of ``types``; rows where any cast fails go to the second result."""
-    # Parsed in a step of its own, a row is read once for all its values.
-    parsed = raw.withColumn("_row", F.try_parse_json("columns"))
-    typed = parsed.select(*raw.columns, *[CASTS[kind](F.col("_row"), n).alias(n) for n, kind in types.items()])
-    complete = F.lit(True)
+    typed = typed_rows(raw, types)
+    return typed.where(~F.col("_rejected")).drop("_rejected"), typed.where("_rejected").drop("_rejected")
+
+
+def typed_rows(raw: DataFrame, types: Mapping[str, str]) -> DataFrame:
+    """One typed column per entry of ``types``, and ``_rejected``: whether any cast of the row failed.
+
+    ``inline`` makes the parse and the casts steps that no later filter is pushed through, so each runs once per row.
+    """
+    parsed = raw.select(*raw.columns, F.inline(F.array(F.struct(F.try_parse_json("columns").alias("_row")))))
+    casts = F.struct(*[CASTS[kind](F.col("_row"), n).alias(n) for n, kind in types.items()])
+    typed = parsed.select(*raw.columns, F.inline(F.array(casts)))
+    failed = F.lit(False)
     for name in types:
-        complete = complete & F.col(name).isNotNull()
-    return typed.where(complete), typed.where(~complete)
+        failed = failed | F.col(name).isNull()
+    return typed.withColumn("_rejected", failed)

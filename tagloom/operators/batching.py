@@ -7,12 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tagloom.functions.columns import utc_day
 from tagloom.session import materialize
 
-_NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
 # A key with more rows than this is cut into slices of about this many rows.
 HOT_ROWS = 1_000_000
 
@@ -22,44 +20,39 @@ def running_totals(
 ) -> DataFrame:
     """Sums over the rows that come earlier in the same key: one column per entry of ``weights``.
 
-    Keys are counted first, with a map-side partial count. Where all are modest, one window does. A key above
-    ``hot_rows`` is cut into slices along its order, as many as its rows need: every slice is summed by a task
-    of its own and shifted by the totals of the slices before it. A numeric first order column is cut into
-    equal parts of the key's range; any other is sliced by hash, which makes (slice, order) the order.
+    The order is ``order_by`` at every size and for every type. Keys are counted first, with a map-side partial count.
+    The rows of keys above ``hot_rows`` are put into ranges of the full order (key, then ``order_by``) at sampled
+    quantiles, so outliers do not make a range larger. They are written once with the number of their range; every range
+    is summed by a task of its own and shifted by the totals of the ranges before it. Other keys need one window.
     """
-    names, first = list(weights), order_by[0]
-    numeric = isinstance(df.schema[first].dataType, _NUMERIC)
-    bounds = [F.min(first).alias("_lo"), F.max(first).alias("_hi")] if numeric else []
+    names = list(weights)
     keyed = df.select(
         "*", F.struct(*key).alias("_key"), *[w.cast("long").alias(f"_w_{n}") for n, w in weights.items()]
     )
-    counted = keyed.groupBy("_key").agg(F.count("*").alias("_rows"), *bounds)
+    counted = keyed.groupBy("_key").agg(F.count("*").alias("_rows"))
     hot = materialize(counted.where(F.col("_rows") > hot_rows), "hot-keys")
-    if hot.isEmpty():
-        before = W.partitionBy("_key").orderBy(*order_by).rowsBetween(W.unboundedPreceding, -1)
-        return keyed.select(*df.columns, *[F.coalesce(F.sum(f"_w_{n}").over(before), F.lit(0)).alias(n) for n in names])
-
-    slices = F.ceil(F.col("_rows") / hot_rows)
-    if numeric:
-        width = (F.col("_hi") - F.col("_lo")).cast("double") + 1.0
-        cut = F.floor((F.col(first) - F.col("_lo")).cast("double") / width * slices)
-    else:
-        cut = F.pmod(F.xxhash64(*order_by), slices)
-    # Rows of other keys, and rows without an order value, are in the first slice.
-    sliced = keyed.join(hot, "_key", "left").withColumn("_slice", F.coalesce(cut.cast("long"), F.lit(0)))
-
-    totals = sliced.where(F.col("_rows").isNotNull()).groupBy("_key", "_slice")
-    totals = totals.agg(*[F.sum(f"_w_{n}").alias(f"_t_{n}") for n in names])
+    before = W.partitionBy("_key").orderBy(*order_by).rowsBetween(W.unboundedPreceding, -1)
+    summed = lambda window: [F.coalesce(F.sum(f"_w_{n}").over(window), F.lit(0)).alias(n) for n in names]
+    rows = hot.agg(F.sum("_rows")).first()[0]
+    if rows is None:
+        return keyed.select(*df.columns, *summed(before))
+    listed = hot.select("_key")
+    ranges = 2 * -(-rows // hot_rows)
+    sliced = keyed.join(listed, "_key", "left_semi").repartitionByRange(ranges, "_key", *order_by)
+    # The bounds are sampled, so both uses below must see the same run: it is written.
+    sliced = materialize(sliced.withColumn("_slice", F.spark_partition_id()), "slices")
+    totals = sliced.groupBy("_key", "_slice").agg(*[F.sum(f"_w_{n}").alias(f"_t_{n}") for n in names])
     earlier = W.partitionBy("_key").orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
     shifts = totals.select(
         "_key", "_slice", *[F.coalesce(F.sum(f"_t_{n}").over(earlier), F.lit(0)).alias(f"_s_{n}") for n in names]
     )
-    shifts = materialize(shifts, "slices")
     inside = W.partitionBy("_key", "_slice").orderBy(*order_by).rowsBetween(W.unboundedPreceding, -1)
-    local = sliced.select("*", *[F.coalesce(F.sum(f"_w_{n}").over(inside), F.lit(0)).alias(f"_l_{n}") for n in names])
-    return local.join(shifts, ["_key", "_slice"], "left").select(
-        *df.columns, *[(F.col(f"_l_{n}") + F.coalesce(f"_s_{n}", F.lit(0))).alias(n) for n in names]
+    local = sliced.select(*df.columns, "_key", "_slice", *[c.alias(f"_l_{n}") for c, n in zip(summed(inside), names)])
+    spread = local.join(shifts, ["_key", "_slice"]).select(
+        *df.columns, *[(F.col(f"_l_{n}") + F.col(f"_s_{n}")).alias(n) for n in names]
     )
+    rest = keyed.join(listed, "_key", "left_anti").select(*df.columns, *summed(before))
+    return rest.unionByName(spread)
 
 
 def assign_batches(

@@ -8,25 +8,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tagloom.operators.upsert import delete, upsert
+from tagloom.operators.reads import retrieve
+from tagloom.operators.upsert import upsert
 from tagloom.session import materialize, small_side
 
 NODE, PARENT = "externalId", "parentExternalId"
 SAMPLES = 10
 
 
-def _climb(nodes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+def _climb(nodes: DataFrame, paths: bool = True) -> tuple[DataFrame, DataFrame | None]:
     """Follow parent links upwards, doubling the distance in every round.
 
     ``nodes`` has (node, ptr, flag), one row per node. Every row comes to cover its node and 2^r - 1 ancestors:
     ``top`` is the last of them, ``hops`` its distance, ``path`` the nodes in between from the node upwards,
     ``flag`` whether any of them is flagged, and ``ptr`` the next ancestor, NULL at the end. A tree of depth d
-    takes log2(d) rounds; a round joins only the rows that are still climbing and writes only those.
+    takes log2(d) rounds; a round joins only the rows that are still climbing and writes only those. ``path`` stays
+    empty unless ``paths`` is set, and rows of a cycle would double it in every round: ask for it only where it is used.
 
     Returns (finished rows, rows that never finish because they lead into a cycle, or None).
     """
+    own = F.array("node") if paths else F.array().cast("array<string>")
     state = materialize(nodes, "nodes").select(
-        "node", "ptr", "flag", F.col("node").alias("top"), F.lit(0).cast("long").alias("hops"), F.array("node").alias("path")
+        "node", "ptr", "flag", F.col("node").alias("top"), F.lit(0).cast("long").alias("hops"), own.alias("path")
     )
     finished = [state.where(F.col("ptr").isNull())]
     climbing = state.where(F.col("ptr").isNotNull())
@@ -93,13 +96,16 @@ def asset_properties(assets: DataFrame) -> DataFrame:
 
 def topological_level(assets: DataFrame) -> DataFrame:
     """Assets with the level they can be written at: parents before children, a parent outside the batch is met."""
-    return assets.join(hierarchy_levels(assets).select(NODE, F.col("depth").alias("level")), NODE, "left")
+    done, cyclic = _climb(_nodes(assets), paths=False)
+    if cyclic is not None:
+        raise ValueError("the parent links contain a cycle")
+    return assets.join(done.select(F.col("node").alias(NODE), F.col("hops").alias("level")), NODE, "left")
 
 
 def detect_cycles(assets: DataFrame) -> DataFrame:
     """Members of cycles of parent links; nodes that only hang below a cycle are not members."""
     unique = assets.select(NODE, PARENT).where(F.col(NODE).isNotNull()).dropDuplicates([NODE])
-    _, cyclic = _climb(_nodes(unique))
+    _, cyclic = _climb(_nodes(unique), paths=False)
     if cyclic is None:
         return unique.select(NODE).where(F.lit(False))
     # The nodes reached by going up 1, 2, 4, ... steps never grow in number. Once a doubling reaches as many as
@@ -179,15 +185,22 @@ def build_asset_lookup(assets: DataFrame) -> DataFrame:
 
 
 def delete_assets(assets: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(remaining, deleted) after removing the listed assets with their whole subtrees."""
-    _, listed = delete(assets, items)
-    flagged = assets.select(NODE, PARENT).join(
-        small_side(listed.select(NODE, F.lit(True).alias("_listed"))), NODE, "left"
-    )
-    done, cyclic = _climb(_nodes(flagged, F.coalesce("_listed", F.lit(False))))
-    if cyclic is not None:
-        raise ValueError("the parent links contain a cycle")
-    gone = small_side(done.where("flag").select(F.col("node").alias(NODE)))
+    """(remaining, deleted) after removing the listed assets with their whole subtrees.
+
+    Goes down from the listed nodes, one level a round, and so reads links of the table but moves only what goes. Nodes
+    of a cycle that a listed node leads into go as well.
+    """
+    links = assets.select(NODE, F.col(PARENT).alias("_up")).where("_up <> ''")
+    level = materialize(retrieve(assets, items).select(NODE).where(F.col(NODE).isNotNull()).distinct(), "listed")
+    gone = level
+    while True:
+        above = small_side(level.select(F.col(NODE).alias("_up")))
+        below = links.join(above, "_up", "left_semi").select(NODE).distinct()
+        level = materialize(below.join(gone, NODE, "left_anti"), "below")
+        if level.isEmpty():
+            break
+        gone = gone.unionByName(level)
+    gone = small_side(gone)
     return assets.join(gone, NODE, "left_anti"), assets.join(gone, NODE, "left_semi")
 
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.operators.reads import list_resource
@@ -14,12 +14,19 @@ from tagloom.session import small_side
 KEY = ["dbName", "tableName", "key"]
 
 
-def read_raw(raw: DataFrame, db: str, table: str, request: Request | None = None) -> DataFrame:
+def read_raw(
+    raw: DataFrame,
+    db: str,
+    table: str,
+    request: Request | None = None,
+    timestamps: Mapping[str, Column] | None = None,
+) -> DataFrame:
     """Rows of one table; a partitioned layout is pruned to its folder. ``columns`` projects the dynamic fields."""
     if not isinstance(db, str) or not isinstance(table, str) or not db or not table:
         raise ValueError("both a database and a table name are required")
     request = request or Request()
-    rows = list_resource(raw, request.with_filter("dbName", db).with_filter("tableName", table), key="key")
+    named = request.with_filter("dbName", db).with_filter("tableName", table)
+    rows = list_resource(raw, named, timestamps=timestamps, key="key")
     wanted = request.root.get("columns")
     return project_columns(rows, wanted) if wanted else rows
 

@@ -76,6 +76,24 @@ def read_sequence_rows(
     return rows.join(small_side(requests.select(SEQ).distinct()), SEQ, "left_semi")
 
 
+def read_rows_wide(
+    rows: DataFrame,
+    requests: DataFrame | None,
+    columns: Sequence[str],
+    start: int | None = None,
+    end: int | None = None,
+) -> DataFrame:
+    """Typed rows of the requested sequences, some columns and row numbers in ``[start, end)`` only, without cells."""
+    found = rows.select(SEQ, ROW, *columns)
+    if start is not None:
+        found = found.where(F.col(ROW) >= start)
+    if end is not None:
+        found = found.where(F.col(ROW) < end)
+    # A row without any of the columns set has no cell to return.
+    found = found.where(F.coalesce(*[F.col(c).cast("string") for c in columns]).isNotNull())
+    return found if requests is None else found.join(requests.select(SEQ).distinct(), SEQ, "left_semi")
+
+
 def upsert_sequence_rows(cells: DataFrame, incoming: DataFrame) -> DataFrame:
     """Cells after a write: a cell is replaced where (sequence, row, column) is written."""
     return upsert(cells, incoming, [SEQ, ROW, COLUMN], mode="replace", keep=())

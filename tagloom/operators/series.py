@@ -10,15 +10,19 @@ from pyspark.sql import functions as F
 
 from tagloom.functions.columns import granularity_ms
 from tagloom.operators.upsert import addressed
+from tagloom.request import utc_at
 from tagloom.session import is_small, small_side
 
 SERIES, TIME, VALUE = "externalId", "timestamp", "valueNum"
 
 
-def _ranged(points: DataFrame, start: int, end: int | None) -> DataFrame:
+def _ranged(points: DataFrame, start: int, end: int | None, stored: Column | None) -> DataFrame:
     if end is not None and start >= end:
         raise ValueError("start must lie before end")
     upper = F.unix_millis(F.current_timestamp()) if end is None else F.lit(end)
+    if stored is not None:
+        points = points.where(stored >= utc_at(start))
+        points = points.where(stored < utc_at(end)) if end is not None else points
     return points.where((F.col(TIME) >= F.lit(start)) & (F.col(TIME) < upper))
 
 
@@ -29,15 +33,17 @@ def read_datapoints(
     end: int | None = None,
     limit: int | None = None,
     limit_mode: str = "page",
+    stored: Column | None = None,
 ) -> DataFrame:
     """Points of the listed series in ``[start, end)``; start defaults to 0 and end to now.
 
+    ``stored`` is the stored timestamp that the points' time was derived from: the range then reaches the file scan.
     Items may carry ``start`` and ``end`` columns of their own. ``limit_mode='page'`` makes the limit a fetch
     size without effect on the result; ``per_series`` keeps the first ``limit`` points of each series by time.
     """
     if limit_mode not in ("page", "per_series"):
         raise ValueError(f"unknown limit mode: {limit_mode}")
-    rows = _ranged(points, start, end)
+    rows = _ranged(points, start, end, stored)
     if items is not None:
         own = [c for c in ("start", "end") if c in items.columns]
         if own:
@@ -79,21 +85,27 @@ def aggregate_datapoints(
     start: int = 0,
     end: int | None = None,
     items: DataFrame | None = None,
+    stored: Column | None = None,
 ) -> DataFrame:
     """Aggregates per series and bucket; empty buckets are absent."""
     known = _aggregates()
     unknown = [a for a in aggregates if a not in known]
     if unknown:
         raise ValueError(f"unknown aggregates: {unknown}")
-    rows = read_datapoints(points, items, start, end)
+    rows = read_datapoints(points, items, start, end, stored=stored)
     return rows.groupBy(SERIES, bucket_start(granularity).alias(TIME)).agg(*[known[a].alias(a) for a in aggregates])
 
 
 def series_max_frequency(
-    points: DataFrame, granularity: str = "h", start: int = 0, end: int | None = None, headers: DataFrame | None = None
+    points: DataFrame,
+    granularity: str = "h",
+    start: int = 0,
+    end: int | None = None,
+    headers: DataFrame | None = None,
+    stored: Column | None = None,
 ) -> DataFrame:
     """Highest point rate (Hz) per series; 0 for a listed series without points in the range."""
-    counts = aggregate_datapoints(points, ["count"], granularity, start, end)
+    counts = aggregate_datapoints(points, ["count"], granularity, start, end, stored=stored)
     peak = counts.groupBy(SERIES).agg((F.max("count") / (granularity_ms(granularity) / 1000)).alias("frequency"))
     if headers is None:
         return peak

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,7 +70,8 @@ def request_json(v):
         ).alias("request"),
     )
     parsed = reads.parse_requests(asked, ["source"])
-    return reads.list_many(v.events(), parsed, {"source": F.col("source")}).select("request_id", *EVENT)
+    stored = {"lastUpdatedTime": F.col("ts")}
+    return reads.list_many(v.events(), parsed, {"source": F.col("source")}, timestamps=stored).select("request_id", *EVENT)
 
 
 _LIST_MANY = """
@@ -201,7 +204,7 @@ def first_n(v):
 def datapoints_range(v):
     items = v.table("customer").where("c_mktsegment = 'BUILDING'")
     items = items.select(F.concat(F.lit("u:"), F.col("c_custkey")).alias("externalId"))
-    return series.read_datapoints(v.datapoints(), items, JAN_5, JAN_10)
+    return series.read_datapoints(v.datapoints(stored=True), items, JAN_5, JAN_10, stored=F.col("ts")).drop("ts")
 
 
 @query(
@@ -254,7 +257,7 @@ def datapoints_aggregate_10m(v):
     ("dp", "ts_head"),
 )
 def series_max_frequency(v):
-    found = series.series_max_frequency(v.datapoints(), "h", JAN_5, JAN_10, v.series())
+    found = series.series_max_frequency(v.datapoints(stored=True), "h", JAN_5, JAN_10, v.series(), F.col("ts"))
     return found.withColumn("frequency", F.round("frequency", 9))
 
 
@@ -271,7 +274,8 @@ def cells(v: Views) -> DataFrame:
 def sequence_rows_read(v):
     asked = v.table("orders").where("o_orderstatus = 'O'")
     asked = asked.select(F.concat(F.lit("s:"), F.col("o_orderkey")).alias("externalId"))
-    return sequences.read_sequence_rows(cells(v), asked, ["quantity", "returnflag"]).drop("l")
+    wanted = {c: SEQUENCE_COLUMNS[c] for c in ("quantity", "returnflag")}
+    return sequences.read_sequence_rows(sequences.rows_to_cells(v.sequence_rows(), wanted), asked).drop("l")
 
 
 @query(
@@ -280,9 +284,7 @@ def sequence_rows_read(v):
     ("seq",),
 )
 def sequence_rows_wide(v):
-    asked = v.sequence_rows().select("externalId")
-    found = sequences.read_sequence_rows(cells(v), asked, ["quantity", "discount", "returnflag"], 2, 5)
-    return sequences.cells_to_rows(found, {"quantity": "d", "discount": "d", "returnflag": "s"})
+    return sequences.read_rows_wide(v.sequence_rows(), None, ["quantity", "discount", "returnflag"], 2, 5)
 
 
 @query(
@@ -463,4 +465,19 @@ def delta_timestamp_read(v):
 )
 def delta_read_query(v):
     request = Request().with_filter("type", "view")
-    return delta_read(v.events(), request, state_rows(v), "state.delta", "click", 3_600_000).select(*EVENT)
+    stored = {"lastUpdatedTime": F.col("ts")}
+    return delta_read(v.events(), request, state_rows(v), "state.delta", "click", 3_600_000, timestamps=stored).select(*EVENT)
+
+
+@query(
+    "delta_read_first_n",
+    f"""SELECT {EVENT_SQL} FROM ev WHERE type = 'view' AND lastUpdatedTime >= greatest(1, (
+            SELECT arg_max(timestamp, lastUpdatedTime) FROM state_rows WHERE identifier = 'click') - 3600000)
+        ORDER BY id LIMIT 50""",
+    ("ev", "state_rows"),
+)
+def delta_read_first_n(v):
+    """The first rows of those past the mark."""
+    request = replace(Request().with_filter("type", "view"), first_n=50)
+    stored = {"lastUpdatedTime": F.col("ts")}
+    return delta_read(v.events(), request, state_rows(v), "state.delta", "click", 3_600_000, timestamps=stored).select(*EVENT)

@@ -17,7 +17,7 @@ from tagloom.streaming.batcher import group_into_batches_stream
 from tagloom.streaming.event_time import event_time_ms, window_count, window_runs, with_event_time
 from tagloom.streaming.landing import land, read_landing, run_available, run_until_drained
 from tagloom.streaming.upsert import merge_log, stream_upsert
-from tagloom.streaming.watch import Bounds, watch
+from tagloom.streaming.watch import watch
 
 EVENT = ["id", "externalId", "type", "source", "value", "lastUpdatedTime"]
 HOUR_MS, DAY_MS, DELAY_MS = 3_600_000, 86_400_000, 30_000
@@ -35,32 +35,20 @@ def _paths(v: Views) -> tuple[str, str]:
 
 @query(
     "watch_resource",
-    f"""SELECT id, externalId, type, source, value, lastUpdatedTime,
-               CASE WHEN lastUpdatedTime < {JAN_5 + DAY_MS} THEN {JAN_5} WHEN lastUpdatedTime < {JAN_5 + 3 * DAY_MS}
-                    THEN {JAN_5 + DAY_MS} ELSE {JAN_5 + 3 * DAY_MS} END AS slice
+    f"""SELECT id, externalId, type, source, value, lastUpdatedTime
         FROM ev WHERE type IN ('click', 'view') AND lastUpdatedTime >= {JAN_5} AND lastUpdatedTime < {JAN_10}""",
     ("ev",),
 )
 def watch_resource(v):
-    """Three polls of a clock that runs over the data; every slice lands in its own folder."""
-    out, checkpoint = _paths(v)
-    polls = iter([JAN_5 + DAY_MS + DELAY_MS, JAN_5 + 3 * DAY_MS + DELAY_MS])
+    """Files arrive between two runs of one watch; the second one reads the new files only."""
+    (out, checkpoint), folder = _paths(v), work_path(v.spark, "landing")
+    events = v.events().select(*EVENT)
     request = Request({"type": ["click", "view"], "lastUpdatedTime": {"min": JAN_5, "max": JAN_10}})
-
-    def sink(rows: DataFrame, piece: Bounds) -> None:
-        rows.write.mode("overwrite").parquet(f"{out}/slice={piece.start}")
-
-    watch(
-        v.spark,
-        lambda: v.events().select(*EVENT),
-        "events",
-        request,
-        sink,
-        checkpoint,
-        poll_interval_ms=100,
-        clock=lambda: next(polls, JAN_10 + DAY_MS),
-    )
-    return v.spark.read.parquet(out).withColumn("slice", F.col("slice").cast("long"))
+    middle = JAN_5 + 2 * DAY_MS
+    for part in (events.where(F.col("lastUpdatedTime") < middle), events.where(F.col("lastUpdatedTime") >= middle)):
+        land(part, folder, "lastUpdatedTime")
+        watch(v.spark, folder, events.schema, "events", request, out, checkpoint, available_now=True, max_files=2).awaitTermination()
+    return v.spark.read.schema(events.schema).parquet(out)
 
 
 @query(

@@ -91,9 +91,9 @@ def _range(key, low, high, fields, timestamps) -> list[Column]:
     if key in timestamps:
         stored = timestamps[key]
         if low is not None:
-            parts.append(stored >= _at(low))
+            parts.append(stored >= utc_at(low))
         if high is not None:
-            parts.append(stored < _at(high + 1))
+            parts.append(stored < utc_at(high + 1))
         return parts
     column = fields.get(key, F.col(key))
     if low is not None:
@@ -103,6 +103,6 @@ def _range(key, low, high, fields, timestamps) -> list[Column]:
     return parts
 
 
-def _at(millis: int) -> Column:
+def utc_at(millis: int) -> Column:
     """A UTC wall-clock literal for an epoch millisecond."""
     return F.timestamp_millis(F.lit(millis)).cast("timestamp_ntz")

@@ -10,15 +10,17 @@ from pyspark.sql import functions as F
 
 # Fixed value: Spark's own default number of shuffle partitions.
 DEFAULT_PARTITIONS = "200"
+STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Set the runtime settings the operators rely on: UTC days, runtime re-planning, skew splits."""
+    """Set the runtime settings the operators rely on: UTC days, runtime re-planning, skew splits, a state store on disk."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spark.conf.set(STATE_PROVIDER, ROCKSDB_PROVIDER)
     context = spark.sparkContext
     if context.master.startswith("local") and spark.conf.get("spark.sql.shuffle.partitions") == DEFAULT_PARTITIONS:
         # Stateful streams run one task per shuffle partition: a local session needs no more than its cores.

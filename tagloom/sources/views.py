@@ -52,11 +52,13 @@ class Views:
             "ts",
         )
 
-    def datapoints(self) -> DataFrame:
+    def datapoints(self, stored: bool = False) -> DataFrame:
+        """Data points; with ``stored`` their ``ts`` stays for time ranges that reach the scan."""
         return self.table("events").select(
             F.concat(F.lit("u:"), F.col("user_id")).alias("externalId"),
             epoch_ms(F.col("ts")).alias("timestamp"),
             F.col("value").alias("valueNum"),
+            *(["ts"] if stored else []),
         )
 
     def series(self) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from tagloom.session import ROCKSDB_PROVIDER
+from tagloom.session import ROCKSDB_PROVIDER, STATE_PROVIDER
 
 # Send the processor to the executors by value, so they need no installed copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -51,12 +51,15 @@ class BatchProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.buffer = handle.getListState("buffer", self.schema)
+        self.sums = handle.getValueState("sums", "n long, weight long")
+        if self.distinct:
+            self.ids = handle.getMapState("ids", T.StructType([self.schema[self.distinct]]), "seen boolean")
         self.deadline = handle.getValueState("deadline", "at long")
 
-    def _full(self, rows: list, ids: set, weight: int) -> bool:
+    def _full(self, n: int, ids: int, weight: int) -> bool:
         return (
-            len(rows) >= self.size
-            or (self.distinct is not None and len(ids) >= self.max_distinct)
+            n >= self.size
+            or (self.distinct is not None and ids >= self.max_distinct)
             or (self.weight is not None and weight >= self.max_weight)
         )
 
@@ -64,39 +67,56 @@ class BatchProcessor(StatefulProcessor):
         return row[self.weight] if self.weight else 0
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        held = self._held()
-        ids = {r[self.distinct] for r in held} if self.distinct else set()
-        weight = sum(self._weigh(r) for r in held)
-        started = bool(held)
+        """The stored rows are read only when a batch is emitted; otherwise the new ones are appended to them."""
+        n, weight = self.sums.get() if self.sums.exists() else (0, 0)
+        ids = {k[0] for k in self.ids.keys()} if self.distinct and n else set()
+        stored, fresh, fresh_ids = n > 0, [], []
+        started = stored
+
+        def emit() -> Row:
+            nonlocal n, weight, ids, stored, fresh, fresh_ids, started
+            held = [*(self._held() if stored else []), *fresh]
+            if stored:
+                self._forget()
+            n, weight, ids, stored, fresh, fresh_ids, started = 0, 0, set(), False, [], [], False
+            return self._batch(key, held, "full")
+
         for row in rows:
             item = self.item(*[row[f] for f in self.schema.fieldNames()])
-            if self.before and held:
-                joined = ids | {item[self.distinct]} if self.distinct else ids
-                if self._full(held + [item], joined, weight + self._weigh(item)):
-                    yield self._batch(key, held, "full")
-                    held, ids, weight, started = [], set(), 0, False
-            held.append(item)
-            if self.distinct:
+            new = bool(self.distinct) and item[self.distinct] not in ids
+            if self.before and n and self._full(n + 1, len(ids) + new, weight + self._weigh(item)):
+                yield emit()
+                new = bool(self.distinct)
+            fresh.append(item)
+            n, weight = n + 1, weight + self._weigh(item)
+            if new:
                 ids.add(item[self.distinct])
-            weight += self._weigh(item)
-            if not self.before and self._full(held, ids, weight):
-                yield self._batch(key, held, "full")
-                held, ids, weight, started = [], set(), 0, False
-        if held:
-            self.buffer.put(held)
+                fresh_ids.append(item[self.distinct])
+            if not self.before and self._full(n, len(ids), weight):
+                yield emit()
+        if fresh:
+            self.buffer.appendList(fresh)
+            self.sums.update((n, weight))
+            for value in fresh_ids:
+                self.ids.updateValue((value,), (True,))
             if not started:
                 self._set_timer(timerValues.getCurrentProcessingTimeInMs() + self.latency_ms)
-        else:
-            self.buffer.clear()
+        elif not n:
             self._drop_timer()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self.deadline.clear()
         held = self._held()
-        self.buffer.clear()
+        self._forget()
         if held:
             yield self._batch(key, held, "stale")
 
+    def _forget(self) -> None:
+        self.buffer.clear()
+        self.sums.clear()
+        if self.distinct:
+            self.ids.clear()
+
     def _held(self) -> list:
         # Rows come back from the state without their names.
         return [self.item(*row) for row in self.buffer.get()] if self.buffer.exists() else []
@@ -142,7 +162,8 @@ def group_into_batches_stream(
         raise ValueError(f"the latency must lie between {MIN_LATENCY_MS} and {MAX_LATENCY_MS} ms")
     if size < 1:
         raise ValueError("the batch size must be positive")
-    df.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    if df.sparkSession.conf.get(STATE_PROVIDER) != ROCKSDB_PROVIDER:
+        raise ValueError("stateful batching needs the RocksDB state store: call tagloom.session.configure first")
     # The Python state holds flat rows: nested values pass through it as JSON text.
     rest = [f for f in df.schema.fields if f.name not in key]
     nested = {f.name: f.dataType for f in rest if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))}

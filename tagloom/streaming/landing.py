@@ -6,7 +6,6 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
 
 
 def land(df: DataFrame, path: str, order_by: str, files: int = 4) -> str:
@@ -39,10 +38,11 @@ def run_available(df: DataFrame, path: str, checkpoint: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def run_until_drained(df: DataFrame, path: str, checkpoint: str, timeout_s: float = 120.0) -> DataFrame:
+def run_until_drained(df: DataFrame, path: str, checkpoint: str, idle_s: float = 120.0) -> DataFrame:
     """As :func:`run_available` for a stateful stream whose latency timers keep it running.
 
-    Stops once the input is read and the timers have emptied the state.
+    Stops once the input is read and the timers have emptied the state. A stream may run as long as it likes; it fails
+    if it still holds rows and nothing has moved for ``idle_s``: no input came and the state kept its size.
     """
     query = (
         df.writeStream.format("parquet")
@@ -51,9 +51,18 @@ def run_until_drained(df: DataFrame, path: str, checkpoint: str, timeout_s: floa
         .outputMode("append")
         .start()
     )
-    deadline = time.monotonic() + timeout_s
+    fed, held, deadline = False, None, time.monotonic() + idle_s
     try:
-        while not _drained(query):
+        while True:
+            # Only the last progress reports are kept: what was seen once is remembered here.
+            seen = query.recentProgress
+            fed = fed or any(p["numInputRows"] for p in seen)
+            if seen:
+                now = (seen[-1]["numInputRows"], [o["numRowsTotal"] for o in seen[-1]["stateOperators"]])
+                if now != held or now[0]:
+                    held, deadline = now, time.monotonic() + idle_s
+                if fed and not now[0] and not any(now[1]):
+                    break
             if query.awaitTermination(0.1):
                 break
             if time.monotonic() > deadline:
@@ -61,11 +70,3 @@ def run_until_drained(df: DataFrame, path: str, checkpoint: str, timeout_s: floa
     finally:
         query.stop()
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def _drained(query: StreamingQuery) -> bool:
-    seen = query.recentProgress
-    if not any(p["numInputRows"] for p in seen):
-        return False
-    last = seen[-1]
-    return last["numInputRows"] == 0 and all(o["numRowsTotal"] == 0 for o in last["stateOperators"])

@@ -1,29 +1,25 @@
-"""Unbounded reads: contiguous time slices of a growing table."""
+"""Unbounded reads: a stream of the rows of a request as a table grows."""
 
 from __future__ import annotations
 
-import time
-from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from tagloom.operators.reads import list_resource
 from tagloom.request import Request
 from tagloom.streaming.event_time import EVENT_TIME_COLUMNS
+from tagloom.streaming.landing import read_landing
 
-# The resources that can be watched, and the default waits.
+# The resources that can be watched, and the default wait between polls.
 WATCHED = ("assets", "events", "timeseries", "datapoints", "files", "raw_rows", "sequences")
-POLL_INTERVAL_MS, POLL_OFFSET_MS = 10_000, 30_000
+POLL_INTERVAL_MS = 10_000
 FOREVER = 2**63 - 1
 
 
-def now_ms() -> int:
-    return int(time.time() * 1000)
-
-
 @dataclass(frozen=True)
 class Bounds:
     """Time range ``[start, end)`` a request watches."""
@@ -51,72 +47,35 @@ def watch_bounds(resource: str, request: Request) -> Bounds:
     return bounds
 
 
-def next_slice(mark: int, bounds: Bounds, now: int, offset_ms: int = POLL_OFFSET_MS) -> Bounds | None:
-    """The slice ``[mark, min(end, now - offset))`` that can be read now, if it is not empty."""
-    start, end = max(mark, bounds.start), min(bounds.end, now - offset_ms)
-    return Bounds(start, end) if start < end else None
-
-
-def read_slice(table: DataFrame, resource: str, request: Request, piece: Bounds) -> DataFrame:
-    """Rows of one slice: the request's own filters and items, and ``start <= time < end``."""
-    column = EVENT_TIME_COLUMNS[resource]
+def watched_rows(table: DataFrame, resource: str, request: Request) -> DataFrame:
+    """Rows that a watch of the request delivers: its own filters and items, and ``start <= time < end``."""
+    bounds = watch_bounds(resource, request)
     rest = {k: v for k, v in request.filter.items() if k != "lastUpdatedTime"}
-    at = F.col(column)
-    rows = table.where((at >= piece.start) & (at < piece.end))
+    at = F.col(EVENT_TIME_COLUMNS[resource])
+    rows = table.where((at >= bounds.start) & (at < bounds.end))
     return list_resource(rows, Request(rest, request.metadata, items=request.items))
 
 
 def watch(
     spark: SparkSession,
-    read: Callable[[], DataFrame],
+    folder: str,
+    schema: T.StructType,
     resource: str,
     request: Request,
-    sink: Callable[[DataFrame, Bounds], None],
+    out: str,
     checkpoint: str,
     poll_interval_ms: int = POLL_INTERVAL_MS,
-    poll_offset_ms: int = POLL_OFFSET_MS,
-    clock: Callable[[], int] = now_ms,
-    timeout_s: float | None = None,
-) -> int:
-    """Poll the table until the request's end: every poll hands the next slice to ``sink``.
-
-    ``read`` opens the table anew, so a poll sees the files that have arrived. The high mark is a one-row file
-    next to the stream's checkpoint, written after the slice: a restart repeats at most the slice in flight,
-    with the same start, so a sink that overwrites by slice start is exactly-once. Returns the final mark.
+    available_now: bool = False,
+    max_files: int | None = None,
+) -> StreamingQuery:
+    """Start a stream that appends the request's rows to ``out`` as files arrive in ``folder``.
+
+    The folder is looked at every ``poll_interval_ms``. Spark's checkpoint keeps which files were read and the file
+    sink which micro-batches were written, so a restart neither repeats nor loses rows, and a poll reads new files
+    only. With ``available_now`` the stream ends once it has read what is there.
     """
-    bounds = watch_bounds(resource, request)
-    marks = f"{checkpoint}/marks"
-
-    def stored() -> int:
-        try:
-            return spark.read.schema("mark long").parquet(marks).agg(F.max("mark")).first()[0] or bounds.start
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return bounds.start
-
-    state = {"mark": stored()}
-
-    def poll(_: DataFrame, __: int) -> None:
-        piece = next_slice(state["mark"], bounds, clock(), poll_offset_ms)
-        if piece is None:
-            return
-        sink(read_slice(read(), resource, request, piece), piece)
-        spark.range(1).select(F.lit(piece.end).alias("mark")).coalesce(1).write.mode("append").parquet(marks)
-        state["mark"] = piece.end
-
-    ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
-    query = (
-        ticks.writeStream.foreachBatch(poll)
-        .option("checkpointLocation", f"{checkpoint}/ticks")
-        .trigger(processingTime=f"{poll_interval_ms} milliseconds")
-        .start()
-    )
-    started = time.monotonic()
-    try:
-        while state["mark"] < bounds.end and (timeout_s is None or time.monotonic() - started < timeout_s):
-            if query.awaitTermination(0.2):
-                break
-    finally:
-        query.stop()
-    return state["mark"]
+    rows = watched_rows(read_landing(spark, folder, schema, max_files), resource, request)
+    writer = rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+    if available_now:
+        return writer.trigger(availableNow=True).start()
+    return writer.trigger(processingTime=f"{poll_interval_ms} milliseconds").start()

@@ -28,10 +28,24 @@ def test_batches_are_exact(spark, skewed, order):
     assert batching.explode_batches(batches).select("id").distinct().count() == 20_000
 
 
-def test_no_task_gets_the_hot_key(spark, skewed):
-    """The numbering window is partitioned by slice too."""
-    plan = batching.assign_batches(skewed, ["key"], 128, ["id"], hot_rows=500)._jdf.queryExecution().executedPlan().toString()
-    assert "_slice" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+@pytest.mark.parametrize("order", [["id"], ["name"], ["name", "id"]])
+def test_the_order_is_the_same_at_every_size(spark, skewed, order):
+    numbered = lambda hot: batching.assign_batches(skewed, ["key"], 128, order, hot_rows=hot)
+    assert numbered(500).exceptAll(numbered(10**6)).count() == 0
+    first = batching.group_into_batches(skewed.where("key = -1"), ["key"], 128, ["name"], hot_rows=500).where("batch = 0")
+    wanted = sorted(f"n{i}" for i in range(0, 20_000, 3))[:128]
+    assert sorted(i["name"] for i in first.first()["items"]) == wanted
+
+
+def test_outliers_do_not_fill_a_slice(spark, monkeypatch):
+    """3000 close values and one far away: the slices are written, so their sizes can be seen."""
+    table = spark.range(3000).union(spark.createDataFrame([(10**12,)], "id long")).withColumn("key", F.lit("k"))
+    written = {}
+    plain = batching.materialize
+    monkeypatch.setattr(batching, "materialize", lambda df, label: written.setdefault(label, plain(df, label)))
+    assert batching.assign_batches(table, ["key"], 100, ["id"], hot_rows=100).where("batch = 30").count() == 1
+    sizes = [r["count"] for r in written["slices"].groupBy("_slice").count().collect()]
+    assert sum(sizes) == 3001 and max(sizes) <= 2 * 100
 
 
 @pytest.mark.parametrize("hot", [500, 10**6])

@@ -2,6 +2,7 @@
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tagloom.request import Request
 from tagloom.session import work_path
@@ -9,7 +10,7 @@ from tagloom.streaming.batcher import group_into_batches_stream
 from tagloom.streaming.event_time import dropped_rows, window_count, with_event_time
 from tagloom.streaming.landing import land, read_landing, run_available, run_until_drained
 from tagloom.streaming.upsert import merge_log, stream_upsert
-from tagloom.streaming.watch import Bounds, next_slice, read_slice, watch, watch_bounds
+from tagloom.streaming.watch import Bounds, watch, watch_bounds, watched_rows
 
 ITEMS = [("a", 1), ("a", 2), ("a", 3), ("a", 4), ("c", 10), ("c", 11), ("d", 100), ("d", 101), ("d", 102)]
 
@@ -69,39 +70,46 @@ def test_watch_bounds():
     ]:
         with pytest.raises(ValueError):
             watch_bounds(resource, request)
-    assert next_slice(0, Bounds(0, 100), 50, 30) == Bounds(0, 20)
-    assert next_slice(20, Bounds(0, 100), 50, 30) is None
-    assert next_slice(20, Bounds(0, 100), 500, 30) == Bounds(20, 100)
 
 
 def test_watch_sees_new_files_and_resumes(spark):
-    schema = "id long, type string, lastUpdatedTime long"
+    schema = T.StructType.fromDDL("id long, type string, lastUpdatedTime long")
     folder, (out, checkpoint) = work_path(spark, "table"), paths(spark)
     request = Request({"type": "x", "lastUpdatedTime": {"min": 10, "max": 100}})
-    read = lambda: spark.read.schema(schema).parquet(folder)
 
     def add(*times):
         table = spark.createDataFrame([(t, "x" if t % 2 else "y", t) for t in times], schema)
         table.write.mode("append").parquet(folder)
 
-    def sink(rows, piece):
-        rows.write.mode("overwrite").parquet(f"{out}/slice={piece.start}")
+    def run():
+        watch(spark, folder, schema, "events", request, out, checkpoint, available_now=True).awaitTermination()
+        return sorted(r["id"] for r in spark.read.schema(schema).parquet(out).collect())
 
-    run = lambda now, timeout: watch(
-        spark, read, "events", request, sink, checkpoint, 50, 5, clock=lambda: now, timeout_s=timeout
-    )
     add(1, 11, 12, 13, 39)
-    assert run(35, 3) == 30
-    add(31, 99, 101)
-    assert run(500, 30) == 100
-    found = sorted((r["slice"], r["id"]) for r in spark.read.parquet(out).collect())
-    assert found == [(10, 11), (10, 13), (30, 31), (30, 39), (30, 99)]
+    assert run() == [11, 13, 39]
+    add(31, 99, 101, 9)
+    assert run() == [11, 13, 31, 39, 99]
+    assert run() == [11, 13, 31, 39, 99]
 
 
-def test_slices_keep_items(spark):
+def test_watch_polls_until_stopped(spark):
+    schema = T.StructType.fromDDL("id long, type string, lastUpdatedTime long")
+    folder, (out, checkpoint) = work_path(spark, "table"), paths(spark)
+    spark.createDataFrame([(1, "x", 1)], schema).write.parquet(folder)
+    query = watch(spark, folder, schema, "events", Request(), out, checkpoint, poll_interval_ms=50)
+    try:
+        query.processAllAvailable()
+        spark.createDataFrame([(2, "x", 2)], schema).write.mode("append").parquet(folder)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert spark.read.schema(schema).parquet(out).count() == 2
+
+
+def test_watch_keeps_items(spark):
     points = spark.createDataFrame([("a", 1), ("b", 1), ("a", 9)], "externalId string, timestamp long")
-    request = Request(items=({"externalId": "a"},))
-    assert read_slice(points, "datapoints", request, Bounds(0, 5)).count() == 1
+    request = Request(root={"start": 0, "end": 5}, items=({"externalId": "a"},))
+    assert watched_rows(points, "datapoints", request).count() == 1
 
 
 def test_late_rows_are_counted_or_dropped(spark):
