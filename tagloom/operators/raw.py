@@ -68,7 +68,7 @@ def read_many_raw(raw: DataFrame, requests: DataFrame) -> DataFrame:
     A request with a column list gets only those dynamic fields, as they are stored.
     """
     wanted = F.col("columns") if "columns" in requests.columns else F.lit(None).cast("string")
-    asked = requests.select("request_id", "dbName", "tableName", F.transform(F.split(wanted, ","), F.trim).alias("_wanted"))
+    asked = requests.select("request_id", "dbName", "tableName", F.transform(F.split(wanted, ","), lambda c: F.trim(c)).alias("_wanted"))
     found = raw.join(small_side(asked), ["dbName", "tableName"])
     cut = F.to_json(F.map_filter(F.from_json("columns", "map<string,variant>"), lambda k, _: F.array_contains("_wanted", k)))
     return found.withColumn("columns", F.when(F.col("_wanted").isNull(), F.col("columns")).otherwise(cut)).select("request_id", *raw.columns)
