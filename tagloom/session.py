@@ -46,9 +46,22 @@ def work_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_given: list[str] = []
+
+
 def work_path(spark: SparkSession, label: str) -> str:
     """A fresh folder name below the shared work folder."""
-    return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _given.append(path)
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the tables that this process wrote to the work folder so far: call it once their results are written."""
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    while _given:
+        path = hadoop.Path(_given.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

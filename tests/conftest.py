@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -15,6 +16,7 @@ def make_session() -> SparkSession:
         .appName("tagloom-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "12g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tagloom-tests-"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -27,4 +29,7 @@ def make_session() -> SparkSession:
 def spark():
     session = make_session()
     yield session
+    from tagloom.session import release
+
+    release(session)
     session.stop()
