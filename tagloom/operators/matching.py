@@ -29,10 +29,15 @@ def features(fields: Sequence[Column], feature_type: str = "simple") -> Column:
             words = split_letters_digits(words)
         if feature_type != "simple":
             words = F.concat(words, bigrams(words))
-        parts.append(words if i == 0 else F.transform(words, lambda w, i=i: F.concat(F.lit(f"{i}\x1f"), w)))
+        parts.append(words if i == 0 else _of_field(words, i))
     return F.array_sort(F.array_distinct(F.concat(*parts)))
 
 
+def _of_field(words: Column, number: int) -> Column:
+    """Features marked with the number of their field."""
+    return F.transform(words, lambda word: F.concat(F.lit(f"{number}\x1f"), word))
+
+
 def fit_matcher(
     sources: DataFrame,
     targets: DataFrame,
@@ -181,8 +186,8 @@ def match_entities(
 def match_rows(
     rows: DataFrame,
     targets: DataFrame,
-    via: Callable[[DataFrame], Column],
-    target_field: str,
+    via: Callable[[DataFrame], Column | Sequence[Column]],
+    target_field: str | Sequence[str],
     feature_type: str = "simple",
     max_matches: int = 1,
     threshold: float = 0.0,
@@ -190,18 +195,25 @@ def match_rows(
 ) -> DataFrame:
     """Rows of any kind with ``matches``, an array of (target_id, score), best first; empty without a match.
 
-    ``via`` gives the text to match for a row. Rows with the same text share one match.
+    ``via`` gives the text to match for a row, or one text per entry of ``target_field``. Rows with the same texts
+    share one match; a row whose texts are all NULL has none.
     """
-    texted = rows.withColumn("_text", via(rows))
-    distinct = texted.select(F.col("_text").alias("text")).where(F.col("text").isNotNull()).distinct()
+    given, names = via(rows), [target_field] if isinstance(target_field, str) else list(target_field)
+    given = [given] if isinstance(given, Column) else list(given)
+    if len(given) != len(names):
+        raise ValueError("one text per matched field is needed")
+    fields = [f"_f{i}" for i in range(len(given))]
+    texted = rows.withColumn("_text", F.struct(*[text.alias(name) for text, name in zip(given, fields)]))
+    some = F.coalesce(*[F.col(f"_text.{name}") for name in fields]).isNotNull()
+    distinct = texted.where(some).select(F.col("_text").alias("texts")).distinct().select("texts", "texts.*")
     found = match_entities(
         distinct,
         targets,
-        [("text", target_field)],
+        list(zip(fields, names)),
         feature_type,
         max_matches,
         threshold,
-        source_id="text",
+        source_id="texts",
         target_id=target_id,
     )
     lists = found.groupBy(F.col("source_id").alias("_text")).agg(

@@ -131,6 +131,22 @@ def match_generic(v):
     )
 
 
+@query(
+    "match_generic_fields",
+    """WITH t AS (SELECT DISTINCT p_brand AS brand, p_type AS kind FROM part WHERE p_size > 10)
+       SELECT p_partkey, p_brand || '/' || p_type AS target_id, 1.0::DOUBLE AS score FROM part
+       SEMI JOIN t ON p_brand = brand AND p_type = kind""",
+)
+def match_generic_fields(v):
+    """Parts matched by brand and type together; those whose pair is a target find it with score 1."""
+    part = v.table("part").select("p_partkey", "p_brand", "p_type", "p_size")
+    pairs = part.where("p_size > 10").select("p_brand", "p_type").distinct()
+    targets = pairs.select(F.concat_ws("/", "p_brand", "p_type").alias("id"), F.col("p_brand").alias("brand"), F.col("p_type").alias("kind"))
+    found = match_rows(part, targets, lambda rows: [F.lower("p_brand"), F.upper("p_type")], ["brand", "kind"], threshold=0.999)
+    best = F.get("matches", F.lit(0))
+    return found.where(F.size("matches") > 0).select("p_partkey", best["target_id"].alias("target_id"), F.round(best["score"], 6).alias("score"))
+
+
 @query(
     "fit_matcher",
     f"""WITH sides AS (SELECT DISTINCT 0 AS side, list_sort(list_distinct({_WORDS.format("name")})) AS f FROM ({_SRC})
