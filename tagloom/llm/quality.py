@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StructType
 
 from tagloom.llm.text import mix, slices, string_parts, words_of
 
@@ -166,18 +167,23 @@ def fit(x: np.ndarray, y: np.ndarray, rounds: int = 12, ridge: float = 0.3) -> n
 _PATTERN = 3 ** np.arange(len(LABELLERS))
 
 
-def _texts(batches: Iterator[pa.RecordBatch], column: int):
+def _texts(batches: Iterator[pa.RecordBatch], texts_of):
+    """Runs of texts with their measures; ``texts_of`` takes the texts from a batch."""
     for batch in batches:
-        raw, bounds = string_parts(batch.column(column))
+        raw, bounds = string_parts(texts_of(batch))
         for first, last in slices(bounds):
             yield batch, first, last, raw, bounds, _measures(raw, bounds, first, last)
 
 
+def _first(batch: pa.RecordBatch) -> pa.Array:
+    return batch.column(0)
+
+
 def patterns_of(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(pattern, count): the votes of all documents as base-3 numbers."""
 
     def run(batches):
-        for _, _, _, _, _, m in _texts(batches, 0):
+        for _, _, _, _, _, m in _texts(batches, _first):
             values, counts = np.unique(votes(m) @ _PATTERN, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(values.astype(np.int64)), pa.array(counts.astype(np.int64))], ["pattern", "n"])
 
@@ -198,7 +204,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     part = min(1.0, sample / total)
 
     def run(batches):
-        for _, first, last, raw, bounds, m in _texts(batches, 0):
+        for _, first, last, raw, bounds, m in _texts(batches, _first):
             x = features(raw, bounds, first, last, m)
             rows = [pa.array((votes(m) @ _PATTERN).astype(np.int64)), pa.array([v.tobytes() for v in x], pa.binary())]
             yield pa.RecordBatch.from_arrays(rows, ["pattern", "x"])
@@ -211,34 +217,47 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     return fit(x, np.array([posterior.get(r["pattern"], 0.5) for r in rows])), posterior
 
 
-def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, least: float = LEAST) -> DataFrame:
-    """``docs`` with posterior (label model), score (scorer) and keep; clashing columns of the input are replaced."""
+def _judge(docs: DataFrame, id_col: str, text_col: str, sample: int, least: float):
+    """Fit label model and scorer to ``docs``; a function from the measures of texts to (posterior, score, keep)."""
     weights, posterior = train(docs, id_col, text_col, sample)
     codes = np.array(sorted(posterior), np.int64)
     values = np.array([posterior[c] for c in codes.tolist()])
+
+    def judge(raw, bounds, first, last, m):
+        x = features(raw, bounds, first, last, m)
+        score = 1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -30, 30)))
+        score = np.round(np.where(m["words"] > 0, score, 0.0), 9)
+        return values[np.searchsorted(codes, votes(m) @ _PATTERN)], score, score >= least
+
+    return judge
+
+
+def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, least: float = LEAST) -> DataFrame:
+    """``docs`` with posterior (label model), score (scorer) and keep; clashing columns of the input are replaced."""
+    judge = _judge(docs, id_col, text_col, sample, least)
     docs = docs.drop("posterior", "score", "keep")
     at = docs.columns.index(text_col)
 
     def run(batches):
-        for batch, first, last, raw, bounds, m in _texts(batches, at):
-            x = features(raw, bounds, first, last, m)
-            score = 1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -30, 30)))
-            score = np.round(np.where(m["words"] > 0, score, 0.0), 9)
-            post = values[np.searchsorted(codes, votes(m) @ _PATTERN)]
+        for batch, first, last, *run_of in _texts(batches, lambda b: b.column(at)):
             part = batch.slice(first, last - first)
-            yield pa.RecordBatch.from_arrays(
-                [*part.columns, pa.array(post), pa.array(score), pa.array(score >= least)], [*part.schema.names, "posterior", "score", "keep"]
-            )
-
-    from pyspark.sql.types import BooleanType, DoubleType, StructType
+            marks = [pa.array(v) for v in judge(run_of[0], run_of[1], first, last, run_of[2])]
+            yield pa.RecordBatch.from_arrays([*part.columns, *marks], [*part.schema.names, "posterior", "score", "keep"])
 
     schema = StructType(list(docs.schema.fields)).add("posterior", DoubleType()).add("score", DoubleType()).add("keep", BooleanType())
     return docs.mapInArrow(run, schema)
 
 
-def accepted(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that the classifier keeps, with their own columns only."""
-    return classify(docs.select(F.struct("*").alias("row"), "doc_id", "text"), **options).where("keep").select("row.*")
+def accepted(docs: DataFrame, sample: int = SAMPLE, least: float = LEAST) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, ...) that the classifier keeps, with their own columns only."""
+    judge = _judge(docs, "doc_id", "text", sample, least)
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for batch, first, last, *run_of in _texts(batches, lambda b: b.column(at)):
+            yield batch.slice(first, last - first).filter(pa.array(judge(run_of[0], run_of[1], first, last, run_of[2])[2]))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op3_quality_labels(spark, sf_dir: str) -> DataFrame:
