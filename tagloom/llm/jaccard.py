@@ -14,7 +14,7 @@ shingles two partners share one of their first floor(n / 5) + 1. The order used
    and the documents outside. Regions of one pivot are one region from here on.
 3. Regions with documents outside join recursively: those become pivots in turn, and meet just the members that the
    triangle inequality leaves: whose distances to the first pivot differ by at most the join's distance (boundary
-   documents of the ball included), of compatible size, and not yet in the same component. Each level has four times
+   documents of the ball included), with sizes and shared parts that allow a link, and not yet in the same component. Each level has four times
    the pivots of the last one; the recursion ends when no region has an undecided pair.
 4. Components of all links, then of all copies.
 
@@ -130,7 +130,7 @@ def _shared(rows: DataFrame) -> DataFrame:
 
 
 def regions(docs: DataFrame, marked: DataFrame, common: np.ndarray) -> DataFrame:
-    """(s, doc, n, own): the documents of each region of two and more; ``own`` is the part of shingles no other has."""
+    """(s, doc, n, shared): the documents of each region of two and more, with the number of shingles that another has."""
     firsts = marked.where("n_shingles > 0").groupBy("mark_a", "mark_b").agg(F.min(F.struct("doc_id", "n_shingles", "sampled")).alias("first")).select("first.*")
     may_lose = F.floor(F.col("n_shingles") / FIVE)
     counts = _shared(postings(docs, common, False)).groupBy("doc").agg(F.count("*").alias("shared"))
@@ -149,7 +149,7 @@ def regions(docs: DataFrame, marked: DataFrame, common: np.ndarray) -> DataFrame
     # Below the edge by frequency, then beyond it by hash: sorted by (place, df, s), with one df for all beyond.
     ordered = F.array_sort(F.transform("known", lambda e: F.struct(e["place"], F.when(e["place"] == 0, e["df"]).otherwise(0).alias("df"), e["s"])))
     prefix = F.transform(F.slice(ordered, F.lit(1), F.greatest(room, F.lit(1))), lambda e: e["s"])
-    members = known.where(room > 0).select(F.explode(prefix).alias("s"), "doc", F.col("n_shingles").alias("n"), (alone / F.col("n_shingles")).alias("own"))
+    members = known.where(room > 0).select(F.explode(prefix).alias("s"), "doc", F.col("n_shingles").alias("n"), "shared")
     return members.withColumn("_size", F.count("*").over(Window.partitionBy("s"))).where("_size > 1").drop("_size")
 
 
@@ -194,31 +194,33 @@ def links(docs: DataFrame, marked: DataFrame, common: np.ndarray) -> tuple[DataF
     apart = 1 - F.col("both") / F.col("either")
     most = 1 - FOUR / FIVE + 1e-9
     region = materialize(regions(docs, marked, common), "regions")
-    pivots = region.groupBy("s").agg(F.min(F.struct("own", "doc"))["doc"].alias("pivot"))
-    seen = region.join(pivots, "s").where("doc <> pivot").groupBy("doc", "pivot").agg(F.max("n").alias("n"), F.max("own").alias("own"))
+    pivots = region.groupBy("s").agg(F.min(F.struct(1 - F.col("shared") / F.col("n"), "doc"))["doc"].alias("pivot"))
+    seen = region.join(pivots, "s").where("doc <> pivot").groupBy("doc", "pivot").agg(F.max("n").alias("n"), F.max("shared").alias("shared"))
     seen = materialize(seen, "seen")
     found = materialize(distances(docs, seen.select("doc", "pivot")), "distances")
     roots = components(found.where(near).select(F.col("doc").alias("a"), F.col("pivot").alias("b")))
     known = found.groupBy("doc", "pivot").agg(F.min(apart).alias("d"), F.max(near).alias("in_ball"))
-    left = seen.join(known, ["doc", "pivot"]).select(F.col("pivot").alias("s"), "doc", "n", "own", "d", (~F.col("in_ball")).alias("outside"))
+    left = seen.join(known, ["doc", "pivot"]).select(F.col("pivot").alias("s"), "doc", "n", "shared", "d", (~F.col("in_ball")).alias("outside"))
     wide = 4
     while True:
         # A ball's documents stay only within reach of the nearest document outside.
         by_region = Window.partitionBy("s")
         left = left.withColumn("_out", F.min(F.when(F.col("outside"), F.col("d"))).over(by_region))
         left = left.where(F.col("_out").isNotNull() & (F.col("outside") | (F.col("d") >= F.col("_out") - most))).drop("_out")
-        left = left.withColumn("_turn", F.row_number().over(by_region.orderBy(F.col("outside").desc(), "own", "doc")))
+        left = left.withColumn("_turn", F.row_number().over(by_region.orderBy(F.col("outside").desc(), 1 - F.col("shared") / F.col("n"), "doc")))
         left = left.withColumn("_pivot", F.col("outside") & (F.col("_turn") <= wide))
         left = left.join(roots.select(F.col("node").alias("doc"), "root"), "doc", "left").withColumn("root", F.coalesce("root", "doc"))
         left = materialize(left, "undecided")
         if left.isEmpty():
             break
-        turn = left.where("_pivot").select("s", F.col("doc").alias("pivot"), F.col("n").alias("_n"), F.col("d").alias("_d"), F.col("root").alias("_root"), F.col("_turn").alias("_at"))
+        turn = left.where("_pivot").select("s", F.col("doc").alias("pivot"), F.col("n").alias("_n"), F.col("shared").alias("_shared"), F.col("d").alias("_d"), F.col("root").alias("_root"), F.col("_turn").alias("_at"))
         met = left.join(turn, "s").where(
             (F.col("doc") != F.col("pivot"))
             & (~F.col("_pivot") | (F.col("_turn") > F.col("_at")))
             & (F.col("root") != F.col("_root"))
             & (F.least("n", "_n") * FIVE >= F.greatest("n", "_n") * FOUR)
+            # The common part holds no shingle that only one document has; similar sets need 4 / 9 of both sizes.
+            & (F.least("shared", "_shared") * (FOUR + FIVE) >= (F.col("n") + F.col("_n")) * FOUR)
             & (F.abs(F.col("d") - F.col("_d")) <= most)
         )
         met = met.select("doc", "pivot").distinct().join(found.select("doc", "pivot").distinct(), ["doc", "pivot"], "left_anti")
@@ -227,7 +229,7 @@ def links(docs: DataFrame, marked: DataFrame, common: np.ndarray) -> tuple[DataF
             fresh = materialize(distances(docs, met), "distances")
             found = found.unionByName(fresh)
             roots = components(found.where(near).select(F.col("doc").alias("a"), F.col("pivot").alias("b")))
-        left = left.where("NOT _pivot").select("s", "doc", "n", "own", "d", "outside")
+        left = left.where("NOT _pivot").select("s", "doc", "n", "shared", "d", "outside")
         wide *= 4
     return found.where(near).select(F.col("doc").alias("a"), F.col("pivot").alias("b")), roots
 
