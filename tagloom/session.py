@@ -21,6 +21,8 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     spark.conf.set(STATE_PROVIDER, ROCKSDB_PROVIDER)
+    # Rows may be whole texts: smaller batches keep the memory of Python workers and of their buffers small.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     context = spark.sparkContext
     if context.master.startswith("local") and spark.conf.get("spark.sql.shuffle.partitions") == DEFAULT_PARTITIONS:
         # Stateful streams run one task per shuffle partition: a local session needs no more than its cores.
