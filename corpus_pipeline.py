@@ -15,26 +15,31 @@ from tagloom.session import configure, materialize
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier keeps."""
+    configure(spark)
     return quality.accepted(docs)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the least id."""
+    configure(spark)
     return jaccard.one_of_each(docs)
 
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data and disclosing terms replaced."""
+    configure(spark)
     return disclosure.sanitised(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, shard by shard."""
+    configure(spark)
     return mixing.mixed_documents(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces with their length bucket, batch and slot."""
+    configure(spark)
     return packing.pack(docs)
 
 
