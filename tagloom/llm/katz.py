@@ -38,7 +38,7 @@ from tagloom.llm.text import mix, slices, string_parts, word_batches
 
 MOST, LEAST_LOSS = 5, 1e-3
 SAMPLE_TEXTS, CODES, FREQUENT = 4000, 65_535, 1000
-PIECE_BYTES = 6 << 20
+PIECE_BYTES = 12 << 20
 _U = np.uint64
 START, END = mix(np.array([0x5354415254, 0x454E44], _U))
 _LOW48 = _U((1 << 48) - 1)
