@@ -121,8 +121,8 @@ def disclosing(found: DataFrame, docs: DataFrame, text_col: str = "text") -> Dat
     holders = seen.groupBy(F.col("w.entity").alias("entity")).agg(F.count_distinct(one).alias("n_c"))
     wanted = small_side(materialize(pairs.select(F.col("term").alias("wanted")).distinct(), "terms"))
     words = docs.select(F.explode(F.array_distinct(F.transform(F.regexp_extract_all(F.coalesce(text_col, F.lit("")), F.lit(TERM), F.lit(0)), F.lower))).alias("term"))
-    # Counted before the join: a term stands in many documents, but once in the counts.
-    counted = words.groupBy("term").agg(F.count("*").alias("n_t")).join(wanted, F.col("term") == F.col("wanted"), "left_semi")
+    # Counted before the join: a term stands in many documents, but once in the counts. A semi join would be moved below.
+    counted = words.groupBy("term").agg(F.count("*").alias("n_t")).join(wanted, F.col("term") == F.col("wanted"))
     known = pairs.join(holders, "entity").join(counted, "term").withColumn("d", total)
     told = F.log2(F.col("n_ct") * F.col("d") / (F.col("n_c") * F.col("n_t")))
     share = F.when(F.col("d") > F.col("n_c"), told / F.log2(F.col("d") / F.col("n_c")))
