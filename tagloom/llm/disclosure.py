@@ -2,14 +2,17 @@
 
 1. Entities. E-mail and IP addresses, card and phone numbers, by pattern and check (length, Luhn, parts). Positions are
    code points: the pieces between matches and the matches themselves give them by running length.
-2. Co-occurrence. The words within ``REACH`` code points of an entity are its terms in that window. Over the corpus,
-   n(c) documents have entity c, n(c, t) have term t in a window of c, and n(t) have t anywhere; pointwise mutual
-   information PMI = log2(n(c, t) * D / (n(c) * n(t))) is how much t tells of c, IC = log2(D / n(c)) is all there is.
-3. Sanitisation. A term with PMI >= ``DISCLOSES`` * IC in at least ``WINDOWS`` different windows of c discloses c: where
-   it stands in a window of c, it is removed if it tells nearly all (``REMOVES``), else generalised to its kind. Windows
-   must differ, so copies of one text do not make evidence. Documents without entities are left alone.
-
-n(t) is counted for terms that some entity's windows repeat. Counts are pre-aggregated, pairs are only those of a window.
+2. Co-occurrence. Over the D different texts of the corpus (copies of one text count once), n(c) have entity c, n(t) have
+   term t and n(c, t) have both, wherever they stand; pointwise mutual information PMI = log2(n(c, t) * D / (n(c) * n(t)))
+   is how much t tells of c, IC = log2(D / n(c)) is all there is.
+3. Sanitisation. A term with PMI >= ``DISCLOSES`` * IC discloses c if as many common texts have a chance of at most
+   ``CHANCE`` when c and t are independent (Chernoff's bound with e = n(c) * n(t) / D texts expected); one common text can
+   do. Wherever it stands in a document that has c, it is removed if it tells nearly all (``REMOVES``), else generalised to
+   its kind. Documents without entities are left alone.
+
+Entities that stand in the same texts have the same counts and go on as one group, so a text full of entities of its own
+makes one pair per term. As n(c, t) is at most the lesser of n(c) and n(t), terms too common to reach the share are left
+out before pairs are formed, which loses nothing. Counts are pre-aggregated.
 
 Defined cases: null and empty texts have no spans; a null id is kept; rows equal in id and text share their spans; an
 empty table gives no rows; other columns do not matter (``sanitised`` keeps them, and sets ``n_chars`` if present).
@@ -17,6 +20,8 @@ empty table gives no rows; other columns do not matter (``sanitised`` keeps them
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,9 +37,10 @@ PATTERNS = {
 }
 KINDS = tuple(PATTERNS)
 TERM = r"\p{L}[\p{L}\p{N}]{3,}+"
-REACH, WINDOWS, DISCLOSES, REMOVES = 64, 3, 0.8, 0.95
+DISCLOSES, REMOVES, CHANCE = 0.8, 0.95, 0.05
 _SPAN = "array<struct<start:int,rank:int,end:int,kind:string,value:string>>"
 _PLACE = "array<struct<value:string,start:int,end:int>>"
+_ADDED = "array<struct<start:int,end:int,removed:boolean>>"
 
 
 def places(text: Column, pattern: str) -> Column:
@@ -83,64 +89,76 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*found))
 
 
-def _windows(text: Column, spans: Column) -> Column:
-    """Per span its entity, a digest of its surroundings, and the terms there that lie outside all spans."""
-    size = F.length(text)
+def entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, mark, spans, text) of every row; mark is a digest of the text, which is kept only where it has spans."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = rows.select("doc_id", F.xxhash64("text").alias("mark"), "text", F.when(F.col("text").rlike("[0-9@]"), base_spans(F.col("text"))).otherwise(F.array().cast(_SPAN)).alias("spans"))
+    return rows.select("doc_id", "mark", "spans", F.when(F.size("spans") > 0, F.col("text")).alias("text"))
 
-    def window(s: Column) -> Column:
-        low = F.greatest(s["start"] - REACH, F.lit(0))
-        left, right = F.substring(text, low + 1, s["start"] - low), F.substring(text, s["end"] + 1, F.lit(REACH))
-        # A term cut by the window's edge does not count.
-        before = F.filter(places(left, TERM), lambda t: (t["start"] > 0) | (low == 0))
-        after = F.filter(places(right, TERM), lambda t: (t["end"] < F.length(right)) | (s["end"] + REACH >= size))
-        moved = F.concat(
-            F.transform(before, lambda t: F.struct(F.lower(t["value"]).alias("value"), (t["start"] + low).alias("start"), (t["end"] + low).alias("end"))),
-            F.transform(after, lambda t: F.struct(F.lower(t["value"]).alias("value"), (t["start"] + s["end"]).alias("start"), (t["end"] + s["end"]).alias("end"))),
-        )
-        free = F.filter(moved, lambda t: ~F.exists(spans, lambda o: (o["start"] < t["end"]) & (t["start"] < o["end"])))
-        return F.struct(F.concat(s["kind"], F.lit(":"), F.lower(s["value"])).alias("entity"), F.xxhash64(left, right).alias("around"), free.alias("terms"))
 
-    return F.transform(spans, window)
+def _terms(text: Column) -> Column:
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
 
 
-def entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, mark, n_chars, spans, windows) of every row; mark is a digest of the text."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = rows.select("doc_id", F.xxhash64("text").alias("mark"), "text", F.when(F.col("text").rlike("[0-9@]"), base_spans(F.col("text"))).otherwise(F.array().cast(_SPAN)).alias("spans"))
-    return rows.select("doc_id", "mark", "spans", F.when(F.size("spans") > 0, _windows(F.col("text"), F.col("spans"))).alias("windows"))
+def term_counts(found: DataFrame, docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(term, n_t): in how many different texts a term stands."""
+    copied = found.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1").select(F.col("mark").alias("copied"))
+    copied = small_side(materialize(copied, "copied"), max_rows=4_000_000)  # one number each
+    texts = docs.select(F.coalesce(text_col, F.lit("")).alias("text")).withColumn("mark", F.xxhash64("text"))
+    words = texts.join(copied, F.col("mark") == F.col("copied"), "left").select("copied", F.explode(_terms(F.col("text"))).alias("term"))
+    rows = words.groupBy("term", "copied").agg(F.count("*").alias("n"))
+    return rows.groupBy("term").agg(F.sum(F.when(F.col("copied").isNull(), F.col("n")).otherwise(1)).alias("n_t"))
 
 
 def disclosing(found: DataFrame, docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(entity, term, share): terms that disclose an entity, and the share PMI / IC of what they tell."""
-    total = docs.select(F.count("*").alias("d")).scalar()
-    seen = found.where(F.size("windows") > 0).select("doc_id", "mark", F.explode("windows").alias("w"))
-    terms = seen.select("doc_id", "mark", "w.entity", "w.around", F.explode("w.terms").alias("t")).select("doc_id", "mark", "entity", "around", F.col("t.value").alias("term"))
-    one = F.struct("doc_id", "mark")
-    pairs = terms.groupBy("entity", "term").agg(F.count_distinct(one).alias("n_ct"), F.count_distinct("around").alias("windows")).where(F.col("windows") >= WINDOWS)
-    pairs = materialize(pairs.select("entity", "term", "n_ct"), "pairs")
-    holders = seen.groupBy(F.col("w.entity").alias("entity")).agg(F.count_distinct(one).alias("n_c"))
-    wanted = small_side(materialize(pairs.select(F.col("term").alias("wanted")).distinct(), "terms"))
-    words = docs.select(F.explode(F.array_distinct(F.transform(F.regexp_extract_all(F.coalesce(text_col, F.lit("")), F.lit(TERM), F.lit(0)), F.lower))).alias("term"))
-    # Counted before the join: a term stands in many documents, but once in the counts. A semi join would be moved below.
-    counted = words.groupBy("term").agg(F.count("*").alias("n_t")).join(wanted, F.col("term") == F.col("wanted"))
-    known = pairs.join(holders, "entity").join(counted, "term").withColumn("d", total)
-    told = F.log2(F.col("n_ct") * F.col("d") / (F.col("n_c") * F.col("n_t")))
-    share = F.when(F.col("d") > F.col("n_c"), told / F.log2(F.col("d") / F.col("n_c")))
-    return known.withColumn("share", share).where(F.col("share") >= DISCLOSES).select("entity", "term", "share")
+    """(mark, term, share): terms of a text that disclose an entity of it, and the greatest share PMI / IC of what they tell."""
+    d = F.lit(float(found.select("mark").distinct().count()))
+    seen = found.where(F.size("spans") > 0)
+    name = lambda s: F.concat(s["kind"], F.lit(":"), F.lower(s["value"]))
+    held = materialize(seen.select("mark", F.explode(F.transform("spans", name)).alias("entity")).distinct(), "held")
+    group = F.xxhash64(F.count("*"), F.bit_xor(F.xxhash64("mark")), F.bit_xor(F.xxhash64("mark", F.lit(1))))
+    groups = materialize(held.groupBy("entity").agg(group.alias("group"), F.count("*").alias("n_c")), "groups")
+    holders = held.join(small_side(groups), "entity").select("mark", "group", "n_c").distinct()
+    terms = seen.select("mark", F.explode(_terms(F.col("text"))).alias("term")).distinct()
+    counted = terms.join(term_counts(found, docs, text_col), "term")
+    told = lambda both: F.log2(both * d / (F.col("n_c") * F.col("n_t")))
+    least = DISCLOSES * F.log2(d / F.col("n_c"))
+    pairs = holders.join(counted, "mark").where((F.col("n_c") < d) & (told(F.least("n_c", "n_t")) >= least))
+    pairs = materialize(pairs.select("mark", "group", "n_c", "term", "n_t"), "pairs")
+    both = F.col("n_ct")
+    expected = F.col("n_c") * F.col("n_t") / d
+    telling = pairs.groupBy("group", "n_c", "term", "n_t").agg(F.count("*").alias("n_ct"))
+    telling = telling.where((told(both) >= least) & (both * F.log(both / expected) - both + expected >= -math.log(CHANCE)))
+    telling = small_side(materialize(telling.select("group", "term", (told(both) / F.log2(d / F.col("n_c"))).alias("share")), "disclosing"))
+    return pairs.select("mark", "group", "term").join(telling, ["group", "term"]).groupBy("mark", "term").agg(F.max("share").alias("share"))
+
+
+def _standing(text: Column, spans: Column, wanted: Column) -> Column:
+    """Places (start, end, removed) outside all spans of the terms that ``wanted`` (term -> removed) has."""
+    found = F.regexp_extract_all(text, F.lit(TERM), F.lit(0))
+    pairs = F.zip_with(F.slice(F.split(text, TERM, -1), F.lit(1), F.size(found)), found, lambda g, v: F.struct(F.length(g).alias("gap"), F.length(v).alias("size"), F.try_element_at(wanted, F.lower(v)).alias("removed")))
+
+    def step(acc: Column, pair: Column) -> Column:
+        start = acc["at"] + pair["gap"]
+        end = start + pair["size"]
+        place = F.struct(start.alias("start"), end.alias("end"), pair["removed"].alias("removed"))
+        return F.struct(end.alias("at"), F.when(pair["removed"].isNotNull(), F.concat(acc["out"], F.array(place))).otherwise(acc["out"]).alias("out"))
+
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast(_ADDED).alias("out"))
+    every = F.aggregate(pairs, begin, step, lambda acc: acc["out"])
+    return F.filter(every, lambda t: ~F.exists(spans, lambda o: (o["start"] < t["end"]) & (t["start"] < o["end"])))
 
 
 def all_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, mark, spans, added): base spans of every row, and the added ones (start, end, removed) of terms."""
     found = materialize(entities(docs, id_col, text_col), "entities")
-    telling = materialize(disclosing(found, docs, text_col), "disclosing")
-    seen = found.where(F.size("windows") > 0).select("doc_id", "mark", F.explode("windows").alias("w"))
-    terms = seen.select("doc_id", "mark", "w.entity", F.explode("w.terms").alias("t")).withColumn("term", F.col("t.value"))
-    hits = terms.join(telling, ["entity", "term"])
-    places_of = hits.groupBy("doc_id", "mark", F.col("t.start").alias("start"), F.col("t.end").alias("end")).agg((F.max("share") >= REMOVES).alias("removed"))
-    added = places_of.groupBy(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).agg(F.array_sort(F.collect_list(F.struct("start", "end", "removed"))).alias("added"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark"))
-    none = F.array().cast("array<struct<start:int,end:int,removed:boolean>>")
-    return found.join(added, same, "left").select("doc_id", "mark", "spans", F.coalesce("added", none).alias("added"))
+    telling = disclosing(found, docs, text_col).select("mark", F.struct("term", F.col("share") >= REMOVES).alias("t"))
+    wanted = small_side(materialize(telling.groupBy(F.col("mark").alias("_mark")).agg(F.map_from_entries(F.collect_list("t")).alias("wanted")), "wanted"))
+    none = F.array().cast(_ADDED)
+    told = found.where(F.size("spans") > 0).join(wanted, F.col("mark") == F.col("_mark"), "left")
+    added = F.when(F.col("wanted").isNotNull(), _standing(F.col("text"), F.col("spans"), F.col("wanted"))).otherwise(none)
+    told = told.select("doc_id", "mark", "spans", added.alias("added"))
+    return told.unionByName(found.where(F.size("spans") == 0).select("doc_id", "mark", "spans", none.alias("added")))
 
 
 def sanitise(text: Column, spans: Column, added: Column) -> Column:

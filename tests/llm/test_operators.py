@@ -368,6 +368,24 @@ def test_disclosing_terms(spark):
     assert disclosure.sanitised(clashing(awkward(spark)).drop("spans")).count() == 16
 
 
+def test_terms_of_entities_that_stand_once_or_twice(spark):
+    filler = lambda i: " ".join(f"common{(i + j) % 9}" for j in range(30))
+    once = f"Quixotania {filler(1)} write to bob@mail.example {filler(2)} quixotania"
+    twice = [f"Zanzibarum {filler(i)} call +1 (706) 555-3138 {filler(i + 1)} note{i}" for i in (3, 4)]
+    rows = [(0, once), (1, once), (2, once), (3, twice[0]), (4, twice[1]), (5, f"Quixotania{filler(5)}")]
+    rows += [(100 + i, f"{filler(i)} write call plain{i}") for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in disclosure.all_spans(docs).collect()}
+    terms = {i: [(rows[i][1][s.start : s.end], s.removed) for s in found[i].added] for i in range(5)}
+    # Far from the entity, both places; copies of one text are one text.
+    assert all(terms[i] == [("Quixotania", True), ("quixotania", True)] for i in range(3))
+    assert ("Zanzibarum", True) in terms[3] and ("Zanzibarum", True) in terms[4]
+    assert not any(t.startswith("common") for i in terms for t, _ in terms[i])
+    assert not any(found[i].added for i in (5, *range(100, 190)))
+    clean = {r.doc_id: r.text for r in disclosure.sanitised(docs).collect()}
+    assert "uixotania" not in clean[1] and "Zanzibarum" not in clean[4] and clean[5] == rows[5][1]
+
+
 # 10 Katz -----------------------------------------------------------------------------------------------------------
 
 
