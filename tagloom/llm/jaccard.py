@@ -146,9 +146,11 @@ def regions(docs: DataFrame, marked: DataFrame, common: np.ndarray) -> DataFrame
     known = lists.join(left, F.col("doc") == F.col("doc_id"))
     alone = F.col("n_shingles") - F.col("shared")
     room = (may_lose + 1 - alone).cast("int")
-    # Below the edge by frequency, then beyond it by hash: sorted by (place, df, s), with one df for all beyond.
-    ordered = F.array_sort(F.transform("known", lambda e: F.struct(e["place"], F.when(e["place"] == 0, e["df"]).otherwise(0).alias("df"), e["s"])))
-    prefix = F.transform(F.slice(ordered, F.lit(1), F.greatest(room, F.lit(1))), lambda e: e["s"])
+    # Below the edge by frequency, then beyond it by hash: sorted by (place, df, s), with one df for all beyond. Hashes have
+    # no sign where places are given, so s is sorted with its sign bit flipped.
+    unsigned = lambda s: s.bitwiseXOR(F.lit(-(1 << 63)))
+    ordered = F.array_sort(F.transform("known", lambda e: F.struct(e["place"], F.when(e["place"] == 0, e["df"]).otherwise(0).alias("df"), unsigned(e["s"]).alias("s"))))
+    prefix = F.transform(F.slice(ordered, F.lit(1), F.greatest(room, F.lit(1))), lambda e: unsigned(e["s"]))
     members = known.where(room > 0).select(F.explode(prefix).alias("s"), "doc", F.col("n_shingles").alias("n"), "shared")
     return members.withColumn("_size", F.count("*").over(Window.partitionBy("s"))).where("_size > 1").drop("_size")
 

@@ -235,6 +235,21 @@ def test_join_is_exact_on_chains_and_crowds(spark):
     assert found == want and len(set(want.values())) > 5
 
 
+def test_join_links_short_texts(spark):
+    rows, want = [], {}
+    for pair in range(4000):
+        n = 5 + pair % 17  # shingles; texts of 9 to 25 words
+        full = [f"p{pair}w{i}" for i in range(n + 4)]
+        cut = n // 5 if pair % 3 else max(n // 5 - 1, 0)  # at 0.8 or just above
+        rows += [(2 * pair, " ".join(full)), (2 * pair + 1, " ".join(full[: len(full) - cut]))]
+        a, b = shingles(rows[-1][1]), shingles(rows[-2][1])
+        want[2 * pair] = 2 * pair
+        want[2 * pair + 1] = 2 * pair + (100 * len(a & b) < 80 * len(a | b))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in jaccard.near_duplicates(docs).collect()} == want
+    assert all(v % 2 == 0 for v in want.values())
+
+
 # 6 Sharding --------------------------------------------------------------------------------------------------------
 
 
