@@ -23,8 +23,9 @@ documents come last in the order. The sample only chooses the order, so it can't
 has at most 100 times the sample's mean number of shingles. Distances to one pivot are computed in slices of its members.
 
 Defined cases: null text is empty: no shingles, linked with nothing; a text of fewer than five words is one shingle; a
-null id takes no part (its own component, null); rows that share an id are one document, linked if any of its texts
-is; an empty table gives no rows; other columns do not matter.
+null id takes no part (its own component, null; ``one_of_each`` lets it take part); rows that share an id are one
+document, linked if any of its texts is; an empty table gives no rows; other columns do not matter. Inside the join a
+document is a different (id, text), known by a 64-bit digest.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.llm.components import components
@@ -57,18 +58,18 @@ def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
 
 
 def marks(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, sampled, mark_a, mark_b): set size, shingles below the edge, and a 128-bit digest of the set."""
+    """(doc_id, key, n_shingles, sampled, mark_a, mark_b): set size, shingles below the edge, and a 128-bit digest of the set."""
 
     def run(batches):
         for batch in batches:
             rows = np.zeros((batch.num_rows, 4), np.int64)
-            for i, s in enumerate(shingle_sets(batch.column(1))):
+            for i, s in enumerate(shingle_sets(batch.column(2))):
                 a, b = mix(s ^ np.uint64(0xA0761D6478BD642F)), mix(s ^ np.uint64(0xE7037ED1A0B428DB))
                 rows[i] = len(s), np.searchsorted(s, _EDGE), a.sum(dtype=np.uint64).astype(np.int64), b.sum(dtype=np.uint64).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(rows[:, j]) for j in range(4)]], ["doc_id", "n_shingles", "sampled", "mark_a", "mark_b"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(rows[:, j]) for j in range(4)]], ["doc_id", "key", "n_shingles", "sampled", "mark_a", "mark_b"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles long, sampled long, mark_a long, mark_b long")
+    return docs.select("doc_id", "key", "text").mapInArrow(run, f"doc_id {kind}, key long, n_shingles long, sampled long, mark_a long, mark_b long")
 
 
 def common_shingles(docs: DataFrame, total: int) -> np.ndarray:
@@ -236,27 +237,63 @@ def links(docs: DataFrame, marked: DataFrame, common: np.ndarray) -> tuple[DataF
     return found.where(near).select(F.col("doc").alias("a"), F.col("pivot").alias("b")), roots
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text)."""
-    docs = docs.select("doc_id", "text")
-    keyed = docs.where("doc_id IS NOT NULL")
+def row_key(doc_id: Column, text: Column) -> Column:
+    """A number for each different (id, text), null ids included: what the join knows documents by."""
+    return F.xxhash64(doc_id, F.coalesce(text, F.lit("")))
+
+
+def _joined(docs: DataFrame, nulls: bool) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, key, n_shingles, first) of every row, first being the least key with an equal set; components (node, root) of firsts.
+
+    Rows with a null id take part only if ``nulls``.
+    """
+    docs = docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"), "text")
     marked = materialize(marks(docs), "marks")
-    known = marked.where("doc_id IS NOT NULL")
-    common = common_shingles(keyed, known.count())
-    _, roots = links(keyed, known, common)
+    part = F.lit(True) if nulls else F.col("doc_id").isNotNull()
+    keyed = docs.where(part).select(F.col("key").alias("doc_id"), "text")
+    known = marked.where(part).select(F.col("key").alias("doc_id"), "n_shingles", "sampled", "mark_a", "mark_b")
+    _, roots = links(keyed, known, common_shingles(keyed, known.count()))
     firsts = known.where("n_shingles > 0").groupBy("mark_a", "mark_b").agg(F.min("doc_id").alias("first"))
-    same = marked.join(firsts, ["mark_a", "mark_b"], "left").withColumn("first", F.coalesce("first", "doc_id"))
-    same = same.withColumn("first", F.when(F.col("n_shingles") > 0, F.col("first")).otherwise(F.col("doc_id")))
-    found = same.join(roots, F.col("first") == F.col("node"), "left")
-    return found.select("doc_id", "n_shingles", F.coalesce("root", "first").alias("component_id"))
+    same = marked.join(firsts, ["mark_a", "mark_b"], "left")
+    first = F.when((F.col("n_shingles") > 0) & part, F.col("first")).otherwise(F.col("key"))
+    return same.select("doc_id", "key", "n_shingles", first.alias("first")), roots
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text)."""
+    same, roots = _joined(docs, nulls=False)
+    same = materialize(same, "same")
+    known = same.where("doc_id IS NOT NULL")
+    # Different texts of one id are one document.
+    several = known.groupBy("doc_id").agg(F.min("first").alias("a"), F.max("first").alias("b")).where("a <> b").select("doc_id", "a")
+    several = materialize(known.join(several, "doc_id").where("a <> first").select(F.col("first").alias("a"), F.col("a").alias("b")), "several")
+    if not several.isEmpty():
+        roots = components(several.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+    ids = known.groupBy("first").agg(F.min("doc_id").alias("id"))
+    named = materialize(ids.join(roots, F.col("first") == F.col("node"), "left").select("first", "id", F.coalesce("root", "first").alias("root")), "named")
+    least = named.groupBy("root").agg(F.min("id").alias("component_id"), F.count("*").alias("_n")).where("_n > 1").select("root", "component_id")
+    named = named.join(small_side(materialize(least, "least")), "root", "left").select("first", F.coalesce("component_id", "id").alias("component_id"))
+    return same.join(named, "first", "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without near duplicates: of each component the document with the least id stays."""
-    gone = near_duplicates(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    rows = docs.select(F.struct("*").alias("row"))
-    gone = small_side(materialize(gone, "gone"))
-    return rows.join(gone, F.col("row.doc_id") == F.col("_gone"), "left_anti").select("row.*")
+    """The rows of ``docs`` without near duplicates: exactly one row of each component of texts stays, one with the least id.
+
+    Null ids take part and come last; different texts of one id are documents of their own, texts without words
+    too. Of rows equal in id and text the least as JSON stays.
+    """
+    same, roots = _joined(docs, nulls=True)
+    keys = same.groupBy("key", "first").agg(F.min("doc_id").alias("id"), F.count("*").alias("n"))
+    keys = materialize(keys.join(roots, F.col("first") == F.col("node"), "left").select("key", "id", "n", F.coalesce("root", "first").alias("root")), "keys")
+    stays = keys.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("null"), "id", "key")).alias("least"), F.count("*").alias("_n"))
+    stays = stays.where("_n > 1").select("root", F.col("least.key").alias("_stays"))
+    marked = keys.join(small_side(materialize(stays, "stays")), "root", "left")
+    marked = marked.select(F.col("key").alias("_key"), (F.col("key") == F.coalesce("_stays", "key")).alias("_kept"), F.col("n").alias("_n")).where("NOT _kept OR _n > 1")
+    marked = small_side(materialize(marked, "gone"), max_rows=1_000_000)
+    rows = docs.select(F.struct("*").alias("row")).withColumn("_id", row_key(F.col("row.doc_id"), F.col("row.text")))
+    rows = rows.join(marked, F.col("_id") == F.col("_key"), "left").where("_kept IS NULL OR _kept")
+    again = rows.where("_key IS NOT NULL").groupBy("_id").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return rows.where("_key IS NULL").select("row").unionByName(again.select("row")).select("row.*")
 
 
 def op5_jaccard_join(spark, sf_dir: str) -> DataFrame:

@@ -235,6 +235,22 @@ def test_join_is_exact_on_chains_and_crowds(spark):
     assert found == want and len(set(want.values())) > 5
 
 
+def test_one_row_of_each_component_stays(spark):
+    a, b, c, d = (sentence(i, 40) for i in (1, 2, 3, 4))
+    rows = [
+        (1, a, "x"), (1, a, "y"), (1, a, "y"),  # ingested again
+        (None, a + " more", "x"), (None, b, "x"), (None, b, "z"), (None, b + " more", "x"),  # null ids
+        (5, c, "x"), (5, d, "x"), (6, d + " more", "x"),  # one id, two texts
+        (7, None, "x"), (8, "", "x"), (8, "", "x"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = got(jaccard.one_of_each(docs))
+    assert Counter(r for r in kept if r[0] is not None) == Counter([(1, a, "x"), (5, c, "x"), (5, d, "x"), (7, None, "x"), (8, "", "x")])
+    assert len(kept) == 6 and sum(r[0] is None and r[1].startswith(b) for r in kept) == 1
+    found = Counter((r.doc_id, r.component_id) for r in jaccard.near_duplicates(docs).collect())
+    assert found == {(1, 1): 3, (None, None): 4, (5, 5): 2, (6, 5): 1, (7, 7): 1, (8, 8): 2}
+
+
 def test_join_links_short_texts(spark):
     rows, want = [], {}
     for pair in range(4000):
