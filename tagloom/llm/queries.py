@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tagloom.llm import disclosure, fingerprint, jaccard, katz, mixing, mtree, packing, quality, sharding, warc
+from tagloom.llm import disclosure, fingerprint, jaccard, katz, mixing, mtree, packing, quality, runs, sharding, token_counts, trie, warc
 from tagloom.session import configure
 
 
@@ -23,6 +23,9 @@ QUERIES = {
         packing.op8_length_buckets,
         disclosure.op9_disclosure_spans,
         katz.op10_katz,
+        runs.op11_periodic_runs,
+        trie.op12_prefix_trie,
+        token_counts.op13_token_counts,
     )
 }
 
@@ -32,4 +35,5 @@ ORACLES = {
     "op6_shard_placement": sharding.oracle(),
     "op7_mtree_topk": mtree.OP7_SQL,
     "op8_length_buckets": packing.oracle(),
+    "op12_prefix_trie": trie.OP12_SQL,
 }
