@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tagloom.functions.columns import DAY_MS, all_of
 from tagloom.operators.batching import group_into_batches
 from tagloom.request import Request
-from tagloom.session import small_side
+from tagloom.session import materialize, salt_count, small_side
 
 
 def list_resource(
@@ -44,42 +44,73 @@ def _items_frame(table: DataFrame, items: Sequence[Mapping]) -> DataFrame:
     )
 
 
+#: Root parameters that bound the time, as ``filter.lastUpdatedTime`` does.
+ROOT_TIMES = ("minLastUpdatedTime", "maxLastUpdatedTime")
+
+
 def parse_requests(
-    requests: DataFrame, equals: Sequence[str], json_col: str = "request", metadata_keys: Sequence[str] = ()
+    requests: DataFrame,
+    equals: Sequence[str],
+    json_col: str = "request",
+    metadata_keys: Sequence[str] = (),
+    root_keys: Sequence[str] = (),
 ) -> DataFrame:
     """A column of request JSON as a table of requests: one column per filter key, ``min`` and ``max``.
 
     A list value means any-of, and ``items`` names rows by ``id`` or ``externalId`` (both must then be keys of
     ``equals``): such a request becomes one row per combination, under one request id. An empty list matches nothing.
-    Malformed JSON, an unknown filter or an unknown parameter fails the job instead of widening the request.
+    The root parameters ``minLastUpdatedTime`` and ``maxLastUpdatedTime`` narrow the time range; those named by
+    ``root_keys`` become columns of text. Malformed JSON, an unknown filter or an unknown parameter fails the job instead
+    of widening the request.
     """
-    body = F.try_parse_json(F.col(json_col))
-    at = lambda path, kind="string": F.try_variant_get(body, path, kind)
-    keys = lambda path: F.coalesce(F.json_object_keys(F.get_json_object(json_col, path)), F.array().cast("array<string>"))
-    known = [*equals, "metadata", "lastUpdatedTime"]
+    rest = [F.col(c) for c in requests.columns if c != json_col]
+    # Every step stands behind a generator, so the text is parsed, and the body taken apart, once.
+    body = requests.select(*rest, F.inline(F.array(F.struct(F.try_parse_json(json_col).alias("_body")))))
+    part = lambda path, kind: F.try_variant_get("_body", path, kind)
+    members = "map<string,variant>"
+    opened = body.select(
+        *rest,
+        F.inline(
+            F.array(
+                F.struct(
+                    part("$", members).alias("_root"),
+                    part("$.filter", members).alias("_filter"),
+                    part("$.filter.metadata", members).alias("_metadata"),
+                    part("$.filter.lastUpdatedTime", members).alias("_time"),
+                    part("$.items", "array<struct<id:string,externalId:string>>").alias("_items"),
+                )
+            )
+        ),
+    )
+    keys = lambda of: F.coalesce(F.map_keys(of), F.array().cast("array<string>"))
+    listed = lambda names: F.array(*map(F.lit, names)).cast("array<string>")
     strange = F.concat(
-        F.array_except(keys("$"), F.array(*map(F.lit, ("filter", "items")))),
-        F.array_except(keys("$.filter"), F.array(*map(F.lit, known))),
-        F.array_except(keys("$.filter.metadata"), F.array(*map(F.lit, metadata_keys)).cast("array<string>")),
-        F.array_except(keys("$.filter.lastUpdatedTime"), F.array(F.lit("min"), F.lit("max"))),
+        F.array_except(keys("_root"), listed(("filter", "items", *ROOT_TIMES, *root_keys))),
+        F.array_except(keys("_filter"), listed([*equals, "metadata", "lastUpdatedTime"])),
+        F.array_except(keys("_metadata"), listed(metadata_keys)),
+        F.array_except(keys("_time"), listed(("min", "max"))),
     )
-    problem = F.when(body.isNull() | (F.schema_of_variant(body).startswith("OBJECT") == F.lit(False)), "a request is not a JSON object").when(
+    problem = F.when(F.col("_root").isNull(), "a request is not a JSON object").when(
         F.size(strange) > 0, F.concat(F.lit("unknown parts of a request: "), F.array_join(strange, ", "))
     )
-    checked = requests.where(F.when(problem.isNotNull(), F.raise_error(problem).cast("boolean")).otherwise(F.lit(True)))
+    checked = opened.where(F.when(problem.isNotNull(), F.raise_error(problem).cast("boolean")).otherwise(F.lit(True)))
+
+    def member(of: str, name: str, kind: str) -> Column:
+        return F.try_variant_get(F.try_element_at(of, F.lit(name)), "$", kind)
 
-    def values(path: str) -> Column:
-        kind = F.schema_of_variant(F.try_variant_get(body, path, "variant"))
-        listed = F.array_distinct(at(path, "array<string>"))
-        return F.when(kind.startswith("ARRAY"), listed).otherwise(F.array(at(path)))
+    def values(name: str) -> Column:
+        kind = F.schema_of_variant(F.try_element_at("_filter", F.lit(name)))
+        several = F.array_distinct(member("_filter", name, "array<string>"))
+        return F.when(kind.startswith("ARRAY"), several).otherwise(F.array(member("_filter", name, "string")))
 
     parsed = checked.select(
-        *[c for c in requests.columns if c != json_col],
-        *[values(f'$.filter["{k}"]').alias(f"_v_{k}") for k in equals],
-        at("$.items", "array<struct<id:string,externalId:string>>").alias("_items"),
-        *[at(f'$.filter.metadata["{k}"]').alias(k) for k in metadata_keys],
-        at("$.filter.lastUpdatedTime.min", "bigint").alias("min"),
-        at("$.filter.lastUpdatedTime.max", "bigint").alias("max"),
+        *rest,
+        *[values(k).alias(f"_v_{k}") for k in equals],
+        "_items",
+        *[member("_metadata", k, "string").alias(k) for k in metadata_keys],
+        *[member("_root", k, "string").alias(k) for k in root_keys],
+        F.greatest(member("_time", "min", "bigint"), member("_root", ROOT_TIMES[0], "bigint")).alias("min"),
+        F.least(member("_time", "max", "bigint"), member("_root", ROOT_TIMES[1], "bigint")).alias("max"),
     )
     for k in equals:
         parsed = parsed.withColumn(f"_v_{k}", F.explode(f"_v_{k}"))
@@ -90,16 +121,34 @@ def parse_requests(
         failure = F.raise_error(F.lit(f"items need the keys id and externalId; missing: {unnamed}"))
         parsed = parsed.where(F.when(F.col("_item").isNotNull(), failure.cast("boolean")).otherwise(F.lit(True)))
     return parsed.select(
-        *[c for c in requests.columns if c != json_col],
+        *rest,
         *[F.coalesce(item[k], F.col(f"_v_{k}")).alias(k) if k in item else F.col(f"_v_{k}").alias(k) for k in equals],
         *metadata_keys,
+        *root_keys,
         "min",
         "max",
     )
 
 
-#: A request that only bounds the time meets its rows by time buckets, unless it spans more of them than this.
-MOST_BUCKETS = 4096
+def dyadic_cover(low: Column, high: Column, levels: int) -> Column:
+    """The fewest dyadic nodes (level, node) that make up low..high: at most two of a level. ``node`` covers the numbers
+    that begin with it when their last ``level`` bits are cut off."""
+    node = lambda level, number: F.struct(level.cast("int").alias("level"), number.alias("node"))
+    empty = F.array().cast("array<struct<level:int,node:bigint>>")
+
+    def step(state: Column, level: Column) -> Column:
+        lo, hi = state["lo"], state["hi"]
+        left = (lo <= hi) & (lo % 2 == 1)
+        right = (lo <= hi) & (hi % 2 == 0) & ~(left & (lo == hi))
+        found = F.concat(
+            state["nodes"], F.when(left, F.array(node(level, lo))).otherwise(empty), F.when(right, F.array(node(level, hi))).otherwise(empty)
+        )
+        # Both ends move inwards over what was taken, then up one level.
+        up = lambda x: F.floor(x / 2).cast("long")
+        return F.struct(up(lo + 1).alias("lo"), up(hi - 1).alias("hi"), found.alias("nodes"))
+
+    start = F.struct(low.cast("long").alias("lo"), high.cast("long").alias("hi"), empty.alias("nodes"))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(levels)), start, step, lambda state: state["nodes"])
 
 
 def list_many(
@@ -110,68 +159,128 @@ def list_many(
     request_id: str = "request_id",
     bucket_ms: int = DAY_MS,
     timestamps: Mapping[str, Column] | None = None,
+    key: Sequence[str] = ("id",),
 ) -> DataFrame:
     """Evaluate every request on its own: (request_id, row...); overlapping requests give a row several times.
 
     ``equals`` names the request columns compared for equality and the table expression of each; a NULL in the
     request means no such filter. ``min`` and ``max`` bound ``time`` inclusively, NULL means open; a row without a
-    time matches requests that leave both open.
-
-    Requests fall into shapes by the filters they set. A row offers one join key per shape in use, so all
-    shapes are answered by one equi join in one pass over the table. A request that sets only a bounded time range
-    is joined on time buckets; one that is open at an end, or very wide, meets every row and is only range-checked.
-    If every request bounds the time, the common range also goes to the table as a plain filter, on the stored
-    timestamp where ``timestamps`` names it.
+    time matches requests that leave both open. Several rows of one request id are one request that takes any of them:
+    a row of the table that several of them match is delivered once. Rows are told apart by ``key``, which must
+    be unique; it is only needed where rows of one request differ in more than the values they compare.
+
+    Requests fall into shapes by the filters they set. A row offers one join key per shape in use, so all shapes are
+    answered by one equi join in one pass over the table. A request that only bounds the time is cut into
+    dyadic nodes of time buckets (at most two of a size), and a row offers the nodes it lies in, of the sizes in use:
+    open, wide and narrow ranges all meet their rows by equal keys. A node of many buckets, and the node of all
+    rows, is split over as many salts as its share of the time asks for, so no key grows with the table. If every request
+    bounds the time, the common range also goes to the table as a plain filter, on the stored timestamp where
+    ``timestamps`` names it.
     """
     names = list(equals)
-    bucket = lambda ms: F.floor(ms / F.lit(bucket_ms)).cast("long")
     mask = F.lit(0)
     for i, name in enumerate(names):
         mask = mask + F.when(F.col(name).isNotNull(), F.lit(1 << i)).otherwise(F.lit(0))
-    low, high = F.col("min"), F.col("max")
-    narrow = F.coalesce((bucket(high) - bucket(low)).between(0, MOST_BUCKETS - 1), F.lit(False))
-    shape = F.when((mask == 0) & ~narrow, F.lit(-1)).otherwise(mask)
-    shaped = requests.withColumn("_shape", shape)
-    known = shaped.agg(
+    asked = requests.select(request_id, *names, "min", "max").distinct().withColumn("_shape", mask)
+    own = asked.groupBy(request_id).agg(
+        F.count("*").alias("_rows"), F.countDistinct("_shape").alias("_shapes"), F.countDistinct(F.struct("min", "max")).alias("_ranges")
+    )
+    several = own.where((F.col("_rows") > 1) & ((F.col("_shapes") > 1) | (F.col("_ranges") > 1))).select(request_id)
+    asked = materialize(asked, "requests")
+    if several.isEmpty():
+        return _hits(table, asked, equals, time, request_id, bucket_ms, timestamps).select(request_id, *table.columns)
+    several = small_side(materialize(several, "any-of"))
+    single = _hits(table, asked.join(several, request_id, "left_anti"), equals, time, request_id, bucket_ms, timestamps)
+    any_of = _hits(table, asked.join(several, request_id, "left_semi"), equals, time, request_id, bucket_ms, timestamps)
+    return single.unionByName(any_of.dropDuplicates([request_id, *key])).select(request_id, *table.columns)
+
+
+def _hits(
+    table: DataFrame,
+    asked: DataFrame,
+    equals: Mapping[str, Column],
+    time: str,
+    request_id: str,
+    bucket_ms: int,
+    timestamps: Mapping[str, Column] | None,
+) -> DataFrame:
+    """(request_id, row...) once per row of ``asked`` that a row of the table matches."""
+    names = list(equals)
+    bucket = lambda ms: F.floor(ms / F.lit(bucket_ms)).cast("long")
+    timed = F.col("_shape") == 0
+    known = asked.agg(
         F.collect_set("_shape").alias("shapes"),
         F.when(F.count("min") == F.count("*"), F.min("min")).alias("min"),
         F.when(F.count("max") == F.count("*"), F.max("max")).alias("max"),
+        F.min(F.when(timed, F.least(bucket(F.col("min")), bucket(F.col("max"))))).alias("first"),
+        F.max(F.when(timed, F.greatest(bucket(F.col("min")), bucket(F.col("max"))))).alias("last"),
     ).first()
-    shapes = sorted(known["shapes"]) or [-1]
+    shapes = sorted(known["shapes"]) or [0]
     if known["min"] is not None or known["max"] is not None:
         common = Request().with_filter(time, {"min": known["min"], "max": known["max"]})
         table = table.where(common.condition(timestamps=timestamps))
-    spanned = F.when(F.col("_shape") == 0, F.sequence(bucket(low), bucket(high))).otherwise(F.array(F.lit(None).cast("long")))
-    shaped = shaped.withColumn("_bucket", F.explode(spanned)) if 0 in shapes else shaped.withColumn("_bucket", F.lit(None).cast("long"))
-    asked = shaped.select(
+    # Buckets are counted from the one before the first that a request names; all earlier and all later times share one.
+    first, last = (known["first"], known["last"]) if known["first"] is not None else (0, 0)
+    span = last - first + 2
+    number = lambda b: F.least(F.greatest(b - F.lit(first - 1), F.lit(0)), F.lit(span))
+    top = span.bit_length()
+    salts = salt_count(table.sparkSession)
+    # How many salts a node of a level has: its part of the span in parts of the whole; the node of all rows is ``top``.
+    share = [min(salts, -(-salts * (1 << level) // (span + 1))) for level in range(top)] + [salts]
+    sized = F.array(*[F.lit(n) for n in share])
+    low, high = F.col("min"), F.col("max")
+    no_node = F.lit(None).cast("struct<level:int,node:bigint>")
+    everything = F.struct(F.lit(top).cast("int").alias("level"), F.lit(0).cast("long").alias("node"))
+    begin = F.when(low.isNotNull(), number(bucket(low))).otherwise(F.lit(0))
+    end = F.when(high.isNotNull(), number(bucket(high))).otherwise(F.lit(span))
+    cover = dyadic_cover(begin, end, top - 1)
+    nodes = F.when(~timed, F.array(no_node)).when(low.isNull() & high.isNull(), F.array(everything)).otherwise(cover)
+    if 0 in shapes:
+        asked = asked.withColumn("_node", F.explode(nodes))
+        levels = sorted(r[0] for r in asked.where(timed).select("_node.level").distinct().collect())  # at most 64 numbers
+        copies = F.when(timed, F.sequence(F.lit(0), F.element_at(sized, F.col("_node.level") + 1) - 1)).otherwise(F.array(F.lit(0)))
+        asked = asked.withColumn("_salt", F.explode(copies))
+    else:
+        levels, asked = [], asked.withColumn("_node", no_node).withColumn("_salt", F.lit(0))
+    asked = asked.select(
         F.col(request_id),
         F.col("_shape").alias("_r_shape"),
-        F.col("_bucket").alias("_r_bucket"),
+        F.col("_node.level").alias("_r_level"),
+        F.col("_node.node").alias("_r_node"),
+        F.col("_salt").alias("_r_salt"),
         *[F.col(n).alias(f"_r_{n}") for n in names],
         low.alias("_r_min"),
         high.alias("_r_max"),
     )
+    at = number(bucket(F.col(time)))
 
-    def offer(shape: int) -> Column:
+    def offer(shape: int, level: int | None = None) -> Column:
+        spread = level is not None and share[level] > 1
+        own = F.pmod(F.col("_row_salt"), F.lit(share[level])) if spread else F.lit(0)
+        node = F.lit(None) if level is None else F.lit(0) if level == top else F.shiftright(at, level)
         return F.struct(
             F.lit(shape).alias("shape"),
-            (bucket(F.col(time)) if shape == 0 else F.lit(None).cast("long")).alias("bucket"),
+            F.lit(level).cast("int").alias("level"),
+            node.cast("long").alias("node"),
+            own.cast("int").alias("salt"),
             *[
-                (equals[n] if shape > 0 and shape >> i & 1 else F.lit(None).cast(asked.schema[f"_r_{n}"].dataType)).alias(n)
+                (equals[n] if shape >> i & 1 else F.lit(None).cast(asked.schema[f"_r_{n}"].dataType)).alias(n)
                 for i, n in enumerate(names)
             ],
         )
 
-    offered = table.withColumn("_offer", F.explode(F.array(*[offer(s) for s in shapes])))
-    if len(shapes) == 1:
-        used = [n for i, n in enumerate(names) if shapes[0] > 0 and shapes[0] >> i & 1]
-        offered = table.withColumn("_offer", offer(shapes[0]))
-        same = [F.col(f"_offer.{n}") == F.col(f"_r_{n}") for n in used]
-        if not used:
-            same.append(F.col("_offer.bucket") == F.col("_r_bucket") if shapes[0] == 0 else F.col("_offer.shape") == F.col("_r_shape"))
+    offers = [offer(s) for s in shapes if s] + [offer(0, level) for level in levels]
+    hashable = [f.name for f in table.schema.fields if "map<" not in f.dataType.simpleString()]
+    salted = table.withColumn("_row_salt", F.xxhash64(*hashable)) if levels else table
+    if len(offers) == 1:
+        offered = salted.withColumn("_offer", offers[0])
+        if levels:
+            same = [F.col(f"_offer.{c}") == F.col(f"_r_{c}") for c in ("node", "salt")]
+        else:
+            same = [F.col(f"_offer.{n}") == F.col(f"_r_{n}") for i, n in enumerate(names) if shapes[0] >> i & 1]
     else:
-        same = [F.col("_offer.shape") == F.col("_r_shape"), F.col("_offer.bucket").eqNullSafe(F.col("_r_bucket"))]
-        same += [F.col(f"_offer.{n}").eqNullSafe(F.col(f"_r_{n}")) for n in names]
+        offered = salted.withColumn("_offer", F.explode(F.array(*offers))) if offers else salted.withColumn("_offer", offer(0))
+        same = [F.col(f"_offer.{c}").eqNullSafe(F.col(f"_r_{c}")) for c in ("shape", "level", "node", "salt", *names)]
     within = (F.col("_r_min").isNull() | (F.col(time) >= F.col("_r_min"))) & (F.col("_r_max").isNull() | (F.col(time) <= F.col("_r_max")))
     return offered.join(small_side(asked), all_of(same) & within).select(request_id, *table.columns)
 
@@ -184,9 +293,10 @@ def list_batches(
     time: str = "lastUpdatedTime",
     request_id: str = "request_id",
     order_by: Sequence[str] = ("id",),
+    key: Sequence[str] = ("id",),
 ) -> DataFrame:
     """The rows of :func:`list_many` as arrays of at most ``size`` rows per request."""
-    rows = list_many(table, requests, equals, time, request_id)
+    rows = list_many(table, requests, equals, time, request_id, key=key)
     return group_into_batches(rows, [request_id], size, order_by)
 
 
@@ -196,9 +306,10 @@ def aggregate_many(
     equals: Mapping[str, Column],
     time: str = "lastUpdatedTime",
     request_id: str = "request_id",
+    key: Sequence[str] = ("id",),
 ) -> DataFrame:
     """Number of matching rows per request; a request without hits counts 0."""
-    hits = list_many(table, requests, equals, time, request_id).groupBy(request_id).agg(F.count("*").alias("n"))
+    hits = list_many(table, requests, equals, time, request_id, key=key).groupBy(request_id).agg(F.count("*").alias("n"))
     return (
         requests.select(request_id)
         .distinct()

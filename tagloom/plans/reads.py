@@ -106,6 +106,46 @@ def request_json_full(v):
     return reads.list_many(v.events(), parsed, fields).select("request_id", *EVENT)
 
 
+@query(
+    "list_many_items",
+    """SELECT request_id, id FROM ev JOIN (SELECT c_custkey AS request_id FROM customer)
+       ON id = request_id OR id = request_id + 1 OR (id = request_id + 7 AND type = 'click' AND lastUpdatedTime >= 1704412800000)""",
+    ("ev",),
+)
+def list_many_items(v):
+    """A request's items name a row by id and by externalId, and a second row of the request meets some again: each is
+    delivered once."""
+    k = F.col("c_custkey")
+    items = F.format_string('{"items":[{"id":%d},{"externalId":"ev:%d"},{"externalId":"ev:%d"}]}', k, k, k + 1)
+    wider = F.format_string('{"filter":{"id":["%d","%d"],"type":"click"},"minLastUpdatedTime":%d}', k, k + 7, F.lit(JAN_5))
+    asked = v.table("customer").select(k.alias("request_id"), F.explode(F.array(items, wider)).alias("request"))
+    parsed = reads.parse_requests(asked, ["type", "id", "externalId"])
+    fields = {"type": F.col("type"), "id": F.col("id").cast("string"), "externalId": F.col("externalId")}
+    return reads.list_many(v.events(), parsed, fields).select("request_id", "id")
+
+
+@query(
+    "list_many_ranges",
+    f"""SELECT request_id, count(*) AS count, min(lastUpdatedTime) AS first, max(lastUpdatedTime) AS last FROM ev JOIN (
+            SELECT c_custkey AS request_id, CASE WHEN c_custkey % 5 < 4 THEN {JAN_5} + c_custkey % 97 * 3600000 END AS low,
+                   CASE WHEN c_custkey % 5 <> 2 THEN {JAN_5} + c_custkey % 97 * 3600000 + c_custkey % 11 * 90000000 END AS high FROM customer)
+        ON (low IS NULL OR lastUpdatedTime >= low) AND (high IS NULL OR lastUpdatedTime <= high) GROUP BY 1""",
+    ("ev",),
+)
+def list_many_ranges(v):
+    """A request per customer that bounds the time at one end or both: narrow, wide and open ranges."""
+    k = F.col("c_custkey")
+    low = JAN_5 + k % 97 * 3_600_000
+    asked = v.table("customer").select(
+        k.alias("request_id"),
+        F.when(k % 5 < 4, low).alias("min"),
+        F.when(k % 5 != 2, low + k % 11 * 90_000_000).alias("max"),
+    )
+    hits = reads.list_many(v.events().select("id", "lastUpdatedTime"), asked, {})
+    at = F.col("lastUpdatedTime")
+    return hits.groupBy("request_id").agg(F.count("*").alias("count"), F.min(at).alias("first"), F.max(at).alias("last"))
+
+
 @query(
     "list_many_null_time",
     """SELECT request_id, id FROM (SELECT id, type, CASE WHEN id % 5 > 0 THEN lastUpdatedTime END AS t FROM ev) e

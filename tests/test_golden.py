@@ -430,6 +430,10 @@ def test_requests_are_never_widened(spark):
     assert hits('{"filter":{"lastUpdatedTime":{"min":-9000000000000000000,"max":9000000000000000000}}}') == [1, 3]
     assert hits('{"items":[{"id":2},{"externalId":"e3"},{"id":77}]}') == [2, 3]
     assert hits('{"filter":{"type":"z"},"items":[{"id":2},{"id":3}]}') == [3]
+    assert hits('{"minLastUpdatedTime":6}') == [3]
+    assert hits('{"filter":{"lastUpdatedTime":{"min":1}},"maxLastUpdatedTime":8}') == [1]
+    limited = reads.parse_requests(spark.createDataFrame([(1, '{"limit":3}')], REQUESTS), list(fields), root_keys=["limit"])
+    assert limited.first()["limit"] == "3"
     for bad in ("{", "[1]", '{"filter":{"colour":"x"}}', '{"limit":3}', '{"filter":{"metadata":{"k":"v"}}}', '{"filter":{"lastUpdatedTime":{"from":1}}}'):
         with pytest.raises(Exception, match="request"):
             hits(bad)

@@ -90,6 +90,52 @@ def test_requests_for_a_hot_value(spark, skewed):
     assert dict(map(tuple, hits.collect()))[4] == 0
 
 
+def test_dyadic_covers(spark):
+    pairs = [(lo, hi) for lo in range(19) for hi in range(lo - 1, 19) if hi - lo < 18]
+    asked = spark.createDataFrame(pairs, "lo long, hi long")
+    for r in asked.withColumn("nodes", reads.dyadic_cover(F.col("lo"), F.col("hi"), 5)).collect():
+        held = [x for n in r.nodes for x in range(n.node << n.level, (n.node + 1) << n.level)]
+        assert sorted(held) == list(range(r.lo, r.hi + 1)) and len(r.nodes) <= 9
+
+
+def test_many_open_and_wide_requests_share_no_task(spark):
+    table = spark.range(20_000).select("id", (F.col("id") * 86_400).alias("lastUpdatedTime"))
+    asked = spark.range(3000).select(
+        F.col("id").alias("request_id"),
+        F.when(F.col("id") % 3 > 0, F.col("id") * 10_000).alias("min"),
+        F.when(F.col("id") % 3 == 1, F.col("id") * 10_000 + 86_400 * F.pmod(F.col("id") * 7, F.lit(40))).alias("max"),
+    )
+    narrow = asked.where("request_id % 300 < 30")
+    seen = []
+    keep = reads.small_side
+    reads.small_side = lambda df, **_: seen.append(df) or df  # the shuffled join
+    try:
+        found = reads.list_many(table, narrow, {}, bucket_ms=500_000)
+        got = {r.request_id: r.n for r in found.groupBy("request_id").agg(F.count("*").alias("n")).collect()}
+    finally:
+        reads.small_side = keep
+    want = {}
+    for r in narrow.collect():
+        n = sum((r.min is None or t >= r.min) and (r.max is None or t <= r.max) for t in range(0, 20_000 * 86_400, 86_400))
+        if n:
+            want[r.request_id] = n
+    assert got == want
+    # Open requests meet the rows under as many keys as there are salts, and wide ones under their part of them.
+    salts = {r._r_level: r.n for r in seen[-1].groupBy("_r_level").agg(F.countDistinct("_r_salt").alias("n")).collect()}
+    top = max(salts)
+    assert salts[top] == 8 and all(salts[level] >= 8 >> (top - level) for level in salts)
+
+
+def test_rows_named_twice_are_delivered_once(spark):
+    table = spark.createDataFrame([(7, "e7", 5), (8, "e8", 6), (9, None, None)], "id long, externalId string, lastUpdatedTime long")
+    texts = [(1, '{"items":[{"id":7},{"externalId":"e7"},{"id":9}]}'), (2, '{"items":[{"externalId":"e8"}]}'), (2, '{"minLastUpdatedTime":6}'), (3, "{}"), (3, "{}")]
+    asked = reads.parse_requests(spark.createDataFrame(texts, "request_id int, request string"), ["id", "externalId"])
+    fields = {"id": F.col("id").cast("string"), "externalId": F.col("externalId")}
+    found = reads.list_many(table, asked, fields)
+    assert sorted((r.request_id, r.id) for r in found.collect()) == [(1, 7), (1, 9), (2, 8), (3, 7), (3, 8), (3, 9)]
+    assert sorted(map(tuple, reads.aggregate_many(table, asked, fields).collect())) == [(1, 2), (2, 1), (3, 3)]
+
+
 def _cosine(a, b):
     return len(a & b) / (len(a) * len(b)) ** 0.5
 
