@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tagloom.functions.columns import all_of
 from tagloom.operators.reads import retrieve, without
 from tagloom.session import is_small, materialize
 
@@ -61,6 +62,51 @@ def addressed(current: DataFrame, incoming: DataFrame) -> DataFrame:
     return incoming.where(~by_id).unionByName(named.select(*incoming.columns))
 
 
+def targeted(current: DataFrame, incoming: DataFrame) -> DataFrame:
+    """Incoming rows with ``_target``: the key of the row they are written to (:func:`stored_key`).
+
+    A row is written to the stored row with its externalId, else to the stored row with its id, else it is new. A stored
+    row is known by its externalId, or by its id where it has none. Naming two stored rows at once fails the job.
+    """
+    kinds = {c: current.schema[c].dataType for c in ("externalId", "id")}
+    named = incoming
+    for c, kind in kinds.items():
+        given = F.col(c) if c in incoming.columns else F.lit(None)
+        named = named.withColumn(f"_given_{c}", given.cast(kind))
+    own = stored_key("_given_externalId", "_given_id")
+    named = named.withColumn("_target", own)
+    if named.where(F.col("_given_id").isNotNull()).isEmpty():
+        return named.drop("_given_externalId", "_given_id")
+    ids = named.select(F.col("_given_id").alias("_id")).where("_id IS NOT NULL").distinct()
+    names = named.select(F.col("_given_externalId").alias("_name")).where("_name IS NOT NULL").distinct()
+    by_id = current.where(F.col("id").isNotNull()).select(F.col("id").alias("_id"), stored_key("externalId", "id").alias("_by_id"))
+    by_name = current.where(F.col("externalId").isNotNull()).select(F.col("externalId").alias("_name"), F.col("id").alias("_its_id"))
+    if is_small(ids) and is_small(names):
+        # At most one stored row per id or name: what is found is as small as what was asked for.
+        by_id = F.broadcast(by_id.join(F.broadcast(ids), "_id", "left_semi"))
+        by_name = F.broadcast(by_name.join(F.broadcast(names), "_name", "left_semi"))
+    by_name = by_name.withColumn("_has_name", F.lit(True))
+    met = named.join(by_id, F.col("_given_id") == F.col("_id"), "left").join(by_name, F.col("_given_externalId") == F.col("_name"), "left")
+    two = F.col("_has_name") & F.col("_by_id").isNotNull() & (F.col("_by_id") != F.col("_target"))
+    wrong = F.raise_error(F.format_string("id %s and externalId %s name two stored rows", F.col("_given_id").cast("string"), F.col("_given_externalId")))
+    target = F.when(two, wrong.cast("string")).when(F.col("_has_name"), F.col("_target"))
+    return met.withColumn("_target", target.otherwise(F.coalesce("_by_id", "_target"))).select(*incoming.columns, "_target")
+
+
+def stored_key(name: str, number: str) -> Column:
+    """How a stored row is known: by its externalId, else by its id; NULL if it has neither."""
+    by_number = F.concat(F.lit("id:"), F.col(number).cast("string"))
+    return F.coalesce(F.concat(F.lit("name:"), F.col(name).cast("string")), by_number)
+
+
+def require_one_row_per_key(rows: DataFrame, key: Sequence[str]) -> None:
+    """Fail if several rows have one key; rows without a key are told apart. Counted with map-side partial counts."""
+    named = rows.where(all_of(F.col(c).isNotNull() for c in key))
+    twice = named.groupBy(*key).count().where("count > 1").limit(3).collect()
+    if twice:
+        raise ValueError(f"several incoming rows are written to one row: {[tuple(r)[:-1] for r in twice]}; see dedupe_latest")
+
+
 def upsert(
     current: DataFrame,
     incoming: DataFrame,
@@ -69,9 +115,10 @@ def upsert(
     merge_maps: bool = False,
     keep: Sequence[str] = ("id", "externalId"),
 ) -> DataFrame:
-    """The table after writing ``incoming``, which must hold one row per key (see :func:`dedupe_latest`).
+    """The table after writing ``incoming``, which must hold one row per stored row (see :func:`dedupe_latest`); it fails
+    if it holds more.
 
-    With the key ``externalId``, a row that carries only an id is written to the stored row with that id.
+    With the key ``externalId``, rows meet by id where a side has no externalId (:func:`targeted`).
     ``update`` overwrites only fields that are set; ``replace`` takes the whole incoming row but keeps the
     columns of ``keep``. A small incoming side is broadcast, so the stored table is not shuffled at all;
     otherwise both sides meet in one full outer join.
@@ -80,8 +127,10 @@ def upsert(
         raise ValueError(f"unknown mode: {mode}")
     key = list(key)
     columns = current.columns
-    if key == ["externalId"] and "id" in columns and "id" in incoming.columns:
-        incoming = addressed(current, incoming)
+    stored = current
+    if key == ["externalId"] and "id" in columns:
+        incoming = targeted(current, incoming)
+        stored, key = current.withColumn("_target", stored_key("externalId", "id")), ["_target"]
 
     def given(name: str) -> Column:
         kind = current.schema[name].dataType
@@ -106,13 +155,13 @@ def upsert(
         return F.when(F.col("_new"), new).otherwise(old)
 
     result = [merged(c).alias(c) for c in columns]
-    if not is_small(fresh):
-        return current.join(fresh, key, "full_outer").select(*result)
     # Written once, the incoming rows are not computed again for each of their uses.
     fresh = materialize(fresh, "incoming")
-    small = F.broadcast(fresh)
-    written = current.join(small, key, "left").select(*result)
-    known = current.select(*key).join(F.broadcast(fresh.select(*key)), key, "left_semi")
+    require_one_row_per_key(fresh, key)
+    if not is_small(fresh):
+        return stored.join(fresh, key, "full_outer").select(*result)
+    written = stored.join(F.broadcast(fresh), key, "left").select(*result)
+    known = stored.select(*key).join(F.broadcast(fresh.select(*key)), key, "left_semi")
     added = fresh.join(known, key, "left_anti").select(
         *[(F.col(c) if c in key else F.col(f"_n_{c}")).alias(c) for c in columns]
     )

@@ -403,6 +403,24 @@ def test_rows_with_an_id_only_are_written_to_its_row(spark):
         assert rows(upsert.upsert(stored, given, ["externalId"], mode)) == [(7, "e7", "new"), (8, "e8", "new"), (9, None, "added")]
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_upsert_finds_rows_by_id(spark, monkeypatch, small):
+    if not small:
+        monkeypatch.setattr(upsert, "is_small", lambda *a, **k: False)
+    kind = "id long, externalId string, name string"
+    stored = spark.createDataFrame([(7, None, "old"), (8, "e8", "b"), (None, "e9", "c"), (None, None, "d")], kind)
+    write = lambda given, **k: rows(upsert.upsert(stored, spark.createDataFrame(given, kind), ["externalId"], **k))
+    assert write([(7, None, "new")]) == rows(stored.where("id is null or id <> 7").union(spark.createDataFrame([(7, None, "new")], kind)))
+    assert {r for r in write([(7, "e7", "new"), (10, None, "x")]) if r[0] in (7, 10)} == {(7, "e7", "new"), (10, None, "x")}
+    assert (11, "e9", "c") in write([(11, "e9", None)])  # an id for a row without one
+    assert len(write([(None, None, "new"), (None, None, "new")])) == 6  # rows without a key are new
+    for twice in ([(None, "e8", "x"), (8, None, "y")], [(8, "e8", "x"), (8, "e8", "x")], [(None, "z", "x"), (None, "z", "y")], [(12, None, "x"), (12, None, "y")]):
+        with pytest.raises(ValueError, match="several incoming rows"):
+            write(twice)
+    with pytest.raises(Exception, match="name two stored rows"):
+        write([(7, "e8", "x")])
+
+
 def test_points_with_an_id_only(spark):
     points = spark.createDataFrame([("a", 1, 1.0)], "externalId string, timestamp long, valueNum double")
     headers = spark.createDataFrame([(5, "a")], "id long, externalId string")
