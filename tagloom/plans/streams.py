@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,8 +15,8 @@ from tagloom.plans.writes import _incoming_points
 from tagloom.request import Request
 from tagloom.session import work_path
 from tagloom.sources.views import Views
-from tagloom.streaming.batcher import group_into_batches_stream
-from tagloom.streaming.event_time import event_time_ms, window_count, window_runs, with_event_time
+from tagloom.streaming.batcher import group_into_batches_stream, group_into_window_batches
+from tagloom.streaming.event_time import event_time_ms, read_with_late_rows, window_count, window_runs, with_event_time, write_with_late_rows
 from tagloom.streaming.landing import land, read_landing, run_available, run_until_drained
 from tagloom.streaming.upsert import merge_log, stream_upsert
 from tagloom.streaming.watch import watch
@@ -29,6 +31,18 @@ def _landed(v: Views, df: DataFrame, order_by: str, max_files: int | None = None
     return read_landing(v.spark, path, df.schema, max_files)
 
 
+def _in_parts(v: Views, df: DataFrame, order_by: str, stream: Callable[[DataFrame], DataFrame], parts: int = 2) -> DataFrame:
+    """The result of a stream that is started again for each of ``parts`` ranges of ``order_by`` as it arrives."""
+    landing, (out, checkpoint) = work_path(v.spark, "landing"), _paths(v)
+    cuts = df.approxQuantile(order_by, [i / parts for i in range(1, parts)], 0.01)
+    edges = [None, *sorted(set(cuts)), None]
+    for low, high in zip(edges, edges[1:]):
+        inside = F.lit(True) if low is None else F.col(order_by) > low
+        land(df.where(inside if high is None else inside & (F.col(order_by) <= high)), landing, order_by)
+        found = run_available(stream(read_landing(v.spark, landing, df.schema)), out, checkpoint)
+    return found
+
+
 def _paths(v: Views) -> tuple[str, str]:
     return work_path(v.spark, "out"), work_path(v.spark, "stream")
 
@@ -95,44 +109,78 @@ def tumbling_count(v):
 
 @query(
     "stateful_batches",
-    """SELECT type, count(*) AS rows, (count(*) // 300)::BIGINT AS full_batches, true AS within_size FROM ev GROUP BY type""",
+    """SELECT type, count(*) AS rows, (count(*) // 300)::BIGINT AS full_batches, true AS within_size,
+              sum(id)::BIGINT AS ids, sum(id * id % 1000003)::BIGINT AS mixed_ids FROM ev GROUP BY type""",
     ("ev",),
 )
 def stateful_batches(v):
     stream = _landed(v, v.events().select("type", "id"), "id")
     batches = run_until_drained(group_into_batches_stream(stream, ["type"], 300, 10), *_paths(v))
-    return batches.groupBy("type").agg(
+    return _batch_facts(batches, ["type"], "id", 300)
+
+
+def _batch_facts(batches: DataFrame, key: list[str], number: str, size: int) -> DataFrame:
+    """Per key: rows, full batches, whether all kept the size, and two sums over the delivered items."""
+    each = lambda f: F.aggregate(F.transform("items", lambda x: f(x[number])), F.lit(0).cast("long"), lambda a, x: a + x)
+    return batches.groupBy(*key).agg(
         F.sum("n").alias("rows"),
         F.count_if(F.col("reason") == "full").alias("full_batches"),
-        (F.max("n") <= 300).alias("within_size"),
+        (F.max(F.size("items")) <= size).alias("within_size"),
+        F.sum(each(lambda x: x)).alias("ids"),
+        F.sum(each(lambda x: x * x % 1000003)).alias("mixed_ids"),
     )
 
 
+@query(
+    "stateful_batches_windows",
+    f"""SELECT type, (lastUpdatedTime // {DAY_MS} + 1) * {DAY_MS} AS window_end, count(*) AS rows,
+               (count(*) // 40)::BIGINT AS full_batches, true AS within_size, sum(id)::BIGINT AS ids, sum(id * id % 1000003)::BIGINT AS mixed_ids
+        FROM ev GROUP BY 1, 2 HAVING window_end <= (SELECT max(lastUpdatedTime) FROM ev) - {DELAY_MS + HOUR_MS}""",
+    ("ev",),
+)
+def stateful_batches_windows(v):
+    """Batches per type and day that stay open over restarts, until the day and an hour of lateness are over."""
+    events = v.events().select("type", "id", "lastUpdatedTime")
+    batches = _in_parts(
+        v, events, "lastUpdatedTime",
+        lambda s: group_into_window_batches(s, ["type"], "lastUpdatedTime", DAY_MS, DELAY_MS, HOUR_MS, size=40),
+    )
+    # Windows that are open at the end have delivered their full batches only.
+    end = events.agg(F.max("lastUpdatedTime")).first()[0]
+    closed = batches.where(F.col("window_end") <= (end or 0) - DELAY_MS - HOUR_MS)
+    return _batch_facts(closed, ["type", "window_end"], "id", 40)
+
+
 @query(
     "stateful_batches_datapoints",
-    """SELECT (timestamp // 86400000 * 86400000)::BIGINT AS day, count(*) AS rows, count(DISTINCT externalId) AS series,
-              true AS within_caps FROM dp GROUP BY 1""",
+    f"""SELECT (timestamp // {DAY_MS} + 1) * {DAY_MS} AS window_end, count(*) AS rows, count(DISTINCT externalId) AS series,
+               sum(timestamp)::HUGEINT::VARCHAR AS times, true AS within_caps FROM dp GROUP BY 1
+        HAVING window_end <= (SELECT max(timestamp) FROM dp) - {DELAY_MS}""",
     ("dp",),
 )
 def stateful_batches_datapoints(v):
-    points = v.datapoints().withColumn("day", F.floor(F.col("timestamp") / DAY_MS) * DAY_MS)
-    stream = _landed(v, points, "timestamp")
-    batches = group_into_batches_stream(
-        stream, ["day"], 100, 10, distinct="externalId", max_distinct=40, flush_before=True
-    )
-    found = run_until_drained(batches, *_paths(v))
+    """Batches of points per day, below 100 points and 40 series each."""
+    points = v.datapoints()
+    found = _in_parts(
+        v, points, "timestamp",
+        lambda s: group_into_window_batches(
+            s, [], "timestamp", DAY_MS, DELAY_MS, size=100, distinct="externalId", max_distinct=40, flush_before=True, shards=4
+        ),
+    )
+    end = points.agg(F.max("timestamp")).first()[0]
     ids = F.size(F.array_distinct(F.col("items.externalId")))
-    opened = found.select("day", "n", ids.alias("ids"), F.explode("items.externalId").alias("series"))
-    return opened.groupBy("day").agg(
+    opened = found.where(F.col("window_end") <= (end or 0) - DELAY_MS).select("window_end", "n", ids.alias("ids"), F.explode("items").alias("item"))
+    return opened.groupBy("window_end").agg(
         F.count("*").alias("rows"),
-        F.countDistinct("series").alias("series"),
+        F.countDistinct("item.externalId").alias("series"),
+        F.sum(F.col("item.timestamp").cast("decimal(38,0)")).cast("string").alias("times"),
         ((F.max("n") < 100) & (F.max("ids") < 40)).alias("within_caps"),
     )
 
 
 @query(
     "stateful_batches_cells",
-    """SELECT shard, count(*) AS sequences, sum(n * 6)::BIGINT AS cells, true AS within_caps FROM (
+    """SELECT shard, count(*) AS sequences, sum(l_orderkey)::BIGINT AS ids, sum(n * 6)::BIGINT AS cells, true AS within_caps FROM (
            SELECT l_orderkey, l_orderkey % 4 AS shard, count(*) AS n FROM seq GROUP BY ALL) GROUP BY 1""",
     ("seq",),
 )
@@ -148,6 +196,7 @@ def stateful_batches_cells(v):
     before = weight - F.element_at("items", -1)["cells"]
     return found.groupBy(F.col("shard_id").alias("shard")).agg(
         F.sum("n").alias("sequences"),
+        F.sum(F.aggregate("items", F.lit(0).cast("long"), lambda total, x: total + x["id"])).alias("ids"),
         F.sum(weight).alias("cells"),
         ((F.max("n") <= 200) & (F.max(before) < 2000)).alias("within_caps"),
     )
@@ -190,6 +239,23 @@ def late_data(v):
     return found
 
 
+@query(
+    "late_rows",
+    f""", m AS (SELECT max(CASE WHEN type <> 'error' THEN lastUpdatedTime END) - {DELAY_MS} AS early FROM ev)
+       SELECT id, type, lastUpdatedTime, type = 'error' AND (lastUpdatedTime // {HOUR_MS} + 1) * {HOUR_MS} <= early AS late FROM ev, m""",
+    ("ev",),
+)
+def late_rows(v):
+    """Errors arrive after everything else: those of closed windows are delivered apart, so that none is lost."""
+    events = v.events().select("id", "type", "lastUpdatedTime")
+    landing, (out, checkpoint) = work_path(v.spark, "landing"), _paths(v)
+    for part in ("type <> 'error'", "type = 'error'"):
+        land(events.where(part), landing, "lastUpdatedTime")
+        stream = read_landing(v.spark, landing, events.schema)
+        write_with_late_rows(stream, "lastUpdatedTime", HOUR_MS, out, checkpoint, DELAY_MS, available_now=True).awaitTermination()
+    return read_with_late_rows(v.spark, out)
+
+
 @query(
     "series_copy_stream",
     "SELECT * FROM dp UNION ALL SELECT 'copy:' || externalId, timestamp, valueNum FROM dp",

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import threading
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tagloom.operators.upsert import run_columns
 
@@ -55,10 +57,71 @@ def window_runs(
     return counted.select("window_start", *run_columns(external_id, status, verb, F.col("count")))
 
 
-def dropped_rows(query: StreamingQuery) -> int:
-    """Rows dropped for arriving after their window had closed."""
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+class DropCounter(StreamingQueryListener):
+    """Counts the rows that streams drop for arriving after their window had closed, over all their triggers.
+
+    Register it with ``spark.streams.addListener`` before the stream starts.
+    """
+
+    def __init__(self, timeout_s: float = 60.0):
+        self._rows: dict[str, int] = {}
+        self._ended: set[str] = set()
+        self._heard, self._timeout_s = threading.Condition(), timeout_s
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        with self._heard:
+            known = self._rows.get(str(progress.id), 0)
+            self._rows[str(progress.id)] = known + sum(o.numRowsDroppedByWatermark for o in progress.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        with self._heard:
+            self._ended.add(str(event.runId))
+            self._heard.notify_all()
+
+    def dropped(self, query: StreamingQuery) -> int:
+        """Rows dropped so far by all runs of the query. For a query that has ended, its last report is waited for."""
+        with self._heard:
+            if not query.isActive and not self._heard.wait_for(lambda: str(query.runId) in self._ended, self._timeout_s):
+                raise TimeoutError("the end of the stream was not reported")
+            return self._rows.get(str(query.id), 0)
+
+
+def write_with_late_rows(
+    df: DataFrame, event_time: str, window_ms: int, out: str, checkpoint: str, delay_ms: int = 30_000, available_now: bool = False
+) -> StreamingQuery:
+    """Append a stream's rows to ``out`` below (batch_id, late): rows whose window had closed come apart, and none is lost.
+
+    A window has closed once the latest event of all earlier micro-batches, less ``delay_ms``, has passed its end. The
+    latest event of a micro-batch is kept beside its rows, so a micro-batch that runs again finds the same and replaces
+    its folder.
+    """
+    spark = df.sparkSession
+    at = F.col(event_time)
+    ends = (F.floor(at / window_ms) + 1) * window_ms
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        earlier = None
+        if batch_id > 0:
+            marks = spark.read.schema("latest long, batch_id long").parquet(f"{out}-marks")
+            earlier = marks.where(F.col("batch_id") < batch_id).agg(F.max("latest")).first()[0]
+        closed = F.lit(False) if earlier is None else ends <= F.lit(earlier - delay_ms)
+        latest = Observation()
+        rows = batch.withColumn("late", F.coalesce(closed, F.lit(False))).observe(latest, F.max(at).alias("latest"))
+        rows.write.mode("overwrite").partitionBy("late").parquet(f"{out}/batch_id={batch_id}")
+        mark = spark.range(1).select(F.lit(latest.get["latest"]).cast("long").alias("latest"))
+        mark.write.mode("overwrite").parquet(f"{out}-marks/batch_id={batch_id}")
+
+    writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def read_with_late_rows(spark: SparkSession, out: str) -> DataFrame:
+    """What :func:`write_with_late_rows` wrote, with ``late`` as a boolean."""
+    return spark.read.parquet(out).withColumn("late", F.col("late").cast("boolean")).drop("batch_id")

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def land(df: DataFrame, path: str, order_by: str, files: int = 4) -> str:
-    """Write rows as files that each hold one range of ``order_by``."""
-    df.repartitionByRange(files, order_by).sortWithinPartitions(order_by).write.mode("append").parquet(path)
+def land(df: DataFrame, path: str, order_by: str, files: int | None = None) -> str:
+    """Write rows as files that each hold one range of ``order_by``: as many as Spark makes of their size, or ``files``."""
+    ranges = df.repartitionByRange(order_by) if files is None else df.repartitionByRange(files, order_by)
+    ranges.sortWithinPartitions(order_by).write.mode("append").parquet(path)
     return path
 
 

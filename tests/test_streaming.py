@@ -6,8 +6,8 @@ from pyspark.sql import types as T
 
 from tagloom.request import Request
 from tagloom.session import work_path
-from tagloom.streaming.batcher import group_into_batches_stream
-from tagloom.streaming.event_time import dropped_rows, window_count, with_event_time
+from tagloom.streaming.batcher import batch_end, group_into_batches_stream, group_into_window_batches
+from tagloom.streaming.event_time import DropCounter, read_with_late_rows, window_count, with_event_time, write_with_late_rows
 from tagloom.streaming.landing import land, read_landing, run_available, run_until_drained
 from tagloom.streaming.upsert import merge_log, stream_upsert
 from tagloom.streaming.watch import Bounds, watch, watch_bounds, watched_rows
@@ -53,6 +53,67 @@ def test_distinct_cap(spark, items):
     assert all(len({i["key"] for i in r["items"]}) <= 2 for r in found)
 
 
+def test_windows_flush_once_they_are_over(spark):
+    schema = "key string, id long, at long, note string"
+    landing, (out, checkpoint) = work_path(spark, "landing"), paths(spark)
+    counter = DropCounter()
+    spark.streams.addListener(counter)
+
+    def run(*rows):
+        land(spark.createDataFrame([(k, i, t, None) for k, i, t in rows], schema), landing, "at", files=1)
+        stream = read_landing(spark, landing, spark.createDataFrame([], schema).schema)
+        batches = group_into_window_batches(stream, ["key"], "at", 1000, delay_ms=100, lateness_ms=500, size=3)
+        found = run_available(batches, out, checkpoint).collect()
+        return sorted((r["key"], r["window_end"], sorted(i["id"] for i in r["items"]), r["reason"]) for r in found)
+
+    assert run(("a", 1, 10), ("a", 2, 20)) == []
+    # 1400 is past the window's end and the delay, but not the lateness: the state waits over a restart.
+    full = ("a", 1000, [1, 2, 3], "full")
+    assert run(("a", 3, 30), ("b", 9, 1400)) == [full]
+    done = [full, ("a", 1000, [4], "window")]
+    assert run(("a", 4, 950), ("b", 7, 1700)) == sorted(done)
+    # Late by now: dropped. An open window is not delivered.
+    assert run(("a", 5, 990), ("a", 6, 1900)) == sorted(done)
+    assert run(("c", 8, 3000)) == sorted([*done, ("b", 2000, [7, 9], "window"), ("a", 2000, [6], "window")])
+    spark.streams.removeListener(counter)
+
+
+def test_batch_ends():
+    import itertools
+    import random
+
+    import numpy as np
+
+    pick = random.Random(4)
+    for before, _ in itertools.product((False, True), range(300)):
+        weights = np.array([pick.randrange(0, 9) for _ in range(pick.randrange(1, 12))])
+        fresh = np.array([pick.randrange(2) for _ in weights])
+        caps = (pick.randrange(1, 8), pick.randrange(1, 30), pick.randrange(1, 6))
+        n, weight, ids, want = 0, 0, 0, None
+        for i, (w, f) in enumerate(zip(weights, fresh)):
+            reached = n + 1 >= caps[0] or weight + w >= caps[1] or ids + f >= caps[2]
+            if before and n and reached:
+                want = (i, True)
+                break
+            n, weight, ids = n + 1, weight + w, ids + f
+            if not before and reached:
+                want = (i + 1, True)
+                break
+        assert batch_end(weights, fresh, (0, 0, 0), caps, before) == (want or (len(weights), False))
+
+
+def test_late_rows_are_kept_apart(spark):
+    landing, (out, checkpoint) = work_path(spark, "landing"), paths(spark)
+    for times in ([1, 2, 25], [3, 14, 26], [99], [29]):
+        land(spark.createDataFrame([(t,) for t in times], "at long"), landing, "at", files=1)
+        stream = read_landing(spark, landing, spark.createDataFrame([], "at long").schema)
+        write_with_late_rows(stream, "at", 10, out, checkpoint, delay_ms=8, available_now=True).awaitTermination()
+    found = read_with_late_rows(spark, out)
+    assert sorted((r["at"], r["late"]) for r in found.collect()) == [
+        (1, False), (2, False), (3, True), (14, False), (25, False), (26, False), (29, True), (99, False),
+    ]
+
+
 @pytest.mark.parametrize("arguments", [{"max_latency_ms": 9}, {"max_latency_ms": 10**9}, {"size": 0}])
 def test_batch_limits(items, arguments):
     with pytest.raises(ValueError):
@@ -116,6 +177,8 @@ def test_late_rows_are_counted_or_dropped(spark):
     second = 1000
     landing, (out, checkpoint) = work_path(spark, "landing"), paths(spark)
     table = lambda *times: spark.createDataFrame([(t * second,) for t in times], "lastUpdatedTime long")
+    counter = DropCounter()
+    spark.streams.addListener(counter)
 
     def run(*times):
         land(table(*times), landing, "lastUpdatedTime", files=1)
@@ -129,11 +192,12 @@ def test_late_rows_are_counted_or_dropped(spark):
             .start()
         )
         query.awaitTermination()
-        return dropped_rows(query)
+        return counter.dropped(query)
 
     assert run(1, 2, 11, 35) == 0
     assert run(3, 12, 26) == 2
-    assert run(60) == 0
+    assert run(60) == 2
+    spark.streams.removeListener(counter)
     found = sorted(tuple(r) for r in spark.read.parquet(out).collect())
     assert found == [(0, 2), (10_000, 1), (20_000, 1), (30_000, 1)]
 
