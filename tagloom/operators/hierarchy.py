@@ -14,6 +14,8 @@ from tagloom.session import materialize, small_side
 
 NODE, PARENT = "externalId", "parentExternalId"
 SAMPLES = 10
+#: Levels below the listed nodes that a subtree is looked for in one by one.
+FEW_LEVELS = 4
 
 
 def _climb(nodes: DataFrame, paths: bool = True) -> tuple[DataFrame, DataFrame | None]:
@@ -184,23 +186,35 @@ def build_asset_lookup(assets: DataFrame) -> DataFrame:
     return known.join(small_side(roots), "rootId", "left").select(*assets.columns, "rootName")
 
 
-def delete_assets(assets: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(remaining, deleted) after removing the listed assets with their whole subtrees.
+def subtrees(assets: DataFrame, items: DataFrame, levels: int = FEW_LEVELS) -> DataFrame:
+    """(externalId) of the listed assets and all nodes below them, also of a cycle that they lead into.
 
-    Goes down from the listed nodes, one level a round, and so reads links of the table but moves only what goes. Nodes
-    of a cycle that a listed node leads into go as well.
+    Goes down ``levels`` levels from the listed nodes: each reads the links of the table and moves only what it finds.
+    If the trees go on, all nodes not met yet climb towards a met one at doubling distances, so a chain of any depth
+    takes a logarithm of rounds.
     """
-    links = assets.select(NODE, F.col(PARENT).alias("_up")).where("_up <> ''")
+    links = assets.select(NODE, F.col(PARENT).alias("_up")).where(F.col(NODE).isNotNull())
     level = materialize(retrieve(assets, items).select(NODE).where(F.col(NODE).isNotNull()).distinct(), "listed")
-    gone = level
-    while True:
+    met = level
+    for _ in range(levels):
         above = small_side(level.select(F.col(NODE).alias("_up")))
-        below = links.join(above, "_up", "left_semi").select(NODE).distinct()
-        level = materialize(below.join(gone, NODE, "left_anti"), "below")
+        below = links.where("_up <> ''").join(above, "_up", "left_semi").select(NODE).distinct()
+        level = materialize(below.join(met, NODE, "left_anti"), "below")
         if level.isEmpty():
-            break
-        gone = gone.unionByName(level)
-    gone = small_side(gone)
+            return met
+        met = met.unionByName(level)
+    marked = links.dropDuplicates([NODE]).join(small_side(met.withColumn("_met", F.lit(True))), NODE, "left")
+    nodes = marked.select(
+        F.col(NODE).alias("node"), F.when(F.col("_met").isNull() & (F.col("_up") != ""), F.col("_up")).alias("ptr"), F.col("_met").isNotNull().alias("flag")
+    )
+    # A met node climbs no further. Rows that never finish lead into a cycle without one: they stay.
+    done, _ = _climb(nodes, paths=False)
+    return done.where("flag").select(F.col("node").alias(NODE))
+
+
+def delete_assets(assets: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(remaining, deleted) after removing the listed assets with their whole subtrees."""
+    gone = small_side(subtrees(assets, items))
     return assets.join(gone, NODE, "left_anti"), assets.join(gone, NODE, "left_semi")
 
 

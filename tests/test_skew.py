@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tagloom.operators import batching, reads
+from tagloom.operators import batching, hierarchy, reads
 from tagloom.operators.matching import match_entities
 
 
@@ -136,6 +136,23 @@ def test_rows_named_twice_are_delivered_once(spark):
     assert sorted(map(tuple, reads.aggregate_many(table, asked, fields).collect())) == [(1, 2), (2, 1), (3, 3)]
 
 
+def test_deep_chains_are_deleted_in_few_rounds(spark, monkeypatch):
+    written = []
+    keep = hierarchy.materialize
+    monkeypatch.setattr(hierarchy, "materialize", lambda df, label: written.append(label) or keep(df, label))
+    kind = "id long, externalId string, parentExternalId string"
+    up = F.when(F.col("id") % 5000 > 0, F.concat(F.lit("n"), F.col("id") - 1))
+    chains = spark.range(10_000).select("id", F.concat(F.lit("n"), "id").alias("externalId"), up.alias("parentExternalId"))
+    # A ring that a listed node hangs in, and one that none leads into.
+    rings = spark.createDataFrame([(20_000 + i, f"n{20_000 + i}", f"n{20_000 + i // 9 * 9 + (i + 1) % 9}") for i in range(18)], kind)
+    table = chains.unionByName(rings)
+    items = spark.createDataFrame([(None, "n40"), (20_003, None)], "id long, externalId string")
+    remaining, deleted = hierarchy.delete_assets(table, items)
+    gone = {r.id for r in deleted.collect()}
+    assert gone == set(range(40, 5000)) | set(range(20_000, 20_009))
+    assert remaining.count() == 10_018 - len(gone) and len(written) < 25
+
+
 def _cosine(a, b):
     return len(a & b) / (len(a) * len(b)) ** 0.5
 
