@@ -10,12 +10,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tagloom.functions.columns import bigrams, split_letters_digits, tokens
+from tagloom.operators.batching import running_totals
 from tagloom.session import materialize, salt_count
 
 # The feature types of a matcher.
 FEATURE_TYPES = ("simple", "bigram", "frequency-weighted-bigram", "bigram-extra-tokenizers")
 
-_EPS = 1e-9
+#: Targets in the first block of a token's postings.
+FIRST_BLOCK = 32
 
 
 def features(fields: Sequence[Column], feature_type: str = "simple") -> Column:
@@ -63,13 +65,16 @@ def fit_matcher(
     return model.withColumn("weight", F.log((total + 1) / (F.col("entities") + 1)) + 1)
 
 
-def _vectors(sets: DataFrame, model: DataFrame) -> DataFrame:
+def _vectors(sets: DataFrame, model: DataFrame, blocks: DataFrame | None = None) -> DataFrame:
     """(f, norm2, found, rest) of feature sets: the features some target has, rarest first, as (token, w2) in
-    ``found``, and the sum of squared weights from each of them to the end in ``rest``."""
+    ``found``, and the sum of squared weights from each of them to the end in ``rest``. With ``blocks`` the features also
+    carry the posting blocks of their token."""
     exploded = sets.select("f", F.explode("f").alias("token"))
-    weighed = exploded.join(model.select("token", "targets", "weight"), "token", "left")
+    known = model.select("token", "targets", "weight")
+    known = known if blocks is None else known.join(blocks, "token", "left")
+    weighed = exploded.join(known, "token", "left")
     w2 = F.coalesce(F.col("weight") * F.col("weight"), F.lit(1.0))
-    entry = F.when(F.col("targets") > 0, F.struct("targets", "token", w2.alias("w2")))
+    entry = F.when(F.col("targets") > 0, F.struct("targets", "token", w2.alias("w2"), *([] if blocks is None else ["blocks"])))
     vectors = weighed.groupBy("f").agg(
         F.array_sort(F.collect_list(entry)).alias("found"), F.sum(w2).alias("norm2")
     )
@@ -78,6 +83,67 @@ def _vectors(sets: DataFrame, model: DataFrame) -> DataFrame:
     return vectors.withColumn("rest", rest)
 
 
+def _postings(candidates: DataFrame, model: DataFrame, first_block: int) -> tuple[DataFrame, DataFrame]:
+    """((token, level, _tf, _tids, _tnorm2), (token, blocks)): the targets of every token in blocks.
+
+    A token's targets stand by norm, then id, in blocks of ``first_block`` rows, as many again, twice and four times as
+    many, and so on: even the most common token has some thirty. A block is known by its least, second least and
+    greatest norm, its least id, and the least id among the rows of least norm.
+    """
+    norms = _vectors(candidates.select("f"), model).select("f", F.col("norm2").alias("_tnorm2"))
+    rows = candidates.join(norms, "f").select(
+        F.explode("f").alias("token"), F.col("f").alias("_tf"), "_tids", "_tnorm2", F.col("_tids")[0].alias("_first")
+    )
+    ranked = running_totals(rows, ["token"], ["_tnorm2", "_first"], {"_rank": F.lit(1)})
+    doubled = F.floor(F.log2(F.col("_rank") / first_block)) + 1
+    level = F.when(F.col("_rank") < first_block, F.lit(0)).otherwise(doubled).cast("int")
+    postings = materialize(ranked.withColumn("level", level).drop("_rank"), "postings")
+    by_norm = postings.groupBy("token", "level", "_tnorm2").agg(F.min("_first").alias("_first"))
+    leading = W.partitionBy("token", "level").orderBy("_tnorm2")
+    second = by_norm.withColumn("_rn", F.row_number().over(leading)).where("_rn = 2").select("token", "level", F.col("_tnorm2").alias("second"))
+    facts = by_norm.groupBy("token", "level").agg(
+        F.min("_tnorm2").alias("low"), F.max("_tnorm2").alias("high"), F.min("_first").alias("tid"), F.min_by("_first", "_tnorm2").alias("low_tid")
+    )
+    facts = facts.join(second, ["token", "level"], "left")
+    blocks = facts.groupBy("token").agg(
+        F.array_sort(F.collect_list(F.struct("level", "low", "second", "high", "tid", "low_tid"))).alias("blocks")
+    )
+    return postings.drop("_first"), blocks
+
+
+def _probes() -> Column:
+    """All (token, level, round, bound, tid) of a source: the blocks of its features, the round that looks at each, and
+    the best score that a target first met there can have.
+
+    Of such a target the source shares no rarer feature, so their product is at most the ``rest`` from this one on, and at
+    most the target's own squared norm. Features come in rounds of 1, 1, 2, 4, ... and each goes on by one block a round.
+    """
+
+    def of_feature(x: Column, at: Column) -> Column:
+        reach = F.get("rest", at)
+        start = F.when(at == 0, F.lit(0)).otherwise(F.floor(F.log2(at.cast("double"))) + 1).cast("int")
+
+        def of_block(b: Column) -> Column:
+            best = (
+                F.when(b["high"] <= reach, F.sqrt(b["high"] / F.col("norm2")))
+                .when(b["low"] >= reach, reach / F.sqrt(F.col("norm2") * b["low"]))
+                .otherwise(F.sqrt(reach / F.col("norm2")))
+            )
+            # Rounded like a score, so that a target of the block never scores more.
+            rounded = lambda value: F.round(value + 1e-12, 9)
+            bound = rounded(best)
+            # Where norms only lower the score, rows of the second norm do not reach the bound.
+            next_one = F.coalesce(rounded(reach / F.sqrt(F.col("norm2") * b["second"])), F.lit(-1.0))
+            tid = F.when((b["low"] >= reach) & (next_one < bound), b["low_tid"]).otherwise(b["tid"])
+            return F.struct(
+                x["token"].alias("token"), b["level"].alias("level"), (start + b["level"]).alias("round"), bound.alias("bound"), tid.alias("tid")
+            )
+
+        return F.transform(x["blocks"], of_block)
+
+    return F.flatten(F.transform("found", of_feature))
+
+
 def match_entities(
     sources: DataFrame,
     targets: DataFrame,
@@ -88,14 +154,15 @@ def match_entities(
     source_id: str = "id",
     target_id: str = "id",
     model: DataFrame | None = None,
+    first_block: int = FIRST_BLOCK,
 ) -> DataFrame:
     """(source_id, target_id, score, rank): the best targets that share a feature and reach the threshold.
 
     Exact, without dropping common features. Sources with the same features are matched once, and of targets
     with the same features only the first ``max_matches`` by id can ever be returned. Each source then meets
-    the targets through its rarest feature first. A target that shares none of the features tried so far
-    scores at most |rest| / |all|; when the best matches found already beat that, or it lies below the
-    threshold, the source is settled. Common features are so joined only for sources with nothing better.
+    the targets through its rarest feature first, and of a feature's targets the block of least norm first. A block is
+    joined only while a target first met in it could still beat the matches found (by score, then id) or reach the
+    threshold; so a word that all names share is met in its first block, and the rest of its targets are never paired.
     """
     source_features = features([F.col(s) for s, _ in match_fields], feature_type)
     target_features = features([F.col(t) for _, t in match_fields], feature_type)
@@ -115,39 +182,35 @@ def match_entities(
         .agg(F.sort_array(F.collect_list("_tid")).alias("_tids"))
     )
     candidates = materialize(candidates, "candidates")
-    target_norms = _vectors(candidates.select("f"), model).select("f", F.col("norm2").alias("_tnorm2"))
-    postings = materialize(
-        candidates.join(target_norms, "f").select(
-            F.explode("f").alias("token"), F.col("f").alias("_tf"), "_tids", "_tnorm2"
-        ),
-        "postings",
-    )
+    postings, blocks = _postings(candidates, model, first_block)
+    kept = {"_worst": F.lit(None).cast("double"), "_worst_tid": F.lit(None).cast(candidates.schema["_tids"].dataType.elementType)}
+    vectors = _vectors(listed.select("f").distinct(), model, blocks).where(F.size("found") > 0)
+    slim = F.transform("found", lambda x: F.struct(x["token"].alias("token"), x["w2"].alias("w2")))
+    open_sources = vectors.withColumn("probes", _probes()).select("f", "norm2", slim.alias("found"), "probes").withColumns(kept)
 
-    def bound(rest: Column) -> Column:
-        return F.sqrt(rest / F.col("norm2"))
+    def alive(probe: Column) -> Column:
+        beats = F.col("_worst").isNull() | (probe["bound"] > F.col("_worst")) | (
+            (probe["bound"] == F.col("_worst")) & (probe["tid"] < F.col("_worst_tid"))
+        )
+        return (probe["bound"] >= F.lit(threshold)) & beats
 
-    open_sources = (
-        _vectors(listed.select("f").distinct(), model)
-        .where(F.size("found") > 0)
-        .withColumn("_worst", F.lit(None).cast("double"))
-    )
-    open_sources = materialize(open_sources, "open")
-    ranking = W.partitionBy("f").orderBy(F.desc("score"), "_tid")
+    # From here on a feature set goes by a number, which is written with it.
+    numbered = open_sources.withColumn("probes", F.filter("probes", alive)).withColumn("s", F.monotonically_increasing_id())
+    numbered = materialize(numbered, "open")
+    open_sources = numbered.drop("f")
+    ranking = W.partitionBy("s").orderBy(F.desc("score"), "_tid")
     settled: list[DataFrame] = []
     best: DataFrame | None = None
-    low, high = 0, 1
     while True:
-        # The features at [low, high), each with the rest that bounds what is first met through it.
-        cut = lambda name, alias: F.slice(name, low + 1, high - low).alias(alias)
-        probes = open_sources.select("*", F.inline(F.arrays_zip(cut("found.token", "token"), cut("rest", "reach"))))
-        probes = probes.where(
-            (bound(F.col("reach")) >= F.lit(threshold - _EPS))
-            & (F.col("_worst").isNull() | (bound(F.col("reach")) >= F.col("_worst") - _EPS))
-        )
+        number = open_sources.agg(F.min(F.array_min("probes.round"))).first()[0]
+        if number is None:
+            break
+        due = F.filter("probes", lambda p: p["round"] == number)
+        probes = open_sources.select("s", "norm2", "found", F.explode(due).alias("p")).select("s", "norm2", "found", "p.token", "p.level")
         # Pairs cost far more than probes: spread the probes evenly, whatever their tokens.
-        probes = probes.repartition(salt_count(probes.sparkSession), "f", "token")
+        probes = probes.repartition(salt_count(probes.sparkSession), "s", "token")
         shared = F.array_intersect("found.token", "_tf")
-        met = probes.join(postings, "token").withColumn("_shared", shared)
+        met = probes.join(postings, ["token", "level"]).withColumn("_shared", shared)
         # A pair is met once: through the first feature it shares.
         met = met.where(F.element_at("_shared", 1) == F.col("token"))
         dot = F.size("_shared").cast("double")
@@ -155,30 +218,26 @@ def match_entities(
             common = F.filter("found", lambda x: F.array_contains(F.col("_shared"), x["token"]))
             dot = F.aggregate(common, F.lit(0.0), lambda total, x: total + x["w2"])
         scored = (
-            met.select("f", F.round(dot / F.sqrt(F.col("norm2") * F.col("_tnorm2")), 9).alias("score"), "_tids")
+            met.select("s", F.round(dot / F.sqrt(F.col("norm2") * F.col("_tnorm2")), 9).alias("score"), "_tids")
             .where(F.col("score") >= threshold)
-            .select("f", "score", F.explode("_tids").alias("_tid"))
+            .select("s", "score", F.explode("_tids").alias("_tid"))
         )
         if best is not None:
-            scored = scored.unionByName(best.select("f", "score", "_tid"))
+            scored = scored.unionByName(best.select("s", "score", "_tid"))
         ranked = scored.withColumn("rank", F.row_number().over(ranking)).where(F.col("rank") <= max_matches)
         best = materialize(ranked, "best")
-        worst = best.where(F.col("rank") == max_matches).select("f", F.col("score").alias("_worst"))
-        next_bound = bound(F.get("rest", F.lit(high)))
-        # Still open: features left whose targets could reach the threshold and the worst match kept.
-        undecided = open_sources.drop("_worst").join(worst, "f", "left").where(
-            (next_bound >= F.lit(threshold - _EPS))
-            & (F.col("_worst").isNull() | (next_bound >= F.col("_worst") - _EPS))
-        )
-        open_sources = materialize(undecided, "open")
-        if open_sources.isEmpty():
-            settled.append(best)
-            break
-        settled.append(best.join(open_sources.select("f"), "f", "left_anti"))
-        best = best.join(open_sources.select("f"), "f", "left_semi")
-        low, high = high, high * 2
+        worst = best.where(F.col("rank") == max_matches).select("s", F.col("score").alias("_worst"), F.col("_tid").alias("_worst_tid"))
+        # Still open: blocks left whose targets could reach the threshold and beat the worst match kept.
+        left = open_sources.drop(*kept).join(worst, "s", "left")
+        left = left.withColumn("probes", F.filter("probes", lambda p: (p["round"] > number) & alive(p)))
+        open_sources = materialize(left.where(F.size("probes") > 0), "open")
+        settled.append(best.join(open_sources.select("s"), "s", "left_anti"))
+        best = best.join(open_sources.select("s"), "s", "left_semi")
+    if not settled:
+        empty = numbered.select("s", F.lit(0.0).alias("score"), kept["_worst_tid"].alias("_tid"), F.lit(0).alias("rank"))
+        settled.append(empty.where(F.lit(False)))
     found = reduce(DataFrame.unionByName, settled)
-    return listed.join(found, "f").select(
+    return listed.join(numbered.select("s", "f"), "f").join(found, "s").select(
         F.col("_sid").alias("source_id"), F.col("_tid").alias("target_id"), "score", "rank"
     )
 

@@ -100,6 +100,22 @@ _NAMED = "SELECT c_custkey AS id, c_name AS name FROM customer"
 _CODES = "SELECT c_custkey AS id, 'customer ' || lpad(c_custkey::VARCHAR, 9, '0') || ' account' AS name FROM customer"
 
 
+_PLACES = "SELECT o_orderkey AS id, 'order place ' || o_orderkey AS name FROM orders"
+_STOPS = """SELECT 'st' || c_custkey AS id, 'stop place x' || c_custkey || CASE WHEN c_custkey % 3 = 0 THEN ' ' || c_nationkey ELSE '' END AS name
+    FROM customer"""
+
+
+@query("match_entities_shared_word", _match_sql(_PLACES, _STOPS, "simple", 2))
+def match_shared_word(v):
+    """All names of both sides hold the word ``place``, most share nothing else: it is met in its first blocks only."""
+    key, nation = F.col("c_custkey"), F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit(" "), "c_nationkey")).otherwise("")
+    sources = v.table("orders").select(
+        F.col("o_orderkey").cast("string").alias("id"), F.concat(F.lit("order place "), "o_orderkey").alias("name")
+    )
+    targets = v.table("customer").select(F.concat(F.lit("st"), key).alias("id"), F.concat(F.lit("stop place x"), key, nation).alias("name"))
+    return _rounded(match_entities(sources, targets, [("name", "name")], max_matches=2))
+
+
 @query("match_entities_common_token", _match_sql(_NAMED, _CODES, "simple", 1))
 def match_common_token(v):
     """Every name of both sides holds the word ``customer``; the number decides."""

@@ -157,8 +157,24 @@ def _cosine(a, b):
     return len(a & b) / (len(a) * len(b)) ** 0.5
 
 
+def test_a_word_that_all_names_share_pairs_few_of_them(spark, monkeypatch):
+    import tagloom.operators.matching as matching
+
+    joined = []
+    keep = matching.materialize
+    monkeypatch.setattr(matching, "materialize", lambda df, label: joined.append((label, out := keep(df, label))) or out)
+    name = lambda tag: F.concat(F.lit("place "), F.lit(tag), F.col("id"))
+    sources = spark.range(6000).select("id", name("a").alias("name"))
+    targets = spark.range(6000).select("id", F.concat(name("b"), F.when(F.col("id") % 2 == 0, " more").otherwise("")).alias("name"))
+    found = match_entities(sources, targets, [("name", "name")], max_matches=2)
+    assert found.groupBy("target_id").count().orderBy("target_id").collect() == [(1, 6000), (3, 6000)]
+    # Each source looked at one block of the word; all its other blocks hold worse or later targets.
+    assert [df.count() for label, df in joined if label == "open"][1:] == [0]
+
+
+@pytest.mark.parametrize("first_block", [1, 3, 32])
 @pytest.mark.parametrize("k, threshold", [(1, 0.0), (3, 0.0), (2, 0.55)])
-def test_matching_equals_brute_force(spark, k, threshold):
+def test_matching_equals_brute_force(spark, k, threshold, first_block):
     rng = random.Random(5)
     words = [f"w{i}" for i in range(12)]
     text = lambda n: " ".join(["common"] + rng.sample(words, n))
@@ -172,6 +188,7 @@ def test_matching_equals_brute_force(spark, k, threshold):
         [("name", "name")],
         max_matches=k,
         threshold=threshold,
+        first_block=first_block,
     )
     wanted = []
     for sid, s in sources:
