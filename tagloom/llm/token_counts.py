@@ -1,8 +1,8 @@
 """Token counts of whole texts, with huge texts encoded in overlapping chunks that are spliced where they agree.
 
-A text of at most ``huge`` code points is counted by its task. It is cut before spaces that stand between an ASCII letter
-or digit and an ASCII letter: the byte-level pattern always ends a word there, and merges never cross words, so the counts
-of the parts add up. A part is encoded once per worker and remembered (short parts only). Vocabularies with another
+A text of at most ``huge`` code points is counted by its task. It is cut before spaces that follow a visible ASCII
+character: the byte-level pattern always ends a word there, and merges never cross words, so the counts of the parts add
+up. Short parts are remembered by the worker, as many as two tables of ``MOST_PARTS`` hold. Vocabularies with another
 pre-tokenizer or a normalizer get whole texts.
 
 A longer text is cut into chunks of ``step`` code points that run on by ``overlap`` into the next chunk, and the chunks
@@ -44,10 +44,8 @@ SLICE = 1 << 20
 # Parts of at most SHORT bytes are remembered, MOST_PARTS of them at a time; the rest are encoded when they are met.
 SHORT, MOST_PARTS = 48, 1 << 18
 
-_ALNUM = np.zeros(256, bool)
-_ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
-_ALPHA = _ALNUM.copy()
-_ALPHA[48:58] = False
+_VISIBLE = np.zeros(256, bool)
+_VISIBLE[0x21:0x7F] = True
 _loaded: dict[str, Counter] = {}
 
 
@@ -75,6 +73,7 @@ class Counter:
                          and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in stated["added_tokens"]))
         self.margin = 4 + max([len(s) for s in special], default=0)
         self.known: dict[bytes, int] = {}
+        self.earlier: dict[bytes, int] = {}
 
     def encode(self, texts: list[str]) -> list:
         return self.tokenizer.encode_batch(texts, add_special_tokens=False)
@@ -85,8 +84,8 @@ class Counter:
         bounds = bounds - bounds[0]
         edge = np.zeros(len(raw) + 1, bool)
         edge[bounds] = True
-        if self.cuts and len(raw) > 2:
-            edge[1:-2] |= _ALNUM[raw[:-2]] & (raw[1:-1] == 32) & _ALPHA[raw[2:]]
+        if self.cuts and len(raw) > 1:
+            edge[1:-1] |= _VISIBLE[raw[:-1]] & (raw[1:] == 32)
         at = np.flatnonzero(edge)
         if len(at) < 2:
             return np.zeros(len(bounds) - 1, np.int64)
@@ -95,12 +94,16 @@ class Counter:
         distinct = coded.dictionary.to_pylist()
         sizes = [self.known.get(p, -1) for p in distinct]
         new = [i for i, n in enumerate(sizes) if n < 0]
-        for a in range(0, len(new), 4096):
-            some = new[a : a + 4096]
+        if self.earlier:
+            for i in new:
+                sizes[i] = self.earlier.get(distinct[i], -1)
+        unmet = [i for i in new if sizes[i] < 0]
+        for a in range(0, len(unmet), 4096):
+            some = unmet[a : a + 4096]
             for i, found in zip(some, self.encode([distinct[i].decode() for i in some])):
                 sizes[i] = len(found)
         if len(self.known) + len(new) > MOST_PARTS:
-            self.known.clear()
+            self.known, self.earlier = {}, self.known
         self.known.update((distinct[i], sizes[i]) for i in new if len(distinct[i]) <= SHORT)
         total = np.concatenate(([0], np.cumsum(np.array(sizes, np.int64)[coded.indices.to_numpy()])))
         return np.diff(total[np.searchsorted(at, bounds)])
