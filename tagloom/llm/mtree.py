@@ -11,7 +11,8 @@ its nearest router, which gives a lower bound of its k-th score; then all pages
 A node or a vector is passed over without computing a distance if the stored distances and the triangle inequality
 show that it can't reach the bound. Queries travel in blocks of ``BLOCK``; a task holds a page and a block.
 
-Scores are computed in whole numbers; bounds have a margin above their rounding error, so they only save work.
+Scores are computed in whole numbers, by 64-bit or longer ones where a product may pass 2 ** 52; bounds have a margin above
+their rounding error, so they only save work. A score beyond 64 bits is held at their end.
 
 Defined cases: vectors null or with null or non-finite components take no part; shorter vectors count as padded with
 zeros; the query itself (its id) is no candidate; ties go to the smaller id; equal vectors are candidates each; null ids
@@ -72,8 +73,9 @@ def build(points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
 def pages(df: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, np.ndarray, int, float]:
     """(pages, routers, width, squared reach). The pages are written once."""
     vectors = materialize(whole(df, id_col, vec_col), "vectors")
-    norm = F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a + x * x)
-    width, reach = vectors.agg(F.coalesce(F.max(F.size("v")), F.lit(0)), F.coalesce(F.max(norm), F.lit(0))).first()
+    norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+    width, reach = vectors.agg(F.coalesce(F.max(F.size("v")), F.lit(0)), F.coalesce(F.max(norm), F.lit(0.0))).first()
+    reach *= 1 + 1e-12  # above the rounding of the sum
     sample = vectors.orderBy(F.xxhash64("id"), "id").limit(ROUTERS).collect()
     routers = _matrix([r["v"] for r in sample], width) if sample else np.zeros((1, width), np.int64)
     lifted = _lift(routers, reach)
@@ -121,9 +123,20 @@ class Page:
         self.members = [np.flatnonzero(node == i) for i in range(len(self.radius))]
         self.reach = reach
 
-    def search(self, own: int, q: np.ndarray, k: int, floor: float) -> list[tuple[int, int]]:
+    def scores(self, rows: np.ndarray, whole_q: np.ndarray, q: np.ndarray, most: float) -> np.ndarray:
+        """Inner products in whole numbers; ``most`` is a bound of their size. Those beyond 64 bits are held at the end."""
+        if most < 2.0**52:
+            return (self.exact[rows] @ q).astype(np.int64)
+        if most < 2.0**62:
+            return self.x[rows] @ whole_q
+        end = 2**63 - 1
+        return np.array([max(-end, min(end, s)) for s in self.x[rows].astype(object) @ whole_q.astype(object)], np.int64)
+
+    def search(self, own: int, whole_q: np.ndarray, k: int, floor: float) -> list[tuple[int, int]]:
         """The k best (score, -id) of the page for a query, of those that score at least ``floor``."""
+        q = whole_q.astype(np.float64)
         norm = float((q * q).sum())
+        most = np.sqrt(norm * self.reach)
         point = np.append(q, 0.0)
         best: list[tuple[int, int]] = []
 
@@ -146,7 +159,7 @@ class Page:
                 continue
             rows = self.members[i]
             rows = rows[np.abs(away - self.parent[rows]) <= limit()]
-            scores = (self.exact[rows] @ q).astype(np.int64)  # whole numbers below 2 ** 53: exact
+            scores = self.scores(rows, whole_q, q, most)
             enough = scores >= max(floor, best[0][0]) if len(best) == k else scores >= floor
             for s, v in zip(scores[enough].tolist(), self.ids[rows[enough]].tolist()):
                 if v == own:
@@ -188,7 +201,7 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id"
             for row in batch.itertuples():
                 held = Page(row, width, reach)
                 own = np.frombuffer(row.query_ids, np.int64).tolist()
-                q = np.frombuffer(row.queries, np.int64).reshape(len(own), width).astype(np.float64)
+                q = np.frombuffer(row.queries, np.int64).reshape(len(own), width)
                 for i, point, floor in zip(own, q, np.frombuffer(row.floors, np.float64).tolist()):
                     out += [(i, -v, s) for s, v in held.search(i, point, k, floor)]
             yield pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
@@ -204,7 +217,8 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id"
     homes = homes.withColumn("block", (F.col("router") * (1 << 20) + F.col("block")).cast("int")).drop("n")
     near = homes.join(first, "block").mapInPandas(search, found)
     floors = near.groupBy("query_id").agg(F.min("score").cast("double").alias("floor"), F.count("*").alias("n")).where(F.col("n") >= k)
-    bounded = asked.join(floors.select("query_id", "floor"), "query_id", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
+    below = F.col("floor") - F.abs("floor") * 1e-12  # a score above 2 ** 53 may be rounded up
+    bounded = asked.join(floors.select("query_id", below.alias("floor")), "query_id", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
     # Second round: every page meets every block of queries, each with its bound.
     blocks = max(1, -(-asked.count() // BLOCK))
     bounded = bounded.withColumn("block", F.pmod(F.xxhash64("query_id", F.lit(3)), F.lit(blocks)).cast("int"))

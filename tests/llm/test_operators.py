@@ -324,6 +324,21 @@ def test_top_k_is_exact(spark):
     assert mtree.top_k(few, few).count() == 6
 
 
+def test_top_k_of_large_components(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.normal(size=4)]) for i in range(300)]
+    rows += [(300, [1e10, -1.0, 0.5, 2.0]), (301, [1e10, 1.0, 0.25, -2.0]), (302, [-3e8, 1e10, 1e4, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    queries = df.where("vec_id % 100 = 0 OR vec_id = 7")
+    whole = lambda v: [math.floor(1024 * x) for x in v]
+    want, end = [], 2**63 - 1
+    for i, v in rows:
+        if i % 100 == 0 or i == 7:
+            scored = [(max(-end, min(end, sum(a * b for a, b in zip(whole(v), whole(w))))), -j) for j, w in rows if j != i]
+            want += [(i, n + 1, -j, s) for n, (s, j) in enumerate(sorted(scored, reverse=True)[:5])]
+    assert got(mtree.top_k(df, queries, 5).select("query_id", "rank", "vec_id", "score")) == sorted(want, key=repr)
+
+
 # 8 Packing ---------------------------------------------------------------------------------------------------------
 
 
