@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.operators.batching import assign_batches
 from tagloom.operators.reads import list_many, list_resource
 from tagloom.operators.upsert import addressed, upsert
 from tagloom.request import Request
@@ -25,6 +26,18 @@ def read_many_files(
     return attach_binaries(list_many(headers, requests, equals), binaries)
 
 
+def read_file_batches(
+    headers: DataFrame, binaries: DataFrame, requests: DataFrame, equals: Mapping[str, Column], size: int
+) -> DataFrame:
+    """Files of a table of requests with the number of their batch: (request_id, batch, header..., binary).
+
+    A request's batches hold ``size`` files by id, the last one the rest. Headers are numbered alone, before their
+    binaries come to them.
+    """
+    numbered = assign_batches(list_many(headers, requests, equals), ["request_id"], size, ["id"])
+    return attach_binaries(numbered, binaries)
+
+
 def attach_binaries(headers: DataFrame, binaries: DataFrame) -> DataFrame:
     """Headers with their binary, NULL without one: by id, or by externalId where neither side has an id yet.
 

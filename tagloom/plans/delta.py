@@ -34,6 +34,8 @@ def delta_read(
     A later lower end of the request stays in force, and so does its upper end. The stored timestamp is a
     scalar subquery, so the read is one lazy plan and the lower end still reaches the scan.
     """
+    if table.isStreaming:
+        raise ValueError("a delta read is a batch read: a stream keeps its own place (see watch)")
     first_n = request.first_n
     rows = list_resource(table, replace(request, first_n=0), fields, timestamps)
     kept = lambda rows: rows.orderBy(key).limit(first_n) if first_n > 0 else rows

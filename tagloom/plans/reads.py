@@ -464,6 +464,41 @@ def files_read(v):
     return found.withColumn("bytes", F.octet_length("binary").cast("long")).drop("binary")
 
 
+_FILE_REQUESTS = """SELECT request_id, fil.id, bytes FROM (SELECT *, id % 4 AS part, id * 1000 AS t FROM fil) fil LEFT JOIN bin USING (id)
+    JOIN (VALUES (1, 1, NULL, NULL), (2, 2, 20000, NULL), (3, NULL, NULL, 90000), (4, 9, NULL, NULL)) r(request_id, p, low, high)
+    ON (p IS NULL OR p = part) AND (low IS NULL OR t >= low) AND (high IS NULL OR t <= high)"""
+
+
+def _file_requests(v: Views) -> tuple[DataFrame, DataFrame, dict]:
+    """File headers with a time, a table of requests for them, and what its columns mean."""
+    rows = [(1, 1, None, None), (2, 2, 20_000, None), (3, None, None, 90_000), (4, 9, None, None)]
+    asked = v.spark.createDataFrame(rows, "request_id int, part long, min long, max long")
+    return v.files().withColumn("lastUpdatedTime", F.col("id") * 1000), asked, {"part": F.col("id") % 4}
+
+
+@query("files_read_many", _FILE_REQUESTS, ("fil", "bin"))
+def files_read_many(v):
+    headers, asked, equals = _file_requests(v)
+    found = files.read_many_files(headers, v.file_binaries(), asked, equals)
+    return found.select("request_id", "id", F.octet_length("binary").cast("long").alias("bytes"))
+
+
+@query(
+    "files_read_batches",
+    f"""SELECT request_id, batch, count(*) AS files, count(bytes) AS binaries, sum(bytes)::BIGINT AS bytes, min(id) AS first_id, max(id) AS last_id
+        FROM (SELECT *, (row_number() OVER (PARTITION BY request_id ORDER BY id) - 1) // 20 AS batch FROM ({_FILE_REQUESTS}))
+        GROUP BY 1, 2""",
+    ("fil", "bin"),
+)
+def files_read_batches(v):
+    headers, asked, equals = _file_requests(v)
+    found = files.read_file_batches(headers, v.file_binaries(), asked, equals, 20)
+    size = F.octet_length("binary").cast("long")
+    return found.groupBy("request_id", "batch").agg(
+        F.count("*").alias("files"), F.count("binary").alias("binaries"), F.sum(size).alias("bytes"), F.min("id").alias("first_id"), F.max("id").alias("last_id")
+    )
+
+
 @query(
     "file_binaries_by_ids",
     "SELECT bin.* FROM bin WHERE externalId IN (SELECT 'f:' || doc_id FROM labels)",

@@ -12,15 +12,18 @@ from tagloom.operators.upsert import dedupe_latest
 from tagloom.session import small_side
 
 
+ARRIVAL = "_arrival"
+
+
 def stream_upsert(df: DataFrame, log: str, checkpoint: str, available_now: bool = False, **trigger) -> StreamingQuery:
     """Write every micro-batch to its own folder of the change log.
 
     A batch costs as much as its own rows, whatever the size of the table. A batch that runs again replaces
-    its folder, so nothing is applied twice.
+    its folder, so nothing is applied twice. ``_arrival`` numbers the rows of a batch in the order they were read.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{log}/batch_id={batch_id}")
+        batch.withColumn(ARRIVAL, F.monotonically_increasing_id()).write.mode("overwrite").parquet(f"{log}/batch_id={batch_id}")
 
     writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if available_now:
@@ -31,7 +34,8 @@ def stream_upsert(df: DataFrame, log: str, checkpoint: str, available_now: bool
 def merge_log(
     base: DataFrame | None, log: DataFrame, key: Sequence[str], order_by: Sequence[str] = (), mode: str = "update"
 ) -> DataFrame:
-    """The table that base and change log make: later batches win, within a batch the later row by ``order_by``.
+    """The table that base and change log make: later batches win, within a batch the later row by ``order_by``, and of
+    rows that it leaves equal the one that was read later.
 
     ``update`` takes the last set value of every field, ``replace`` the last row (fields that it lacks are NULL then).
     The result has the base's columns, then those that only the log has. Only base rows with a key in the log are
@@ -39,7 +43,8 @@ def merge_log(
     """
     if mode not in ("update", "replace"):
         raise ValueError(f"unknown mode: {mode}")
-    columns = [c for c in log.columns if c != "batch_id"]
+    columns = [c for c in log.columns if c not in ("batch_id", ARRIVAL)]
+    order = ["batch_id", *order_by, *([ARRIVAL] if ARRIVAL in log.columns else [])]
     rows = log.withColumn("batch_id", F.col("batch_id").cast("long"))
     untouched = None
     if base is not None:
@@ -48,7 +53,7 @@ def merge_log(
         untouched = base.join(written, list(key), "left_anti")
         touched = base.join(written, list(key), "left_semi")
         rows = rows.unionByName(touched.withColumn("batch_id", F.lit(-1).cast("long")), allowMissingColumns=True)
-    merged = _merged(rows, columns, key, ["batch_id", *order_by], mode)
+    merged = _merged(rows, columns, key, order, mode)
     return merged if untouched is None else untouched.unionByName(merged, allowMissingColumns=True).select(*columns)
 
 
@@ -57,7 +62,7 @@ def compact_log(spark: SparkSession, log: str, path: str, key: Sequence[str], or
     rows = spark.read.parquet(log)
     last = rows.agg(F.max(F.col("batch_id").cast("long"))).first()[0]
     merged = merge_log(None, rows, key, order_by)
-    merged.write.parquet(f"{path}/batch_id={last if last is not None else 0}")
+    merged.withColumn(ARRIVAL, F.lit(0).cast("long")).write.parquet(f"{path}/batch_id={last if last is not None else 0}")
     return spark.read.parquet(path)
 
 

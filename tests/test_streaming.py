@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tagloom.plans.delta import delta_read
 from tagloom.request import Request
 from tagloom.session import work_path
 from tagloom.streaming.batcher import batch_end, group_into_batches_stream, group_into_window_batches
@@ -202,6 +203,23 @@ def test_late_rows_are_counted_or_dropped(spark):
     assert found == [(0, 2), (10_000, 1), (20_000, 1), (30_000, 1)]
 
 
+@pytest.mark.parametrize("mode", ["update", "replace"])
+def test_the_row_read_later_wins_within_a_micro_batch(spark, mode):
+    log, checkpoint = paths(spark)
+    landing = work_path(spark, "landing")
+    spark.createDataFrame([(i % 3, i) for i in range(300)], "id long, v long").coalesce(1).write.parquet(landing)
+    stream = read_landing(spark, landing, spark.createDataFrame([], "id long, v long").schema)
+    stream_upsert(stream, log, checkpoint, available_now=True).awaitTermination()
+    found = merge_log(None, spark.read.parquet(log), ["id"], mode=mode)
+    assert found.columns == ["id", "v"] and sorted(map(tuple, found.collect())) == [(0, 297), (1, 298), (2, 299)]
+
+
+def test_a_stream_is_no_delta_read(spark):
+    stream = spark.readStream.format("rate").load().select(F.col("value").alias("id"), F.col("value").alias("lastUpdatedTime"))
+    with pytest.raises(ValueError, match="delta"):
+        delta_read(stream, Request(), None, "db.t", "a")
+
+
 @pytest.mark.parametrize("mode, wanted", [("update", (1, "z", "y")), ("replace", (1, "z", None))])
 def test_change_log(spark, mode, wanted):
     schema = "id long, a string, b string, at long"
