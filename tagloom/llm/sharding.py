@@ -56,13 +56,16 @@ def slot_of(keys: list[Column], size: int = SIZE) -> Column:
 
 
 def place(df: DataFrame, key: str, shards: tuple[str, ...] = SHARDS, size: int = SIZE, spread: tuple[str, ...] = ()) -> DataFrame:
-    """``df`` with its ``slot`` (long) and ``shard`` (name)."""
+    """``df`` with its ``slot`` (long) and ``shard`` (name), in place of columns of these names."""
     joined = ",".join(map(str, fill(shards, size)))
     names = F.array(*[F.lit(s) for s in shards])
-    table = df.sparkSession.range(1).select(F.posexplode(F.split(F.lit(joined), ",")).alias("_slot", "_owner"))
-    table = table.select(F.col("_slot").cast("long").alias("_slot"), F.element_at(names, F.col("_owner").cast("int") + 1).alias("shard"))
-    keyed = df.drop("shard").withColumn("slot", slot_of([F.col(f"`{c}`") for c in (key, *spread)], size))
-    return keyed.join(F.broadcast(table), F.col("slot") == F.col("_slot")).drop("_slot")
+    own, taken = "_slot", {c.lower() for c in df.columns}
+    while own in taken:
+        own = f"_{own}"
+    table = df.sparkSession.range(1).select(F.posexplode(F.split(F.lit(joined), ",")).alias("n", "owner"))
+    table = table.select(F.col("n").cast("long").alias(own), F.element_at(names, F.col("owner").cast("int") + 1).alias("shard"))
+    keyed = df.withColumn("slot", slot_of([F.col(f"`{c}`") for c in (key, *spread)], size)).drop("shard")
+    return keyed.join(F.broadcast(table), F.col("slot") == F.col(own)).drop(own)
 
 
 def write_shards(df: DataFrame, path: str, key: str, **options) -> None:

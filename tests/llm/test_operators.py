@@ -293,6 +293,10 @@ def test_place(spark, tmp_path):
     nulls = sharding.place(docs.withColumn("doc_id", F.lit(None).cast("long")), "doc_id")
     assert nulls.select("shard").distinct().count() == 1
     assert sharding.place(empty(spark), "doc_id").count() == 0
+    clash = docs.withColumns({c: F.lit("x") for c in ("_slot", "__slot", "slot", "shard", "n", "owner")})
+    again = sharding.place(clash, "doc_id")
+    assert sorted((r.doc_id, r.slot, r.shard) for r in again.collect()) == sorted((r.doc_id, r.slot, r.shard) for r in found)
+    assert set(again.columns) == set(clash.columns)
     sharding.write_shards(docs, str(tmp_path / "s"), "doc_id")
     assert spark.read.parquet(str(tmp_path / "s")).count() == 16
 
