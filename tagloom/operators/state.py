@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.functions.columns import iso_instant
+from tagloom.operators.keyed import KeyedTable, Written, create
 from tagloom.operators.upsert import dedupe_latest, upsert
 from tagloom.session import small_side
 
@@ -39,6 +40,36 @@ def delete_state(state: DataFrame, keys: DataFrame) -> DataFrame:
     return state.join(small_side(listed), "key", "left_anti")
 
 
+class StateStore:
+    """High marks in a stored table. Every change is one commit: of two concurrent ones the later is applied to what the
+    earlier left, so :meth:`expand` never lowers a mark, and a reader sees whole changes only."""
+
+    def __init__(self, table: KeyedTable):
+        self.table = table
+
+    @classmethod
+    def create(cls, spark: SparkSession, path: str, parts: int = 16) -> StateStore:
+        return cls(create(spark.createDataFrame([], "key string, high long"), path, ["key"], parts))
+
+    @classmethod
+    def open(cls, spark: SparkSession, path: str) -> StateStore:
+        return cls(KeyedTable(spark, path))
+
+    def get(self, keys: DataFrame) -> DataFrame:
+        """The mark of every asked key; only the parts that can hold them are read."""
+        return get_high(self.table.read_for(keys.where(F.col("key").isNotNull())), keys)
+
+    def set(self, pairs: DataFrame, order_by: str) -> Written:
+        return self.table.write(lambda stored, given: set_high(stored, given, order_by), _set(pairs))
+
+    def expand(self, pairs: DataFrame) -> Written:
+        highest = _set(pairs).groupBy("key").agg(F.max("high").alias("high"))
+        return self.table.write(expand_high, highest)
+
+    def delete(self, keys: DataFrame) -> Written:
+        return self.table.write(delete_state, keys.select("key").where(F.trim("key") != "").distinct())
+
+
 def split_table_name(table_name: str) -> tuple[str, str]:
     parts = table_name.split(".")
     if len(parts) != 2 or not all(parts):

@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.typing import type_raw
-from tagloom.operators import files, raw, reads, sequences, series
+from tagloom.operators import files, raw, reads, rollup, sequences, series
 from tagloom.operators.state import read_timestamp
 from tagloom.plans.delta import delta_read
 from tagloom.plans.registry import query
 from tagloom.request import Request
-from tagloom.session import work_path
+from tagloom.session import materialize, work_path
 from tagloom.sources.delimited import as_columns, read_delimited
 from tagloom.sources.views import SEQUENCE_COLUMNS, Views
 
@@ -270,9 +270,9 @@ def datapoints_limit(v):
     return series.read_datapoints(v.datapoints(), limit=5, limit_mode="per_series")
 
 
-def _aggregate_sql(width: int) -> str:
+def _aggregate_sql(width: int, among: str = "true") -> str:
     return f"""SELECT externalId, timestamp - timestamp % {width} AS timestamp, round(avg(valueNum), 6) AS average,
-        max(valueNum) AS max, count(*) AS count FROM dp GROUP BY 1, 2"""
+        max(valueNum) AS max, count(*) AS count FROM dp WHERE {among} GROUP BY 1, 2"""
 
 
 def _rounded(found: DataFrame) -> DataFrame:
@@ -289,6 +289,19 @@ def datapoints_aggregate_10m(v):
     return _rounded(series.aggregate_datapoints(v.datapoints(), ["average", "max", "count"], "10m"))
 
 
+@query("datapoints_rollup", _aggregate_sql(86_400_000, f"timestamp >= {JAN_5 + 1234567} AND timestamp < {JAN_10 + 7654321}"), ("dp",))
+def datapoints_rollup(v):
+    """Daily aggregates of a range that cuts days, hours and minutes, from stored tiers and raw points at its edges."""
+    points = v.datapoints(stored=True)
+    stored = {}
+    for granularity in ("10m", "h", "d"):
+        finer = list(stored.values())
+        tier = rollup.coarser(finer[-1], granularity) if finer else rollup.rollup(points, granularity)
+        stored[granularity] = materialize(tier, f"tier-{granularity}")
+    found = rollup.aggregate_rolled(points, stored, ["average", "max", "count"], "d", JAN_5 + 1234567, JAN_10 + 7654321, F.col("ts"))
+    return _rounded(found)
+
+
 @query(
     "series_max_frequency",
     f"""SELECT h.externalId, coalesce(round(max(n) / 3600.0, 9), 0) AS frequency FROM ts_head h LEFT JOIN (

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tagloom.operators import state
 from tagloom.plans.registry import query
+from tagloom.session import work_path
 from tagloom.sources.views import Views
 
 
@@ -62,6 +63,25 @@ def state_delete(v):
     return state.delete_state(marks(v), mark_pairs(v).select(F.coalesce("key", F.lit(" ")).alias("key")))
 
 
+@query(
+    "state_store",
+    """SELECT 'u:' || c_custkey AS key, high FROM customer LEFT JOIN (
+           SELECT key, max(high) AS high FROM (SELECT key, high FROM marks UNION ALL
+               SELECT key, high FROM mark_pairs WHERE key IS NOT NULL AND high IS NOT NULL)
+           WHERE key NOT IN (SELECT 'u:' || c_custkey FROM customer WHERE c_acctbal < 0) GROUP BY 1)
+       ON key = 'u:' || c_custkey""",
+    ("marks", "mark_pairs"),
+)
+def state_store(v):
+    """Marks set, raised and dropped in a stored table, then asked for: one commit each."""
+    store = state.StateStore.create(v.spark, work_path(v.spark, "state-store"))
+    store.set(marks(v).withColumn("ord", F.lit(0)), "ord")
+    store.expand(mark_pairs(v))
+    customer = v.table("customer").select(F.concat(F.lit("u:"), F.col("c_custkey")).alias("key"), "c_acctbal")
+    store.delete(customer.where("c_acctbal < 0"))
+    return store.get(customer)
+
+
 _ISO = "strftime(make_timestamp({0} * 1000), '%Y-%m-%dT%H:%M:%S') || CASE WHEN {0} % 1000 = 0 THEN 'Z' ELSE printf('.%03dZ', {0} % 1000) END"
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.operators import batching, files, hierarchy, reads, sequences, series, upsert
+from tagloom.operators import batching, files, hierarchy, keyed, reads, sequences, series, upsert
 from tagloom.operators.raw import KEY
 from tagloom.plans.reads import cells
 from tagloom.plans.registry import query
@@ -24,6 +24,14 @@ def upsert_update(v):
     return upsert.upsert(v.assets(), v.assets_incoming(), ["externalId"]).select(*ASSET)
 
 
+@query("upsert_keyed", _MERGED.format(fields=_UPDATE), ("ast_in",))
+def upsert_keyed(v):
+    """The same write on a stored table: only the parts of the written keys are rewritten."""
+    table = keyed.create(v.assets().select(*ASSET), work_path(v.spark, "keyed-assets"), ["externalId"], parts=16)
+    table.upsert(v.assets_incoming().select(*ASSET))
+    return table.read()
+
+
 @query(
     "upsert_replace",
     """SELECT id, externalId, name, description, parentExternalId, source, dataSetId FROM ast
@@ -105,6 +113,23 @@ def raw_upsert(v):
     return written.select(*KEY, F.get_json_object("columns", "$.custkey").alias("custkey"))
 
 
+@query(
+    "raw_upsert_keyed",
+    """SELECT dbName, tableName, key, CASE WHEN tableName = 'O' THEN '0' ELSE custkey END AS custkey FROM raw
+       WHERE tableName <> 'P'
+       UNION ALL SELECT 'archive', tableName, key, custkey FROM raw WHERE tableName = 'F'""",
+    ("raw",),
+)
+def raw_upsert_keyed(v):
+    """Two upserts and a delete of raw rows in a stored table."""
+    rows = v.raw()
+    table = keyed.create(rows, work_path(v.spark, "keyed-raw"), KEY, parts=16)
+    table.upsert(rows.where("tableName = 'O'").withColumn("columns", F.lit('{"custkey":0}')))
+    table.upsert(rows.where("tableName = 'F'").withColumn("dbName", F.lit("archive")))
+    table.delete(rows.where("tableName = 'P'"))
+    return table.read().select(*KEY, F.get_json_object("columns", "$.custkey").alias("custkey"))
+
+
 def _incoming_points(v: Views) -> DataFrame:
     events = v.events()
     point = lambda kind, shift, plus: events.where(F.col("type") == kind).select(
