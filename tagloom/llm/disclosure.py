@@ -12,7 +12,8 @@
 
 Entities that stand in the same texts have the same counts and go on as one group, so a text full of entities of its own
 makes one pair per term. As n(c, t) is at most the lesser of n(c) and n(t), terms too common to reach the share are left
-out before pairs are formed, which loses nothing. Counts are pre-aggregated.
+out before pairs are formed, which loses nothing. Counts are pre-aggregated. Inside one text, positions are added up in
+blocks of about the root of the number of matches (``running``).
 
 Defined cases: null and empty texts have no spans; a null id is kept; rows equal in id and text share their spans; an
 empty table gives no rows; other columns do not matter (``sanitised`` keeps them, and sets ``n_chars`` if present).
@@ -21,6 +22,7 @@ empty table gives no rows; other columns do not matter (``sanitised`` keeps them
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,19 +45,49 @@ _PLACE = "array<struct<value:string,start:int,end:int>>"
 _ADDED = "array<struct<start:int,end:int,removed:boolean>>"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once: inside a lambda it would be computed again for every element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def blocks(values: Column) -> Column:
+    """``values`` (bound, not empty) cut into blocks of about the root of their number."""
+    width = F.greatest(F.lit(16), F.ceil(F.sqrt(F.size(values))).cast("int"))
+    return let(width, lambda w: F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / w).cast("int")), lambda i: F.slice(values, i * w + 1, w)))
+
+
+def running(values: Column, merge: Callable[[Column, Column], Column], begin: int) -> Column:
+    """Running results of ``merge`` over an array of whole numbers, each with its own element.
+
+    An array that grows by an element is copied, so it grows inside blocks only: n ** 1.5 copies for n elements.
+    """
+
+    def fold(part: Column, first: Column) -> Column:
+        step = lambda acc, v: let(merge(acc["at"], v), lambda now: F.struct(now.alias("at"), F.concat(acc["out"], F.array(now)).alias("out")))
+        return F.aggregate(part, F.struct(first.alias("at"), F.array().cast("array<int>").alias("out")), step, lambda acc: acc["out"])
+
+    def all_of(cut: Column) -> Column:
+        totals = F.transform(cut, lambda part: F.aggregate(part, F.lit(begin), lambda a, b: merge(a, b)))
+        before = F.concat(F.array(F.lit(begin)), fold(totals, F.lit(begin)))
+        return F.flatten(F.zip_with(cut, F.slice(before, F.lit(1), F.size(cut)), fold))
+
+    return let(values, lambda v: F.when(F.size(v) > 0, let(blocks(v), all_of)).otherwise(F.array().cast("array<int>")))
+
+
+def _ends(text: Column, pattern: str, found: Column) -> Column:
+    """Ends of the matches ``found`` in code points: lengths of what lies between and of matches, added up."""
+    gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
+    return running(F.zip_with(gaps, found, lambda g, v: F.length(g) + F.length(v)), lambda a, b: a + b, 0)
+
+
 def places(text: Column, pattern: str) -> Column:
     """Matches of ``pattern`` with start and end (exclusive) in code points."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
 
-    def step(acc: Column, pair: Column) -> Column:
-        start = acc["at"] + F.length(pair["gap"])
-        end = start + F.length(pair["value"])
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(pair["value"].alias("value"), start.alias("start"), end.alias("end")))).alias("out"))
+    def placed(found: Column) -> Column:
+        place = lambda v, end: F.struct(v.alias("value"), (end - F.length(v)).alias("start"), end.alias("end"))
+        return F.when(F.size(found) > 0, F.zip_with(found, _ends(text, pattern, found), place).cast(_PLACE)).otherwise(F.array().cast(_PLACE))
 
-    pairs = F.zip_with(F.slice(gaps, F.lit(1), F.size(found)), found, lambda g, v: F.struct(g.alias("gap"), v.alias("value")))
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast(_PLACE).alias("out"))
-    return F.when(F.size(found) > 0, F.aggregate(pairs, begin, step, lambda acc: acc["out"])).otherwise(F.array().cast(_PLACE))
+    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)
 
 
 def _luhn(digits: Column) -> Column:
@@ -135,18 +167,30 @@ def disclosing(found: DataFrame, docs: DataFrame, text_col: str = "text") -> Dat
 
 def _standing(text: Column, spans: Column, wanted: Column) -> Column:
     """Places (start, end, removed) outside all spans of the terms that ``wanted`` (term -> removed) has."""
-    found = F.regexp_extract_all(text, F.lit(TERM), F.lit(0))
-    pairs = F.zip_with(F.slice(F.split(text, TERM, -1), F.lit(1), F.size(found)), found, lambda g, v: F.struct(F.length(g).alias("gap"), F.length(v).alias("size"), F.try_element_at(wanted, F.lower(v)).alias("removed")))
 
-    def step(acc: Column, pair: Column) -> Column:
-        start = acc["at"] + pair["gap"]
-        end = start + pair["size"]
-        place = F.struct(start.alias("start"), end.alias("end"), pair["removed"].alias("removed"))
-        return F.struct(end.alias("at"), F.when(pair["removed"].isNotNull(), F.concat(acc["out"], F.array(place))).otherwise(acc["out"]).alias("out"))
+    def told(found: Column) -> Column:
+        place = lambda v, end: F.struct((end - F.length(v)).alias("start"), end.alias("end"), F.try_element_at(wanted, F.lower(v)).alias("removed"))
+        return F.filter(F.zip_with(found, _ends(text, TERM, found), place), lambda t: t["removed"].isNotNull())
+
+    return outside(let(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), told), spans)
+
+
+def outside(terms: Column, spans: Column) -> Column:
+    """The places of ``terms`` that no span overlaps. Both are sorted into one array; a place is free if no span before it
+    ends behind its start and the next span does not start before its end."""
+    far = 2**31 - 1
+    as_span = lambda s: F.struct(s["start"].alias("start"), F.lit(0).alias("own"), s["end"].alias("end"), F.lit(None).cast("boolean").alias("removed"))
+    as_term = lambda t: F.struct(t["start"].alias("start"), F.lit(1).alias("own"), t["end"].alias("end"), t["removed"].alias("removed"))
 
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast(_ADDED).alias("out"))
-    every = F.aggregate(pairs, begin, step, lambda acc: acc["out"])
-    return F.filter(every, lambda t: ~F.exists(spans, lambda o: (o["start"] < t["end"]) & (t["start"] < o["end"])))
+    def free(every: Column) -> Column:
+        ends = running(F.transform(every, lambda e: F.when(e["own"] == 0, e["end"]).otherwise(0)), F.greatest, 0)
+        starts = F.transform(F.reverse(every), lambda e: F.when(e["own"] == 0, e["start"]).otherwise(far))
+        ahead = F.reverse(running(starts, F.least, far))
+        met = F.arrays_zip(every.alias("e"), ends.alias("behind"), ahead.alias("ahead"))
+        kept = F.filter(met, lambda m: (m["e"]["own"] == 1) & (m["behind"] <= m["e"]["start"]) & (m["ahead"] >= m["e"]["end"]))
+        return F.transform(kept, lambda m: F.struct(m["e"]["start"].alias("start"), m["e"]["end"].alias("end"), m["e"]["removed"].alias("removed"))).cast(_ADDED)
+
+    return let(F.array_sort(F.concat(F.transform(spans, as_span), F.transform(terms, as_term))), free)
 
 
 def all_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -166,13 +210,27 @@ def sanitise(text: Column, spans: Column, added: Column) -> Column:
     marked = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("put")))
     terms = F.transform(added, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.when(s["removed"], "").otherwise("[TERM]").alias("put")))
 
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(text, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
-        put = F.when(s["start"] >= acc["at"], s["put"]).otherwise("")
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], gap, put).alias("out"))
+    def block(cut: Column) -> Column:
+        # One section of the text per block: a place in a text is found by counting from its start.
+        first = cut[0]["at"]
+        section = F.substring(text, first + 1, F.greatest(F.element_at(cut, -1)["start"] - first, F.lit(0)))
+
+        def piece(s: Column, within: Column) -> Column:
+            gap = F.substring(within, s["at"] - first + 1, F.greatest(s["start"] - s["at"], F.lit(0)))
+            return F.concat(gap, F.when(s["start"] >= s["at"], s["put"]).otherwise(""))
+
+        return let(section, lambda within: F.array_join(F.transform(cut, lambda s: piece(s, within)), ""))
+
+    def replaced(every: Column) -> Column:
+        ends = running(F.transform(every, lambda s: s["end"]), F.greatest, 0)
+        return let(ends, lambda e: F.concat(joined(every, e), F.substring(text, F.element_at(e, -1) + 1, F.length(text))))
+
+    def joined(every: Column, ends: Column) -> Column:
+        before = F.concat(F.array(F.lit(0)), ends)
+        steps = F.zip_with(every, F.slice(before, F.lit(1), F.size(every)), lambda s, at: F.struct(at.alias("at"), s["start"].alias("start"), s["put"].alias("put")))
+        return F.array_join(F.transform(let(steps, blocks), block), "")
 
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    return F.aggregate(F.array_sort(F.concat(marked, terms)), begin, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
+    return let(F.array_sort(F.concat(marked, terms)), lambda every: F.when(F.size(every) > 0, replaced(every)).otherwise(text))
 
 
 def sanitised(docs: DataFrame) -> DataFrame:

@@ -1,11 +1,14 @@
 """Each operator on awkward, empty and clashing tables, and against plain versions."""
 
 import hashlib
+import itertools
 import math
+import random
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import regex
 from helpers import awkward, base_spans, clashing, components, empty, held_out, sentence, shingles, words
 from pyspark.sql import functions as F
 
@@ -436,6 +439,84 @@ def test_terms_of_entities_that_stand_once_or_twice(spark):
     assert "uixotania" not in clean[1] and "Zanzibarum" not in clean[4] and clean[5] == rows[5][1]
 
 
+def plain_disclosure(rows):
+    """Disclosing terms by dictionaries: {doc_id: [(start, end, removed)]}."""
+    term = regex.compile(r"\p{L}[\p{L}\p{N}]{3,}+")
+    texts = sorted({t or "" for _, t in rows})
+    entities, terms = {}, {}
+    for t in texts:
+        spans = [x.split(":") for x in base_spans(t).split(",") if x]
+        entities[t] = {f"{k}:{t[int(a):int(b)].lower()}" for k, a, b in spans}
+        terms[t] = {m[0].lower() for m in term.finditer(t)}
+    n_c, n_t, n_ct = (Counter(x for t in texts for x in of(t)) for of in (entities.get, terms.get, lambda t: {(c, w) for c in entities[t] for w in terms[t]}))
+    told = {}
+    for (c, w), both in n_ct.items():
+        expected = n_c[c] * n_t[w] / len(texts)
+        all_there_is = math.log2(len(texts) / n_c[c])
+        share = math.log2(both / expected) / all_there_is if all_there_is else 0
+        if share >= 0.8 - 1e-12 and both * math.log(both / expected) - both + expected >= -math.log(0.05):
+            told[c, w] = share
+    out = {}
+    for i, t in rows:
+        t = t or ""
+        spans = [tuple(map(int, x.split(":")[1:])) for x in base_spans(t).split(",") if x]
+        out[i] = []
+        for m in term.finditer(t):
+            share = max((told[c, m[0].lower()] for c in entities[t] if (c, m[0].lower()) in told), default=None)
+            if share is not None and not any(a < m.end() and m.start() < b for a, b in spans):
+                out[i].append((m.start(), m.end(), share >= 0.95))
+    return out
+
+
+def plain_sanitised(text, spans, added):
+    marks = sorted([(s.start, s.end, f"[{s.kind.upper()}]") for s in spans] + [(t.start, t.end, "" if t.removed else "[TERM]") for t in added])
+    out, at = "", 0
+    for start, end, put in marks:
+        out += text[at : max(at, start)] + (put if start >= at else "")
+        at = max(at, end)
+    return out + text[at:]
+
+
+def test_added_spans_and_sanitised_texts_match_plain_counts(spark):
+    rng = random.Random(4)
+    names = [f"Name{chr(97 + i)}quist" for i in range(25)]
+    rows = []
+    for i in range(150):
+        parts = [rng.choice(names[k % 25 : k % 25 + 2] + ["übrig"]) if rng.random() < 0.3 else f"word{rng.randrange(60)}" for k in range(rng.randrange(0, 40))]
+        for k in range(rng.randrange(0, 4)):
+            who = rng.randrange(30)
+            parts.insert(rng.randrange(len(parts) + 1), rng.choice([f"p{who}x@mail.example", f"10.0.0.{who}", f"+49 151 23456{who:02}", f"😀ÄÖ{names[who % 25]}x{who}@host.example"]))
+            parts.insert(rng.randrange(len(parts) + 1), names[who % 25])
+        rows.append((i, " ".join(parts)))
+    rows += [(200, None), (201, ""), (202, rows[3][1]), (203, " ".join(f"a{i}.b@c{i}.example Name{i % 7}quist 10.0.{i % 250}.1" for i in range(300)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in disclosure.all_spans(docs).collect()}
+    plain = plain_disclosure(rows)
+    assert sum(map(len, plain.values())) > 50
+    for i, t in rows:
+        assert [(s.start, s.end, s.removed) for s in found[i].added] == plain[i], i
+        assert ",".join(f"{s.kind}:{s.start}:{s.end}" for s in found[i].spans) == base_spans(t), i
+    for r in disclosure.sanitised(docs).collect():
+        assert r.text == (None if r.doc_id == 200 else plain_sanitised(dict(rows)[r.doc_id], found[r.doc_id].spans, found[r.doc_id].added)), r.doc_id
+
+
+def test_running_results_and_free_places(spark):
+    rng = random.Random(9)
+    arrays = [[rng.randrange(100) for _ in range(n)] for n in (0, 1, 15, 16, 17, 256, 257, 1000)]
+    df = spark.createDataFrame([(a,) for a in arrays], "a array<int>")
+    got = df.select(disclosure.running(F.col("a"), lambda x, y: x + y, 0), disclosure.running(F.col("a"), F.greatest, 0)).collect()
+    assert [tuple(r) for r in got] == [(list(itertools.accumulate(a)), list(itertools.accumulate(a, max))) for a in arrays]
+
+
+def test_a_text_of_forty_thousand_addresses(spark):
+    text = " ".join(f"u{i}@h.ex word" for i in range(40_000))
+    docs = spark.createDataFrame([(1, text)] + [(i, sentence(i)) for i in range(2, 9)], "doc_id long, text string")
+    spans = disclosure.entities(docs).where("doc_id = 1").first().spans
+    assert ",".join(f"{s.kind}:{s.start}:{s.end}" for s in spans) == base_spans(text)
+    clean = {r.doc_id: r.text for r in disclosure.sanitised(docs).collect()}
+    assert clean[1].count("[EMAIL]") == 40_000 and "@" not in clean[1]
+
+
 # 10 Katz -----------------------------------------------------------------------------------------------------------
 
 
