@@ -27,6 +27,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.llm.frames import let
 from tagloom.session import materialize, small_side
 
 # The patterns of the contract. Possessive repeats never give back what a later part could use, and a
@@ -45,11 +46,6 @@ _PLACE = "array<struct<value:string,start:int,end:int>>"
 _ADDED = "array<struct<start:int,end:int,removed:boolean>>"
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` computed once: inside a lambda it would be computed again for every element."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def blocks(values: Column) -> Column:
     """``values`` (bound, not empty) cut into blocks of about the root of their number."""
     width = F.greatest(F.lit(16), F.ceil(F.sqrt(F.size(values))).cast("int"))

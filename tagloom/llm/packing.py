@@ -16,10 +16,10 @@ lower earlier bound; an empty table gives no rows; other columns do not matter.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.frames import hex_slice, ranked
+from tagloom.llm.frames import hex_slice, let, ranked
 from tagloom.llm.text import WORD, word_count
 
 BUCKETS, LONGEST, BUDGET = 12, 2048, 16384
@@ -56,15 +56,33 @@ def pieces(docs: DataFrame, longest: int = LONGEST, id_col: str = "doc_id", text
 
 
 def piece_texts(docs: DataFrame, longest: int = LONGEST) -> DataFrame:
-    """(doc_id, piece, tokens): the words of every piece, for a writer of batches."""
-    words = docs.select("doc_id", F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(f"({WORD})")).alias("_w"))
-    last = F.greatest(F.ceil(F.size("_w") / longest) - 1, F.lit(0)).cast("int")
-    cut = words.select("doc_id", "_w", F.explode(F.sequence(F.lit(0), last)).alias("piece"))
-    return cut.select("doc_id", "piece", F.slice("_w", F.col("piece") * longest + 1, longest).alias("tokens"))
+    """(doc_id, piece, tokens): the words of every piece."""
+    return _cut_texts(docs, longest).select("doc_id", "piece", _words("piece_text").alias("tokens"))
 
 
-def pack(docs: DataFrame, buckets: int = BUCKETS, longest: int = LONGEST, budget: int = BUDGET) -> DataFrame:
-    """(doc_id, piece, n_tokens, bucket, bucket_len, batch, slot) for every piece of every document."""
+def _words(name: str) -> Column:
+    return F.when(F.col(name) == "", F.array().cast("array<string>")).otherwise(F.split(name, " "))
+
+
+def _cut_texts(docs: DataFrame, longest: int) -> DataFrame:
+    """(doc_id, piece, n_tokens, piece_text): pieces with their words, joined by a space as words hold none."""
+
+    def cut(words: Column) -> Column:
+        last = F.greatest(F.ceil(F.size(words) / longest) - 1, F.lit(0)).cast("int")
+        part = lambda w: F.struct(F.size(w).cast("long").alias("n_tokens"), F.array_join(w, " ").alias("piece_text"))
+        return F.transform(F.sequence(F.lit(0), last), lambda i: let(F.slice(words, i * longest + 1, longest), part))
+
+    found = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(f"({WORD})"))
+    parts = docs.select("doc_id", F.posexplode(let(found, cut)).alias("piece", "_part"))
+    return parts.select("doc_id", "piece", "_part.n_tokens", "_part.piece_text")
+
+
+def pack(docs: DataFrame, buckets: int = BUCKETS, longest: int = LONGEST, budget: int = BUDGET, texts: bool = False) -> DataFrame:
+    """(doc_id, piece, n_tokens, bucket, bucket_len, batch, slot) for every piece of every document.
+
+    With ``texts`` a row has its words, too (``tokens``), so that a batch can be filled from its rows alone; bucket, batch
+    and slot name a row, also among copies of one document.
+    """
     cut = pieces(docs, longest)
     counted = cut.groupBy("n_tokens").count().orderBy("n_tokens").collect()  # at most longest + 1 rows
     edges = bounds(np.array([r["n_tokens"] for r in counted]), np.array([r["count"] for r in counted]), buckets) or [0]
@@ -72,14 +90,19 @@ def pack(docs: DataFrame, buckets: int = BUCKETS, longest: int = LONGEST, budget
     for edge in edges[:-1]:
         number = number + (F.col("n_tokens") > edge).cast("int")
     edge_of = F.array(*[F.lit(e).cast("long") for e in edges])
+    order = ["_place", "n_tokens"]
+    if texts:
+        cut = _cut_texts(docs, longest).withColumn("_words", F.xxhash64("piece_text"))
+        order.append("_words")
     filed = cut.withColumn("bucket", number).withColumn("bucket_len", F.element_at(edge_of, F.col("bucket") + 1))
     filed = filed.withColumn("_place", F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit(r"\N")), F.col("piece").cast("string"))))
     held = F.greatest(F.lit(1), F.floor(budget / F.greatest(F.col("bucket_len"), F.lit(1)))).cast("long")
-    placed = ranked(filed, ["bucket"], hex_slice("_place"), ["_place", "n_tokens"], F.lit(1))
+    placed = ranked(filed, ["bucket"], hex_slice("_place"), order, F.lit(1))
     return placed.select(
         "doc_id", "piece", "n_tokens", "bucket", "bucket_len",
         F.floor(F.col("before") / held).cast("long").alias("batch"),
         F.pmod(F.col("before"), held).alias("slot"),
+        *([_words("piece_text").alias("tokens")] if texts else []),
     )
 
 

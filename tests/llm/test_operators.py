@@ -384,6 +384,10 @@ def test_pack(spark):
         assert len(rows) * rows[0].bucket_len <= 256 or len(rows) == 1
         assert sorted(r.slot for r in rows) == list(range(len(rows)))
     assert packing.pack(empty(spark)).count() == 0
+    plain = packing.pack(docs, buckets=4, longest=64, budget=256)
+    whole = packing.pack(clashing(docs), buckets=4, longest=64, budget=256, texts=True)
+    assert got(whole.drop("tokens")) == got(plain) and whole.where("size(tokens) <> n_tokens").count() == 0
+    assert packing.pack(empty(spark), texts=True).count() == 0
     texts = packing.piece_texts(docs, 64).where("doc_id = 6").orderBy("piece").collect()
     assert [w.encode() for r in texts for w in r.tokens] == docs.where("doc_id = 6").first().text.encode().split()
 
