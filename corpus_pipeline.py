@@ -38,9 +38,9 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces with their length bucket, batch and slot."""
+    """Pieces with their length bucket, batch, slot and words."""
     configure(spark)
-    return packing.pack(docs)
+    return packing.pack(docs, texts=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
