@@ -1,6 +1,7 @@
 """The registered queries against their SQL or a plain version, and the pipeline stage by stage."""
 
 import sys
+from collections import Counter
 from pathlib import Path
 
 import pytest
@@ -47,7 +48,19 @@ def test_pipeline(spark):
     assert clean.columns == docs.columns and clean.count() == single.count()
     mixed = stages["mixing"](spark, clean, FOLDER)
     assert mixed.columns == docs.columns
-    packed = stages["packing"](spark, mixed, FOLDER)
+    mixed = mixed.cache()
+    packed = stages["packing"](spark, mixed, FOLDER).cache()
+    rows = packed.collect()
+    assert all(len(r.tokens) == r.n_tokens <= r.bucket_len for r in rows)
+    assert len({(r.bucket, r.batch, r.slot) for r in rows}) == len(rows)
+    delivered, given = Counter(), Counter()
+    for r in rows:
+        delivered[r.doc_id, r.piece, tuple(r.tokens)] += 1
+    for r in mixed.collect():
+        told = (r.text or "").encode().split()
+        for piece in range(max(1, -(-len(told) // 2048))):
+            given[r.doc_id, piece, tuple(w.decode() for w in told[piece * 2048 : piece * 2048 + 2048])] += 1
+    assert delivered == given
     assert packed.count() == corpus_pipeline.run(spark, FOLDER).count() > 0
 
 
