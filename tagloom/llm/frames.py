@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Rows of a slice that one task sorts without trouble.
+SLICE_ROWS = 100_000
+
 
 def ranked(df: DataFrame, groups: list[str], slice_of: Column, order: list[str], weight: Column) -> DataFrame:
     """Add ``before`` (weights of the earlier rows of the group) and ``total`` (of the whole group).
@@ -37,9 +40,16 @@ def ranked(df: DataFrame, groups: list[str], slice_of: Column, order: list[str],
     )
 
 
-def hex_slice(digest: str) -> Column:
-    """The first two hexadecimal digits of a digest as a number: 256 slices in the order of the digest."""
-    return F.conv(F.substring(digest, 1, 2), 16, 10).cast("int")
+def hex_slice(digest: str, rows: int = 0) -> Column:
+    """The first hexadecimal digits of a digest as a number: slices in the order of the digest.
+
+    There are 256 of them, and 16 times as many as often as it takes for ``rows`` rows to make slices of at most
+    ``SLICE_ROWS``; the order of the rows is the same with any number.
+    """
+    digits = 2
+    while digits < 7 and rows > SLICE_ROWS * 16**digits:
+        digits += 1
+    return F.conv(F.substring(digest, 1, digits), 16, 10).cast("int")
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -7,7 +7,7 @@
    the words before it. Whole passes over the source take every document; what is left of the target takes those whose
    middle lies before the rest, so the words taken miss the target by at most half a document.
 3. Blocks of about ``block_words`` words cut the layout. Block quotas per source are exact counts. A binary tree over
-   the output shards splits them: each node draws how many blocks of every source go left from the multivariate
+   the output shards splits them (above ``MOST_UNITS`` blocks, units of several blocks): each node draws how many blocks of every source go left from the multivariate
    hypergeometric distribution, seeded by the node, so any task can walk to its leaf alone and a lost one walks again.
 4. A source's blocks stand in permuted order; shards take disjoint runs of it by their quotas. Inside a shard,
    documents are shuffled by a digest of shard, pass and id.
@@ -30,8 +30,8 @@ from tagloom.llm.frames import hex_slice, ranked
 from tagloom.llm.text import word_count
 from tagloom.session import materialize
 
-#: The generator that draws blocks takes fewer than this many of them in one tree.
-MOST_BLOCKS = 10**9
+#: The generator draws from fewer than this many units in one tree. A unit is one block, or a run of neighbouring turns.
+MOST_UNITS = 10**9
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3) -> DataFrame:
@@ -69,7 +69,7 @@ def layout(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3,
         .agg(F.count("*").alias("copies"))
         .withColumn("place", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string"), F.col("mark"))))
     )
-    placed = ranked(units, ["source"], hex_slice("place"), ["place"], F.col("size") * F.col("copies"))
+    placed = ranked(units, ["source"], hex_slice("place", docs.count()), ["place"], F.col("size") * F.col("copies"))
     aims = targets(placed.groupBy("source").agg(F.max("total").alias("source_size")), weights, cap)
     aims = aims.select(F.col("source").alias("_source"), "source_size", "target")
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("int")
@@ -102,7 +102,7 @@ def splits(quotas: np.ndarray, shards: int, seed: int, shard: int) -> np.ndarray
     return held
 
 
-def draw(placed: DataFrame, block_words: int = 4096, shard_words: int = 1 << 21, seed: int = 17) -> DataFrame:
+def draw(placed: DataFrame, block_words: int = 4096, shard_words: int = 1 << 21, seed: int = 17, most_units: int = MOST_UNITS) -> DataFrame:
     """Placements of a layout: (doc_id, mark, size, copies, source, epoch, shard, spot), one row per unit and pass it is taken in."""
     spark = placed.sparkSession
     blocks = placed.groupBy("source", "block").agg(F.max("passes").alias("passes"), F.max("rest").alias("rest"))
@@ -111,10 +111,10 @@ def draw(placed: DataFrame, block_words: int = 4096, shard_words: int = 1 << 21,
     ).drop("_")
     instances = instances.withColumn("turn", F.md5(F.concat_ws(":", F.lit(f"b{seed}"), "source", F.col("block").cast("string"), F.col("epoch").cast("string"))))
     counted = instances.groupBy("source").count().orderBy(F.col("source").asc_nulls_last()).collect()  # one row per source
-    names, quotas = [r["source"] for r in counted], np.array([r["count"] for r in counted], np.int64)
-    total = int(quotas.sum())
-    if total >= MOST_BLOCKS:
-        raise ValueError(f"{total} blocks: raise block_words")
+    names, blocks_of = [r["source"] for r in counted], np.array([r["count"] for r in counted], np.int64)
+    total = int(blocks_of.sum())
+    unit = 1 + total // most_units
+    quotas = -(-blocks_of // unit)  # the last unit of a source may be shorter
     shards = max(1, -(-total * block_words // shard_words))
 
     def leaves(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -127,10 +127,10 @@ def draw(placed: DataFrame, block_words: int = 4096, shard_words: int = 1 << 21,
     leaf = spark.range(0, shards if total else 0, 1, parts).mapInPandas(leaves, "source string, shard long, n long")
     runs = Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     turns = leaf.withColumn("_from", F.coalesce(F.sum("n").over(runs), F.lit(0))).select(
-        F.col("source").alias("_source"), "shard", F.explode(F.sequence(F.col("_from"), F.col("_from") + F.col("n") - 1)).alias("_turn")
+        F.col("source").alias("_source"), "shard", F.explode(F.sequence(F.col("_from"), F.col("_from") + F.col("n") - 1)).alias("_unit")
     )
-    permuted = ranked(instances, ["source"], hex_slice("turn"), ["turn"], F.lit(1))
-    dealt = permuted.join(turns, F.col("source").eqNullSafe(F.col("_source")) & (F.col("before") == F.col("_turn")))
+    permuted = ranked(instances, ["source"], hex_slice("turn", total), ["turn"], F.lit(1))
+    dealt = permuted.join(turns, F.col("source").eqNullSafe(F.col("_source")) & (F.floor(F.col("before") / unit) == F.col("_unit")))
     dealt = dealt.select(F.col("source").alias("_source"), F.col("block").alias("_block"), "epoch", "shard")
     taken = placed.join(dealt, F.col("source").eqNullSafe(F.col("_source")) & (F.col("block") == F.col("_block")))
     return taken.where((F.col("epoch") < F.col("passes")) | F.col("rest")).select(

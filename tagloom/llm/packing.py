@@ -97,7 +97,7 @@ def pack(docs: DataFrame, buckets: int = BUCKETS, longest: int = LONGEST, budget
     filed = cut.withColumn("bucket", number).withColumn("bucket_len", F.element_at(edge_of, F.col("bucket") + 1))
     filed = filed.withColumn("_place", F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit(r"\N")), F.col("piece").cast("string"))))
     held = F.greatest(F.lit(1), F.floor(budget / F.greatest(F.col("bucket_len"), F.lit(1)))).cast("long")
-    placed = ranked(filed, ["bucket"], hex_slice("_place"), order, F.lit(1))
+    placed = ranked(filed, ["bucket"], hex_slice("_place", sum(r["count"] for r in counted)), order, F.lit(1))
     return placed.select(
         "doc_id", "piece", "n_tokens", "bucket", "bucket_len",
         F.floor(F.col("before") / held).cast("long").alias("batch"),
