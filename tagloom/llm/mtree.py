@@ -4,12 +4,14 @@ Vectors become whole numbers, floor(1024 * x). With one more component sqrt(R^2
 norm) and 0 for queries, the inner product falls exactly as the Euclidean distance grows, so a metric tree finds it.
 
 The tree is a table of pages. Routing objects are a sample of at most ``ROUTERS`` vectors; a vector belongs to the
-nearest one. Its vectors are cut into pages of about ``PAGE`` by a digest of the id, however many there are. A page holds
-its nodes: routing object, covering radius and distance to the page's own, and for every vector its distance to its
-node's (the parent distances). Pages are written once and searched in two rounds: every query first searches one page of
-its nearest router, which gives a lower bound of its k-th score; then all pages are searched with it, best node first.
-A node or a vector is passed over without computing a distance if the stored distances and the triangle inequality
-show that it can't reach the bound. Queries travel in blocks of ``BLOCK``; a task holds a page and a block.
+nearest one. A cell of more than ``PAGE`` vectors is split by distance to routing objects of its own, level by level,
+until every cell is one page; only equal vectors are dealt by a digest. A page holds its nodes: routing object, covering
+radius and distance to the page's own, and for every vector its distance to its node's (the parent distances). The
+directory has the centre and covering radius of every page, in chunks of ``DIRECTORY``. Pages are written once and
+searched in two rounds: every query first searches the page with the nearest centre, which gives a lower bound of its
+k-th score; then blocks of about ``BLOCK`` queries near each other meet the pages that the directory can't exclude for
+some query of the block, best node first. A node or a vector is passed over without computing a distance if the stored
+distances and the triangle inequality show that it can't reach the bound. A task holds a page and a block.
 
 Scores are computed in whole numbers, by 64-bit or longer ones where a product may pass 2 ** 52; bounds have a margin above
 their rounding error, so they only save work. A score beyond 64 bits is held at their end.
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 
 from tagloom.session import materialize, small_side
 
-SCALE, ROUTERS, PAGE, FANOUT, BLOCK = 1024, 64, 4096, 64, 4096
+SCALE, ROUTERS, PAGE, FANOUT, BLOCK, DIRECTORY = 1024, 64, 4096, 64, 4096, 1024
 _MARGIN = 1e-6
 
 
@@ -70,9 +72,43 @@ def build(points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return node, parent, rows, radius, np.sqrt(((points[rows] - points[0]) ** 2).sum(1))
 
 
-def pages(df: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, np.ndarray, int, float]:
-    """(pages, routers, width, squared reach). The pages are written once."""
-    vectors = materialize(whole(df, id_col, vec_col), "vectors")
+def split(cells: DataFrame, large: DataFrame, width: int, reach: float, page: int, depth: int) -> DataFrame:
+    """Rows of the ``large`` cells (cell, count), each in the cell of the nearest of a few vectors of its own cell.
+
+    The routers are the first of a cell by digest, at most ``FANOUT``. A cell is dealt to several tasks, each of which
+    reads the cell's routers before its vectors. Vectors that are nearest to several equal routers are dealt among them.
+    """
+    sized = cells.join(large, "cell")
+    parts = F.ceil(F.col("count") / (16 * page))
+    by_digest = Window.partitionBy("cell").orderBy(F.xxhash64("row"), "row")
+    picked = sized.withColumn("k", F.row_number().over(by_digest)).where(F.col("k") <= FANOUT).where(F.col("k") <= F.ceil(2 * F.col("count") / page))
+    first = picked.select("cell", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("salt"), F.lit(0).alias("flag"), "id", "v", "row")
+    rest = sized.select("cell", F.pmod(F.xxhash64("row", F.lit(5)), parts).alias("salt"), F.lit(1).alias("flag"), "id", "v", "row")
+    both = first.unionByName(rest).withColumn("turn", F.pmod(F.xxhash64("row", F.lit(depth)), F.lit(1 << 30)))
+    both = both.repartition("cell", "salt").sortWithinPartitions("cell", "salt", "flag", "row")
+
+    def assign(batches):
+        key, own = None, []
+        for batch in batches:
+            for now, rows in batch.groupby(["cell", "salt"], sort=False):
+                if now != key:
+                    key, own = now, []
+                own = own + rows.loc[rows["flag"] == 0, "v"].tolist()  # a cell's routers come before its vectors
+                rows = rows[rows["flag"] == 1]
+                if not len(rows):
+                    continue
+                routers, times = np.unique(_matrix(own, width), axis=0, return_counts=True)
+                x, lifted = _lift(_matrix(rows["v"].to_list(), width), reach), _lift(routers, reach)
+                near = ((lifted**2).sum(1)[None, :] - 2 * x @ lifted.T).argmin(1)
+                among = rows["turn"].to_numpy() % times[near]
+                yield rows.assign(cell=[f"{now[0]}/{i}.{j}" for i, j in zip(near, among)])[["id", "v", "row", "cell"]]
+
+    return both.mapInPandas(assign, "id long, v array<long>, row long, cell string")
+
+
+def pages(df: DataFrame, id_col: str, vec_col: str, page: int = PAGE) -> tuple[DataFrame, int, float]:
+    """(pages, width, squared reach). The pages are written once; each is a cell of at most ``page`` vectors."""
+    vectors = materialize(whole(df, id_col, vec_col).withColumn("row", F.monotonically_increasing_id()), "vectors")
     norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     width, reach = vectors.agg(F.coalesce(F.max(F.size("v")), F.lit(0)), F.coalesce(F.max(norm), F.lit(0.0))).first()
     reach *= 1 + 1e-12  # above the rounding of the sum
@@ -84,29 +120,63 @@ def pages(df: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, np.ndarr
         for batch in batches:
             x = _lift(_matrix(batch["v"].to_list(), width), reach)
             far = (x**2).sum(1)[:, None] + (lifted**2).sum(1)[None, :] - 2 * x @ lifted.T
-            yield batch.assign(router=far.argmin(1).astype(np.int32))
-
-    routed = vectors.mapInPandas(route, "id long, v array<long>, router int")
-    held = {r["router"]: r["count"] for r in routed.groupBy("router").count().collect()}  # at most ROUTERS rows
-    cuts = F.array(*[F.lit(max(1, -(-held.get(i, 0) // PAGE))) for i in range(len(routers))])
-    cut = routed.withColumn("cut", F.pmod(F.xxhash64("id", F.lit(7)), F.element_at(cuts, F.col("router") + 1)).cast("int"))
-
-    def page(rows: pd.DataFrame) -> pd.DataFrame:
+            yield batch.assign(cell=far.argmin(1).astype(str))
+
+    cells = materialize(vectors.mapInPandas(route, "id long, v array<long>, row long, cell string"), "cells")
+    depth = 0
+    while True:
+        large = materialize(cells.groupBy("cell").count().where(F.col("count") > page), "large")
+        if large.isEmpty():
+            break
+        depth += 1
+        large = small_side(large)
+        kept = cells.join(large, "cell", "left_anti")
+        cells = materialize(kept.unionByName(split(cells, large, width, reach, page, depth)), "cells")
+
+    def fill(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("id", kind="stable")
-        x = _matrix(rows["v"].to_list(), width)
-        node, parent, router_rows, radius, up = build(_lift(x, reach))
+        x, ids = _matrix(rows["v"].to_list(), width), rows["id"].to_numpy(np.int64)
+        points = _lift(x, reach)
+        middle = int(((points - points.mean(0)) ** 2).sum(1).argmin())  # the page's own routing object goes first
+        order = np.concatenate(([middle], np.delete(np.arange(len(ids)), middle)))
+        x, ids, points = x[order], ids[order], points[order]
+        node, parent, router_rows, radius, up = build(points)
         return pd.DataFrame(
             {
-                "router": [rows["router"].iloc[0]], "cut": [rows["cut"].iloc[0]], "ids": [rows["id"].to_numpy(np.int64).tobytes()], "vectors": [x.tobytes()],
+                "page": [rows["cell"].iloc[0]], "ids": [ids.tobytes()], "vectors": [x.tobytes()],
                 "node": [node.astype(np.int32).tobytes()], "parent": [parent.tobytes()], "routers": [router_rows.astype(np.int64).tobytes()],
                 "radius": [radius.tobytes()], "up": [up.tobytes()],
+                "centre": [points[0].tobytes()], "cover": [float(np.sqrt(((points - points[0]) ** 2).sum(1)).max())],
             }
         )
 
-    built = cut.groupBy("router", "cut").applyInPandas(
-        page, "router int, cut int, ids binary, vectors binary, node binary, parent binary, routers binary, radius binary, up binary"
+    built = cells.groupBy("cell").applyInPandas(
+        fill, "page string, ids binary, vectors binary, node binary, parent binary, routers binary, radius binary, up binary, centre binary, cover double"
     )
-    return materialize(built, "pages"), routers, width, float(reach)
+    return materialize(built, "pages"), width, float(reach)
+
+
+def directory(tree: DataFrame, size: int = DIRECTORY) -> DataFrame:
+    """The tree's upper level in chunks: names, centres and covering radii of about ``size`` pages each."""
+    chunks = max(1, -(-tree.count() // size))
+
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"names": [rows["page"].tolist()], "centres": [b"".join(rows["centre"])], "covers": [rows["cover"].to_numpy(np.float64).tobytes()]})
+
+    named = tree.select("page", "centre", "cover", F.pmod(F.xxhash64("page"), F.lit(chunks)).alias("chunk"))
+    packed = named.groupBy("chunk").applyInPandas(pack, "names array<string>, centres binary, covers binary")
+    return materialize(packed, "directory")
+
+
+def _away(q: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Distances of queries (whose last component is 0) to centres."""
+    squares = (q**2).sum(1)[:, None] + (centres**2).sum(1)[None, :]
+    return np.sqrt(np.maximum(squares - 2 * q @ centres[:, :-1].T, 0.0))
+
+
+def _slack(q: np.ndarray, reach: float) -> np.ndarray:
+    """How far rounding may put a computed distance of a query from the true one."""
+    return 1e-7 * np.sqrt((q**2).sum(1) + reach) + _MARGIN
 
 
 class Page:
@@ -171,30 +241,14 @@ class Page:
         return best
 
 
-def top_k(df: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+def top_k(df: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding", page: int = PAGE, block: int = BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): for each of ``queries`` its k best of ``df`` other than itself."""
-    tree, routers, width, reach = pages(df, id_col, vec_col)
-    lifted = _lift(routers, reach)
-    asked = whole(queries, id_col, vec_col).withColumnRenamed("id", "query_id")
-
-    def route(batches):
-        for batch in batches:
-            q = _matrix(batch["v"].map(lambda v: v[:width]).to_list(), width).astype(np.float64)
-            far = (lifted**2).sum(1)[None, :] - 2 * q @ lifted[:, :-1].T
-            yield batch.assign(router=far.argmin(1).astype(np.int32))
-
-    asked = materialize(asked.mapInPandas(route, "query_id long, v array<long>, router int"), "queries")
+    tree, width, reach = pages(df, id_col, vec_col, page)
+    asked = materialize(whole(queries, id_col, vec_col).withColumnRenamed("id", "query_id"), "queries")
+    upper = directory(tree)
+    asked = materialize(at_home(asked, upper, width, block), "homes")
     found = "query_id long, vec_id long, score long"
 
-    def pack(rows: pd.DataFrame) -> pd.DataFrame:
-        q = _matrix(rows["v"].map(lambda v: v[:width]).to_list(), width)
-        return pd.DataFrame(
-            {
-                "block": [rows["block"].iloc[0]], "query_ids": [rows["query_id"].to_numpy(np.int64).tobytes()],
-                "queries": [q.tobytes()], "floors": [rows["floor"].to_numpy(np.float64).tobytes()],
-            }
-        )
-
     def search(batches):
         for batch in batches:
             out = []
@@ -206,31 +260,89 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id"
                     out += [(i, -v, s) for s, v in held.search(i, point, k, floor)]
             yield pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
-    packed = "block int, query_ids binary, queries binary, floors binary"
-    # First round: blocks of queries that share a nearest router meet one page of it.
-    asking = {r["router"]: r["count"] for r in asked.groupBy("router").count().collect()}  # at most ROUTERS rows
-    cuts = F.array(*[F.lit(max(1, -(-asking.get(i, 0) // BLOCK))) for i in range(len(routers))])
-    own_block = (F.col("router") * (1 << 20) + F.pmod(F.xxhash64("query_id", F.lit(3)), F.element_at(cuts, F.col("router") + 1))).cast("int")
-    first = asked.withColumn("floor", F.lit(float("-inf"))).withColumn("block", own_block).groupBy("block").applyInPandas(pack, packed)
-    homes = tree.where("cut = 0").withColumn("n", F.element_at(cuts, F.col("router") + 1))
-    homes = homes.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    homes = homes.withColumn("block", (F.col("router") * (1 << 20) + F.col("block")).cast("int")).drop("n")
-    near = homes.join(first, "block").mapInPandas(search, found)
+    # First round: the queries that share a nearest page meet it.
+    unbounded = asked.withColumn("floor", F.lit(float("-inf")))
+    near = tree.join(_blocks(unbounded, ["page", "part"], width), "page").mapInPandas(search, found)
     floors = near.groupBy("query_id").agg(F.min("score").cast("double").alias("floor"), F.count("*").alias("n")).where(F.col("n") >= k)
     below = F.col("floor") - F.abs("floor") * 1e-12  # a score above 2 ** 53 may be rounded up
     bounded = asked.join(floors.select("query_id", below.alias("floor")), "query_id", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
-    # Second round: every page meets every block of queries, each with its bound.
-    blocks = max(1, -(-asked.count() // BLOCK))
-    bounded = bounded.withColumn("block", F.pmod(F.xxhash64("query_id", F.lit(3)), F.lit(blocks)).cast("int"))
-    second = small_side(materialize(bounded.groupBy("block").applyInPandas(pack, packed), "blocks"))
+    # Second round: blocks of queries near each other meet the pages that the directory can't exclude.
+    second = small_side(materialize(_blocks(bounded, ["block"], width), "blocks"))
+    pairs = materialize(reachable(upper, second, width, reach), "reachable")
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = tree.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).repartition(parts, "router", "cut", "block")
+    keyed = tree.drop("centre", "cover").join(small_side(pairs), "page").repartition(parts, "page", "block")
     met = keyed.join(second, "block").mapInPandas(search, found)
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     ranked = met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
+def at_home(asked: DataFrame, upper: DataFrame, width: int, block: int) -> DataFrame:
+    """``asked`` with the nearest page of each query, its part of the page's queries, and its block of neighbours.
+
+    Pages in the order of their names lie beside others of their cell; blocks are runs of about ``block`` queries in it.
+    """
+
+    def nearest(batches):
+        for batch in batches:
+            out = []
+            for row in batch.itertuples():
+                centres, names = np.frombuffer(row.centres, np.float64).reshape(-1, width + 1), row.names
+                q = _matrix([np.asarray(v)[:width] for v in row.vs], width).astype(np.float64)
+                away = _away(q, centres)
+                best = away.argmin(1)
+                out.append(pd.DataFrame({"query_id": row.ids, "page": [names[i] for i in best], "away": away[np.arange(len(q)), best]}))
+            yield pd.concat(out) if out else pd.DataFrame({"query_id": [], "page": [], "away": []})
+
+    hundreds = max(1, -(-asked.count() // 512))
+    some = asked.groupBy(F.pmod(F.xxhash64("query_id"), F.lit(hundreds)).alias("some")).agg(F.collect_list("query_id").alias("ids"), F.collect_list("v").alias("vs"))
+    met = upper.withColumn("some", F.explode(F.sequence(F.lit(0), F.lit(hundreds - 1)))).join(some, "some")
+    homes = met.mapInPandas(nearest, "query_id long, page string, away double").groupBy("query_id").agg(F.min_by("page", F.struct("away", "page")).alias("page"))
+    homed = asked.join(homes, "query_id")
+    counts = homed.groupBy("page").count()
+    before = Window.orderBy("page").rowsBetween(Window.unboundedPreceding, -1)  # one row per page
+    runs = counts.withColumn("before", F.coalesce(F.sum("count").over(before), F.lit(0)))
+    turn = F.pmod(F.xxhash64("query_id", F.lit(3)), F.col("count"))
+    return homed.join(runs, "page").select(
+        "query_id", "v", "page", F.floor(turn / block).alias("part"), F.floor((F.col("before") + turn) / block).alias("block")
+    )
+
+
+def _blocks(asked: DataFrame, keys: list[str], width: int) -> DataFrame:
+    """Queries packed by ``keys``: ids, vectors and lower bounds of their k-th scores."""
+
+    def pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        q = _matrix(rows["v"].map(lambda v: v[:width]).to_list(), width)
+        packed = {"query_ids": [rows["query_id"].to_numpy(np.int64).tobytes()], "queries": [q.tobytes()], "floors": [rows["floor"].to_numpy(np.float64).tobytes()]}
+        return pd.DataFrame({name: [value] for name, value in zip(keys, key)} | packed)
+
+    kinds = {"page": "string", "part": "long", "block": "long"}
+    schema = ", ".join(f"{name} {kinds[name]}" for name in keys) + ", query_ids binary, queries binary, floors binary"
+    return asked.groupBy(*keys).applyInPandas(pack, schema)
+
+
+def reachable(upper: DataFrame, blocks: DataFrame, width: int, reach: float) -> DataFrame:
+    """(block, page): pages whose covering ball holds, for some query of the block, places near enough to count."""
+
+    def survive(batches):
+        for batch in batches:
+            out = []
+            for row in batch.itertuples():
+                centres, covers = np.frombuffer(row.centres, np.float64).reshape(-1, width + 1), np.frombuffer(row.covers, np.float64)
+                floors = np.frombuffer(row.floors, np.float64)
+                q = np.frombuffer(row.queries, np.int64).reshape(len(floors), width).astype(np.float64)
+                bounded = np.isfinite(floors)
+                room = (q**2).sum(1) + reach - 2 * np.where(bounded, floors, 0.0)
+                limit = np.where(bounded, np.sqrt(np.maximum(room, 0.0)) * (1 + _MARGIN) + _MARGIN, np.inf)
+                least = _away(q, centres) - covers[None, :] * (1 + _MARGIN) - _slack(q, reach)[:, None]
+                out += [(row.block, row.names[i]) for i in np.flatnonzero((least <= limit[:, None]).any(0))]
+            yield pd.DataFrame(out, columns=["block", "page"])
+
+    last = blocks.agg(F.coalesce(F.max("block"), F.lit(0))).first()[0]
+    every = upper.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(last).cast("long")))).repartition("block")
+    return every.join(blocks.select("block", "queries", "floors"), "block").mapInPandas(survive, "block long, page string")
+
+
 def op7_mtree_topk(spark, sf_dir: str) -> DataFrame:
     """The ten highest inner products of every hundredth vector with all others."""
     df = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
