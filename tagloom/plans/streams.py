@@ -18,6 +18,7 @@ from tagloom.sources.views import Views
 from tagloom.streaming.batcher import group_into_batches_stream, group_into_window_batches
 from tagloom.streaming.event_time import event_time_ms, read_with_late_rows, window_count, window_runs, with_event_time, write_with_late_rows
 from tagloom.streaming.landing import land, read_landing, run_available, run_until_drained
+from tagloom.streaming.slices import watch_slices
 from tagloom.streaming.upsert import merge_log, stream_upsert
 from tagloom.streaming.watch import watch
 
@@ -65,6 +66,23 @@ def watch_resource(v):
     return v.spark.read.schema(events.schema).parquet(out)
 
 
+@query(
+    "watch_slices",
+    f"""SELECT id, externalId, type, source, value, lastUpdatedTime
+        FROM ev WHERE source IS NOT NULL AND lastUpdatedTime >= {JAN_5} AND lastUpdatedTime < {JAN_10}""",
+    ("ev",),
+)
+def watch_by_slices(v):
+    """Two runs of one watch by time: the second one goes on where the slices of the first ended."""
+    out, checkpoint = _paths(v)
+    events = v.events().select(*EVENT)
+    request = Request({"lastUpdatedTime": {"min": JAN_5, "max": JAN_10}})
+    for end in (JAN_5 + 2 * DAY_MS, None):
+        table = lambda: events.where(F.col("source").isNotNull())
+        watch_slices(v.spark, table, "events", request, out, checkpoint, available_now=True, end=end).awaitTermination()
+    return v.spark.read.schema(events.schema).parquet(out).select(*EVENT)
+
+
 @query(
     "event_time",
     """SELECT 'events' AS resource, externalId, lastUpdatedTime AS event_time FROM ev
