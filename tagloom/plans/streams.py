@@ -18,6 +18,7 @@ from tagloom.sources.views import Views
 from tagloom.streaming.batcher import group_into_batches_stream, group_into_window_batches
 from tagloom.streaming.event_time import event_time_ms, read_with_late_rows, window_count, window_runs, with_event_time, write_with_late_rows
 from tagloom.streaming.landing import land, read_landing, run_available, run_until_drained
+from tagloom.streaming.levels import ChangeLog
 from tagloom.streaming.slices import watch_slices
 from tagloom.streaming.upsert import merge_log, stream_upsert
 from tagloom.streaming.watch import watch
@@ -220,11 +221,14 @@ def stateful_batches_cells(v):
     )
 
 
+POINTS_WRITTEN = """SELECT source AS externalId, lastUpdatedTime AS timestamp,
+              CASE WHEN type = 'purchase' THEN value + 1 ELSE value END AS valueNum FROM ev
+       UNION ALL SELECT source, lastUpdatedTime - 1000000000, value FROM ev WHERE type = 'signup'"""
+
+
 @query(
     "streaming_upsert",
-    """SELECT source AS externalId, lastUpdatedTime AS timestamp,
-              CASE WHEN type = 'purchase' THEN value + 1 ELSE value END AS valueNum FROM ev
-       UNION ALL SELECT source, lastUpdatedTime - 1000000000, value FROM ev WHERE type = 'signup'""",
+    POINTS_WRITTEN,
     ("ev",),
 )
 def streaming_upsert(v):
@@ -236,6 +240,20 @@ def streaming_upsert(v):
     return merge_log(v.datapoints(), v.spark.read.parquet(log), ["externalId", "timestamp"], mode="replace")
 
 
+@query("streaming_upsert_levels", POINTS_WRITTEN, ("ev",))
+def streaming_upsert_levels(v):
+    """Points arrive in five runs of one stream; after each the change log is compacted, and at last merged."""
+    incoming, landing = _incoming_points(v), work_path(v.spark, "landing")
+    log, checkpoint = _paths(v)
+    changes = ChangeLog(v.spark, log, work_path(v.spark, "runs"), incoming.schema, ["externalId", "timestamp"], mode="replace")
+    cuts = sorted(set(incoming.approxQuantile("timestamp", [0.2, 0.4, 0.6, 0.8], 0.01)))
+    for low, high in zip([float("-inf"), *cuts], [*cuts, float("inf")]):
+        land(incoming.where((F.col("timestamp") > low) & (F.col("timestamp") <= high)), landing, "timestamp")
+        stream_upsert(read_landing(v.spark, landing, incoming.schema), log, checkpoint, available_now=True).awaitTermination()
+        changes.compact(fan=2)
+    return changes.merge(v.datapoints())
+
+
 @query(
     "late_data",
     f""", m AS (SELECT max(CASE WHEN type <> 'error' THEN lastUpdatedTime END) - {DELAY_MS} AS early,
