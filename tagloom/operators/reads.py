@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.columns import DAY_MS, all_of
-from tagloom.operators.batching import group_into_batches
+from tagloom.operators.batching import group_into_batches, running_totals
 from tagloom.request import Request
 from tagloom.session import materialize, salt_count, small_side
 
@@ -177,22 +177,29 @@ def list_many(
     bounds the time, the common range also goes to the table as a plain filter, on the stored timestamp where
     ``timestamps`` names it.
     """
-    names = list(equals)
+    asked, several = _asked(requests, list(equals), request_id)
+    if several is None:
+        return _hits(table, asked, equals, time, request_id, bucket_ms, timestamps).select(request_id, *table.columns)
+    single = _hits(table, asked.join(several, request_id, "left_anti"), equals, time, request_id, bucket_ms, timestamps)
+    any_of = _hits(table, asked.join(several, request_id, "left_semi"), equals, time, request_id, bucket_ms, timestamps)
+    return single.unionByName(any_of.dropDuplicates([request_id, *key])).select(request_id, *table.columns)
+
+
+def _asked(requests: DataFrame, names: Sequence[str], request_id: str) -> tuple[DataFrame, DataFrame | None]:
+    """The distinct rows of the requests with the filters they set, as bits, in ``_shape``; and the ids of the requests
+    whose rows may meet a row of the table twice, if there are any."""
     mask = F.lit(0)
     for i, name in enumerate(names):
         mask = mask + F.when(F.col(name).isNotNull(), F.lit(1 << i)).otherwise(F.lit(0))
     asked = requests.select(request_id, *names, "min", "max").distinct().withColumn("_shape", mask)
+    asked = materialize(asked, "requests")
     own = asked.groupBy(request_id).agg(
         F.count("*").alias("_rows"), F.countDistinct("_shape").alias("_shapes"), F.countDistinct(F.struct("min", "max")).alias("_ranges")
     )
     several = own.where((F.col("_rows") > 1) & ((F.col("_shapes") > 1) | (F.col("_ranges") > 1))).select(request_id)
-    asked = materialize(asked, "requests")
     if several.isEmpty():
-        return _hits(table, asked, equals, time, request_id, bucket_ms, timestamps).select(request_id, *table.columns)
-    several = small_side(materialize(several, "any-of"))
-    single = _hits(table, asked.join(several, request_id, "left_anti"), equals, time, request_id, bucket_ms, timestamps)
-    any_of = _hits(table, asked.join(several, request_id, "left_semi"), equals, time, request_id, bucket_ms, timestamps)
-    return single.unionByName(any_of.dropDuplicates([request_id, *key])).select(request_id, *table.columns)
+        return asked, None
+    return asked, small_side(materialize(several, "any-of"))
 
 
 def _hits(
@@ -282,7 +289,93 @@ def _hits(
         offered = salted.withColumn("_offer", F.explode(F.array(*offers))) if offers else salted.withColumn("_offer", offer(0))
         same = [F.col(f"_offer.{c}").eqNullSafe(F.col(f"_r_{c}")) for c in ("shape", "level", "node", "salt", *names)]
     within = (F.col("_r_min").isNull() | (F.col(time) >= F.col("_r_min"))) & (F.col("_r_max").isNull() | (F.col(time) <= F.col("_r_max")))
-    return offered.join(small_side(asked), all_of(same) & within).select(request_id, *table.columns)
+    # Nodes and salts multiply the requests, which the size that Spark estimates from their file does not show: left
+    # to itself it may broadcast all of them.
+    return offered.join(small_side(asked, merge=True), all_of(same) & within).select(request_id, *table.columns)
+
+
+# The ends of a range that is open there.
+_FIRST_MS, _LAST_MS = -(2**63), 2**63 - 1
+
+
+def summarize_many(
+    table: DataFrame,
+    requests: DataFrame,
+    equals: Mapping[str, Column],
+    time: str = "lastUpdatedTime",
+    request_id: str = "request_id",
+    timestamps: Mapping[str, Column] | None = None,
+    key: Sequence[str] = ("id",),
+) -> DataFrame:
+    """(request_id, count, first, last): the rows that :func:`list_many` delivers for each request counted, with their
+    earliest and latest ``time``; requests without hits are left out.
+
+    Rows and requests are never paired, so wide ranges cost no more than narrow ones. The times of the rows that share
+    the compared values stand in one order with the ends of the requests. The rows that come before an end are counted by
+    running totals; a request has those between its two ends. Only requests whose rows may meet a row of the
+    table twice are listed.
+    """
+    asked, several = _asked(requests, list(equals), request_id)
+    if several is None:
+        return _ranked(table, asked, equals, time, request_id, timestamps)
+    single = _ranked(table, asked.join(several, request_id, "left_anti"), equals, time, request_id, timestamps)
+    listed = _hits(table, asked.join(several, request_id, "left_semi"), equals, time, request_id, DAY_MS, timestamps)
+    listed = listed.select(request_id, F.col(time).cast("long").alias("_t"), *[F.col(k).alias(f"_u_{k}") for k in key])
+    listed = listed.dropDuplicates([request_id, *[f"_u_{k}" for k in key]]).groupBy(request_id)
+    return single.unionByName(listed.agg(F.count("*").alias("count"), F.min("_t").alias("first"), F.max("_t").alias("last")))
+
+
+def _ranked(
+    table: DataFrame,
+    asked: DataFrame,
+    equals: Mapping[str, Column],
+    time: str,
+    request_id: str,
+    timestamps: Mapping[str, Column] | None,
+) -> DataFrame:
+    """(request_id, count, first, last) of requests none of which meets a row of the table twice."""
+    unbounded = F.col("min").isNull() & F.col("max").isNull()
+    known = asked.agg(
+        F.collect_set("_shape").alias("shapes"),
+        F.when(F.count("min") == F.count("*"), F.min("min")).alias("min"),
+        F.when(F.count("max") == F.count("*"), F.max("max")).alias("max"),
+        F.count_if(unbounded).alias("unbounded"),
+    ).first()
+    shapes = sorted(known["shapes"]) or [0]
+    if known["min"] is not None or known["max"] is not None:
+        common = Request().with_filter(time, {"min": known["min"], "max": known["max"]})
+        table = table.where(common.condition(timestamps=timestamps))
+
+    def offer(shape: int) -> Column:
+        compared = lambda i, n: equals[n] if shape >> i & 1 else F.lit(None).cast(asked.schema[n].dataType)
+        return F.struct(F.lit(shape).alias("shape"), *[compared(i, n).alias(n) for i, n in enumerate(equals)])
+
+    rows = table.select(F.col(time).cast("long").alias("_t"), F.explode(F.array(*map(offer, shapes))).alias("_values"))
+    asked = asked.select(request_id, "min", "max", F.struct(F.col("_shape").alias("shape"), *equals).alias("_values"))
+    if shapes != [0]:
+        rows = rows.join(small_side(asked.select("_values").distinct()), "_values", "left_semi")
+    rows = rows.groupBy("_values", "_t").agg(F.count("*").alias("_n"))
+    low = F.struct(F.coalesce(F.col("min").cast("long"), F.lit(_FIRST_MS)).alias("_t"), F.lit(0).alias("_place"))
+    high = F.struct(F.coalesce(F.col("max").cast("long"), F.lit(_LAST_MS)).alias("_t"), F.lit(2).alias("_place"))
+    ends = asked.select(request_id, "_values", F.inline(F.array(low, high)), F.lit(0).cast("long").alias("_n"))
+    # Of equal times the lower end stands before the rows and the upper end after them.
+    marks = materialize(rows.withColumn("_place", F.lit(1)).unionByName(ends, allowMissingColumns=True), "marks")
+    timed = marks.where(F.col("_t").isNotNull())
+    totals = materialize(running_totals(timed, ["_values"], ["_t", "_place"], {"_before": F.col("_n")}), "totals")
+    before = lambda place: F.max(F.when(F.col("_place") == place, F.col("_before")))
+    met = totals.where("_place <> 1").groupBy(request_id, "_values").agg(before(0).alias("_low"), before(2).alias("_high"))
+    met = met.where(F.col("_high") > F.col("_low"))
+    times = totals.where("_place = 1")
+    first = times.select("_values", F.col("_before").alias("_low"), F.col("_t").alias("first"))
+    last = times.select("_values", (F.col("_before") + F.col("_n")).alias("_high"), F.col("_t").alias("last"))
+    found = met.join(first, ["_values", "_low"]).join(last, ["_values", "_high"])
+    found = found.select(request_id, (F.col("_high") - F.col("_low")).alias("count"), "first", "last")
+    if known["unbounded"]:
+        untimed = marks.where(F.col("_t").isNull()).select("_values", F.col("_n").alias("count"))
+        none = F.lit(None).cast("long")
+        untimed = asked.where(unbounded).join(untimed, "_values").select(request_id, "count", none.alias("first"), none.alias("last"))
+        found = found.unionByName(untimed)
+    return found.groupBy(request_id).agg(F.sum("count").alias("count"), F.min("first").alias("first"), F.max("last").alias("last"))
 
 
 def list_batches(
@@ -309,7 +402,7 @@ def aggregate_many(
     key: Sequence[str] = ("id",),
 ) -> DataFrame:
     """Number of matching rows per request; a request without hits counts 0."""
-    hits = list_many(table, requests, equals, time, request_id, key=key).groupBy(request_id).agg(F.count("*").alias("n"))
+    hits = summarize_many(table, requests, equals, time, request_id, key=key).select(request_id, F.col("count").alias("n"))
     return (
         requests.select(request_id)
         .distinct()

@@ -100,9 +100,12 @@ def _row_bytes(df: DataFrame) -> Column:
     return total
 
 
-def small_side(df: DataFrame, max_rows: int = 200_000, max_bytes: int = 32 << 20) -> DataFrame:
-    """Hint a broadcast when the measured side is small; otherwise leave a shuffled join to Spark."""
-    return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
+def small_side(df: DataFrame, max_rows: int = 200_000, max_bytes: int = 32 << 20, merge: bool = False) -> DataFrame:
+    """Hint a broadcast when the measured side is small; otherwise leave the join to Spark, or with ``merge`` hint a
+    shuffled one: for sides that are far larger than the files they come from."""
+    if is_small(df, max_rows, max_bytes):
+        return F.broadcast(df)
+    return df.hint("merge") if merge else df
 
 
 def salt_count(spark: SparkSession) -> int:

@@ -126,6 +126,43 @@ def test_many_open_and_wide_requests_share_no_task(spark):
     assert salts[top] == 8 and all(salts[level] >= 8 >> (top - level) for level in salts)
 
 
+def test_requests_cut_into_many_nodes_are_not_broadcast(spark):
+    """30 000 requests in a small file are over 200 000 rows once they stand under their nodes and salts."""
+    table = spark.range(100).select("id", (F.col("id") * 86_400_000).alias("lastUpdatedTime"))
+    asked = spark.range(30_000).select(F.col("id").alias("request_id"), F.lit(None).cast("long").alias("min"), F.lit(None).cast("long").alias("max"))
+    plan = reads.list_many(table, asked, {})._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_summaries_equal_the_listed_rows_without_pairs(spark, monkeypatch):
+    times = F.when(F.col("id") % 7 > 0, F.col("id") % 500 * 1000)
+    table = spark.range(3000).select("id", (F.col("id") % 4).alias("kind"), times.alias("lastUpdatedTime"))
+    low, high = F.col("id") * 37 % 600 * 1000, F.col("id") * 53 % 600 * 1000 + F.col("id") % 2
+    asked = spark.range(400).select(
+        F.col("id").alias("request_id"),
+        F.when(F.col("id") % 3 == 0, F.col("id") % 6).alias("kind"),
+        F.when(F.col("id") % 5 < 3, low).alias("min"),
+        F.when(F.col("id") % 5 % 2 == 0, high).alias("max"),
+    )
+    # One request of two kinds in one range: no row meets it twice.
+    asked = asked.union(spark.createDataFrame([(900, 1, 5000, 70_000), (900, 2, 5000, 70_000)], asked.schema))
+    at = F.col("lastUpdatedTime")
+    facts = lambda df: df.groupBy("request_id").agg(F.count("*").alias("count"), F.min(at).alias("first"), F.max(at).alias("last"))
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    fields = {"kind": F.col("kind")}
+    several = spark.createDataFrame([(901, 1, None, 70_000), (901, None, 50_000, 90_000)], asked.schema)
+    wanted, mixed = rows(facts(reads.list_many(table, asked, fields))), rows(facts(reads.list_many(table, several, fields)))
+    assert rows(reads.summarize_many(table, several, fields)) == mixed
+    assert rows(reads.summarize_many(table, asked.union(several), fields)) == wanted + mixed
+    assert rows(reads.summarize_many(table.where("id < 0"), asked, fields)) == []
+    for hot in (10**6, 100):
+        monkeypatch.setattr(reads, "running_totals", lambda *a, hot=hot: batching.running_totals(*a, hot_rows=hot))
+        monkeypatch.setattr(reads, "_hits", None)  # rows and requests are not paired
+        assert rows(reads.summarize_many(table, asked, fields)) == wanted
+        assert sum(r["count"] for r in reads.aggregate_many(table, asked, fields).collect()) == sum(w[1] for w in wanted)
+        monkeypatch.undo()
+
+
 def test_rows_named_twice_are_delivered_once(spark):
     table = spark.createDataFrame([(7, "e7", 5), (8, "e8", 6), (9, None, None)], "id long, externalId string, lastUpdatedTime long")
     texts = [(1, '{"items":[{"id":7},{"externalId":"e7"},{"id":9}]}'), (2, '{"items":[{"externalId":"e8"}]}'), (2, '{"minLastUpdatedTime":6}'), (3, "{}"), (3, "{}")]
