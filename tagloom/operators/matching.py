@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions.columns import bigrams, split_letters_digits, tokens
 from tagloom.operators.batching import running_totals
-from tagloom.session import materialize, salt_count
+from tagloom.session import materialize, salt_count, small_side
 
 # The feature types of a matcher.
 FEATURE_TYPES = ("simple", "bigram", "frequency-weighted-bigram", "bigram-extra-tokenizers")
@@ -19,6 +19,9 @@ FEATURE_TYPES = ("simple", "bigram", "frequency-weighted-bigram", "bigram-extra-
 #: Targets in the first block of a token's postings.
 FIRST_BLOCK = 32
 
+# A token of more entities than this is joined apart from the others.
+COMMON_ENTITIES = 10_000
+
 
 def features(fields: Sequence[Column], feature_type: str = "simple") -> Column:
     """Sorted distinct features of the matched fields; a feature of a later field does not meet one of an earlier."""
@@ -51,9 +54,14 @@ def fit_matcher(
     ``entities`` and ``targets`` count the distinct feature sets of both sides and of the targets that hold the
     token. The weight is 1, or the inverse document frequency for the frequency-weighted type.
     """
-    src = sources.select(features([F.col(s) for s, _ in match_fields], feature_type).alias("f")).distinct()
-    tgt = targets.select(features([F.col(t) for _, t in match_fields], feature_type).alias("f")).distinct()
-    sides = src.withColumn("t", F.lit(0)).unionByName(tgt.withColumn("t", F.lit(1)))
+    src = sources.select(features([F.col(s) for s, _ in match_fields], feature_type).alias("f"))
+    tgt = targets.select(features([F.col(t) for _, t in match_fields], feature_type).alias("f"))
+    return _fitted(src, tgt, feature_type)
+
+
+def _fitted(src: DataFrame, tgt: DataFrame, feature_type: str) -> DataFrame:
+    """The model of two tables of feature sets ``f``."""
+    sides = src.select("f").distinct().withColumn("t", F.lit(0)).unionByName(tgt.select("f").distinct().withColumn("t", F.lit(1)))
     model = (
         sides.select("t", F.explode("f").alias("token"))
         .groupBy("token")
@@ -65,16 +73,18 @@ def fit_matcher(
     return model.withColumn("weight", F.log((total + 1) / (F.col("entities") + 1)) + 1)
 
 
-def _vectors(sets: DataFrame, model: DataFrame, blocks: DataFrame | None = None) -> DataFrame:
-    """(f, norm2, found, rest) of feature sets: the features some target has, rarest first, as (token, w2) in
-    ``found``, and the sum of squared weights from each of them to the end in ``rest``. With ``blocks`` the features also
-    carry the posting blocks of their token."""
+def _vectors(sets: DataFrame, model: DataFrame) -> DataFrame:
+    """(f, norm2, found, rest) of feature sets: the features some target has, rarest first, as (targets, token, w2) in
+    ``found``, and the sum of squared weights from each of them to the end in ``rest``."""
     exploded = sets.select("f", F.explode("f").alias("token"))
-    known = model.select("token", "targets", "weight")
-    known = known if blocks is None else known.join(blocks, "token", "left")
-    weighed = exploded.join(known, "token", "left")
+    # A token that most names hold would be one task of a shuffled join: the frequent ones are few and join by themselves.
+    common = F.coalesce("entities", F.lit(0)) >= COMMON_ENTITIES
+    known = lambda rows: rows.select("token", "targets", "weight")
+    frequent = small_side(known(model.where(common)))
+    rest = exploded.join(frequent.select("token"), "token", "left_anti").join(known(model.where(~common)), "token", "left")
+    weighed = exploded.join(frequent, "token").unionByName(rest)
     w2 = F.coalesce(F.col("weight") * F.col("weight"), F.lit(1.0))
-    entry = F.when(F.col("targets") > 0, F.struct("targets", "token", w2.alias("w2"), *([] if blocks is None else ["blocks"])))
+    entry = F.when(F.col("targets") > 0, F.struct("targets", "token", w2.alias("w2")))
     vectors = weighed.groupBy("f").agg(
         F.array_sort(F.collect_list(entry)).alias("found"), F.sum(w2).alias("norm2")
     )
@@ -111,6 +121,11 @@ def _postings(candidates: DataFrame, model: DataFrame, first_block: int) -> tupl
     return postings.drop("_first"), blocks
 
 
+def _rounded_up(bound: Column) -> Column:
+    """Rounded like a score, so that a target below the bound never scores more."""
+    return F.round(bound + 1e-12, 9)
+
+
 def _probes() -> Column:
     """All (token, level, round, bound, tid) of a source: the blocks of its features, the round that looks at each, and
     the best score that a target first met there can have.
@@ -129,11 +144,9 @@ def _probes() -> Column:
                 .when(b["low"] >= reach, reach / F.sqrt(F.col("norm2") * b["low"]))
                 .otherwise(F.sqrt(reach / F.col("norm2")))
             )
-            # Rounded like a score, so that a target of the block never scores more.
-            rounded = lambda value: F.round(value + 1e-12, 9)
-            bound = rounded(best)
+            bound = _rounded_up(best)
             # Where norms only lower the score, rows of the second norm do not reach the bound.
-            next_one = F.coalesce(rounded(reach / F.sqrt(F.col("norm2") * b["second"])), F.lit(-1.0))
+            next_one = F.coalesce(_rounded_up(reach / F.sqrt(F.col("norm2") * b["second"])), F.lit(-1.0))
             tid = F.when((b["low"] >= reach) & (next_one < bound), b["low_tid"]).otherwise(b["tid"])
             return F.struct(
                 x["token"].alias("token"), b["level"].alias("level"), (start + b["level"]).alias("round"), bound.alias("bound"), tid.alias("tid")
@@ -158,35 +171,38 @@ def match_entities(
 ) -> DataFrame:
     """(source_id, target_id, score, rank): the best targets that share a feature and reach the threshold.
 
-    Exact, without dropping common features. Sources with the same features are matched once, and of targets
-    with the same features only the first ``max_matches`` by id can ever be returned. Each source then meets
-    the targets through its rarest feature first, and of a feature's targets the block of least norm first. A block is
+    Exact, without dropping common features. Sources with the same features are matched once, as are sources of equal
+    norm that differ only in features that no target has; of targets with the same features only the first
+    ``max_matches`` by id can ever be returned. Each source then meets the targets through its rarest feature first, and of a feature's targets the block of least norm first. A block is
     joined only while a target first met in it could still beat the matches found (by score, then id) or reach the
     threshold; so a word that all names share is met in its first block, and the rest of its targets are never paired.
     """
     source_features = features([F.col(s) for s, _ in match_fields], feature_type)
     target_features = features([F.col(t) for _, t in match_fields], feature_type)
-    if model is None:
-        model = fit_matcher(sources, targets, match_fields, feature_type)
-    # Written tables carry their size, so Spark itself broadcasts the small ones in the joins below.
-    model = materialize(model, "matcher")
     weighted = feature_type == "frequency-weighted-bigram"
+    # Written tables carry their size, so Spark itself broadcasts the small ones in the joins below.
+    listed = materialize(sources.select(F.col(source_id).alias("_sid"), source_features.alias("f")), "sources")
+    offered = materialize(targets.select(F.col(target_id).alias("_tid"), target_features.alias("f")), "targets")
+    own = model is None
+    model = materialize(_fitted(listed, offered, feature_type) if own else model, "matcher")
 
-    listed = sources.select(F.col(source_id).alias("_sid"), source_features.alias("f"))
     first = W.partitionBy("f").orderBy("_tid")
     candidates = (
-        targets.select(F.col(target_id).alias("_tid"), target_features.alias("f"))
-        .withColumn("_rn", F.row_number().over(first))
+        offered.withColumn("_rn", F.row_number().over(first))
         .where(F.col("_rn") <= max_matches)
         .groupBy("f")
         .agg(F.sort_array(F.collect_list("_tid")).alias("_tids"))
     )
     candidates = materialize(candidates, "candidates")
     postings, blocks = _postings(candidates, model, first_block)
-    kept = {"_worst": F.lit(None).cast("double"), "_worst_tid": F.lit(None).cast(candidates.schema["_tids"].dataType.elementType)}
-    vectors = _vectors(listed.select("f").distinct(), model, blocks).where(F.size("found") > 0)
+    vectors = _vectors(listed.select("f").distinct(), model).where(F.size("found") > 0)
     slim = F.transform("found", lambda x: F.struct(x["token"].alias("token"), x["w2"].alias("w2")))
-    open_sources = vectors.withColumn("probes", _probes()).select("f", "norm2", slim.alias("found"), "probes").withColumns(kept)
+    # Only the features that targets have, and the norm, decide a match: sources that agree in them are matched once.
+    # From here on they go by a digest.
+    digest = F.unhex(F.sha2(F.to_json(F.struct(slim.alias("found"), "norm2")), 256))
+    vectors = materialize(vectors.withColumn("s", digest), "vectors")
+    profiles = materialize(vectors.drop("f").dropDuplicates(["s"]), "open")
+    kept = {"_worst": F.lit(None).cast("double"), "_worst_tid": F.lit(None).cast(candidates.schema["_tids"].dataType.elementType)}
 
     def alive(probe: Column) -> Column:
         beats = F.col("_worst").isNull() | (probe["bound"] > F.col("_worst")) | (
@@ -194,19 +210,10 @@ def match_entities(
         )
         return (probe["bound"] >= F.lit(threshold)) & beats
 
-    # From here on a feature set goes by a number, which is written with it.
-    numbered = open_sources.withColumn("probes", F.filter("probes", alive)).withColumn("s", F.monotonically_increasing_id())
-    numbered = materialize(numbered, "open")
-    open_sources = numbered.drop("f")
     ranking = W.partitionBy("s").orderBy(F.desc("score"), "_tid")
-    settled: list[DataFrame] = []
-    best: DataFrame | None = None
-    while True:
-        number = open_sources.agg(F.min(F.array_min("probes.round"))).first()[0]
-        if number is None:
-            break
-        due = F.filter("probes", lambda p: p["round"] == number)
-        probes = open_sources.select("s", "norm2", "found", F.explode(due).alias("p")).select("s", "norm2", "found", "p.token", "p.level")
+
+    def meet(probes: DataFrame, best: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        """The best matches after these (s, norm2, found, token, level) too, and the worst of them where all are found."""
         # Pairs cost far more than probes: spread the probes evenly, whatever their tokens.
         probes = probes.repartition(salt_count(probes.sparkSession), "s", "token")
         shared = F.array_intersect("found.token", "_tf")
@@ -226,18 +233,39 @@ def match_entities(
             scored = scored.unionByName(best.select("s", "score", "_tid"))
         ranked = scored.withColumn("rank", F.row_number().over(ranking)).where(F.col("rank") <= max_matches)
         best = materialize(ranked, "best")
-        worst = best.where(F.col("rank") == max_matches).select("s", F.col("score").alias("_worst"), F.col("_tid").alias("_worst_tid"))
+        return best, best.where(F.col("rank") == max_matches).select("s", F.col("score").alias("_worst"), F.col("_tid").alias("_worst_tid"))
+
+    # The first round needs no bounds: every source looks at the first block of its rarest feature.
+    best, worst = meet(profiles.select("s", "norm2", slim.alias("found"), F.col("found")[0]["token"].alias("token"), F.lit(0).alias("level")), None)
+    reached = lambda reach: _rounded_up(F.sqrt(reach / F.col("norm2"))) >= F.greatest(F.lit(threshold), F.coalesce("_worst", F.lit(0.0)))
+    # A feature of a model of its own has as many postings as ``targets`` says: within one block, the first one is all.
+    deeper = (F.col("found")[0]["targets"] >= first_block) if own else F.lit(True)
+    more = (deeper & reached(F.col("rest")[0])) | ((F.size("found") > 1) & reached(F.get("rest", F.lit(1))))
+    left = profiles.join(worst, "s", "left").where(more)
+    # Only sources that could still find better are given the posting blocks of their features.
+    entries = left.select("s", F.posexplode("found").alias("at", "x")).select("s", "at", "x.token", "x.w2").join(blocks, "token", "left")
+    entry = F.struct("at", "token", "w2", F.coalesce("blocks", F.array().cast(blocks.schema["blocks"].dataType)).alias("blocks"))
+    entries = entries.groupBy("s").agg(F.array_sort(F.collect_list(entry)).alias("found"))
+    left = left.drop("found").join(entries, "s").withColumn("probes", _probes())
+    left = left.withColumn("probes", F.filter("probes", lambda p: (p["round"] > 0) & alive(p)))
+    open_sources = materialize(left.select("s", "norm2", slim.alias("found"), "probes", *kept).where(F.size("probes") > 0), "open")
+    settled = [best.join(open_sources.select("s"), "s", "left_anti")]
+    best = best.join(open_sources.select("s"), "s", "left_semi")
+    while True:
+        number = open_sources.agg(F.min(F.array_min("probes.round"))).first()[0]
+        if number is None:
+            break
+        due = F.filter("probes", lambda p: p["round"] == number)
+        probes = open_sources.select("s", "norm2", "found", F.explode(due).alias("p")).select("s", "norm2", "found", "p.token", "p.level")
+        best, worst = meet(probes, best)
         # Still open: blocks left whose targets could reach the threshold and beat the worst match kept.
         left = open_sources.drop(*kept).join(worst, "s", "left")
         left = left.withColumn("probes", F.filter("probes", lambda p: (p["round"] > number) & alive(p)))
         open_sources = materialize(left.where(F.size("probes") > 0), "open")
         settled.append(best.join(open_sources.select("s"), "s", "left_anti"))
         best = best.join(open_sources.select("s"), "s", "left_semi")
-    if not settled:
-        empty = numbered.select("s", F.lit(0.0).alias("score"), kept["_worst_tid"].alias("_tid"), F.lit(0).alias("rank"))
-        settled.append(empty.where(F.lit(False)))
     found = reduce(DataFrame.unionByName, settled)
-    return listed.join(numbered.select("s", "f"), "f").join(found, "s").select(
+    return listed.join(vectors.select("s", "f"), "f").join(found, "s").select(
         F.col("_sid").alias("source_id"), F.col("_tid").alias("target_id"), "score", "rank"
     )
 

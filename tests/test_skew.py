@@ -209,6 +209,36 @@ def test_a_word_that_all_names_share_pairs_few_of_them(spark, monkeypatch):
     assert [df.count() for label, df in joined if label == "open"][1:] == [0]
 
 
+def test_sources_that_differ_in_unknown_words_are_matched_once(spark, monkeypatch):
+    import tagloom.operators.matching as matching
+
+    written = []
+    keep = matching.materialize
+    monkeypatch.setattr(matching, "materialize", lambda df, label: written.append((label, out := keep(df, label))) or out)
+    monkeypatch.setattr(matching, "COMMON_ENTITIES", 50)
+    sources = spark.range(300).select("id", F.concat(F.lit("order place "), "id").alias("name"))
+    targets = spark.range(100).select("id", F.concat(F.lit("stop place x"), "id", F.when(F.col("id") % 50 == 7, " 7").otherwise("")).alias("name"))
+    found = match_entities(sources, targets, [("name", "name")], max_matches=2)
+    by_source = {}
+    for r in found.orderBy("rank").collect():
+        by_source.setdefault(r.source_id, []).append((r.target_id, round(r.score, 6)))
+    assert by_source.pop(7) == [(7, 0.57735), (57, 0.57735)]
+    assert len(by_source) == 299 and all(m == [(0, 0.333333), (1, 0.333333)] for m in by_source.values())
+    # Two kinds of sources: those that hold the 7 as well, and all the others.
+    assert [df.count() for label, df in written if label == "open"][0] == 2
+
+
+def test_a_source_whose_match_is_sure_is_given_no_blocks(spark, monkeypatch):
+    import tagloom.operators.matching as matching
+
+    plain = matching._probes
+    monkeypatch.setattr(matching, "_probes", lambda: F.when(F.raise_error(F.lit("a source was given blocks")).isNull(), plain()))
+    sources = spark.range(200).select("id", F.concat(F.lit("customer "), "id").alias("name"))
+    targets = sources.select("id", F.concat("name", F.lit(" account")).alias("name"))
+    found = match_entities(sources, targets, [("name", "name")]).collect()
+    assert len(found) == 200 and all(r.source_id == r.target_id for r in found)
+
+
 @pytest.mark.parametrize("first_block", [1, 3, 32])
 @pytest.mark.parametrize("k, threshold", [(1, 0.0), (3, 0.0), (2, 0.55)])
 def test_matching_equals_brute_force(spark, k, threshold, first_block):
