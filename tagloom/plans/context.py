@@ -109,17 +109,17 @@ _STOPS = """SELECT 'st' || c_custkey AS id, 'stop place x' || c_custkey || CASE
 def match_shared_word(v):
     """All names of both sides hold the word ``place``, most share nothing else: it is met in its first blocks only."""
     key, nation = F.col("c_custkey"), F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit(" "), "c_nationkey")).otherwise("")
-    sources = v.table("orders").select(
+    sources = v.spread("orders").select(
         F.col("o_orderkey").cast("string").alias("id"), F.concat(F.lit("order place "), "o_orderkey").alias("name")
     )
-    targets = v.table("customer").select(F.concat(F.lit("st"), key).alias("id"), F.concat(F.lit("stop place x"), key, nation).alias("name"))
+    targets = v.spread("customer").select(F.concat(F.lit("st"), key).alias("id"), F.concat(F.lit("stop place x"), key, nation).alias("name"))
     return _rounded(match_entities(sources, targets, [("name", "name")], max_matches=2))
 
 
 @query("match_entities_common_token", _match_sql(_NAMED, _CODES, "simple", 1))
 def match_common_token(v):
     """Every name of both sides holds the word ``customer``; the number decides."""
-    customer = v.table("customer")
+    customer = v.spread("customer")
     key = F.col("c_custkey").cast("string")
     sources = customer.select(key.alias("id"), F.col("c_name").alias("name"))
     targets = customer.select(key.alias("id"), F.concat(F.lit("customer "), F.lpad(key, 9, "0"), F.lit(" account")).alias("name"))
