@@ -1,8 +1,8 @@
 """Stateful micro-batching of streams with count, distinct-id and weight caps, by a latency timer or by event windows.
 
 The open batch of a key is kept in columns: every micro-batch adds one entry to the state, the JSON text of its rows, and
-reads back only the counters (and the ids met, where distinct ids are capped). Batches are cut on whole columns: where
-the next one ends is found by searching running totals, never row by row.
+reads back only the counters (and the ids met, where distinct ids are capped). A batch that fills up within a micro-batch
+never enters the state. Batches are cut on whole columns: where the next one ends is found by searching running totals.
 """
 
 from __future__ import annotations
@@ -72,29 +72,42 @@ class BatchProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         n, weight, marks = self.sums.get() if self.sums.exists() else (0, 0, "")
         met = set(marks.split("\n")) if marks else set()
-        stored, started, changed = n > 0, n > 0, False
+        stored = started = n > 0
+        changed = False
+        # What the open batch takes from these rows; its earlier rows stay in the state until it is full.
+        held: list[str] = []
         for frame in rows:
             items, weights, ids = frame["item_json"].to_numpy(), frame["item_weight"].to_numpy(np.int64), frame["item_mark"].to_numpy()
-            at = 0
+            at, full_ones, changed = 0, [], changed or len(items) > 0
             while at < len(items):
                 # A batch takes at most the rows that its size leaves room for: only these are looked at.
                 near = slice(at, at + max(1, self.caps[0] - n) + 1)
                 fresh = np.zeros(len(items[near]), np.int64)
                 if self.caps[2] < np.iinfo(np.int64).max:
-                    new, first = np.unique(ids[near].astype(str), return_index=True)
-                    fresh[[i for m, i in zip(new.tolist(), first.tolist()) if m not in met]] = 1
+                    # Each id where it is first seen, up to the one that reaches the cap.
+                    new: set[str] = set()
+                    for i, mark in enumerate(ids[near].tolist()):
+                        if len(met) + len(new) >= self.caps[2]:
+                            break
+                        if mark not in met and mark not in new:
+                            new.add(mark)
+                            fresh[i] = 1
                 taken, full = batch_end(weights[near], fresh, (n, weight, len(met)), self.caps, self.before)
                 if taken:
                     part = slice(at, at + taken)
-                    self.chunks.appendValue(("\n".join(items[part]),))
-                    n, weight, stored, changed = n + taken, weight + int(weights[part].sum()), True, True
+                    held.extend(items[part].tolist())
+                    n, weight = n + taken, weight + int(weights[part].sum())
                     met.update(ids[near][:taken][fresh[:taken] == 1].tolist())
                     at += taken
                 if full:
-                    yield self._batch(key, "full")
-                    n, weight, met, stored, started, changed = 0, 0, set(), False, False, True
+                    full_ones.append(self._stored() + held if stored else held)
+                    n, weight, met, held, stored, started = 0, 0, set(), [], False, False
+            if full_ones:
+                yield self._batches(key, full_ones, "full")
         if not changed:
             return
+        if held:
+            self.chunks.appendValue(("\n".join(held),))
         if n:
             self.sums.update((n, weight, "\n".join(sorted(met))))
         if self.window is not None:
@@ -108,14 +121,19 @@ class BatchProcessor(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.deadline.clear()
         if self.sums.exists():
-            yield self._batch(key, "window" if self.window is not None else "stale")
+            yield self._batches(key, [self._stored()], "window" if self.window is not None else "stale")
 
-    def _batch(self, key, reason: str) -> pd.DataFrame:
-        """The open batch as an output row; it is forgotten."""
+    def _stored(self) -> list[str]:
+        """The rows of the open batch that are in the state; it is forgotten there."""
         items = [line for (chunk,) in self.chunks.get() for line in chunk.split("\n")]
         self.chunks.clear()
         self.sums.clear()
-        return pd.DataFrame({**{k: [v] for k, v in zip(self.key, key)}, "items": [items], "n": [len(items)], "reason": [reason]})
+        return items
+
+    def _batches(self, key, batches: list[list[str]], reason: str) -> pd.DataFrame:
+        """Whole batches as output rows."""
+        names = {k: [v] * len(batches) for k, v in zip(self.key, key)}
+        return pd.DataFrame({**names, "items": batches, "n": list(map(len, batches)), "reason": reason})
 
     def _set_timer(self, at: int) -> None:
         self._drop_timer()

@@ -42,8 +42,9 @@ def run_available(df: DataFrame, path: str, checkpoint: str) -> DataFrame:
 def run_until_drained(df: DataFrame, path: str, checkpoint: str, idle_s: float = 120.0) -> DataFrame:
     """As :func:`run_available` for a stateful stream whose latency timers keep it running.
 
-    Stops once the input is read and the timers have emptied the state. A stream may run as long as it likes; it fails
-    if it still holds rows and nothing has moved for ``idle_s``: no input came and the state kept its size.
+    Stops once the input is read and the timers have emptied the state. A stream may run as long as it likes, and so may
+    each of its micro-batches, which report at their end; it fails if it still holds rows and nothing has moved for
+    ``idle_s``: no input came, the state kept its size, and no micro-batch is at work that has yet to report.
     """
     query = (
         df.writeStream.format("parquet")
@@ -52,13 +53,15 @@ def run_until_drained(df: DataFrame, path: str, checkpoint: str, idle_s: float =
         .outputMode("append")
         .start()
     )
-    fed, held, deadline = False, None, time.monotonic() + idle_s
+    fed, held, last, deadline = False, None, None, time.monotonic() + idle_s
     try:
         while True:
             # Only the last progress reports are kept: what was seen once is remembered here.
             seen = query.recentProgress
             fed = fed or any(p["numInputRows"] for p in seen)
+            reported = bool(seen) and seen[-1]["timestamp"] != last
             if seen:
+                last = seen[-1]["timestamp"]
                 now = (seen[-1]["numInputRows"], [o["numRowsTotal"] for o in seen[-1]["stateOperators"]])
                 if now != held or now[0]:
                     held, deadline = now, time.monotonic() + idle_s
@@ -66,7 +69,7 @@ def run_until_drained(df: DataFrame, path: str, checkpoint: str, idle_s: float =
                     break
             if query.awaitTermination(0.1):
                 break
-            if time.monotonic() > deadline:
+            if time.monotonic() > deadline and (reported or not query.status["isTriggerActive"]):
                 raise TimeoutError("the stream still holds rows")
     finally:
         query.stop()

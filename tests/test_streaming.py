@@ -1,5 +1,10 @@
 """Streams: batching, watching, late rows, change log."""
 
+import time
+from types import SimpleNamespace
+
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -7,7 +12,7 @@ from pyspark.sql import types as T
 from tagloom.plans.delta import delta_read
 from tagloom.request import Request
 from tagloom.session import work_path
-from tagloom.streaming.batcher import batch_end, group_into_batches_stream, group_into_window_batches
+from tagloom.streaming.batcher import BatchProcessor, batch_end, group_into_batches_stream, group_into_window_batches
 from tagloom.streaming.event_time import DropCounter, read_with_late_rows, window_count, with_event_time, write_with_late_rows
 from tagloom.streaming.landing import land, read_landing, run_available, run_until_drained
 from tagloom.streaming.upsert import merge_log, stream_upsert
@@ -54,6 +59,61 @@ def test_distinct_cap(spark, items):
     assert all(len({i["key"] for i in r["items"]}) <= 2 for r in found)
 
 
+def test_batches_that_fill_up_at_once_do_not_enter_the_state():
+    """70 rows for batches of 10, five of which wait in the state: seven batches in one frame, one entry for the rest."""
+    calls = []
+
+    class Value:
+        def __init__(self, held=None):
+            self.held = held
+
+        def exists(self):
+            return self.held is not None
+
+        def get(self):
+            return self.held
+
+        def update(self, value):
+            calls.append("update")
+            self.held = value
+
+        def clear(self):
+            self.held = None
+
+    class Chunks:
+        held = ["\n".join(f"s{i}" for i in range(5))]
+
+        def get(self):
+            return iter([(chunk,) for chunk in self.held])
+
+        def appendValue(self, value):
+            calls.append("append")
+            self.held = [*self.held, value[0]]
+
+        def clear(self):
+            self.held = []
+
+    most = np.iinfo(np.int64).max
+    processor = BatchProcessor(["k"], (10, most, most), 10, False, None)
+    processor.handle = SimpleNamespace(registerTimer=lambda at: None, deleteTimer=lambda at: None)
+    processor.chunks, processor.sums, processor.deadline = Chunks(), Value((5, 0, "")), Value((99,))
+    rows = pd.DataFrame({"item_json": [f"r{i}" for i in range(70)], "item_weight": 0, "item_mark": ""})
+    frames = list(processor.handleInputRows(("a",), iter([rows]), SimpleNamespace(getCurrentProcessingTimeInMs=lambda: 7)))
+    batches = [list(b) for f in frames for b in f["items"]]
+    assert len(frames) == 1 and [len(b) for b in batches] == [10] * 7
+    left = processor.chunks.held[0].split("\n")
+    assert sum(batches, []) + left == [f"s{i}" for i in range(5)] + [f"r{i}" for i in range(70)]
+    assert processor.sums.held == (5, 0, "") and processor.deadline.held == (17,) and calls.count("append") == 1
+
+
+def test_a_long_micro_batch_is_no_standstill(spark, items):
+    """The micro-batch works for longer than a stream may stand still; it is waited for."""
+    slow = F.udf(lambda x: time.sleep(1.5) or x, "long")
+    stream = landed(spark, items, "id").withColumn("id", slow("id"))
+    found = run_until_drained(group_into_batches_stream(stream, ["key"], 2, 10), *paths(spark), idle_s=1.0)
+    assert sorted((r["key"], i["id"]) for r in found.collect() for i in r["items"]) == ITEMS
+
+
 def test_windows_flush_once_they_are_over(spark):
     schema = "key string, id long, at long, note string"
     landing, (out, checkpoint) = work_path(spark, "landing"), paths(spark)
