@@ -287,7 +287,8 @@ def _hits(
             same = [F.col(f"_offer.{n}") == F.col(f"_r_{n}") for i, n in enumerate(names) if shapes[0] >> i & 1]
     else:
         offered = salted.withColumn("_offer", F.explode(F.array(*offers))) if offers else salted.withColumn("_offer", offer(0))
-        same = [F.col(f"_offer.{c}").eqNullSafe(F.col(f"_r_{c}")) for c in ("shape", "level", "node", "salt", *names)]
+        compared = ("shape", *(("level", "node", "salt") if levels else ()), *names)
+        same = [F.col(f"_offer.{c}").eqNullSafe(F.col(f"_r_{c}")) for c in compared]
     within = (F.col("_r_min").isNull() | (F.col(time) >= F.col("_r_min"))) & (F.col("_r_max").isNull() | (F.col(time) <= F.col("_r_max")))
     # Nodes and salts multiply the requests, which the size that Spark estimates from their file does not show: left
     # to itself it may broadcast all of them.

@@ -126,6 +126,21 @@ def test_many_open_and_wide_requests_share_no_task(spark):
     assert salts[top] == 8 and all(salts[level] >= 8 >> (top - level) for level in salts)
 
 
+def test_requests_are_taken_apart_once(spark):
+    """Each request is counted where it is read; one of them names a row twice, so all are looked at again."""
+    table = spark.range(20).select("id", (F.col("id") * 1000).alias("lastUpdatedTime"))
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(k):
+        read.add(1)
+        return k
+
+    asked = spark.createDataFrame([(1, 3, None, None), (1, None, 0, 5000), (2, 4, None, None)], "request_id long, kind long, min long, max long")
+    asked = asked.repartition(1).withColumn("kind", F.udf(counted, "long").asNondeterministic()("kind"))
+    assert reads.list_many(table, asked, {"kind": F.col("id")}).count() == 7
+    assert read.value == 3
+
+
 def test_requests_cut_into_many_nodes_are_not_broadcast(spark):
     """30 000 requests in a small file are over 200 000 rows once they stand under their nodes and salts."""
     table = spark.range(100).select("id", (F.col("id") * 86_400_000).alias("lastUpdatedTime"))
