@@ -187,13 +187,24 @@ def stateful_batches_datapoints(v):
         ),
     )
     end = points.agg(F.max("timestamp")).first()[0]
-    ids = F.size(F.array_distinct(F.col("items.externalId")))
-    opened = found.where(F.col("window_end") <= (end or 0) - DELAY_MS).select("window_end", "n", ids.alias("ids"), F.explode("items").alias("item"))
+    return _point_facts(found.where(F.col("window_end") <= (end or 0) - DELAY_MS))
+
+
+def _point_facts(batches: DataFrame) -> DataFrame:
+    """Per window: points, series, the sum of all times, and whether all batches kept below the caps.
+
+    Points are added up within their batch: a batch is opened into its series only, and what it has once stands on the first
+    of these rows.
+    """
+    times = F.aggregate("items.timestamp", F.lit(0).cast("long"), lambda total, x: total + F.coalesce(x, F.lit(0).cast("long")))
+    sums = batches.select("window_end", "n", F.size("items").alias("rows"), times.alias("times"), F.array_distinct("items.externalId").alias("ids"))
+    opened = sums.select("window_end", "n", "rows", "times", F.size("ids").alias("n_ids"), F.posexplode("ids").alias("at", "id"))
+    once = lambda c: F.sum(F.when(F.col("at") == 0, c))
     return opened.groupBy("window_end").agg(
-        F.count("*").alias("rows"),
-        F.countDistinct("item.externalId").alias("series"),
-        F.sum(F.col("item.timestamp").cast("decimal(38,0)")).cast("string").alias("times"),
-        ((F.max("n") < 100) & (F.max("ids") < 40)).alias("within_caps"),
+        once(F.col("rows")).alias("rows"),
+        F.countDistinct("id").alias("series"),
+        once(F.col("times").cast("decimal(38,0)")).cast("string").alias("times"),
+        ((F.max("n") < 100) & (F.max("n_ids") < 40)).alias("within_caps"),
     )
 
 

@@ -9,7 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tagloom.plans import catalog
 from tagloom.plans.delta import delta_read
+from tagloom.plans.streams import _point_facts
 from tagloom.request import Request
 from tagloom.session import work_path
 from tagloom.streaming.batcher import BatchProcessor, batch_end, group_into_batches_stream, group_into_window_batches
@@ -114,6 +116,35 @@ def test_a_long_micro_batch_is_no_standstill(spark, items):
     assert sorted((r["key"], i["id"]) for r in found.collect() for i in r["items"]) == ITEMS
 
 
+def test_facts_of_point_batches(spark):
+    """Series that come again within and across batches, points without a series, times whose sum leaves the long range."""
+    point = "externalId: string, timestamp: long, valueNum: double"
+    far = 9 * 10**15
+    batches = [
+        (10, [("a", 1, 0.0), ("a", 2, 0.0), ("b", 3, None)], 3),
+        (10, [("a", 4, 0.0), (None, 5, 0.0)], 2),
+        (20, [(None, 6, 0.0)], 1),
+        (30, [(f"s{i}", 7, 0.0) for i in range(40)], 40),
+        (40, [("a", 8, 0.0)] * 100, 100),
+        *[(50, [(f"s{i % 39}", far, 0.0) for i in range(99)], 99)] * 11,
+    ]
+    found = _point_facts(spark.createDataFrame(batches, f"window_end long, items array<struct<{point}>>, n long"))
+    assert sorted(map(tuple, found.collect())) == [
+        (10, 5, 2, "15", True),
+        (20, 1, 0, "6", True),
+        (30, 40, 40, "280", False),
+        (40, 100, 1, "800", False),
+        (50, 1089, 39, str(1089 * far), True),
+    ]
+
+
+def test_points_of_batches_are_not_opened(spark, capsys):
+    """The facts of the batches are had without one row per point."""
+    catalog.QUERIES["stateful_batches_datapoints"](spark, "/root/testdata/sf0.001").explain()
+    plan = capsys.readouterr().out
+    assert "explode(ids" in plan and "explode(items" not in plan
+
+
 def test_windows_flush_once_they_are_over(spark):
     schema = "key string, id long, at long, note string"
     landing, (out, checkpoint) = work_path(spark, "landing"), paths(spark)
